@@ -38,13 +38,17 @@ def _row_width(df: DataFrame) -> int:
     return width
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES, known_rows: int | None = None) -> bool:
+    """True when ``df`` is proven to fit ``max_bytes``: from a row count the caller
+    already measured, else by counting at most cap + 1 rows."""
     cap = max(1, max_bytes // _row_width(df))
+    if known_rows is not None:
+        return known_rows <= cap
     return df.limit(cap + 1).count() <= cap
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES, known_rows: int | None = None) -> DataFrame:
+    return F.broadcast(df) if fits_broadcast(df, max_bytes, known_rows) else df
 
 
 def inner_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -61,13 +65,16 @@ def lookup_key(
     dim_id: str = "id",
     out_col: str = "id_key",
     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+    dim_rows: int | None = None,
 ) -> DataFrame:
     """Replace a natural key by the dimension's surrogate id (inner, so rows
     whose key has no dimension row, including null keys, drop).  Only the id and the
     match column of the dimension are read (column pruning); the dimension side is
-    broadcast only when the size check proves it small."""
+    broadcast only when the size check (or a known ``dim_rows``) proves it small.
+    Above the cap it is a shuffle join; a hot key on the fact side is then split by
+    AQE's skew-join handling (the dimension side holds one row per key)."""
     slim = dim.select(F.col(dim_col).alias("__dim_key"), F.col(dim_id).alias(out_col))
-    slim = broadcast_if_small(slim, max_broadcast_bytes)
+    slim = broadcast_if_small(slim, max_broadcast_bytes, dim_rows)
     return fact.join(slim, fact[fact_col] == slim["__dim_key"], "inner").drop("__dim_key")
 
 
@@ -78,10 +85,13 @@ def left_lookup(
     dim_key: str = "id",
     prefix_conflicts: str | None = None,
     max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+    known_rows: int | None = None,
+    broadcast: bool = True,
 ) -> DataFrame:
     """Left join of the fact to one dimension, dropping the dimension key.
     Dimension columns that already exist in the fact are renamed with ``prefix_conflicts``
-    (pandas would silently suffix them _x / _y)."""
+    (pandas would silently suffix them _x / _y).  ``broadcast=False`` skips the size
+    check for dimensions that grow with the fact (left to the planner / AQE)."""
     existing = set(fact.columns)
     cols = []
     for c in dim.columns:
@@ -93,7 +103,9 @@ def left_lookup(
             cols.append(F.col(c).alias(f"{prefix_conflicts}{c}"))
         else:
             cols.append(F.col(c))
-    slim = broadcast_if_small(dim.select(*cols), max_broadcast_bytes)
+    slim = dim.select(*cols)
+    if broadcast:
+        slim = broadcast_if_small(slim, max_broadcast_bytes, known_rows)
     return fact.join(slim, fact[fact_col] == slim["__dim_key"], "left").drop("__dim_key")
 
 

@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinelake.session import shared_dir
+from cinelake.session import materialize
 
 
 def _order_cols(order_by: Sequence[str | Column], descending: bool = False) -> list[Column]:
@@ -58,18 +58,30 @@ def surrogate_key(
 ) -> DataFrame:
     """Dense 1..n ids (bigint) in natural-key order, stable across plans and
     shuffle-partition counts.  ``order_by`` must identify rows (a natural key)."""
-    spark = df.sparkSession
+    return surrogate_key_counted(df, order_by, id_col, rows_per_bucket, sample_rows, checkpoint_large, seed)[0]
+
+
+def surrogate_key_counted(
+    df: DataFrame,
+    order_by: Sequence[str],
+    id_col: str = "id",
+    rows_per_bucket: int = 2_000_000,
+    sample_rows: int = 200_000,
+    checkpoint_large: bool = True,
+    seed: int = 7,
+) -> tuple[DataFrame, int]:
+    """``surrogate_key`` plus the row count it measured (lets a later join use the
+    count as its broadcast size check instead of counting again)."""
     order_by = list(order_by)
     n_rows = df.count()
     if n_rows <= rows_per_bucket:
         w = Window.orderBy(*_order_cols(order_by))
-        return df.select(F.row_number().over(w).cast("long").alias(id_col), *df.columns)
+        return df.select(F.row_number().over(w).cast("long").alias(id_col), *df.columns), n_rows
 
     if checkpoint_large:
         # cut lineage once so the sample, the bucket counts and the numbering all read
-        # the same materialised rows (checkpoint folder is the cluster's shared one)
-        shared_dir(spark, "surrogate")
-        df = df.checkpoint(eager=True)
+        # the same materialised rows (a Parquet copy in the shared checkpoint folder)
+        df = materialize(df, "surrogate")
 
     dtypes = {f.name: f.dataType for f in df.schema.fields}
     n_buckets = math.ceil(n_rows / rows_per_bucket)
@@ -102,7 +114,7 @@ def surrogate_key(
         running += counts.get(b, 0)
     offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("__bucket") + 1)
     w = Window.partitionBy("__bucket").orderBy(*_order_cols(order_by))
-    return bucketed.select((offset + F.row_number().over(w)).cast("long").alias(id_col), *df.columns)
+    return bucketed.select((offset + F.row_number().over(w)).cast("long").alias(id_col), *df.columns), n_rows
 
 
 def share_of_total(df: DataFrame, measure: str, group_by: Sequence[str], out_col: str = "share_pct", scale: int = 2) -> DataFrame:

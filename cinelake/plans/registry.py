@@ -498,7 +498,7 @@ def _land_events_json(spark, d, landing: str, copies: int = 1) -> DataFrame:
 def _stream_ingest(spark, d):
     base = shared_dir(spark, "stream-ingest")
     ev = _land_events_json(spark, d, f"{base}/landing")
-    out = stream_ingest(spark, f"{base}/landing", ev.schema, f"{base}/out", f"{base}/checkpoint", "json", max_files_per_trigger=16,
+    out = stream_ingest(spark, f"{base}/landing", ev.schema, f"{base}/out", f"{base}/checkpoint", "json", max_files_per_trigger=100,
         timestampNTZFormat=TS_FORMAT,
     )
     return out.select(*ev.columns)
@@ -509,7 +509,7 @@ def _stream_dedup(spark, d):
     base = shared_dir(spark, "stream-dedup")
     ev = _land_events_json(spark, d, f"{base}/landing", copies=2)
     out = stream_dedup(spark, f"{base}/landing", ev.schema, ["event_id"], f"{base}/out", f"{base}/checkpoint", "json",
-        max_files_per_trigger=16, timestampNTZFormat=TS_FORMAT,
+        max_files_per_trigger=100, timestampNTZFormat=TS_FORMAT,
     )
     return out.select("event_id", "ts", "user_id", "event_type", "value", "props")
 

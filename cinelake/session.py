@@ -81,3 +81,13 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, purpose: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and return the
+    re-read table.  Cuts lineage like ``checkpoint()`` (a lost executor re-reads the
+    files instead of recomputing upstream), but the copy is columnar: later scans
+    prune columns, push filters down, and give the planner real size statistics."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
