@@ -109,14 +109,21 @@ def left_lookup(
     return fact.join(slim, fact[fact_col] == slim["__dim_key"], "left").drop("__dim_key")
 
 
+def _distinct_keys(details: DataFrame, details_col: str) -> DataFrame:
+    # de-duplicated first: the partial (map-side) aggregate collapses a key that many
+    # detail records share, so no join task receives all copies of a hot key (AQE
+    # can split only the left side of a semi / anti join)
+    return details.select(F.col(details_col).alias("__k")).distinct()
+
+
 def ids_found(ids: DataFrame, details: DataFrame, id_col: str, details_col: str) -> DataFrame:
     """Ids that have details (EXISTS, no duplication from the details side)."""
-    return ids.join(details.select(F.col(details_col).alias("__k")), ids[id_col] == F.col("__k"), "left_semi")
+    return ids.join(_distinct_keys(details, details_col), ids[id_col] == F.col("__k"), "left_semi")
 
 
 def ids_missing(ids: DataFrame, details: DataFrame, id_col: str, details_col: str) -> DataFrame:
     """Ids without details (NOT EXISTS), the error list."""
-    return ids.join(details.select(F.col(details_col).alias("__k")), ids[id_col] == F.col("__k"), "left_anti")
+    return ids.join(_distinct_keys(details, details_col), ids[id_col] == F.col("__k"), "left_anti")
 
 
 def flatten_star(fact: DataFrame, lookups: Sequence[tuple[DataFrame, str, str | None]]) -> DataFrame:

@@ -22,6 +22,7 @@ from cinelake.functions.text import classify_tags, label_codes
 from cinelake.operators.joins import inner_join, left_lookup, lookup_key
 from cinelake.operators.windows import surrogate_key_counted
 from cinelake.session import materialize
+from cinelake.sources.sinks import write_fact
 
 
 @dataclass(frozen=True)
@@ -159,22 +160,42 @@ def dim_genre(fact: DataFrame) -> DataFrame:
     return counts.select("id", label_codes("id").alias("genre"), "num_movies")
 
 
+# dimensions up to this many rows are numbered in one ordered window, broadcast into
+# the fact, and cheap to recompute; larger ones are written once and re-read
+SMALL_DIM_ROWS = 2_000_000
+
+
 def build_star(
-    trusted_credits: DataFrame, trusted_details: DataFrame, c: FilmColumns = FilmColumns(), materialize_inputs: bool = True
+    trusted_credits: DataFrame,
+    trusted_details: DataFrame,
+    c: FilmColumns = FilmColumns(),
+    materialize_inputs: bool = True,
+    materialize_fact: bool = False,
 ) -> Star:
-    """All five tables.  With ``materialize_inputs`` the two trusted inputs are written once
-    as Parquet to the shared checkpoint folder (as the trusted layer is on disk in
-    production), so numbering the dimensions and building the fact read them
-    (pruned to the columns each step needs) instead of re-running the raw-to-trusted
-    lineage for every pass; it also cuts lineage, so a lost executor never
-    recomputes from the raw files."""
+    """All five tables.
+
+    ``materialize_inputs`` writes the two trusted inputs once as Parquet to the
+    shared checkpoint folder (the trusted layer is on disk in production), so
+    numbering the dimensions and building the fact read them, pruned to the columns
+    each step needs, instead of re-running the raw-to-trusted lineage per pass.
+    A numbered dimension larger than ``SMALL_DIM_ROWS`` (its size is known from the
+    numbering) is written once too, because every lookup would otherwise re-run its
+    aggregation over the credits; ``materialize_fact`` does the same for the fact.
+    Materialized steps cut lineage, so a lost executor re-reads files instead of
+    recomputing from the raw inputs."""
     if materialize_inputs:
         trusted_credits = materialize(trusted_credits, "trusted-credits")
         trusted_details = materialize(trusted_details, "trusted-details")
     joined = joined_view(trusted_credits, trusted_details, c)
     actors, n_actors = dim_actor_counted(trusted_credits, c)
     dates, n_dates = dim_date_counted(trusted_details, c)
+    if n_actors > SMALL_DIM_ROWS:
+        actors = materialize(actors, "dim-actor")
+    if n_dates > SMALL_DIM_ROWS:
+        dates = materialize(dates, "dim-date")
     fact = fact_movie_actor(joined, dates, actors, c, n_dates, n_actors)
+    if materialize_fact:
+        fact = materialize(fact, "fact")
     return Star(actors, dates, dim_movie(joined, c), fact, dim_genre(fact), n_actors, n_dates)
 
 
@@ -198,7 +219,7 @@ def write_star(star: Star, root: str, mode: str = "overwrite") -> None:
         getattr(star, name).write.mode(mode).parquet(f"{root}/{name}")
     years = star.dim_date.select(F.col("id").alias("__d"), F.col("year").alias("release_year"))
     fact = star.fact.join(years, F.col("id_date") == F.col("__d"), "left").drop("__d")
-    fact.repartition("release_year").write.mode(mode).partitionBy("release_year").parquet(f"{root}/fact_movie_actor")
+    write_fact(fact, f"{root}/fact_movie_actor")
 
 
 def read_star(spark, root: str) -> Star:

@@ -160,3 +160,19 @@ def test_analyses(star):
     assert len(top) == star.dim_genre.count()
     rec = {r.id_actor: r.recurrence for r in an.artist_recurrence(star).collect()}
     assert max(rec.values()) <= 1.0
+
+
+def test_write_and_register_star(spark, star, tmp):
+    from cinelake.sources import register_tables
+
+    root = f"{tmp}/refined"
+    st.write_star(star, root)
+    back = st.read_star(spark, root)
+    assert sorted(map(tuple, back.fact.select(*st.FACT_COLUMNS).collect())) == sorted(map(tuple, star.fact.collect()))
+    assert back.dim_actor.count() == star.dim_actor.count()
+    years = {r.release_year for r in spark.read.parquet(f"{root}/fact_movie_actor").select("release_year").collect()}
+    assert years == {2005, 2010, 2012}  # one folder per release year, not per film
+    names = register_tables(spark, root, ["dim_genre", "dim_actor"])
+    assert spark.sql(f"SELECT count(*) FROM {names[0]}").first()[0] == 3
+    spark.sql("DROP TABLE IF EXISTS dim_genre")
+    spark.sql("DROP TABLE IF EXISTS dim_actor")
