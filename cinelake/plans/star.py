@@ -21,7 +21,7 @@ from cinelake.functions.dates import quarter_label
 from cinelake.functions.text import classify_tags, label_codes
 from cinelake.operators.joins import inner_join, left_lookup, lookup_key
 from cinelake.operators.windows import surrogate_key_counted
-from cinelake.session import materialize
+from cinelake.session import materialize, run_concurrently
 from cinelake.sources.sinks import write_fact
 
 
@@ -184,11 +184,13 @@ def build_star(
     Materialized steps cut lineage, so a lost executor re-reads files instead of
     recomputing from the raw inputs."""
     if materialize_inputs:
-        trusted_credits = materialize(trusted_credits, "trusted-credits")
-        trusted_details = materialize(trusted_details, "trusted-details")
+        trusted_credits, trusted_details = run_concurrently(
+            (materialize, trusted_credits, "trusted-credits"), (materialize, trusted_details, "trusted-details")
+        )
     joined = joined_view(trusted_credits, trusted_details, c)
-    actors, n_actors = dim_actor_counted(trusted_credits, c)
-    dates, n_dates = dim_date_counted(trusted_details, c)
+    (actors, n_actors), (dates, n_dates) = run_concurrently(
+        (dim_actor_counted, trusted_credits, c), (dim_date_counted, trusted_details, c)
+    )
     if n_actors > SMALL_DIM_ROWS:
         actors = materialize(actors, "dim-actor")
     if n_dates > SMALL_DIM_ROWS:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -91,3 +92,12 @@ def materialize(df, purpose: str):
     path = shared_dir(df.sparkSession, purpose)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def run_concurrently(*calls):
+    """Run independent driver-side calls (each submitting its own Spark jobs) from
+    separate threads, so the scheduler overlaps their jobs instead of running them
+    back to back.  Returns the results in order; the first error is raised."""
+    with ThreadPoolExecutor(max_workers=max(1, len(calls))) as pool:
+        futures = [pool.submit(fn, *args) for fn, *args in calls]
+        return [f.result() for f in futures]
