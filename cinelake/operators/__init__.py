@@ -44,6 +44,13 @@ from cinelake.operators.quality import (
 )
 from cinelake.operators.sets import distinct_rows, distinct_values, drop_duplicates
 from cinelake.operators.sorting import capped, sort_asc, sort_desc, top_k
-from cinelake.operators.windows import balanced_split, batch_assign, share_of_total, surrogate_key, top_n_per_group
+from cinelake.operators.windows import (
+    balanced_split,
+    batch_assign,
+    share_of_total,
+    surrogate_key,
+    surrogate_key_counted,
+    top_n_per_group,
+)
 
 __all__ = [name for name in dir() if not name.startswith("_")]

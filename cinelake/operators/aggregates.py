@@ -46,11 +46,15 @@ def pearson(x: str | Column, y: str | Column) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def fit_line(df: DataFrame, x: str, y: str, group_by: Sequence[str] = (), digits: int = 6) -> DataFrame:
+def fit_line(
+    df: DataFrame, x: str, y: str, group_by: Sequence[str] = (), digits: int = 6, extra: Sequence[Column] = ()
+) -> DataFrame:
     """A7 + A8: correlation and least-squares line of y on x per group:
-    corr, slope, intercept, r2, n.  Rows with a null in x or y are excluded."""
+    corr, slope, intercept, r2, n (plus any ``extra`` aggregates, computed in the
+    same pass).  Rows with a null in x or y are excluded."""
     pairs = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     return pairs.groupBy(*group_by).agg(
+        *extra,
         F.round(pearson(x, y), digits).alias("corr"),
         F.round(F.regr_slope(F.col(y), F.col(x)), digits).alias("slope"),
         F.round(F.regr_intercept(F.col(y), F.col(x)), digits).alias("intercept"),

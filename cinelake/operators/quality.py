@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cinelake.operators.joins import broadcast_if_small
+
 
 def stage_counts(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """V1: one row per named stage with its row count (stage_no, stage, n_rows).
@@ -50,16 +52,24 @@ def pk_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
 
 
-def fk_violations(fact: DataFrame, refs: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
+def fk_violations(
+    fact: DataFrame, refs: Sequence[tuple[str, DataFrame, str]], broadcast_rows: Sequence[int | None] | None = None
+) -> DataFrame:
     """V4: for each (fact fk column, dimension, dimension key): fact rows whose key has
-    no dimension row (null keys count as violations too).  One row per reference."""
-    out = None
-    for fk, dim, dim_key in refs:
-        keys = dim.select(F.col(dim_key).alias("__k"))
-        missing = fact.select(fk).join(keys, F.col(fk) == F.col("__k"), "left_anti")
-        part = missing.agg(F.count(F.lit(1)).alias("n_missing")).select(F.lit(fk).alias("fk_column"), "n_missing")
-        out = part if out is None else out.unionByName(part)
-    return out
+    no dimension row (null keys count as violations too).  One pass over the fact:
+    each dimension's distinct keys are left-joined with a hit flag (broadcast when the
+    size check allows), then a single aggregate counts the misses per reference."""
+    rows = fact.select(*[fk for fk, _, _ in refs])
+    flags = []
+    for i, (fk, dim, dim_key) in enumerate(refs):
+        hit = f"__hit{i}"
+        keys = dim.select(F.col(dim_key).alias(f"__k{i}")).distinct().withColumn(hit, F.lit(True))
+        known = broadcast_rows[i] if broadcast_rows else None
+        keys = broadcast_if_small(keys, known_rows=known)
+        rows = rows.join(keys, F.col(fk) == F.col(f"__k{i}"), "left").drop(f"__k{i}")
+        flags.append(F.count_if(F.col(hit).isNull()).alias(fk))
+    wide = rows.agg(*flags)
+    return wide.unpivot([], [fk for fk, _, _ in refs], "fk_column", "n_missing")
 
 
 def null_violations(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -139,14 +139,19 @@ def batch_assign(df: DataFrame, rn_col: str, batch_size: int, out_col: str = "ba
     return df.withColumn(out_col, (F.floor((F.col(rn_col) - 1) / F.lit(batch_size)) + 1).cast("long"))
 
 
-def balanced_split(df: DataFrame, rn_col: str, n_parts: int, out_col: str = "part") -> DataFrame:
+def balanced_split(df: DataFrame, rn_col: str, n_parts: int, out_col: str = "part", total: int | None = None) -> DataFrame:
     """Split rows numbered 1..N into n_parts parts whose sizes differ by at most
-    one, the first N mod n parts one larger (ntile / array_split rule).  N comes from a
-    scalar subquery, so no single-partition window and no driver round trip."""
-    total = df.agg(F.count("*")).scalar()
-    q = F.floor(total / F.lit(n_parts))
-    r = total - q * F.lit(n_parts)
+    one, the first N mod n parts one larger (ntile / array_split rule).  N is the
+    caller's known count (e.g. from ``surrogate_key_counted``) or else one scalar
+    subquery bound to a column, so no single-partition window and no driver loop."""
+    if total is None:
+        df = df.withColumn("__n", df.agg(F.count(F.lit(1))).scalar())
+        n = F.col("__n")
+    else:
+        n = F.lit(total)
+    q = F.floor(n / F.lit(n_parts))
+    r = n - q * F.lit(n_parts)
     big = (q + 1) * r
     rn = F.col(rn_col)
     part = F.when(rn <= big, F.ceil(rn / (q + 1))).otherwise(r + F.ceil((rn - big) / q))
-    return df.withColumn(out_col, part.cast("long"))
+    return df.withColumn(out_col, part.cast("long")).drop("__n")

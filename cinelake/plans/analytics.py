@@ -55,9 +55,9 @@ def budget_revenue_per_year(star: Star, year_from: int, year_to: int) -> DataFra
     )
 
 
-def _two_grains(star: Star, x: str, y: str) -> DataFrame:
-    fact = fit_line(star.fact, x, y).select(F.lit("fact").alias("grain"), "*")
-    films = fit_line(film_grain(star), x, y).select(F.lit("film").alias("grain"), "*")
+def _two_grains(star: Star, x: str, y: str, extra=()) -> DataFrame:
+    fact = fit_line(star.fact, x, y, extra=extra).select(F.lit("fact").alias("grain"), "*")
+    films = fit_line(film_grain(star), x, y, extra=extra).select(F.lit("film").alias("grain"), "*")
     return fact.unionByName(films)
 
 
@@ -67,14 +67,9 @@ def budget_revenue_fit(star: Star) -> DataFrame:
 
 
 def rating_popularity_fit(star: Star) -> DataFrame:
-    """Q15: popularity on audience rating, with the mean budget as a third measure."""
-    fit = _two_grains(star, "tmdb_rating", "popularity")
-    budgets = star.fact.agg(F.round(F.avg("budget"), DIGITS).alias("avg_budget")).select(
-        F.lit("fact").alias("g"), "avg_budget"
-    ).unionByName(
-        film_grain(star).agg(F.round(F.avg("budget"), DIGITS).alias("avg_budget")).select(F.lit("film").alias("g"), "avg_budget")
-    )
-    return fit.join(budgets, fit["grain"] == budgets["g"], "left").drop("g")
+    """Q15: popularity on audience rating, with the mean budget as a third measure
+    (one aggregate per grain; budgets are never null in the star)."""
+    return _two_grains(star, "tmdb_rating", "popularity", [F.round(F.avg("budget"), DIGITS).alias("avg_budget")])
 
 
 def seasonal_share(star: Star, digits: int = 2) -> DataFrame:

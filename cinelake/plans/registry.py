@@ -311,8 +311,8 @@ def _batch_assign(spark, d):
 @query("balanced_split")
 def _balanced_split(spark, d):
     ev = table(spark, d, "events").select("event_id")
-    numbered = op.surrogate_key(ev, ["event_id"], "rn")
-    return op.balanced_split(numbered, "rn", 101)
+    numbered, total = op.surrogate_key_counted(ev, ["event_id"], "rn")
+    return op.balanced_split(numbered, "rn", 101, total=total)
 
 
 # ---------------------------------------------------------------- 2.6 sorts and limits
@@ -519,11 +519,23 @@ def _stream_dedup(spark, d):
 
 @query("stage_funnel")
 def _stage_funnel(spark, d):
+    # two passes instead of one per stage: row-level stages are counted with flags in
+    # one aggregate; the de-duplicated stages in one aggregate over the distinct rows
     raw = op.rename_columns(op.drop_columns(raw_credits(spark, d), tr.CREDIT_COLUMNS_DROPPED), tr.CREDIT_RENAMES)
-    tagged = op.filter_like_any(raw, "genero", TAG_PATTERNS)
-    clean = op.dropna_any(op.drop_duplicates(tagged))
-    final = op.filter_min(clean, "numeroVotos", tr.MIN_VOTES)
-    return op.stage_counts([("raw", raw), ("tag_filter", tagged), ("dedup_dropna", clean), ("min_votes", final)])
+    tag = fx.like_any("genero", TAG_PATTERNS)
+    complete = F.lit(True)
+    for c in raw.columns:
+        complete = complete & F.col(c).isNotNull()
+    first = raw.agg(F.count(F.lit(1)).alias("raw"), F.count_if(tag).alias("tag_filter"))
+    distinct = op.drop_duplicates(raw.filter(tag))
+    second = distinct.agg(
+        F.count_if(complete).alias("dedup_dropna"),
+        F.count_if(complete & (F.col("numeroVotos") >= tr.MIN_VOTES)).alias("min_votes"),
+    )
+    stages = ["raw", "tag_filter", "dedup_dropna", "min_votes"]
+    wide = first.unionByName(second, allowMissingColumns=True).agg(*[F.max(s).alias(s) for s in stages])
+    numbered = F.array(*[F.struct(F.lit(i + 1).alias("stage_no"), F.lit(s).alias("stage"), F.col(s).alias("n_rows")) for i, s in enumerate(stages)])
+    return wide.select(F.explode(numbered).alias("s")).select("s.*")
 
 
 @query("key_consistency")
@@ -542,7 +554,9 @@ def _pk_violations(spark, d):
 def _fk_violations(spark, d):
     s = star(spark, d)
     return op.fk_violations(
-        s.fact, [("id_movie", s.dim_movie, "id"), ("id_actor", s.dim_actor, "id"), ("id_date", s.dim_date, "id"), ("id_genre", s.dim_genre, "id")]
+        s.fact,
+        [("id_movie", s.dim_movie, "id"), ("id_actor", s.dim_actor, "id"), ("id_date", s.dim_date, "id"), ("id_genre", s.dim_genre, "id")],
+        [None, s.actor_rows, s.date_rows, 3],
     )
 
 

@@ -48,7 +48,7 @@ def write_json_balanced(df: DataFrame, path: str, order_by: Sequence[str], max_p
     N mod n parts are one larger).  Non-ASCII text is written as is.  Returns n."""
     numbered, total = surrogate_key_counted(df, order_by, "__rn")
     n_parts = total // max_per_file + 1
-    parts = balanced_split(numbered, "__rn", n_parts, "part")
+    parts = balanced_split(numbered, "__rn", n_parts, "part", total=total)
     (
         parts.repartition("part")
         .sortWithinPartitions("part", "__rn")
