@@ -54,19 +54,23 @@ def build_session(
     return spark
 
 
+def _conf(spark: SparkSession, key: str) -> str | None:
+    try:
+        return spark.conf.get(key, None) or None
+    except Exception:  # noqa: BLE001 - some session types raise on unknown keys
+        return None
+
+
 def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return _conf(spark, "spark.checkpoint.dir")
     current = sc.getCheckpointDir()
     if current:
         # getCheckpointDir() appends a per-application uuid folder; use its parent
         return os.path.dirname(current.rstrip("/"))
-    value = sc.getConf().get("spark.checkpoint.dir", None)
-    if not value:
-        try:
-            value = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset config raises on some versions
-            value = None
-    return value or None
+    return sc.getConf().get("spark.checkpoint.dir", None) or _conf(spark, "spark.checkpoint.dir")
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
@@ -78,9 +82,10 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     base = _configured_checkpoint_dir(spark)
     if not base:
         base = tempfile.mkdtemp(prefix="cinelake-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+        except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+            spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 

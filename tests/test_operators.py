@@ -188,3 +188,35 @@ def test_lookup_broadcast_only_when_small(spark):
     assert op.fits_broadcast(dim, max_bytes=64, known_rows=3) is False  # 32-byte rows: cap is 2
     out2 = op.lookup_key(fact, dim, "k", "k", "id", "k_id", max_broadcast_bytes=64)  # above the cap: no hint
     assert out2.count() == 100
+
+
+def test_hot_key_join_is_split_by_aqe(spark):
+    """One film id holds 40% of the credit rows; the film-side lookup is a shuffle join
+    (no broadcast).  AQE must split the hot partition, and no row may be lost."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        credits = spark.range(0, 20000).select(
+            F.when(F.col("id") % 10 < 4, F.lit(0)).otherwise(F.col("id") % 997).alias("film"), F.col("id").alias("credit")
+        )
+        films = spark.range(0, 997).select(F.col("id").alias("film_id"), (F.col("id") * 2).alias("id"))
+        out = op.lookup_key(credits, films, "film", "film_id", "id", "film_key", max_broadcast_bytes=1)
+        assert len(out.collect()) == 20000  # executes this plan, so AQE finalises it
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan
+        assert "SortMergeJoin" in plan and "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
