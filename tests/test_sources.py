@@ -108,3 +108,34 @@ def test_landing_inventory(spark, tmp):
     inv = landing_inventory(spark, tmp, "*.csv").collect()
     assert len(inv) == 1
     assert inv[0]["dataset"] == "Filmes e series" and inv[0]["size_bytes"] == 4
+
+
+def test_land_once_skips_existing_target(spark, tmp):
+    from cinelake.sources import land_once
+
+    target = os.path.join(tmp, "Raw", "Local", "CSV", "Movies", "2024", "03", "20")
+    land_once(spark.createDataFrame([("a",)], "x string"), target, "csv")
+    land_once(spark.createDataFrame([("b",), ("c",)], "x string"), target, "csv")  # exists: skipped
+    assert [r.x for r in spark.read.csv(target, schema="x string").collect()] == ["a"]
+
+
+def test_json_capped_sink(spark, tmp):
+    from cinelake.sources import write_json_capped
+
+    out = os.path.join(tmp, "capped")
+    write_json_capped(spark.range(250).coalesce(1), out, 100)
+    sizes = sorted(sum(1 for _ in open(f)) for f in glob.glob(os.path.join(out, "*.json")))
+    assert sizes == [50, 100, 100]
+
+
+def test_observed_funnel_counts(spark):
+    from pyspark.sql import Observation
+
+    from cinelake import operators as op
+
+    obs = Observation("funnel")
+    df = spark.createDataFrame([(1, 40), (2, 10), (3, None)], "id int, votes int")
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("votes") >= 30).alias("enough_votes"))
+    assert out.filter(F.col("votes") >= 30).count() == 1
+    assert obs.get == {"rows": 3, "enough_votes": 1}
+    assert op.observe_counts(df, "named", kept=F.col("votes").isNotNull()).count() == 3
