@@ -85,7 +85,9 @@ def surrogate_key_counted(
 
     dtypes = {f.name: f.dataType for f in df.schema.fields}
     n_buckets = math.ceil(n_rows / rows_per_bucket)
-    fraction = min(1.0, sample_rows / n_rows)
+    # ~256 sampled keys per bucket balance the buckets well; the cap bounds what the
+    # driver collects however many buckets there are (ids stay exact either way)
+    fraction = min(1.0, min(sample_rows, 256 * n_buckets) / n_rows)
     sample = (
         df.select(*order_by)
         .sample(withReplacement=False, fraction=fraction, seed=seed)
