@@ -4,6 +4,7 @@
     python -m cinelake.jobs trusted-details --input RAW_JSON_DIR --output TRUSTED_DIR
     python -m cinelake.jobs refined --credits TRUSTED_CREDITS --details TRUSTED_DETAILS --output REFINED_DIR
     python -m cinelake.jobs enrichment --credits RAW_CSV_DIR --details RAW_JSON_DIR --errors ERRORS_DIR
+    python -m cinelake.jobs stream-details --input RAW_JSON_DIR --output TRUSTED_DIR --checkpoint CKPT_DIR
 
 Master, executors and ``spark.checkpoint.dir`` come from spark-submit / the cluster.
 """
@@ -22,6 +23,7 @@ from cinelake.session import build_session
 from cinelake.sources.readers import read_delimited, read_json_lines
 from cinelake.sources.schemas import RAW_CREDITS_DDL, RAW_DETAILS_SCHEMA
 from cinelake.sources.sinks import write_id_list, write_parquet
+from cinelake.streaming.ingest import stream_trusted_details
 
 
 def trusted_credits_job(spark: SparkSession, input_path: str, output_path: str, mode: str = "errorifexists") -> DataFrame:
@@ -75,6 +77,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--credits", required=True)
     p.add_argument("--details", required=True)
     p.add_argument("--errors", required=True)
+    p = sub.add_parser("stream-details")
+    p.add_argument("--input", required=True)
+    p.add_argument("--output", required=True)
+    p.add_argument("--checkpoint", required=True)
     args = parser.parse_args(argv)
 
     spark = build_session()
@@ -84,6 +90,8 @@ def main(argv: list[str] | None = None) -> None:
         trusted_details_job(spark, args.input, args.output)
     elif args.job == "refined":
         refined_job(spark, args.credits, args.details, args.output)
+    elif args.job == "stream-details":
+        stream_trusted_details(spark, args.input, args.output, args.checkpoint)
     else:
         print(json.dumps(enrichment_job(spark, args.credits, args.details, args.errors)))
 

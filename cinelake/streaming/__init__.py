@@ -1,5 +1,17 @@
 """Structured Streaming jobs: incremental ingest, idempotent batches, cross-batch de-dup."""
 
-from cinelake.streaming.ingest import idempotent_partition_writer, stream_dedup, stream_ingest, stream_with_batches
+from cinelake.streaming.ingest import (
+    idempotent_partition_writer,
+    stream_dedup,
+    stream_ingest,
+    stream_trusted_details,
+    stream_with_batches,
+)
 
-__all__ = ["idempotent_partition_writer", "stream_dedup", "stream_ingest", "stream_with_batches"]
+__all__ = [
+    "idempotent_partition_writer",
+    "stream_dedup",
+    "stream_ingest",
+    "stream_trusted_details",
+    "stream_with_batches",
+]

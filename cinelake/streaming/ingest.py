@@ -12,8 +12,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cinelake.plans.trusted import trusted_details
+from cinelake.sources.schemas import RAW_DETAILS_SCHEMA
+
 
 def _reader(spark: SparkSession, schema: T.StructType | str, fmt: str, glob: str | None, max_files: int | None, options: dict):
     r = spark.readStream.schema(schema).format(fmt)
@@ -118,3 +122,35 @@ def stream_with_batches(
         .start()
     )
     query.awaitTermination()
+
+
+def stream_trusted_details(
+    spark: SparkSession,
+    raw_dir: str,
+    trusted_dir: str,
+    checkpoint_dir: str,
+    schema: T.StructType | None = None,
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
+    """The event-triggered enrichment landing as a stream: every newly landed JSON
+    file under ``raw_dir`` (dated folders) is cleaned with the trusted-details rules
+    and written partitioned by its folder's extraction date.  Each micro-batch
+    overwrites only the dates it holds, so a retried batch replaces its output; the
+    checkpoint's file log keeps every file from being processed twice.  Records are
+    de-duplicated within a micro-batch (the batch job's rule); use ``stream_dedup``
+    for de-duplication across batches."""
+    stream = _reader(spark, schema or RAW_DETAILS_SCHEMA, "json", None, max_files_per_trigger, {"recursiveFileLookup": True})
+    stream = stream.load(raw_dir).withColumn("__path", F.col("_metadata.file_path"))
+    writer = idempotent_partition_writer(trusted_dir, ["extraction_date"])
+
+    def batch(df: DataFrame, epoch_id: int) -> None:
+        writer(trusted_details(df, path_col="__path").drop("__path"), epoch_id)
+
+    query = (
+        stream.writeStream.foreachBatch(batch)
+        .option("checkpointLocation", checkpoint_dir)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.parquet(trusted_dir)

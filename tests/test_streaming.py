@@ -59,3 +59,24 @@ def test_idempotent_batch_writer(spark, tmp):
     replay = spark.read.schema(RAW_DETAILS_SCHEMA).json(landing)
     batch_fn(replay, 0)
     assert spark.read.parquet(target).count() == 2
+
+
+def test_stream_trusted_details_matches_batch_job(spark, tmp):
+    import datetime as dt
+
+    from cinelake import jobs
+    from cinelake.streaming import stream_trusted_details
+
+    raw = os.path.join(tmp, "Raw", "TMDB", "JSON")
+    land(os.path.join(raw, "2024", "03", "27"), "details-part-0.json", [rec(1), rec(2, revenue=0), rec(1)])
+    out, ckpt = os.path.join(tmp, "trusted"), os.path.join(tmp, "ckpt")
+    got = stream_trusted_details(spark, raw, out, ckpt, max_files_per_trigger=1)
+    assert [(r.id, r.extraction_date) for r in got.collect()] == [(1, dt.date(2024, 3, 27))]
+    # a new dated folder lands: only its file is processed, earlier dates stay
+    land(os.path.join(raw, "2024", "03", "28"), "details-part-0.json", [rec(3)])
+    got = stream_trusted_details(spark, raw, out, ckpt, max_files_per_trigger=1)
+    batch = jobs.trusted_details_job(spark, raw, os.path.join(tmp, "batch"))
+    key = lambda r: (r.id, r.extraction_date)
+    assert sorted(map(key, got.collect())) == sorted(map(key, batch.collect())) == [
+        (1, dt.date(2024, 3, 27)), (3, dt.date(2024, 3, 28))
+    ]
