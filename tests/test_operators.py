@@ -214,6 +214,11 @@ def test_hot_key_join_is_split_by_aqe(spark):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "isFinalPlan=true" in plan
         assert "SortMergeJoin" in plan and "skew=true" in plan
+        # the fact-build shape: the join feeds a distinct grouped by the join key;
+        # build_session forces the split there too (one extra shuffle, only on skew)
+        fact = out.select("film", (F.col("credit") % 50).alias("artist")).distinct()
+        assert len(fact.collect()) == len({(f, c % 50) for f, c in ((r.film, r.credit) for r in out.collect())})
+        assert "skew=true" in fact._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in old.items():
             if v is None:
