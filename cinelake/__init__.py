@@ -13,6 +13,6 @@ only happen in sinks, streams, and in bounded driver-side steps that are documen
 where they occur (boundary sampling for surrogate keys, size checks before broadcast).
 """
 
-from cinelake.session import build_session, shared_dir
+from cinelake.session import build_session, materialize, shared_dir, sizing_conf
 
-__all__ = ["build_session", "shared_dir"]
+__all__ = ["build_session", "materialize", "shared_dir", "sizing_conf"]

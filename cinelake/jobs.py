@@ -62,6 +62,7 @@ def enrichment_job(spark: SparkSession, credits_path: str, details_path: str, er
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="cinelake.jobs")
+    parser.add_argument("--input-bytes", type=int, default=None, help="expected input volume, sizes the partitions")
     sub = parser.add_subparsers(dest="job", required=True)
     p = sub.add_parser("trusted-credits")
     p.add_argument("--input", required=True)
@@ -83,7 +84,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--checkpoint", required=True)
     args = parser.parse_args(argv)
 
-    spark = build_session()
+    spark = build_session(input_bytes=args.input_bytes)
     if args.job == "trusted-credits":
         trusted_credits_job(spark, args.input, args.output)
     elif args.job == "trusted-details":

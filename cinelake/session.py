@@ -34,6 +34,29 @@ _BASE_CONF = {
 }
 
 
+MB = 1024 * 1024
+
+
+def sizing_conf(input_bytes: int, partition_bytes: int = 256 * MB, broadcast_bytes: int = 64 * MB) -> dict[str, str]:
+    """Partition sizing for a given input volume (e.g. 100 TB on a large cluster).
+
+    Scans split at ``partition_bytes``; the initial shuffle partition count is
+    input / partition size (so a shuffle of the full input still gives tasks of about
+    that size), and AQE coalesces small ones back toward the advisory size.  Skew
+    splitting starts at twice the advisory size.  Broadcasts stay under
+    ``broadcast_bytes`` (the same cap the size-checked joins use)."""
+    partitions = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "cinelake",
@@ -41,13 +64,19 @@ def build_session(
     max_partition_bytes: str = "128m",
     driver_memory: str | None = None,
     extra_conf: dict[str, str] | None = None,
+    input_bytes: int | None = None,
 ) -> SparkSession:
+    """Session with the settings every job wants.  Local runs size partitions with
+    ``shuffle_partitions`` / ``max_partition_bytes``; cluster runs pass the expected
+    ``input_bytes`` and get ``sizing_conf`` instead."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(_BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.sql.files.maxPartitionBytes"] = max_partition_bytes
+    if input_bytes:
+        conf.update(sizing_conf(input_bytes))
     if driver_memory:
         conf["spark.driver.memory"] = driver_memory
     conf.update(extra_conf or {})

@@ -225,3 +225,12 @@ def test_hot_key_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_sizing_conf_for_large_inputs():
+    from cinelake.session import sizing_conf
+
+    conf = sizing_conf(100 * 1024**4)  # 100 TB
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 * 1024**2)
+    assert int(sizing_conf(10)["spark.sql.shuffle.partitions"]) == 200
