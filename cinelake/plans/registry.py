@@ -289,8 +289,12 @@ def _enrichment_rate(spark, d):
 @query("surrogate_key")
 def _surrogate_key(spark, d):
     keys = lineitem(spark, d).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    # small buckets so the distributed (bucket + offset) path runs even on test data
-    return op.surrogate_key(keys, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "id", rows_per_bucket=10_000)
+    # small buckets so the distributed (bucket + offset) path runs even on test data;
+    # the input is a plain Parquet projection, deterministic and cheap to re-read, so
+    # no lineage-cutting copy is needed before the passes over it
+    return op.surrogate_key(
+        keys, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "id", rows_per_bucket=10_000, checkpoint_large=False
+    )
 
 
 @query("seasonal_share")
