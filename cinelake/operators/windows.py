@@ -55,10 +55,11 @@ def surrogate_key(
     sample_rows: int = 200_000,
     checkpoint_large: bool = True,
     seed: int = 7,
+    max_buckets: int = 4096,
 ) -> DataFrame:
     """Dense 1..n ids (bigint) in natural-key order, stable across plans and
     shuffle-partition counts.  ``order_by`` must identify rows (a natural key)."""
-    return surrogate_key_counted(df, order_by, id_col, rows_per_bucket, sample_rows, checkpoint_large, seed)[0]
+    return surrogate_key_counted(df, order_by, id_col, rows_per_bucket, sample_rows, checkpoint_large, seed, max_buckets)[0]
 
 
 def surrogate_key_counted(
@@ -69,9 +70,12 @@ def surrogate_key_counted(
     sample_rows: int = 200_000,
     checkpoint_large: bool = True,
     seed: int = 7,
+    max_buckets: int = 4096,
 ) -> tuple[DataFrame, int]:
     """``surrogate_key`` plus the row count it measured (lets a later join use the
-    count as its broadcast size check instead of counting again)."""
+    count as its broadcast size check instead of counting again).  The bucket count
+    is capped at ``max_buckets`` (the boundaries are plan literals), so very large
+    inputs get proportionally larger buckets rather than a huge expression."""
     order_by = list(order_by)
     n_rows = df.count()
     if n_rows <= rows_per_bucket:
@@ -84,7 +88,7 @@ def surrogate_key_counted(
         df = materialize(df, "surrogate")
 
     dtypes = {f.name: f.dataType for f in df.schema.fields}
-    n_buckets = math.ceil(n_rows / rows_per_bucket)
+    n_buckets = min(max_buckets, math.ceil(n_rows / rows_per_bucket))
     # ~256 sampled keys per bucket balance the buckets well; the cap bounds what the
     # driver collects however many buckets there are (ids stay exact either way)
     fraction = min(1.0, min(sample_rows, 256 * n_buckets) / n_rows)
