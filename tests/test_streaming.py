@@ -80,3 +80,20 @@ def test_stream_trusted_details_matches_batch_job(spark, tmp):
     assert sorted(map(key, got.collect())) == sorted(map(key, batch.collect())) == [
         (1, dt.date(2024, 3, 27)), (3, dt.date(2024, 3, 28))
     ]
+
+
+def test_stream_dedup_within_watermark(spark, tmp):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ts", T.TimestampType())])
+    landing = os.path.join(tmp, "landing")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "a.json"), "w") as fh:
+        fh.write('{"id": 1, "ts": "2024-03-27T10:00:00Z"}\n{"id": 2, "ts": "2024-03-27T10:05:00Z"}\n')
+    with open(os.path.join(landing, "b.json"), "w") as fh:
+        fh.write('{"id": 2, "ts": "2024-03-27T10:06:00Z"}\n{"id": 3, "ts": "2024-03-27T10:07:00Z"}\n')
+    got = stream_dedup(
+        spark, landing, schema, ["id"], os.path.join(tmp, "out"), os.path.join(tmp, "ckpt"), "json",
+        watermark=("ts", "1 hour"),
+    )
+    assert sorted(r.id for r in got.collect()) == [1, 2, 3]
