@@ -71,12 +71,19 @@ def surrogate_key_counted(
     checkpoint_large: bool = True,
     seed: int = 7,
     max_buckets: int = 4096,
+    max_rows: int | None = None,
 ) -> tuple[DataFrame, int]:
-    """``surrogate_key`` plus the row count it measured (lets a later join use the
-    count as its broadcast size check instead of counting again).  The bucket count
-    is capped at ``max_buckets`` (the boundaries are plan literals), so very large
-    inputs get proportionally larger buckets rather than a huge expression."""
+    """``surrogate_key`` plus its row count (lets a later join use it as the broadcast
+    size check instead of counting again).  ``max_rows`` is a known upper bound (for
+    example the size of the table a dimension was grouped from): when it is within
+    ``rows_per_bucket`` the input is proven small without a counting pass, and the
+    bound is returned in place of the count.  The bucket count is capped at
+    ``max_buckets`` (the boundaries are plan literals), so very large inputs get
+    proportionally larger buckets rather than a huge expression."""
     order_by = list(order_by)
+    if max_rows is not None and max_rows <= rows_per_bucket:
+        w = Window.orderBy(*_order_cols(order_by))
+        return df.select(F.row_number().over(w).cast("long").alias(id_col), *df.columns), max_rows
     n_rows = df.count()
     if n_rows <= rows_per_bucket:
         w = Window.orderBy(*_order_cols(order_by))

@@ -21,7 +21,7 @@ from cinelake.functions.dates import quarter_label
 from cinelake.functions.text import classify_tags, label_codes
 from cinelake.operators.joins import inner_join, left_lookup, lookup_key
 from cinelake.operators.windows import surrogate_key_counted
-from cinelake.session import materialize, run_concurrently
+from cinelake.session import materialize, materialize_counted, run_concurrently
 from cinelake.sources.sinks import write_fact
 
 
@@ -64,7 +64,7 @@ class Star:
     dim_movie: DataFrame
     fact: DataFrame
     dim_genre: DataFrame
-    # row counts measured while numbering the dimensions (None when unknown)
+    # dimension sizes measured while numbering them, or proven upper bounds
     actor_rows: int | None = None
     date_rows: int | None = None
 
@@ -84,9 +84,11 @@ def dim_actor(trusted_credits: DataFrame, c: FilmColumns = FilmColumns()) -> Dat
     return dim_actor_counted(trusted_credits, c)[0]
 
 
-def dim_actor_counted(trusted_credits: DataFrame, c: FilmColumns = FilmColumns()) -> tuple[DataFrame, int]:
+def dim_actor_counted(
+    trusted_credits: DataFrame, c: FilmColumns = FilmColumns(), max_rows: int | None = None
+) -> tuple[DataFrame, int]:
     counts = trusted_credits.groupBy(F.col(c.artist).alias("name")).agg(F.count(F.lit(1)).alias("num_movies"))
-    return surrogate_key_counted(counts, ["name"], "id")
+    return surrogate_key_counted(counts, ["name"], "id", max_rows=max_rows)
 
 
 def dim_date(trusted_details: DataFrame, c: FilmColumns = FilmColumns()) -> DataFrame:
@@ -94,7 +96,9 @@ def dim_date(trusted_details: DataFrame, c: FilmColumns = FilmColumns()) -> Data
     return dim_date_counted(trusted_details, c)[0]
 
 
-def dim_date_counted(trusted_details: DataFrame, c: FilmColumns = FilmColumns()) -> tuple[DataFrame, int]:
+def dim_date_counted(
+    trusted_details: DataFrame, c: FilmColumns = FilmColumns(), max_rows: int | None = None
+) -> tuple[DataFrame, int]:
     dates = trusted_details.select(F.col(c.release_date).alias("date")).where(F.col("date").isNotNull()).distinct()
     dates = dates.select(
         "date",
@@ -103,7 +107,7 @@ def dim_date_counted(trusted_details: DataFrame, c: FilmColumns = FilmColumns())
         F.dayofmonth("date").alias("day"),
         quarter_label("date").alias("quarter"),
     )
-    return surrogate_key_counted(dates, ["date"], "id")
+    return surrogate_key_counted(dates, ["date"], "id", max_rows=max_rows)
 
 
 def dim_movie(joined: DataFrame, c: FilmColumns = FilmColumns()) -> DataFrame:
@@ -183,13 +187,17 @@ def build_star(
     aggregation over the credits; ``materialize_fact`` does the same for the fact.
     Materialized steps cut lineage, so a lost executor re-reads files instead of
     recomputing from the raw inputs."""
+    n_credits = n_details = None
     if materialize_inputs:
-        trusted_credits, trusted_details = run_concurrently(
-            (materialize, trusted_credits, "trusted-credits"), (materialize, trusted_details, "trusted-details")
+        # the row counts are observed during the writes; a dimension grouped from a
+        # table is never larger than it, which proves small dimensions small for free
+        (trusted_credits, n_credits), (trusted_details, n_details) = run_concurrently(
+            (materialize_counted, trusted_credits, "trusted-credits"),
+            (materialize_counted, trusted_details, "trusted-details"),
         )
     joined = joined_view(trusted_credits, trusted_details, c)
     (actors, n_actors), (dates, n_dates) = run_concurrently(
-        (dim_actor_counted, trusted_credits, c), (dim_date_counted, trusted_details, c)
+        (dim_actor_counted, trusted_credits, c, n_credits), (dim_date_counted, trusted_details, c, n_details)
     )
     if n_actors > SMALL_DIM_ROWS:
         actors = materialize(actors, "dim-actor")

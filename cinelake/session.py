@@ -132,6 +132,18 @@ def materialize(df, purpose: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(df, purpose: str):
+    """``materialize`` that also returns the number of rows written, observed during
+    the write itself (no extra pass over the data)."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    obs = Observation(f"rows-{purpose}")
+    path = shared_dir(df.sparkSession, purpose)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), int(obs.get["rows"])
+
+
 def run_concurrently(*calls):
     """Run independent driver-side calls (each submitting its own Spark jobs) from
     separate threads, so the scheduler overlaps their jobs instead of running them
