@@ -138,7 +138,7 @@ def materialize_counted(df, purpose: str):
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
-    obs = Observation(f"rows-{purpose}")
+    obs = Observation(f"rows-{purpose}-{uuid.uuid4().hex[:12]}")
     path = shared_dir(df.sparkSession, purpose)
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), int(obs.get["rows"])
