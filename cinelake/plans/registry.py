@@ -201,22 +201,23 @@ def _join_inner(spark, d):
     return joined(spark, d)
 
 
-def _fact_rows_and_dims(spark, d):
+def _star_inputs(spark, d) -> st.StarInputs:
     credits, details = trusted_pair(spark, d)
-    view = st.joined_view(credits, details, TEST_COLUMNS)
-    return st.fact_rows(view, TEST_COLUMNS), st.dim_date(details, TEST_COLUMNS), st.dim_actor(credits, TEST_COLUMNS)
+    return st.prepare_star(credits, details, TEST_COLUMNS)
 
 
 @query("lookup_date_key")
 def _lookup_date_key(spark, d):
-    rows, dates, _ = _fact_rows_and_dims(spark, d)
-    return op.lookup_key(rows, dates, "release_date", "date", "id", "id_date")
+    p = _star_inputs(spark, d)
+    rows = st.fact_rows(p.joined, TEST_COLUMNS)
+    return op.lookup_key(rows, p.dates, "release_date", "date", "id", "id_date", dim_rows=p.date_rows)
 
 
 @query("lookup_member_key")
 def _lookup_member_key(spark, d):
-    rows, _, actors = _fact_rows_and_dims(spark, d)
-    return op.lookup_key(rows, actors, "artist_name", "name", "id", "id_actor")
+    p = _star_inputs(spark, d)
+    rows = st.fact_rows(p.joined, TEST_COLUMNS)
+    return op.lookup_key(rows, p.actors, "artist_name", "name", "id", "id_actor", dim_rows=p.actor_rows)
 
 
 @query("star_flatten")

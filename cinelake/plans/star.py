@@ -169,28 +169,38 @@ def dim_genre(fact: DataFrame) -> DataFrame:
 SMALL_DIM_ROWS = 2_000_000
 
 
-def build_star(
+@dataclass
+class StarInputs:
+    """Everything the fact and dimensions are built from: the (materialized) trusted
+    tables, their join, and the numbered artist and date dimensions with their sizes."""
+
+    credits: DataFrame
+    details: DataFrame
+    joined: DataFrame
+    actors: DataFrame
+    actor_rows: int
+    dates: DataFrame
+    date_rows: int
+
+
+def prepare_star(
     trusted_credits: DataFrame,
     trusted_details: DataFrame,
     c: FilmColumns = FilmColumns(),
     materialize_inputs: bool = True,
-    materialize_fact: bool = False,
-) -> Star:
-    """All five tables.
-
-    ``materialize_inputs`` writes the two trusted inputs once as Parquet to the
+) -> StarInputs:
+    """``materialize_inputs`` writes the two trusted inputs once as Parquet to the
     shared checkpoint folder (the trusted layer is on disk in production), so
     numbering the dimensions and building the fact read them, pruned to the columns
-    each step needs, instead of re-running the raw-to-trusted lineage per pass.
-    A numbered dimension larger than ``SMALL_DIM_ROWS`` (its size is known from the
-    numbering) is written once too, because every lookup would otherwise re-run its
-    aggregation over the credits; ``materialize_fact`` does the same for the fact.
+    each step needs, instead of re-running the raw-to-trusted lineage per pass.  The
+    row counts are observed during those writes: a dimension grouped from a table is
+    never larger than it, which proves small dimensions small without a counting pass.
+    A numbered dimension larger than ``SMALL_DIM_ROWS`` is written once too, because
+    every lookup would otherwise re-run its aggregation over the credits.
     Materialized steps cut lineage, so a lost executor re-reads files instead of
     recomputing from the raw inputs."""
     n_credits = n_details = None
     if materialize_inputs:
-        # the row counts are observed during the writes; a dimension grouped from a
-        # table is never larger than it, which proves small dimensions small for free
         (trusted_credits, n_credits), (trusted_details, n_details) = run_concurrently(
             (materialize_counted, trusted_credits, "trusted-credits"),
             (materialize_counted, trusted_details, "trusted-details"),
@@ -203,10 +213,23 @@ def build_star(
         actors = materialize(actors, "dim-actor")
     if n_dates > SMALL_DIM_ROWS:
         dates = materialize(dates, "dim-date")
-    fact = fact_movie_actor(joined, dates, actors, c, n_dates, n_actors)
+    return StarInputs(trusted_credits, trusted_details, joined, actors, n_actors, dates, n_dates)
+
+
+def build_star(
+    trusted_credits: DataFrame,
+    trusted_details: DataFrame,
+    c: FilmColumns = FilmColumns(),
+    materialize_inputs: bool = True,
+    materialize_fact: bool = False,
+) -> Star:
+    """All five tables (see ``prepare_star`` for what is written once and why);
+    ``materialize_fact`` also writes the fact, which every check and analysis reads."""
+    p = prepare_star(trusted_credits, trusted_details, c, materialize_inputs)
+    fact = fact_movie_actor(p.joined, p.dates, p.actors, c, p.date_rows, p.actor_rows)
     if materialize_fact:
         fact = materialize(fact, "fact")
-    return Star(actors, dates, dim_movie(joined, c), fact, dim_genre(fact), n_actors, n_dates)
+    return Star(p.actors, p.dates, dim_movie(p.joined, c), fact, dim_genre(fact), p.actor_rows, p.date_rows)
 
 
 def star_flatten(star: Star) -> DataFrame:
