@@ -88,7 +88,7 @@ def dim_actor_counted(
     trusted_credits: DataFrame, c: FilmColumns = FilmColumns(), max_rows: int | None = None
 ) -> tuple[DataFrame, int]:
     counts = trusted_credits.groupBy(F.col(c.artist).alias("name")).agg(F.count(F.lit(1)).alias("num_movies"))
-    return surrogate_key_counted(counts, ["name"], "id", max_rows=max_rows)
+    return surrogate_key_counted(counts, ["name"], "id", rows_per_bucket=SMALL_DIM_ROWS, max_rows=max_rows)
 
 
 def dim_date(trusted_details: DataFrame, c: FilmColumns = FilmColumns()) -> DataFrame:
@@ -107,7 +107,7 @@ def dim_date_counted(
         F.dayofmonth("date").alias("day"),
         quarter_label("date").alias("quarter"),
     )
-    return surrogate_key_counted(dates, ["date"], "id", max_rows=max_rows)
+    return surrogate_key_counted(dates, ["date"], "id", rows_per_bucket=SMALL_DIM_ROWS, max_rows=max_rows)
 
 
 def dim_movie(joined: DataFrame, c: FilmColumns = FilmColumns()) -> DataFrame:

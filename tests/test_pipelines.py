@@ -176,3 +176,21 @@ def test_write_and_register_star(spark, star, tmp):
     assert spark.sql(f"SELECT count(*) FROM {names[0]}").first()[0] == 3
     spark.sql("DROP TABLE IF EXISTS dim_genre")
     spark.sql("DROP TABLE IF EXISTS dim_actor")
+
+
+def test_star_large_dimension_path_gives_same_tables(spark, raw_credits, raw_details, monkeypatch):
+    def tables(s):
+        return (
+            sorted(map(tuple, s.fact.collect())),
+            sorted(map(tuple, s.dim_actor.collect())),
+            sorted(map(tuple, s.dim_date.collect())),
+        )
+
+    tc = tr.trusted_credits(raw_credits)
+    td = tr.trusted_details(raw_details, extraction_date=dt.date(2024, 3, 27))
+    small = tables(st.build_star(tc, td))
+    # pretend dimensions above 2 rows are large: bucketed numbering + written copies
+    monkeypatch.setattr(st, "SMALL_DIM_ROWS", 2)
+    big_star = st.build_star(tc, td)
+    assert "InMemoryFileIndex" in big_star.dim_actor._jdf.queryExecution().executedPlan().toString()
+    assert tables(big_star) == small
