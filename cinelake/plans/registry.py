@@ -32,6 +32,7 @@ from cinelake.plans.roles import (
 )
 from cinelake.session import shared_dir
 from cinelake.sources.readers import landing_inventory
+from cinelake.sources.schemas import CREDIT_COLUMNS_DROPPED, STAR_NOT_NULL
 from cinelake.streaming.ingest import stream_dedup, stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,8 +102,6 @@ def _sql_view(spark, d):
 
 @query("drop_columns")
 def _drop_columns(spark, d):
-    from cinelake.sources.schemas import CREDIT_COLUMNS_DROPPED
-
     return op.drop_columns(raw_credits(spark, d), CREDIT_COLUMNS_DROPPED)
 
 
@@ -567,8 +566,6 @@ def _fk_violations(spark, d):
 
 @query("null_violations")
 def _null_violations(spark, d):
-    from cinelake.sources.schemas import STAR_NOT_NULL
-
     return op.null_violations(star(spark, d).fact, STAR_NOT_NULL["fact_movie_actor"] + ["actor_role"])
 
 

@@ -13,7 +13,8 @@ import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job wants regardless of scale.  Sizes (shuffle partitions, max
 # partition bytes) are arguments because they depend on the cluster and the data.
@@ -135,9 +136,6 @@ def materialize(df, purpose: str):
 def materialize_counted(df, purpose: str):
     """``materialize`` that also returns the number of rows written, observed during
     the write itself (no extra pass over the data)."""
-    from pyspark.sql import Observation
-    from pyspark.sql import functions as F
-
     obs = Observation(f"rows-{purpose}-{uuid.uuid4().hex[:12]}")
     path = shared_dir(df.sparkSession, purpose)
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
