@@ -16,12 +16,14 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cinelake.operators.joins import ids_missing
+from cinelake.operators.quality import schema_diff
 from cinelake.plans import enrich, star, trusted
 from cinelake.session import build_session
 from cinelake.sources.readers import read_delimited, read_json_lines
-from cinelake.sources.schemas import RAW_CREDITS_DDL, RAW_DETAILS_SCHEMA
+from cinelake.sources.schemas import RAW_CREDITS_DDL, RAW_DETAILS_SCHEMA, TRUSTED_CREDITS_SCHEMA, TRUSTED_DETAILS_SCHEMA
 from cinelake.sources.sinks import write_id_list, write_parquet
 from cinelake.streaming.ingest import stream_trusted_details
 
@@ -44,9 +46,22 @@ def trusted_details_job(spark: SparkSession, input_path: str, output_path: str)
     return spark.read.parquet(output_path)
 
 
+def check_columns(df: DataFrame, expected: T.StructType, name: str) -> None:
+    """V6: every expected column present with its type (order and extra columns are
+    allowed); raises with the named differences otherwise."""
+    actual = T.StructType([f for f in df.schema.fields if f.name in set(expected.fieldNames())])
+    diffs = [d for d in schema_diff(actual, expected) if d != "column order differs"]
+    if diffs:
+        raise ValueError(f"{name}: " + "; ".join(diffs))
+
+
 def refined_job(spark: SparkSession, credits_path: str, details_path: str, output_root: str) -> star.Star:
-    """Q5-Q9 + S6 + S7: star schema from the trusted tables, written once."""
-    s = star.build_star(spark.read.parquet(credits_path), spark.read.parquet(details_path))
+    """Q5-Q9 + S6 + S7: star schema from the trusted tables, written once.  The
+    trusted inputs are checked against their expected schemas first (V6)."""
+    credits, details = spark.read.parquet(credits_path), spark.read.parquet(details_path)
+    check_columns(credits, TRUSTED_CREDITS_SCHEMA, "trusted credits")
+    check_columns(details, TRUSTED_DETAILS_SCHEMA, "trusted details")
+    s = star.build_star(credits, details)
     star.write_star(s, output_root)
     return star.read_star(spark, output_root)
 

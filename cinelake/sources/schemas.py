@@ -42,6 +42,26 @@ RAW_DETAILS_SCHEMA = T.StructType(
 )
 DETAIL_KEYS = [f.name for f in RAW_DETAILS_SCHEMA.fields]
 
+# Trusted tables as the trusted jobs write them (the refined job checks these, V6).
+TRUSTED_CREDITS_SCHEMA = T.StructType(
+    [
+        T.StructField("id", T.StringType()),
+        T.StructField("tituloPrincipal", T.StringType()),
+        T.StructField("tituloOriginal", T.StringType()),
+        T.StructField("anoLancamento", T.IntegerType()),
+        T.StructField("tempoMinutos", T.IntegerType()),
+        T.StructField("genero", T.StringType()),
+        T.StructField("notaMedia", T.DoubleType()),
+        T.StructField("numeroVotos", T.IntegerType()),
+        T.StructField("personagem", T.StringType()),
+        T.StructField("nomeArtista", T.StringType()),
+    ]
+)
+TRUSTED_DETAILS_SCHEMA = T.StructType(
+    [f for f in RAW_DETAILS_SCHEMA.fields if f.name not in ("genres", "release_date")]
+    + [T.StructField("release_date", T.DateType()), T.StructField("extraction_date", T.DateType())]
+)
+
 DIM_GENRE_SCHEMA = T.StructType(
     [
         T.StructField("id", T.IntegerType()),

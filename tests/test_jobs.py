@@ -58,3 +58,13 @@ def test_jobs_end_to_end(spark, tmp):
     assert (stats["n_requested"], stats["n_found"], stats["n_missing"]) == (4, 3, 1)
     errors = "".join(open(f).read() for f in glob.glob(f"{tmp}/errors/*.csv")).split()
     assert errors == ["tt5"]
+
+
+def test_refined_job_rejects_wrong_trusted_schema(spark, tmp):
+    import pytest
+
+    bad = spark.createDataFrame([("tt1", "x")], "id string, nomeArtista string")
+    bad.write.parquet(f"{tmp}/credits")
+    spark.createDataFrame([(1,)], "id long").write.parquet(f"{tmp}/details")
+    with pytest.raises(ValueError, match="missing column numeroVotos"):
+        jobs.refined_job(spark, f"{tmp}/credits", f"{tmp}/details", f"{tmp}/refined")
