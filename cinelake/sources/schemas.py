@@ -24,7 +24,7 @@ CREDIT_RENAMES = {"tituloPincipal": "tituloPrincipal"}
 
 GENRE_STRUCT = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
 
-# Raw details, JSON lines; the 11 keys kept from each web reply.
+# Raw details, JSON lines; the 11 keys kept from each web reply, in order.
 RAW_DETAILS_SCHEMA = T.StructType(
     [
         T.StructField("id", T.LongType()),
@@ -42,7 +42,7 @@ RAW_DETAILS_SCHEMA = T.StructType(
 )
 DETAIL_KEYS = [f.name for f in RAW_DETAILS_SCHEMA.fields]
 
-# Trusted tables as the trusted jobs write them (the refined job checks these, V6).
+# Trusted tables as the trusted jobs write them (the refined job checks these, V6).
 TRUSTED_CREDITS_SCHEMA = T.StructType(
     [
         T.StructField("id", T.StringType()),
