@@ -12,12 +12,15 @@ from cinelake.operators.windows import balanced_split, surrogate_key_counted
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: Sequence[str] = ()) -> None:
     """Parquet write.  Default mode fails when the target exists.
-    With partition columns and mode 'overwrite' the session's dynamic partition
-    overwrite mode (set by build_session) replaces only the partitions present in
-    ``df``, which makes a re-run of one extraction date idempotent."""
+    With partition columns and mode 'overwrite' the write uses dynamic partition
+    overwrite: only the partitions present in ``df`` are replaced, which makes a
+    re-run of one extraction date idempotent."""
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+        if mode == "overwrite":
+            # per write, so it holds whatever the session default is
+            writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 
