@@ -17,8 +17,17 @@ def filter_like_any(df: DataFrame, col: str, patterns: Sequence[str]) -> DataFra
 
 
 def filter_tag_token(df: DataFrame, col: str, tags: Sequence[str], sep: str = ",") -> DataFrame:
-    """Keep rows whose delimited tag list holds one of the exact tokens."""
-    return df.filter(has_any_tag(col, tags, sep))
+    """Keep rows whose delimited tag list holds one of the exact tokens.
+
+    Holding a token implies containing its text, so a redundant ``contains`` test
+    is added in front: it changes no result, but unlike the split / overlap test it
+    reaches the Parquet reader, where a low-cardinality tag column lets whole row
+    groups be skipped."""
+    might = None
+    for t in tags:
+        part = F.col(col).contains(t)
+        might = part if might is None else (might | part)
+    return df.filter(might & has_any_tag(col, tags, sep))
 
 
 def dropna_any(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
