@@ -68,3 +68,15 @@ def test_refined_job_rejects_wrong_trusted_schema(spark, tmp):
     spark.createDataFrame([(1,)], "id long").write.parquet(f"{tmp}/details")
     with pytest.raises(ValueError, match="missing column numeroVotos"):
         jobs.refined_job(spark, f"{tmp}/credits", f"{tmp}/details", f"{tmp}/refined")
+
+
+def test_cli_entry_points(spark, tmp, capsys):
+    write(f"{tmp}/raw/movies.csv", HEADER + "\n" + "\n".join([line("tt1", "Action,Sci-Fi"), line("tt2", "Drama")]) + "\n")
+    write(f"{tmp}/json/2024/03/27/details-part-0.json", json.dumps(detail(1, "tt1", "2005-05-17")) + "\n")
+    jobs.main(["trusted-credits", "--input", f"{tmp}/raw", "--output", f"{tmp}/tc"])
+    jobs.main(["trusted-details", "--input", f"{tmp}/json", "--output", f"{tmp}/td"])
+    jobs.main(["refined", "--credits", f"{tmp}/tc", "--details", f"{tmp}/td", "--output", f"{tmp}/ref"])
+    jobs.main(["enrichment", "--credits", f"{tmp}/raw", "--details", f"{tmp}/json", "--errors", f"{tmp}/err"])
+    stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert (stats["n_requested"], stats["n_found"]) == (1, 1)
+    assert spark.read.parquet(f"{tmp}/ref/fact_movie_actor").count() == 1
