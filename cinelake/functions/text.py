@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -18,17 +19,15 @@ def like_any(c: ColumnOrName, patterns: Sequence[str]) -> Column:
     """P5: SQL LIKE against any of the patterns (case-sensitive; null never matches).
     Catalyst turns '%x%' into Contains and pushes it to the scan as StringContains."""
     col = _c(c)
-    out = None
-    for p in patterns:
+    out = F.lit(False)
+    for i, p in enumerate(patterns):
         cond = col.like(p)
-        out = cond if out is None else (out | cond)
+        out = cond if i == 0 else (out | cond)
     return out
 
 
 def split_tags(c: ColumnOrName, sep: str = ",") -> Column:
     """split a delimited tag string into an array (literal separator)."""
-    import re
-
     return F.split(_c(c), re.escape(sep))
 
 
@@ -67,7 +66,7 @@ def label_codes(c: ColumnOrName, labels: dict[int, str] | None = None) -> Column
     out = None
     for code, label in labels.items():
         out = (F.when if out is None else out.when)(col == F.lit(code), F.lit(label))
-    return out
+    return out if out is not None else F.lit(None).cast("string")
 
 
 def path_basename(c: ColumnOrName) -> Column:

@@ -23,10 +23,11 @@ def filter_tag_token(df: DataFrame, col: str, tags: Sequence[str], sep: str = ",
     is added in front: it changes no result, but unlike the split / overlap test it
     reaches the Parquet reader, where a low-cardinality tag column lets whole row
     groups be skipped."""
-    might = None
-    for t in tags:
-        part = F.col(col).contains(t)
-        might = part if might is None else (might | part)
+    if not tags:
+        return df.limit(0)
+    might = F.col(col).contains(tags[0])
+    for t in tags[1:]:
+        might = might | F.col(col).contains(t)
     return df.filter(might & has_any_tag(col, tags, sep))
 
 
@@ -43,10 +44,9 @@ def filter_min(df: DataFrame, col: str, minimum) -> DataFrame:
 def filter_nonzero(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Zero means unknown: keep rows where every listed column is non-zero.
     Null compares to null and is dropped as well."""
-    cond = None
+    cond = F.lit(True)
     for c in cols:
-        part = F.col(c) != F.lit(0)
-        cond = part if cond is None else (cond & part)
+        cond = cond & (F.col(c) != F.lit(0))
     return df.filter(cond)
 
 

@@ -236,3 +236,11 @@ def test_sizing_conf_for_large_inputs():
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 * 1024**2)
     assert int(sizing_conf(10)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_degenerate_arguments(spark):
+    df = spark.createDataFrame([(1, "Sci-Fi", 0)], "id int, g string, v int")
+    assert op.filter_like_any(df, "g", []).count() == 0
+    assert op.filter_tag_token(df, "g", []).count() == 0
+    assert op.filter_nonzero(df, []).count() == 1
+    assert df.select(fx.label_codes("id", {}).alias("x")).first().x is None
