@@ -24,7 +24,7 @@ def filter_tag_token(df: DataFrame, col: str, tags: Sequence[str], sep: str = ",
     reaches the Parquet reader, where a low-cardinality tag column lets whole row
     groups be skipped."""
     if not tags:
-        return df.limit(0)
+        return df.filter(F.lit(False))
     might = F.col(col).contains(tags[0])
     for t in tags[1:]:
         might = might | F.col(col).contains(t)
