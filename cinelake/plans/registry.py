@@ -93,8 +93,8 @@ def _landing_inventory(spark, d):
 
 @query("sql_view")
 def _sql_view(spark, d):
-    joined(spark, d).createOrReplaceTempView("db_geral")
-    return spark.sql("SELECT DISTINCT id FROM db_geral")
+    joined(spark, d).createOrReplaceTempView("joined_films")
+    return spark.sql("SELECT DISTINCT id FROM joined_films")
 
 
 # ---------------------------------------------------------------- 2.2 projections and filters
