@@ -194,3 +194,19 @@ def test_star_large_dimension_path_gives_same_tables(spark, raw_credits, raw_det
     big_star = st.build_star(tc, td)
     assert "InMemoryFileIndex" in big_star.dim_actor._jdf.queryExecution().executedPlan().toString()
     assert tables(big_star) == small
+
+
+def test_bucketed_star_joins_without_shuffle(spark, star, tmp):
+    tables = st.write_star_bucketed(star, f"{tmp}/bucketed", prefix="t_", n_buckets=4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact, movies = spark.table(tables["fact_movie_actor"]), spark.table(tables["dim_movie"])
+        joined = fact.join(movies, fact["id_movie"] == movies["id"], "left")
+        assert joined.count() == star.fact.count()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan  # co-located: no shuffle
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        for t in tables.values():
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
