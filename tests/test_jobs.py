@@ -80,3 +80,17 @@ def test_cli_entry_points(spark, tmp, capsys):
     stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert (stats["n_requested"], stats["n_found"]) == (1, 1)
     assert spark.read.parquet(f"{tmp}/ref/fact_movie_actor").count() == 1
+
+
+def test_refined_job_bucketed(spark, tmp):
+    write(f"{tmp}/raw/movies.csv", HEADER + "\n" + "\n".join([line("tt1", "Action,Sci-Fi"), line("tt2", "Fantasy", artist="Bob")]) + "\n")
+    write(f"{tmp}/json/2024/03/27/details-part-0.json",
+          "\n".join(json.dumps(d) for d in [detail(1, "tt1", "2005-05-17"), detail(2, "tt2", "2006-01-02")]) + "\n")
+    jobs.trusted_credits_job(spark, f"{tmp}/raw", f"{tmp}/tc")
+    jobs.trusted_details_job(spark, f"{tmp}/json", f"{tmp}/td")
+    s = jobs.refined_job(spark, f"{tmp}/tc", f"{tmp}/td", f"{tmp}/ref", bucketed=True)
+    try:
+        assert s.fact.count() == 2 and s.dim_movie.count() == 2
+    finally:
+        for t in ("fact_movie_actor", "dim_movie", "dim_actor", "dim_date", "dim_genre"):
+            spark.sql(f"DROP TABLE IF EXISTS refined_{t}")
