@@ -7,7 +7,13 @@ Differences from the reference's job, all on purpose:
   no driver round trip is needed to "freeze" them;
 * a null release date never becomes a dimension row (it could never match) and a
   null date never gets the 'Q4' label;
-* dimensions small enough to broadcast are broadcast only after a size check.
+* dimensions small enough to broadcast are broadcast only after a size check or
+  a proven bound;
+* the trusted inputs (and large numbered dimensions) are written once to the shared
+  checkpoint folder, cutting lineage (``prepare_star``);
+* the fact is partitioned by release year with a salted write, and can be
+  catalogued bucketed on the film id for shuffle-free re-joins
+  (``write_star_bucketed``).
 """
 
 from __future__ import annotations
@@ -51,6 +57,10 @@ class FilmColumns:
     pattern_b: str = "%Sci-Fi%"
 
 
+# dimensions up to this many rows are numbered in one ordered window, broadcast into
+# the fact, and cheap to recompute; larger ones are written once and re-read
+SMALL_DIM_ROWS = 2_000_000
+
 FACT_COLUMNS = [
     "id_movie", "id_genre", "id_date", "id_actor", "runtime", "revenue", "budget", "actor_role",
     "popularity", "imdb_rating", "tmdb_rating", "imdb_vote_count", "tmdb_vote_count",
@@ -164,11 +174,6 @@ def dim_genre(fact: DataFrame) -> DataFrame:
     return counts.select("id", label_codes("id").alias("genre"), "num_movies")
 
 
-# dimensions up to this many rows are numbered in one ordered window, broadcast into
-# the fact, and cheap to recompute; larger ones are written once and re-read
-SMALL_DIM_ROWS = 2_000_000
-
-
 @dataclass
 class StarInputs:
     """Everything the fact and dimensions are built from: the (materialized) trusted
