@@ -139,3 +139,17 @@ def test_observed_funnel_counts(spark):
     assert out.filter(F.col("votes") >= 30).count() == 1
     assert obs.get == {"rows": 3, "enough_votes": 1}
     assert op.observe_counts(df, "named", kept=F.col("votes").isNotNull()).count() == 3
+
+
+def test_salted_fact_write_spreads_a_hot_year(spark, tmp):
+    from cinelake.sources import write_fact
+
+    fact = spark.range(4000).select(
+        F.col("id").alias("id_movie"), (F.col("id") % 97).alias("id_actor"),
+        F.when(F.col("id") < 3000, F.lit(2005)).otherwise(F.lit(2010)).alias("release_year"),  # 75% in one year
+    )
+    out = os.path.join(tmp, "fact")
+    write_fact(fact, out, files_per_value=4)
+    hot = glob.glob(os.path.join(out, "release_year=2005", "*.parquet"))
+    assert 1 < len(hot) <= 4  # the hot year is written by several tasks, not one
+    assert spark.read.parquet(out).count() == 4000
