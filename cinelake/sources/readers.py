@@ -60,7 +60,8 @@ def read_parquet(spark: SparkSession, path: str, *columns: str) -> DataFrame:
 
 
 def landing_inventory(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Listing of a landing folder (path, file name, dataset, size, modified).
+    """Listing of a landing folder (path, file name, dataset, size, modified,
+    landing date from the yyyy/MM/dd folder).
     The binaryFile source is only asked for metadata columns, so file contents are
     never read (content column pruned)."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
@@ -73,4 +74,5 @@ def landing_inventory(spark: SparkSession, path: str, glob: str | None = None) -
         dataset_name("path").alias("dataset"),
         F.col("length").alias("size_bytes"),
         F.col("modificationTime").alias("modified"),
+        date_from_path("path").alias("landed_on"),  # yyyy/MM/dd folder, null if none
     )

@@ -108,6 +108,7 @@ def test_landing_inventory(spark, tmp):
     inv = landing_inventory(spark, tmp, "*.csv").collect()
     assert len(inv) == 1
     assert inv[0]["dataset"] == "Filmes e series" and inv[0]["size_bytes"] == 4
+    assert inv[0]["landed_on"] == dt.date(2024, 3, 20)
 
 
 def test_land_once_skips_existing_target(spark, tmp):
