@@ -244,3 +244,10 @@ def test_degenerate_arguments(spark):
     assert op.filter_tag_token(df, "g", []).count() == 0
     assert op.filter_nonzero(df, []).count() == 1
     assert df.select(fx.label_codes("id", {}).alias("x")).first().x is None
+
+
+def test_surrogate_key_bucket_cap_keeps_ids_exact(spark):
+    df = spark.range(0, 3000).select(((F.col("id") * 7919) % 3001).alias("k"))
+    expected = _global_numbering(df, ["k"])
+    got = op.surrogate_key(df, ["k"], "id", rows_per_bucket=1, max_buckets=3, checkpoint_large=False)
+    assert {(r.k,): r.id for r in got.collect()} == expected
