@@ -195,3 +195,16 @@ def ship(spark) -> None:
             out.write(f, f.relative_to(root.parent))
     sc.addPyFile(str(path))
     _shipped.add(sc.applicationId)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int):
+    """Training rows (k, t, y) of classes 0 and 1, and the two classes' counts over all the
+    labels whose crc32(doc_id) mod 5 is not 0.  The keys are sampled from the labels first,
+    so that only a bounded table is broadcast and no text is shuffled."""
+    train = labels.filter(crc_mod("doc_id", 5) != 0).select(F.col("doc_id").alias("k"), F.col(label).cast("int").alias("y"))
+    train = train.filter("k is not null and y in (0, 1)").dropDuplicates(["k", "y"])
+    counts = {r[0]: r[1] for r in train.groupBy("y").count().collect()}
+    keys = F.broadcast(bounded_sample(train, "y", "k", per_class))
+    texts = docs.select(F.col("doc_id").alias("k"), F.coalesce("text", F.lit("")).alias("t"))
+    rows = sorted(texts.join(keys, "k").select("k", "t", "y").collect(), key=lambda r: (r["k"], r["y"], r["t"]))
+    return rows, np.array([counts.get(0, 0), counts.get(1, 0)], np.float64)

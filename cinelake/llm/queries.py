@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import classifier, langid, simhash
+from cinelake.llm import chat, classifier, langid, simhash, toxicity, urltree
 from cinelake.llm.common import ship
 
 
@@ -14,10 +14,22 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(chat.with_control(_read(spark, sf_dir, "conversations")))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urltree.judge(_read(spark, sf_dir, "pages"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_read(spark, sf_dir, "documents"))
 
@@ -28,9 +40,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_chat": op2_chat,
     "op5_quality": op5_quality,
+    "op8_urls": op8_urls,
     "op9_language": op9_language,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_urls": urltree.ORACLE_SQL}
