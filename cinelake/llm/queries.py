@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import chat, classifier, langid, simhash, toxicity, urltree
+from cinelake.llm import chat, classifier, langid, simhash, suffixes, toxicity, urltree
 from cinelake.llm.common import ship
 
 
@@ -26,6 +26,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(_read(spark, sf_dir, "documents"))
+
+
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urltree.judge(_read(spark, sf_dir, "pages"))
 
@@ -43,6 +47,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat": op2_chat,
     "op5_quality": op5_quality,
+    "op6_suffixes": op6_suffixes,
     "op8_urls": op8_urls,
     "op9_language": op9_language,
     "op10_simhash": op10_simhash,
