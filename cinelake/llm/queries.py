@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import chat, classifier, langid, simhash, suffixes, toxicity, urltree
+from cinelake.llm import chat, classifier, graphann, langid, simhash, suffixes, toxicity, urltree
 from cinelake.llm.common import ship
 
 
@@ -30,6 +30,10 @@ def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(_read(spark, sf_dir, "documents"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graphann.nearest(_read(spark, sf_dir, "embeddings"))
+
+
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urltree.judge(_read(spark, sf_dir, "pages"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op2_chat": op2_chat,
     "op5_quality": op5_quality,
     "op6_suffixes": op6_suffixes,
+    "op7_neighbours": op7_neighbours,
     "op8_urls": op8_urls,
     "op9_language": op9_language,
     "op10_simhash": op10_simhash,
