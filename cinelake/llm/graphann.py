@@ -230,7 +230,7 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, p: Params = Params())
     index = build_index(rows, k, p)
     asked = rows.filter(F.pmod(F.col("vec_id"), F.lit(every)) == 0).select(F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").cast("array<double>").alias("vector"))
     asked = materialize(asked.join(index.select("vector", "cid"), "vector").select("query_id", "cid"), "ann-queries")
-    queries = index.select("cid", "vector").join(asked.select("cid").distinct(), "cid", "left_semi")
+    queries = materialize(index.select("cid", "vector").join(asked.select("cid").distinct(), "cid", "left_semi"), "ann-queries")
     found = search(index, queries, k, p)
     pairs = asked.join(found, asked["cid"] == found["qid"]).filter("query_id <> vec_id").select("query_id", "vec_id", "score")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
