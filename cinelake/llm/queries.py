@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import chat, classifier, graphann, langid, pieces, simhash, suffixes, toxicity, urltree
+from cinelake.llm import chat, classifier, graphann, langid, latent, pieces, simhash, suffixes, toxicity, urltree
 from cinelake.llm.common import ship
 
 
@@ -22,6 +22,10 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted(chat.with_control(_read(spark, sf_dir, "conversations")))
 
 
+def op3_latent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latent.leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.tokenize(_read(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat": op2_chat,
+    "op3_latent": op3_latent,
     "op4_pieces": op4_pieces,
     "op5_quality": op5_quality,
     "op6_suffixes": op6_suffixes,
