@@ -19,6 +19,7 @@ conversation; an empty table gives conversation -1 alone.
 from __future__ import annotations
 
 import hashlib
+import operator
 import re
 from collections.abc import Callable, Iterable, Iterator
 
@@ -54,7 +55,7 @@ FILTERS: dict[str, Callable] = {
     "trim": lambda v: _text(v).strip(),
     "upper": lambda v: _text(v).upper(),
     "lower": lambda v: _text(v).lower(),
-    "length": lambda v: len(v),
+    "length": lambda v: len(_text(v)),
 }
 
 
@@ -66,10 +67,24 @@ def _text(v) -> str:
 
 _TOKEN = re.compile(r"\s*(?:(?P<num>\d+)|(?P<str>'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")|(?P<name>[A-Za-z]\w*)|(?P<op>==|!=|<=|>=|[-+~|.()\[\]<>]))")
 _ESCAPES = {"n": "\n", "t": "\t", "r": "\r"}
+
+
+def _alike(fn):
+    """An operation on two texts or two numbers."""
+
+    def run(a, b):
+        if isinstance(a, str) is not isinstance(b, str) or not isinstance(a, (str, int)) or not isinstance(b, (str, int)):
+            raise TemplateError(f"{a!r} and {b!r} don't go together")
+        return fn(a, b)
+
+    return run
+
+
 _COMPARE = {
-    "==": lambda a, b: a == b, "!=": lambda a, b: a != b, "<": lambda a, b: a < b, ">": lambda a, b: a > b,
-    "<=": lambda a, b: a <= b, ">=": lambda a, b: a >= b, "in": lambda a, b: a in b,
+    "==": operator.eq, "!=": operator.ne, "<": _alike(operator.lt), ">": _alike(operator.gt),
+    "<=": _alike(operator.le), ">=": _alike(operator.ge), "in": lambda a, b: _text(a) in _text(b),
 }
+_add = _alike(operator.add)
 
 
 class _Expr:
@@ -216,7 +231,7 @@ def _closure(tree: tuple) -> Callable[[dict], object]:
     return {
         "or": lambda env: a(env) or b(env),
         "and": lambda env: a(env) and b(env),
-        "add": lambda env: a(env) + b(env),
+        "add": lambda env: _add(a(env), b(env)),
         "join": lambda env: _text(a(env)) + _text(b(env)),
         "item": lambda env: _item(a(env), b(env)),
     }[kind]

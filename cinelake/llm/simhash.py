@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinelake.llm.common import components
@@ -140,9 +140,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """``docs`` without all rows but one of each component: the row of the smallest doc_id
-    (of repeated rows with that doc_id, one)."""
+    """``docs`` with one row of each component: that of the smallest doc_id (of repeated rows
+    with that doc_id, one).  Rows without a doc_id can't be named by a component and stay."""
     groups = near_duplicates(docs, shingle, radius)
-    stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    once = docs.join(stay, docs["doc_id"].eqNullSafe(stay["doc_id"]), "left_semi")
-    return once.dropDuplicates(["doc_id"])
+    stay = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    whole = F.struct(*docs.columns)
+    named = docs.filter("doc_id is not null").select("doc_id", whole.alias("row")).join(stay, "doc_id", "left_semi")
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("row.text"))
+    named = named.withColumn("n", F.row_number().over(first)).filter("n = 1").select("row.*")
+    return named.unionByName(docs.filter("doc_id is null"))
