@@ -18,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cinelake.llm.common import RollingHash, bounded_sample, group_sums, text_slices, word_spans
+from cinelake.llm.common import RollingHash, crc_mod, group_sums, labelled_sample, text_slices, word_spans
 
 BUCKETS = 1 << 16
 NGRAMS = (3, 4)
@@ -97,19 +98,14 @@ def _train(texts: list[str], labels: np.ndarray, p: Params) -> tuple[np.ndarray,
     return fold.astype(np.float32), float(bias[1] - bias[0])
 
 
-def fit(labelled: DataFrame, text: str, label: str, key: str, params: Params = Params()):
+def fit(docs: DataFrame, labels: DataFrame, label: str, params: Params = Params()):
     """(weights, bias) from labelled rows; see Params.per_class for the sample's bound."""
-    rows = labelled.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(label).cast("int").alias("y")).filter("y in (0, 1)")
-    counts = {r[0]: r[1] for r in rows.groupBy("y").count().collect()}
-    n0, n1 = counts.get(0, 0), counts.get(1, 0)
-    prior = float(np.log((n1 + 1) / (n0 + 1)))
-    if not n0 or not n1:
-        return np.zeros(BUCKETS * (1 + len(NGRAMS)), np.float32), prior
-    got = sorted(bounded_sample(rows, "y", "k", params.per_class).collect(), key=lambda r: (r["k"] is None, r["k"], r["y"]))
+    got, totals = labelled_sample(docs, labels, label, params.per_class)
+    prior = float(np.log((totals[1] + 1) / (totals[0] + 1)))
     y = np.array([r["y"] for r in got])
     if len(set(y.tolist())) < 2:
         return np.zeros(BUCKETS * (1 + len(NGRAMS)), np.float32), prior
-    w, b = _train([r["t"] or "" for r in got], y, params)
+    w, b = _train([r["t"] for r in got], y, params)
     # the sample is balanced; the bias goes back to the classes' shares among all labels
     return w, b + prior - float(np.log(y.mean() / (1 - y.mean())))
 
@@ -137,16 +133,13 @@ def score(rows: DataFrame, text: str, model, keep: list[str]) -> DataFrame:
     """``keep`` columns of every row with ``score`` (0 to 1), from whole texts."""
     weights, bias = model
     src = rows.select(*dict.fromkeys([*keep, text]))
-    fields = ", ".join(f"`{c}` {src.schema[c].dataType.simpleString()}" for c in keep)
-    return src.mapInArrow(score_arrow(weights, bias, keep, text), f"{fields}, score double")
+    schema = T.StructType([*(src.schema[c] for c in keep), T.StructField("score", T.DoubleType())])
+    return src.mapInArrow(score_arrow(weights, bias, keep, text), schema)
 
 
 def quality(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``; see the contract of op5."""
-    from cinelake.llm.common import crc_mod
-
-    train = labels.filter(crc_mod("doc_id", 5) != 0).select("doc_id", "quality").filter("quality is not null").dropDuplicates(["doc_id", "quality"])
-    model = fit(docs.select("doc_id", "text").join(train, "doc_id"), "text", "quality", "doc_id", params)
+    model = fit(docs, labels, "quality", params)
     scored = score(docs.select("doc_id", "text"), "text", model, ["doc_id"])
     return scored.select(
         "doc_id",
