@@ -147,3 +147,10 @@ def quality(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Da
         "score",
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
     )
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, params: Params = Params()) -> DataFrame:
+    """The rows of ``docs``, whole, whose quality score is at least ``threshold``."""
+    model = fit(docs, labels, "quality", params)
+    row = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
+    return score(row, "text", model, ["row"]).filter(F.col("score") >= threshold).select("row.*")
