@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cinelake.llm.common import RollingHash, mix64, text_slices
 from cinelake.session import materialize, shared_dir
@@ -281,13 +282,13 @@ def merged_spans(packed: np.ndarray) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-FINISHED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
+DIGEST = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
 
 
 def _finish_arrow(with_text: bool):
     def run(batches):
         for batch in batches:
-            ids, text, sure, edge = (batch.column(i) for i in range(4))
+            text, sure, edge = (batch.column(i) for i in (1, 2, 3))
             out = []
             for i in range(batch.num_rows):
                 raw = (text[i].as_py() or "").encode()
@@ -298,20 +299,20 @@ def _finish_arrow(with_text: bool):
                     kept.append(raw[at:s])
                     at = e
                 kept = b"".join([*kept, raw[at:]])
-                out.append((ids[i].as_py(), len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore") if with_text else None))
-            kinds = [pa.int64()] * 4 + [pa.string()] * 2
-            names = [x.split()[0] for x in FINISHED.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 6, kinds)], names)
+                out.append((len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore") if with_text else None))
+            kinds = [pa.int64()] * 3 + [pa.string()] * 2
+            cols = [pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 5, kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], ["row", *(x.split()[0] for x in DIGEST.split(", "))])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, match: int = MATCH, seed: int = SEED, batches: int = BATCHES, with_text: bool = False) -> DataFrame:
-    """One row per row of ``docs``: FINISHED, with the rest of the text in ``kept`` if asked
-    for (a character that a removal cut is dropped there)."""
+def _removed(docs: DataFrame, match: int, seed: int, batches: int, with_text: bool) -> DataFrame:
+    """``row`` (the other columns of ``docs``, and whether the text was null) and DIGEST, with the rest of the text in
+    ``kept`` if asked for (a character that a removal cut is dropped there)."""
     spark = docs.sparkSession
     src = docs.select(
-        F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"),
+        F.struct(F.struct(*(c for c in docs.columns if c != "text")).alias("cols"), F.isnull("text").alias("none")).alias("row"), F.coalesce("text", F.lit("")).alias("text"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k"),
     ).withColumn("h", F.xxhash64("text"))
     family = IndexFamily(spark, match, seed)
@@ -337,12 +338,30 @@ def remove_repeats(docs: DataFrame, match: int = MATCH, seed: int = SEED, batche
     marks = marks.groupBy("k", "h").agg(F.collect_list("span").alias("spans"), F.collect_list("open").alias("opens"))
     marked = src.join(marks, ["k", "h"], "left")
     is_open = F.coalesce(F.size("opens") > 0, F.lit(False))
-    marked = _bucketed(marked.select("doc_id", "text", "k", "h", "spans", "opens", is_open.alias("open")), ["k", "h"], "suffix-documents")
+    marked = _bucketed(marked.select("row", "text", "k", "h", "spans", "opens", is_open.alias("open")), ["k", "h"], "suffix-documents")
     contexts = materialize(
         marked.filter("open").select("k", "h", "text", "opens").mapInArrow(_contexts_arrow(match), "k long, h long, key long, n long, start long, bytes binary"),
         "suffix-contexts",
     )
     edges = _edges(contexts, match).groupBy("k", "h").agg(F.collect_list("span").alias("edges"))
-    done = marked.select("doc_id", "text", "spans", "k", "h").join(edges, ["k", "h"], "left").select("doc_id", "text", "spans", "edges")
-    out = done.mapInArrow(_finish_arrow(with_text), FINISHED)
-    return out if with_text else out.drop("kept")
+    done = marked.select("row", "text", "spans", "k", "h").join(edges, ["k", "h"], "left").select("row", "text", "spans", "edges")
+    schema = T.StructType([src.schema["row"], *T._parse_datatype_string(DIGEST).fields])
+    return done.mapInArrow(_finish_arrow(with_text), schema)
+
+
+def remove_repeats(docs: DataFrame, match: int = MATCH, seed: int = SEED, batches: int = BATCHES) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 for every row of ``docs``; see the
+    contract of op6."""
+    found = _removed(docs.select("doc_id", "text"), match, seed, batches, False)
+    return found.select("row.cols.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def without_repeats(docs: DataFrame, match: int = MATCH, seed: int = SEED, batches: int = BATCHES) -> DataFrame:
+    """All rows of ``docs`` with what is left of the text, and its length in ``n_chars`` if
+    there is such a column.  Texts without a removal, nulls too, stay as they are."""
+    found = _removed(docs, match, seed, batches, True)
+    cols = {"text": F.when(~F.col("row.none"), F.col("kept"))}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        cols["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept").cast(kind)).otherwise(F.col("row.cols.n_chars"))
+    return found.select(*[cols[c].alias(c) if c in cols else F.col("row.cols").getField(c).alias(c) for c in docs.columns])

@@ -79,5 +79,6 @@ def test_texts_stay_whole_rows(spark):
     assert got.count() == docs.count()
     texts = {r.doc_id: r for r in got.collect()}
     assert texts[5].text == "" and texts[5].n_chars == 0  # an exact copy is there
+    assert texts[0].text is None and texts[1].text == ""
     assert texts[9].text == odd.prose(3, 60) and texts[9].key == "clash"
     assert suffixes.without_repeats(odd.documents(spark, empty=True)).count() == 0
