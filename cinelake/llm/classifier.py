@@ -1,6 +1,6 @@
 """Quality classifier: supervised subword embeddings.
 
-Learned vectors of hashed words and byte n-grams are averaged per document and go through
+Learned vectors of hashed words, word pairs and byte n-grams are averaged per document and go through
 a softmax; all weights are trained by stochastic gradient descent in numpy on a bounded,
 keyed sample of labelled rows.  Scoring folds the embedding and the output layer into one
 number per bucket, so a document costs one table look-up per feature and no Python loop.
@@ -20,10 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cinelake.llm.common import RollingHash, crc_mod, group_sums, labelled_sample, text_slices, word_spans
+from cinelake.llm.common import RollingHash, crc_mod, group_sums, labelled_sample, mix64, text_slices, word_spans
 
 BUCKETS = 1 << 16
 NGRAMS = (3, 4)
+SIZE = BUCKETS * (2 + len(NGRAMS))
 
 
 @dataclass(frozen=True)
@@ -37,12 +38,20 @@ class Params:
 
 
 def features(data: np.ndarray, off: np.ndarray):
-    """Feature ids of each document: yields (ids, bounds) for words and each n-gram order;
-    ids[bounds[i]:bounds[i+1]] belong to document i."""
+    """Feature ids of each document: yields (ids, bounds) for words, word pairs and each
+    order of n-grams; ids[bounds[i]:bounds[i+1]] belong to document i."""
     roll = RollingHash(data)
     start, end = word_spans(data, off)
-    yield (roll.of(start, end) >> np.uint64(48)).astype(np.int64), np.searchsorted(start, off)
-    for k, n in enumerate(NGRAMS, 1):
+    word = roll.of(start, end)
+    first = np.searchsorted(start, off)
+    yield (word >> np.uint64(48)).astype(np.int64), first
+    # word pairs by the XOR of their hashes: all repetitions of a word share one bucket
+    pair = (mix64(word[1:] ^ word[:-1]) >> np.uint64(48)).astype(np.int64) + BUCKETS
+    keep = np.ones(len(pair), bool)
+    cross = first[1:-1] - 1
+    keep[cross[(cross >= 0) & (cross < len(pair))]] = False
+    yield pair[keep], np.concatenate([[0], np.cumsum(keep)])[np.minimum(first, len(pair))]
+    for k, n in enumerate(NGRAMS, 2):
         h = roll.windows(n)
         ids = (h >> np.uint64(48)).astype(np.int64) + k * BUCKETS
         keep = np.ones(len(ids), bool)
@@ -63,7 +72,7 @@ def _train(texts: list[str], labels: np.ndarray, p: Params) -> tuple[np.ndarray,
             ids.append(u)
             vals.append(c / max(1, len(f)))
             ptr.append(ptr[-1] + len(u))
-    size = BUCKETS * (1 + len(NGRAMS))
+    size = SIZE
     rng = np.random.default_rng(p.seed)
     emb = ((rng.random((size, p.dim)) - 0.5) / p.dim).astype(np.float32)
     out = np.zeros((p.dim, 2), np.float32)
@@ -104,7 +113,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, params: Params = Params(
     prior = float(np.log((totals[1] + 1) / (totals[0] + 1)))
     y = np.array([r["y"] for r in got])
     if len(set(y.tolist())) < 2:
-        return np.zeros(BUCKETS * (1 + len(NGRAMS)), np.float32), prior
+        return np.zeros(SIZE, np.float32), prior
     w, b = _train([r["t"] for r in got], y, params)
     # the sample is balanced; the bias goes back to the classes' shares among all labels
     return w, b + prior - float(np.log(y.mean() / (1 - y.mean())))
