@@ -12,6 +12,7 @@ import os
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,23 +33,28 @@ _BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # stream state off the heap
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
 MB = 1024 * 1024
+# a shuffle has partitions x partitions blocks, all tracked by the driver
+MAX_PARTITIONS = 32_768
+MAX_SCAN_BYTES = 1024 * MB
 
 
 def sizing_conf(input_bytes: int, partition_bytes: int = 256 * MB, broadcast_bytes: int = 64 * MB) -> dict[str, str]:
     """Partition sizing for a given input volume (e.g. 100 TB on a large cluster).
 
-    Scans split at ``partition_bytes``; the initial shuffle partition count is
-    input / partition size (so a shuffle of the full input still gives tasks of about
-    that size), and AQE coalesces small ones back toward the advisory size.  Skew
-    splitting starts at twice the advisory size.  Broadcasts stay under
-    ``broadcast_bytes`` (the same cap the size-checked joins use)."""
+    Partitions grow in number up to ``MAX_PARTITIONS`` and in size from there on (100 TB
+    gives 32,768 of about 3 GB, spilled as needed); scans split at ``MAX_SCAN_BYTES`` at
+    most.  AQE coalesces small partitions back toward the advisory size.  Skew splitting
+    starts at twice that.  Broadcasts stay under ``broadcast_bytes`` of measured size."""
+    partition_bytes = max(partition_bytes, -(-input_bytes // MAX_PARTITIONS))
     partitions = max(200, -(-input_bytes // partition_bytes))
     return {
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(min(partition_bytes, MAX_SCAN_BYTES)),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
@@ -61,21 +67,25 @@ def sizing_conf(input_bytes: int, partition_bytes: int = 256 * MB, broadcast_byt
 def build_session(
     master: str | None = None,
     app_name: str = "cinelake",
-    shuffle_partitions: int = 8,
-    max_partition_bytes: str = "128m",
+    shuffle_partitions: int | None = None,
+    max_partition_bytes: str | None = None,
     driver_memory: str | None = None,
     extra_conf: dict[str, str] | None = None,
     input_bytes: int | None = None,
 ) -> SparkSession:
-    """Session with the settings every job wants.  Local runs size partitions with
-    ``shuffle_partitions`` / ``max_partition_bytes``; cluster runs pass the expected
-    ``input_bytes`` and get ``sizing_conf`` instead."""
+    """Session with the settings every job wants.  Sizes are set only where they are
+    passed, derived from ``input_bytes`` (``sizing_conf``), or the master is local (8
+    shuffle partitions); what spark-submit or the cluster sets stays otherwise."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(_BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.sql.files.maxPartitionBytes"] = max_partition_bytes
+    if shuffle_partitions is None and master and master.startswith("local"):
+        shuffle_partitions = 8
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if max_partition_bytes is not None:
+        conf["spark.sql.files.maxPartitionBytes"] = max_partition_bytes
     if input_bytes:
         conf.update(sizing_conf(input_bytes))
     if driver_memory:
@@ -84,7 +94,8 @@ def build_session(
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    if master and master.startswith("local"):
+        spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
@@ -107,20 +118,59 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
     return sc.getConf().get("spark.checkpoint.dir", None) or _conf(spark, "spark.checkpoint.dir")
 
 
+def _master(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.master
+    except Exception:  # noqa: BLE001 - Spark Connect: the cluster's business
+        return _conf(spark, "spark.master") or ""
+
+
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Folders that ``shared_dir`` names inside this block are deleted at its end: for jobs
+    whose results are written by then."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            remove_path(spark, path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) of a location, for existence checks and deletes."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, jpath = file_system(spark, path)
+    fs.delete(jpath, True)
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh sub-folder of the cluster's shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only if it is unset (tests,
-    local runs) a temporary folder is created and registered as the checkpoint dir.
+    Reads ``spark.checkpoint.dir`` from the session.  Only if it is unset and the master
+    is local (tests) a temporary folder is created and registered as the checkpoint dir;
+    on a cluster a folder of one machine would lose rows, so that is an error.
     """
     base = _configured_checkpoint_dir(spark)
     if not base:
+        if not _master(spark).startswith("local") or _master(spark).startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="cinelake-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(base)
         except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
             spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    if _scratch:
+        _scratch[-1].append(path)
+    return path
 
 
 def materialize(df, purpose: str):
