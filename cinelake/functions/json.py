@@ -79,8 +79,9 @@ OBJECT_EVENT_SCHEMA = T.StructType(
 
 
 def event_object_location(doc: ColumnOrName, index: int = 0) -> dict[str, Column]:
-    """bucket name and object key of Records[index] of an event document text."""
-    rec = F.from_json(_c(doc), OBJECT_EVENT_SCHEMA)["Records"][index]
+    """bucket name and object key of Records[index] of an event document text (null
+    if there is no such record).  ``event_records`` gives all of them."""
+    rec = F.get(F.from_json(_c(doc), OBJECT_EVENT_SCHEMA)["Records"], F.lit(index))
     return {"bucket_name": rec["s3"]["bucket"]["name"], "object_key": rec["s3"]["object"]["key"]}
 
 

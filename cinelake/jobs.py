@@ -65,7 +65,7 @@ def refined_job(
     credits, details = spark.read.parquet(credits_path), spark.read.parquet(details_path)
     check_columns(credits, TRUSTED_CREDITS_SCHEMA, "trusted credits")
     check_columns(details, TRUSTED_DETAILS_SCHEMA, "trusted details")
-    s = star.build_star(credits, details)
+    s = star.build_star(credits, details, materialize_inputs=False)
     if bucketed:
         names = star.write_star_bucketed(s, output_root)
         t = spark.table

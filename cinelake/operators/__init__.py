@@ -22,9 +22,6 @@ from cinelake.operators.filters import (
     search_like,
 )
 from cinelake.operators.joins import (
-    broadcast_if_small,
-    fits_broadcast,
-    flatten_star,
     ids_found,
     ids_missing,
     inner_join,
@@ -47,6 +44,7 @@ from cinelake.operators.sorting import capped, sort_asc, sort_desc, top_k
 from cinelake.operators.windows import (
     balanced_split,
     batch_assign,
+    number_in_order,
     share_of_total,
     surrogate_key,
     surrogate_key_counted,

@@ -39,10 +39,11 @@ def group_count_distinct(df: DataFrame, by: Sequence[str], col: str, out_col: st
 
 def pearson(x: str | Column, y: str | Column) -> Column:
     """Pearson correlation over pairwise-complete rows; null (not an ANSI error)
-    when either side has zero variance.  Use inside ``agg`` after dropping rows where
-    either value is null."""
+    when either side has zero variance.  A row with a null on one side counts on neither."""
     x = F.col(x) if isinstance(x, str) else x
     y = F.col(y) if isinstance(y, str) else y
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 

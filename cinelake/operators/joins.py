@@ -1,54 +1,14 @@
 """Join operators.
 
-Broadcast is only used behind a size check (``broadcast_if_small``): the candidate
-side is counted with a LIMIT (cap + 1 rows) and an estimated row width, so the check
-costs at most ``cap`` rows and the broadcast never grows with the data.  Above the cap
-the join stays a shuffle join, and AQE (enabled by ``build_session``) can still turn it
-into a broadcast at runtime or split skewed partitions of a hot key.
+No join carries a hint: a broadcast is the planner's choice, from file statistics or from the
+size that AQE has measured, against ``spark.sql.autoBroadcastJoinThreshold``.  Above that
+the join shuffles, and AQE splits the partitions of a hot key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-_FIXED_WIDTH = {
-    T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
-    T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
-    T.DecimalType: 16,
-}
-
-
-def _row_width(df: DataFrame) -> int:
-    """Rough in-memory width of one row: fixed types by size, 32 bytes per string,
-    64 per nested value (an over-estimate keeps the broadcast cap conservative)."""
-    width = 16
-    for f in df.schema.fields:
-        dt = f.dataType
-        if isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
-            width += 64
-        else:
-            width += _FIXED_WIDTH.get(type(dt), 32)
-    return width
-
-
-def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES, known_rows: int | None = None) -> bool:
-    """True when ``df`` is proven to fit ``max_bytes``: from a row count the caller
-    already measured, else by counting at most cap + 1 rows."""
-    cap = max(1, max_bytes // _row_width(df))
-    if known_rows is not None:
-        return known_rows <= cap
-    return df.limit(cap + 1).count() <= cap
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES, known_rows: int | None = None) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, max_bytes, known_rows) else df
 
 
 def inner_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -57,41 +17,19 @@ def inner_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
     return left.join(right, left[left_key] == right[right_key], "inner")
 
 
-def lookup_key(
-    fact: DataFrame,
-    dim: DataFrame,
-    fact_col: str,
-    dim_col: str,
-    dim_id: str = "id",
-    out_col: str = "id_key",
-    max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-    dim_rows: int | None = None,
-) -> DataFrame:
+def lookup_key(fact: DataFrame, dim: DataFrame, fact_col: str, dim_col: str, dim_id: str = "id", out_col: str = "id_key") -> DataFrame:
     """Replace a natural key by the dimension's surrogate id (inner, so rows
     whose key has no dimension row, including null keys, drop).  Only the id and the
-    match column of the dimension are read (column pruning); the dimension side is
-    broadcast only when the size check (or a known ``dim_rows``) proves it small.
-    Above the cap it is a shuffle join; a hot key on the fact side is then split by
-    AQE's skew-join handling (the dimension side holds one row per key)."""
+    match column of the dimension are read (column pruning).  A hot key on the fact side
+    is split by AQE's skew-join handling (the dimension side holds one row per key)."""
     slim = dim.select(F.col(dim_col).alias("__dim_key"), F.col(dim_id).alias(out_col))
-    slim = broadcast_if_small(slim, max_broadcast_bytes, dim_rows)
     return fact.join(slim, fact[fact_col] == slim["__dim_key"], "inner").drop("__dim_key")
 
 
-def left_lookup(
-    fact: DataFrame,
-    dim: DataFrame,
-    fact_col: str,
-    dim_key: str = "id",
-    prefix_conflicts: str | None = None,
-    max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-    known_rows: int | None = None,
-    broadcast: bool = True,
-) -> DataFrame:
+def left_lookup(fact: DataFrame, dim: DataFrame, fact_col: str, dim_key: str = "id", prefix_conflicts: str | None = None) -> DataFrame:
     """Left join of the fact to one dimension, dropping the dimension key.
     Dimension columns that already exist in the fact are renamed with ``prefix_conflicts``
-    (pandas would silently suffix them _x / _y).  ``broadcast=False`` skips the size
-    check for dimensions that grow with the fact (left to the planner / AQE)."""
+    (pandas would silently suffix them _x / _y)."""
     existing = set(fact.columns)
     cols = []
     for c in dim.columns:
@@ -104,8 +42,6 @@ def left_lookup(
         else:
             cols.append(F.col(c))
     slim = dim.select(*cols)
-    if broadcast:
-        slim = broadcast_if_small(slim, max_broadcast_bytes, known_rows)
     return fact.join(slim, fact[fact_col] == slim["__dim_key"], "left").drop("__dim_key")
 
 
@@ -124,11 +60,3 @@ def ids_found(ids: DataFrame, details: DataFrame, id_col: str, details_col: str)
 def ids_missing(ids: DataFrame, details: DataFrame, id_col: str, details_col: str) -> DataFrame:
     """Ids without details (NOT EXISTS), the error list."""
     return ids.join(_distinct_keys(details, details_col), ids[id_col] == F.col("__k"), "left_anti")
-
-
-def flatten_star(fact: DataFrame, lookups: Sequence[tuple[DataFrame, str, str | None]]) -> DataFrame:
-    """Q10: fact left-joined to each (dimension, fact fk column, conflict prefix)."""
-    out = fact
-    for dim, fk, prefix in lookups:
-        out = left_lookup(out, dim, fk, "id", prefix)
-    return out

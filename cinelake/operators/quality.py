@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cinelake.operators.joins import broadcast_if_small
 
 
 def stage_counts(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
@@ -52,20 +51,16 @@ def pk_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
 
 
-def fk_violations(
-    fact: DataFrame, refs: Sequence[tuple[str, DataFrame, str]], broadcast_rows: Sequence[int | None] | None = None
-) -> DataFrame:
+def fk_violations(fact: DataFrame, refs: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
     """V4: for each (fact fk column, dimension, dimension key): fact rows whose key has
     no dimension row (null keys count as violations too).  One pass over the fact:
-    each dimension's distinct keys are left-joined with a hit flag (broadcast when the
-    size check allows), then a single aggregate counts the misses per reference."""
+    each dimension's distinct keys are left-joined with a hit flag, then a single
+    aggregate counts the misses per reference.  Lazy: nothing runs while planning."""
     rows = fact.select(*[fk for fk, _, _ in refs])
     flags = []
     for i, (fk, dim, dim_key) in enumerate(refs):
         hit = f"__hit{i}"
         keys = dim.select(F.col(dim_key).alias(f"__k{i}")).distinct().withColumn(hit, F.lit(True))
-        known = broadcast_rows[i] if broadcast_rows else None
-        keys = broadcast_if_small(keys, known_rows=known)
         rows = rows.join(keys, F.col(fk) == F.col(f"__k{i}"), "left").drop(f"__k{i}")
         flags.append(F.count_if(F.col(hit).isNull()).alias(fk))
     wide = rows.agg(*flags)
@@ -100,31 +95,25 @@ def schema_diff(actual: T.StructType, expected: T.StructType) -> list[str]:
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
+_TEXT = (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
 def describe_profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 6) -> DataFrame:
-    """Count, mean, sample stddev, min, max per numeric column, from one aggregate
-    pass, unpivoted to one typed row per column (describe() returns strings)."""
+    """One typed row per column from one aggregate pass: count, mean, sample stddev,
+    min and max of numbers; count, min_text and max_text of texts, dates and flags."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
     if cols is None:
-        cols = [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC)]
-    aggs = []
+        cols = [c for c, t in kinds.items() if isinstance(t, _NUMERIC + _TEXT)]
+    aggs, rows = [], []
     for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [
-            F.count(x).alias(f"{c}__count"),
-            F.round(F.avg(x), digits).alias(f"{c}__mean"),
-            F.round(F.stddev_samp(x), digits).alias(f"{c}__stddev"),
-            F.min(x).alias(f"{c}__min"),
-            F.max(x).alias(f"{c}__max"),
-        ]
-    wide = df.agg(*aggs)
-    rows = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"{c}__count").alias("count"),
-            F.col(f"{c}__mean").alias("mean"),
-            F.col(f"{c}__stddev").alias("stddev"),
-            F.col(f"{c}__min").alias("min"),
-            F.col(f"{c}__max").alias("max"),
-        )
-        for c in cols
-    ]
-    return wide.select(F.explode(F.array(*rows)).alias("p")).select("p.*")
+        numeric = isinstance(kinds[c], _NUMERIC)
+        x = F.col(c).cast("double") if numeric else F.col(c).cast("string")
+        parts = {"count": F.count(x)}
+        for name, fn in (("mean", F.avg), ("stddev", F.stddev_samp), ("min", F.min), ("max", F.max)):
+            value = fn(x) if numeric else F.lit(None).cast("double")
+            parts[name] = F.round(value, digits) if name in ("mean", "stddev") else value
+        for name, fn in (("min_text", F.min), ("max_text", F.max)):
+            parts[name] = F.lit(None).cast("string") if numeric else fn(x)
+        aggs += [v.alias(f"{c}__{k}") for k, v in parts.items()]
+        rows.append(F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{k}").alias(k) for k in parts]))
+    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("p")).select("p.*")

@@ -27,6 +27,6 @@ def top_k(df: DataFrame, order: Sequence[str | Column], k: int) -> DataFrame:
     return df.orderBy(*cols).limit(k)
 
 
-def capped(df: DataFrame, id_col: str, cap: int = 500) -> DataFrame:
+def capped(df: DataFrame, id_col: str, cap: int) -> DataFrame:
     """Request cap, made deterministic (lowest ``cap`` ids instead of set order)."""
     return df.orderBy(F.col(id_col).asc_nulls_first()).limit(cap)

@@ -1,30 +1,23 @@
 """Window-style operators.
 
 W1 is the one with real scale concerns.  ``row_number() over (order by ...)`` with no
-partition moves every row into one task.  ``surrogate_key`` instead:
-
-1. counts the rows (one pass);
-2. if the input is at most ``rows_per_bucket`` rows, the single ordered window is
-   proven small and used directly;
-3. otherwise it samples the key (bounded sample, collected to the driver), picks
-   ``n_buckets - 1`` literal boundaries, assigns every row to an order-preserving
-   bucket with a binary-search CASE tree of those literals (deterministic: it does
-   not depend on sampling at evaluation time, so re-running a lost task yields the
-   same ids), counts rows per bucket (``n_buckets`` numbers), and numbers rows with
-   ``bucket offset + row_number() over (partition by bucket order by key)``.
+partition moves every row into one task.  ``surrogate_key`` instead range-partitions and
+sorts the rows by the natural key once and writes them with their place (partition and row
+in it) to the shared folder; the rows per partition, one number for each, add up to offsets
+that are joined back.  There is one path for every size, no boundary goes through the driver,
+and re-reading the written places gives the same ids whatever task is lost.
 
 The result equals the global ``row_number() over (order by key)`` exactly.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinelake.session import materialize
+from cinelake.session import materialize_counted
 
 
 def _order_cols(order_by: Sequence[str | Column], descending: bool = False) -> list[Column]:
@@ -35,99 +28,30 @@ def _order_cols(order_by: Sequence[str | Column], descending: bool = False) -> l
     return out
 
 
-def _bucket_expr(key: Column, bounds: list) -> Column:
-    """Number of boundaries <= key, as a balanced CASE tree (depth log2(n))."""
-
-    def rec(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < bounds[mid], rec(lo, mid)).otherwise(rec(mid + 1, hi))
-
-    return F.when(key.isNull(), F.lit(0)).otherwise(rec(0, len(bounds)))
-
-
-def surrogate_key(
-    df: DataFrame,
-    order_by: Sequence[str],
-    id_col: str = "id",
-    rows_per_bucket: int = 2_000_000,
-    sample_rows: int = 200_000,
-    checkpoint_large: bool = True,
-    seed: int = 7,
-    max_buckets: int = 4096,
-) -> DataFrame:
+def surrogate_key(df: DataFrame, order_by: Sequence[str], id_col: str = "id") -> DataFrame:
     """Dense 1..n ids (bigint) in natural-key order, stable across plans and
     shuffle-partition counts.  ``order_by`` must identify rows (a natural key)."""
-    return surrogate_key_counted(df, order_by, id_col, rows_per_bucket, sample_rows, checkpoint_large, seed, max_buckets)[0]
-
-
-def surrogate_key_counted(
-    df: DataFrame,
-    order_by: Sequence[str],
-    id_col: str = "id",
-    rows_per_bucket: int = 2_000_000,
-    sample_rows: int = 200_000,
-    checkpoint_large: bool = True,
-    seed: int = 7,
-    max_buckets: int = 4096,
-    max_rows: int | None = None,
-) -> tuple[DataFrame, int]:
-    """``surrogate_key`` plus its row count (lets a later join use it as the broadcast
-    size check instead of counting again).  ``max_rows`` is a known upper bound (for
-    example the size of the table a dimension was grouped from): when it is within
-    ``rows_per_bucket`` the input is proven small without a counting pass, and the
-    bound is returned in place of the count.  The bucket count is capped at
-    ``max_buckets`` (the boundaries are plan literals), so very large inputs get
-    proportionally larger buckets rather than a huge expression."""
-    order_by = list(order_by)
-    if max_rows is not None and max_rows <= rows_per_bucket:
-        w = Window.orderBy(*_order_cols(order_by))
-        return df.select(F.row_number().over(w).cast("long").alias(id_col), *df.columns), max_rows
-    n_rows = df.count()
-    if n_rows <= rows_per_bucket:
-        w = Window.orderBy(*_order_cols(order_by))
-        return df.select(F.row_number().over(w).cast("long").alias(id_col), *df.columns), n_rows
-
-    if checkpoint_large:
-        # cut lineage once so the sample, the bucket counts and the numbering all read
-        # the same materialised rows (a Parquet copy in the shared checkpoint folder)
-        df = materialize(df, "surrogate")
-
-    dtypes = {f.name: f.dataType for f in df.schema.fields}
-    n_buckets = min(max_buckets, math.ceil(n_rows / rows_per_bucket))
-    # ~256 sampled keys per bucket balance the buckets well; the cap bounds what the
-    # driver collects however many buckets there are (ids stay exact either way)
-    fraction = min(1.0, min(sample_rows, 256 * n_buckets) / n_rows)
-    sample = (
-        df.select(*order_by)
-        .sample(withReplacement=False, fraction=fraction, seed=seed)
-        .dropna()
-        .orderBy(*order_by)
-        .collect()  # bounded: about sample_rows keys
-    )
-    picks = []
-    if sample:
-        for i in range(1, n_buckets):
-            picks.append(tuple(sample[min(len(sample) - 1, i * len(sample) // n_buckets)]))
-    uniq = sorted(set(picks))
-    if len(order_by) == 1:
-        name = order_by[0]
-        key = F.col(name)
-        bounds = [F.lit(v[0]).cast(dtypes[name]) for v in uniq]
-    else:
-        key = F.struct(*[F.col(c) for c in order_by])
-        bounds = [F.struct(*[F.lit(x).cast(dtypes[c]).alias(c) for x, c in zip(v, order_by)]) for v in uniq]
-
-    bucketed = df.withColumn("__bucket", _bucket_expr(key, bounds))
-    counts = dict(bucketed.groupBy("__bucket").count().collect())  # <= n_buckets rows
-    offsets, running = [], 0
-    for b in range(len(bounds) + 1):
-        offsets.append(running)
-        running += counts.get(b, 0)
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("__bucket") + 1)
-    w = Window.partitionBy("__bucket").orderBy(*_order_cols(order_by))
-    return bucketed.select((offset + F.row_number().over(w)).cast("long").alias(id_col), *df.columns), n_rows
+    return surrogate_key_counted(df, order_by, id_col)[0]
+
+
+def surrogate_key_counted(df: DataFrame, order_by: Sequence[str], id_col: str = "id") -> tuple[DataFrame, int]:
+    """``surrogate_key`` plus the number of rows, observed while they are written."""
+    by = _order_cols(order_by)
+    return number_in_order(df.repartitionByRange(*by).sortWithinPartitions(*by), id_col)
+
+
+def number_in_order(ordered: DataFrame, id_col: str = "id") -> tuple[DataFrame, int]:
+    """Rows numbered 1..n as they stand in a sorted DataFrame (partition by partition), and
+    n.  Written once with their places, so the numbers hold whatever is recomputed later."""
+    # the place is partition number << 33 | row in the partition
+    placed, n_rows = materialize_counted(ordered.withColumn("__place", F.monotonically_increasing_id()), "numbered")
+    sizes = placed.groupBy(F.shiftright("__place", 33).alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    # one row per partition of the write, so never more than the shuffle has partitions
+    before = F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")
+    offsets = F.broadcast(sizes.select("__part", before.alias("__before")))
+    row = F.col("__place").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    numbered = placed.join(offsets, F.shiftright("__place", 33) == F.col("__part"))
+    return numbered.select((F.col("__before") + row).cast("long").alias(id_col), *ordered.columns), n_rows
 
 
 def share_of_total(df: DataFrame, measure: str, group_by: Sequence[str], out_col: str = "share_pct", scale: int = 2) -> DataFrame:

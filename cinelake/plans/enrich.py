@@ -15,7 +15,6 @@ from cinelake.operators.aggregates import success_rate
 from cinelake.operators.windows import batch_assign, surrogate_key
 
 BATCH_SIZE = 50  # fixed value: ids per request batch
-REQUEST_CAP = 500  # fixed value: default number of ids requested
 
 
 def mark_found(candidates: DataFrame, details: DataFrame, id_col: str, details_key: str) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cinelake import functions as fx
 from cinelake import operators as op
@@ -25,15 +26,17 @@ from cinelake.plans.roles import (
     TAG_TOKENS,
     TEST_COLUMNS,
     YEAR_RANGE,
+    films_with_near_tags,
     orders_as_films,
     raw_credits,
     raw_details,
     table,
 )
 from cinelake.session import shared_dir
-from cinelake.sources.readers import landing_inventory
+from cinelake.sources.readers import landing_inventory, read_delimited, read_json_lines
 from cinelake.sources.schemas import CREDIT_COLUMNS_DROPPED, STAR_NOT_NULL
-from cinelake.streaming.ingest import stream_dedup, stream_ingest
+from cinelake.sources.sinks import land_once, register_tables, write_id_list, write_json_balanced, write_parquet
+from cinelake.streaming.ingest import stream_dedup, stream_ingest, stream_trusted_details
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,7 +91,103 @@ def _scan_parquet(spark, d):
 
 @query("landing_inventory")
 def _landing_inventory(spark, d):
-    return landing_inventory(spark, d, "*.parquet").select("file_name", "dataset")
+    # orders landed under dated folders; the listing is joined to what the files hold
+    o = orders(spark, d).withColumn("year", F.year("o_orderdate"))
+    base = shared_dir(spark, "inventory")
+    for r in o.select("year").distinct().collect():  # bounded by the calendar
+        land_once(o.filter(F.col("year") == r.year).drop("year"), f"{base}/Orders/{r.year}/01/01", "csv")
+    held = read_delimited(spark, base, "o_orderkey long", sep=",", header=False, recursive=True)
+    held = held.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+    files = landing_inventory(spark, base, "*.csv").filter("size_bytes > 0")
+    rows = files.join(held, F.regexp_extract("path", "[^/]+$", 0) == F.regexp_extract("file", "[^/]+$", 0))
+    return rows.groupBy("landed_on").agg(F.sum("rows").alias("n_rows"))
+
+
+@query("csv_round_trip")
+def _csv_round_trip(spark, d):
+    # Quoted separators, a null marker and a short last field
+    part = table(spark, d, "part")
+    base = shared_dir(spark, "csv")
+    text = part.withColumn("p_name", F.concat(F.col("p_name"), F.lit("|x"))).withColumn(
+        "p_size", F.when(F.col("p_size") > 10, F.col("p_size").cast("string")).otherwise(F.lit("\\N"))
+    )
+    land_once(text, base, "csv", sep="|", header=True)
+    return read_delimited(spark, base, part.schema)
+
+
+@query("json_round_trip")
+def _json_round_trip(spark, d):
+    # Balanced JSON files of at most 100 records, read back with a schema
+    c = table(spark, d, "customer")
+    base = shared_dir(spark, "json")
+    write_json_balanced(c, base, ["c_custkey"], 100)
+    return read_json_lines(spark, base, c.schema).select(*c.columns)
+
+
+@query("json_file_sizes")
+def _json_file_sizes(spark, d):
+    # Records per file, and in how many files
+    c = table(spark, d, "customer")
+    base = shared_dir(spark, "json")
+    write_json_balanced(c, base, ["c_custkey"], 100)
+    files = read_json_lines(spark, base, c.schema).groupBy(F.col("_metadata.file_path")).agg(F.count(F.lit(1)).alias("records"))
+    return files.groupBy("records").agg(F.count(F.lit(1)).alias("files"))
+
+
+@query("partitioned_rewrite")
+def _partitioned_rewrite(spark, d):
+    # A partitioned table of which one partition is written again
+    ev = table(spark, d, "events")
+    base = shared_dir(spark, "partitioned")
+    write_parquet(ev, base, mode="overwrite", partition_by=["event_type"])
+    write_parquet(ev.filter("event_type = 'click'"), base, mode="overwrite", partition_by=["event_type"])
+    return spark.read.parquet(base).select(*ev.columns)
+
+
+@query("id_list_round_trip")
+def _id_list_round_trip(spark, d):
+    base = shared_dir(spark, "ids")
+    write_id_list(candidates(spark, d), base)
+    return read_delimited(spark, base, "id long", header=False)
+
+
+@query("land_once")
+def _land_once(spark, d):
+    # The second landing finds a complete one and is skipped
+    o = orders(spark, d)
+    base = shared_dir(spark, "landed")
+    land_once(o, base, "parquet")
+    land_once(o.limit(1), base, "parquet")
+    return spark.read.parquet(base)
+
+
+@query("refined_round_trip")
+def _refined_round_trip(spark, d):
+    # The star built twice from different credits; the second is what is read
+    base = shared_dir(spark, "refined")
+    credits, details = trusted_pair(spark, d)
+    st.write_star(st.build_star(credits.filter("id % 2 = 0"), details, TEST_COLUMNS), base)
+    st.write_star(st.build_star(credits, details, TEST_COLUMNS), base)
+    return st.read_star(spark, base).fact
+
+
+@query("catalogue_table")
+def _catalogue_table(spark, d):
+    # A written folder as a catalogue table, queried with SQL
+    base = shared_dir(spark, "catalogue")
+    name = f"orders_{base.rsplit('-', 1)[1]}"
+    write_parquet(orders(spark, d), f"{base}/{name}")
+    register_tables(spark, base, [name])
+    return spark.sql(f"SELECT o_orderstatus, count(*) AS n_orders FROM {name} GROUP BY o_orderstatus")
+
+
+@query("schema_check")
+def _schema_check(spark, d):
+    # V6: named differences between a table and an expected schema, beside its rows
+    c = table(spark, d, "customer")
+    wanted = T._parse_datatype_string("c_custkey long, c_name string, c_nationkey long, c_phone string, c_mktsegment string")
+    found = spark.createDataFrame([(x,) for x in op.schema_diff(c.schema, wanted)], "difference string")
+    return found.join(c.agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 @query("sql_view")
@@ -130,12 +229,12 @@ def _reorder_columns(spark, d):
 
 @query("filter_like_any")
 def _filter_like_any(spark, d):
-    return op.filter_like_any(orders_as_films(spark, d), "genero", TAG_PATTERNS)
+    return op.filter_like_any(films_with_near_tags(spark, d), "genero", TAG_PATTERNS)
 
 
 @query("filter_tag_token")
 def _filter_tag_token(spark, d):
-    return op.filter_tag_token(orders_as_films(spark, d), "genero", TAG_TOKENS)
+    return op.filter_tag_token(films_with_near_tags(spark, d), "genero", TAG_TOKENS)
 
 
 @query("dropna_any")
@@ -209,14 +308,14 @@ def _star_inputs(spark, d) -> st.StarInputs:
 def _lookup_date_key(spark, d):
     p = _star_inputs(spark, d)
     rows = st.fact_rows(p.joined, TEST_COLUMNS)
-    return op.lookup_key(rows, p.dates, "release_date", "date", "id", "id_date", dim_rows=p.date_rows)
+    return op.lookup_key(rows, p.dates, "release_date", "date", "id", "id_date")
 
 
 @query("lookup_member_key")
 def _lookup_member_key(spark, d):
     p = _star_inputs(spark, d)
     rows = st.fact_rows(p.joined, TEST_COLUMNS)
-    return op.lookup_key(rows, p.actors, "artist_name", "name", "id", "id_actor", dim_rows=p.actor_rows)
+    return op.lookup_key(rows, p.actors, "artist_name", "name", "id", "id_actor")
 
 
 @query("star_flatten")
@@ -264,13 +363,16 @@ def _group_count_distinct(spark, d):
 
 @query("describe_profile")
 def _describe_profile(spark, d):
-    return op.describe_profile(lineitem(spark, d), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    return op.describe_profile(lineitem(spark, d), ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"])
 
 
 @query("corr_pearson")
 def _corr_pearson(spark, d):
+    # nulls on either side: pairs count only when complete
     li = lineitem(spark, d)
-    return li.groupBy("l_returnflag").agg(F.round(op.pearson("l_quantity", "l_extendedprice"), 6).alias("corr"))
+    x = F.when(F.col("l_linenumber") != 3, F.col("l_quantity"))
+    y = F.when(F.col("l_linestatus") == "F", F.col("l_extendedprice"))
+    return li.groupBy("l_returnflag").agg(F.round(op.pearson(x, y), 6).alias("corr"))
 
 
 @query("regression_line")
@@ -289,12 +391,7 @@ def _enrichment_rate(spark, d):
 @query("surrogate_key")
 def _surrogate_key(spark, d):
     keys = lineitem(spark, d).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    # small buckets so the distributed (bucket + offset) path runs even on test data;
-    # the input is a plain Parquet projection, deterministic and cheap to re-read, so
-    # no lineage-cutting copy is needed before the passes over it
-    return op.surrogate_key(
-        keys, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "id", rows_per_bucket=10_000, checkpoint_large=False
-    )
+    return op.surrogate_key(keys, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "id")
 
 
 @query("seasonal_share")
@@ -324,12 +421,14 @@ def _balanced_split(spark, d):
 
 @query("sort_asc")
 def _sort_asc(spark, d):
-    return op.sort_asc(orders(spark, d), ["o_orderdate", "o_orderkey"])
+    # the position is read from the sorted rows
+    return op.number_in_order(op.sort_asc(orders(spark, d), ["o_orderdate", "o_orderkey"]), "position")[0]
 
 
 @query("sort_desc_count")
 def _sort_desc_count(spark, d):
-    return op.sort_desc(op.group_count(lineitem(spark, d), ["l_suppkey"]), "count", ["l_suppkey"])
+    counts = op.sort_desc(op.group_count(lineitem(spark, d), ["l_suppkey"]), "count", ["l_suppkey"])
+    return op.number_in_order(counts, "position")[0]
 
 
 @query("top_k")
@@ -339,7 +438,7 @@ def _top_k(spark, d):
 
 @query("capped_ids")
 def _capped_ids(spark, d):
-    return op.capped(candidates(spark, d), "id", en.REQUEST_CAP)
+    return op.capped(candidates(spark, d), "id", 500)
 
 
 # ---------------------------------------------------------------- 2.7 set operations
@@ -474,6 +573,20 @@ def _json_nested_path(spark, d):
     return docs.select("event_id", loc["bucket_name"].alias("bucket_name"), loc["object_key"].alias("object_key"))
 
 
+@query("event_records")
+def _event_records(spark, d):
+    # documents of no, one and two records; one row per record
+    ev = table(spark, d, "events")
+    key = F.concat(F.lit("k"), F.col("event_id").cast("string"))
+    record = F.struct(F.struct(F.struct(key.alias("key")).alias("object")).alias("s3"))
+    records = F.slice(F.array(record, record), 1, (F.col("event_id") % 3).cast("int"))
+    docs = ev.select("event_id", F.to_json(F.struct(records.alias("Records"))).alias("doc"))
+    first = docs.select("event_id", "doc", fx.event_object_location("doc")["object_key"].alias("first_key"))
+    return first.select("event_id", "first_key", F.posexplode_outer(fx.event_records("doc")).alias("pos", "r")).select(
+        "event_id", "first_key", "pos", F.col("r.s3.object.key").alias("object_key")
+    )
+
+
 @query("scale_units")
 def _scale_units(spark, d):
     o = orders(spark, d)
@@ -493,6 +606,7 @@ TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 def _land_events_json(spark, d, landing: str, copies: int = 1) -> DataFrame:
     ev = table(spark, d, "events").withColumn("event_date", F.to_date("ts"))
+    ev = ev.repartition("event_date")  # a file per date and copy
     for _ in range(copies):
         ev.write.mode("append").option("timestampNTZFormat", TS_FORMAT).partitionBy("event_date").json(landing)
     return ev
@@ -518,28 +632,28 @@ def _stream_dedup(spark, d):
     return out.select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
+@query("stream_trusted")
+def _stream_trusted(spark, d):
+    # films landed as several files in two dated folders, some records twice, a file per batch
+    raw = raw_details(spark, d)
+    base = shared_dir(spark, "stream-trusted")
+    for parity, day in ((0, "27"), (1, "28")):
+        films = raw.filter(F.col("imdb_id") % 2 == parity)
+        films.repartition(3).write.json(f"{base}/landing/2024/03/{day}")
+        films.filter(F.col("imdb_id") % 10 == parity).coalesce(1).write.mode("append").json(f"{base}/landing/2024/03/{day}")
+    return stream_trusted_details(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", raw.schema, max_files_per_trigger=4)
+
+
 # ---------------------------------------------------------------- 2.11 data quality
 
 
 @query("stage_funnel")
 def _stage_funnel(spark, d):
-    # two passes instead of one per stage: row-level stages are counted with flags in
-    # one aggregate; the de-duplicated stages in one aggregate over the distinct rows
     raw = op.rename_columns(op.drop_columns(raw_credits(spark, d), tr.CREDIT_COLUMNS_DROPPED), tr.CREDIT_RENAMES)
-    tag = fx.like_any("genero", TAG_PATTERNS)
-    complete = F.lit(True)
-    for c in raw.columns:
-        complete = complete & F.col(c).isNotNull()
-    first = raw.agg(F.count(F.lit(1)).alias("raw"), F.count_if(tag).alias("tag_filter"))
-    distinct = op.drop_duplicates(raw.filter(tag))
-    second = distinct.agg(
-        F.count_if(complete).alias("dedup_dropna"),
-        F.count_if(complete & (F.col("numeroVotos") >= tr.MIN_VOTES)).alias("min_votes"),
-    )
-    stages = ["raw", "tag_filter", "dedup_dropna", "min_votes"]
-    wide = first.unionByName(second, allowMissingColumns=True).agg(*[F.max(s).alias(s) for s in stages])
-    numbered = F.array(*[F.struct(F.lit(i + 1).alias("stage_no"), F.lit(s).alias("stage"), F.col(s).alias("n_rows")) for i, s in enumerate(stages)])
-    return wide.select(F.explode(numbered).alias("s")).select("s.*")
+    tagged = op.filter_like_any(raw, "genero", TAG_PATTERNS)
+    complete = op.dropna_any(op.drop_duplicates(tagged))
+    voted = op.filter_min(complete, "numeroVotos", tr.MIN_VOTES)
+    return op.stage_counts([("raw", raw), ("tag_filter", tagged), ("dedup_dropna", complete), ("min_votes", voted)])
 
 
 @query("key_consistency")
@@ -556,12 +670,15 @@ def _pk_violations(spark, d):
 
 @query("fk_violations")
 def _fk_violations(spark, d):
+    # dimensions with holes, so that there is something to count
     s = star(spark, d)
-    return op.fk_violations(
-        s.fact,
-        [("id_movie", s.dim_movie, "id"), ("id_actor", s.dim_actor, "id"), ("id_date", s.dim_date, "id"), ("id_genre", s.dim_genre, "id")],
-        [None, s.actor_rows, s.date_rows, 3],
-    )
+    refs = [
+        ("id_movie", s.dim_movie.filter("id % 7 <> 0"), "id"),
+        ("id_actor", s.dim_actor.filter("id % 5 <> 0"), "id"),
+        ("id_date", s.dim_date.filter("month <> 5"), "id"),
+        ("id_genre", s.dim_genre, "id"),
+    ]
+    return op.fk_violations(s.fact, refs)
 
 
 @query("null_violations")
@@ -594,17 +711,17 @@ def _enrich_ids(spark, d):
 
 @query("dim_actor")
 def _dim_actor(spark, d):
-    return star(spark, d).dim_actor
+    return st.dim_actor(trusted_pair(spark, d)[0], TEST_COLUMNS)
 
 
 @query("dim_date")
 def _dim_date(spark, d):
-    return star(spark, d).dim_date
+    return st.dim_date(trusted_pair(spark, d)[1], TEST_COLUMNS)
 
 
 @query("dim_movie")
 def _dim_movie(spark, d):
-    return star(spark, d).dim_movie
+    return st.dim_movie(*trusted_pair(spark, d), TEST_COLUMNS)
 
 
 @query("fact_build")
@@ -622,6 +739,16 @@ def _releases_per_year(spark, d):
     return an.releases_per_year(star(spark, d))
 
 
+@query("snapshot_films")
+def _snapshot_films(spark, d):
+    # every second film was fetched again later, with another popularity
+    credits, details = trusted_pair(spark, d)
+    later = details.filter("imdb_id % 2 = 0").withColumns(
+        {"popularity": F.col("popularity") + 1, "extraction_date": F.date_add("extraction_date", 5)}
+    )
+    return an.popularity_per_year(st.build_star(credits, details.unionByName(later), TEST_COLUMNS))
+
+
 @query("popularity_per_year")
 def _popularity_per_year(spark, d):
     return an.popularity_per_year(star(spark, d))

@@ -122,6 +122,10 @@ star_flat AS (
   LEFT JOIN dim_actor a ON f.id_actor = a.id)"""
 
 FILMS_TAGS = "films_tags AS (SELECT o_orderkey AS id, concat_ws(',', o_orderpriority, o_orderstatus) AS genero FROM orders)"
+NEAR_TAGS = (
+    "films_tags AS (SELECT o_orderkey AS id, concat_ws(',', o_orderpriority, "
+    "CASE WHEN o_orderkey % 5 = 0 THEN o_orderstatus || 'x' ELSE o_orderstatus END) AS genero FROM orders)"
+)
 CANDIDATES = f"{FILMS_TAGS},\ncand AS (SELECT DISTINCT id FROM films_tags WHERE {_TOKENS})"
 
 STAR = "WITH " + ",\n".join([RAW_CREDITS, TRUSTED_CREDITS, RAW_DETAILS, TRUSTED_DETAILS, JOINED, DIMS]) + "\n"
@@ -143,7 +147,13 @@ def _profile(col: str) -> str:
     return (
         f"SELECT '{col}' AS column_name, count({col}) AS count, round(avg({col}), 6) AS mean, "
         f"round(stddev_samp({col}), 6) AS stddev, CAST(min({col}) AS DOUBLE) AS min, "
-        f"CAST(max({col}) AS DOUBLE) AS max FROM lineitem"
+        f"CAST(max({col}) AS DOUBLE) AS max, NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text FROM lineitem"
+    )
+
+
+def _text_profile(col: str, text: str) -> str:
+    return (
+        f"SELECT '{col}', count({col}), NULL, NULL, NULL, NULL, min({text}), max({text}) FROM lineitem"
     )
 
 
@@ -163,9 +173,20 @@ _FACT_NOT_NULL = [
 ORACLE_SQL: dict[str, str] = {
     # 2.1 sources
     "scan_parquet": "SELECT * FROM orders",
-    "landing_inventory": "SELECT * FROM (VALUES "
-    + ", ".join(f"('{t}.parquet', '{t.capitalize()}')" for t in _TABLES)
-    + ") AS v(file_name, dataset)",
+    "landing_inventory": "SELECT make_date(year(o_orderdate), 1, 1) AS landed_on, count(*) AS n_rows FROM orders GROUP BY 1",
+    "csv_round_trip": "SELECT p_partkey, p_name || '|x' AS p_name, p_brand, p_type, "
+    "CASE WHEN p_size > 10 THEN p_size END AS p_size, p_retailprice FROM part",
+    "json_round_trip": "SELECT * FROM customer",
+    "json_file_sizes": "WITH n AS (SELECT count(*) AS n, count(*) // 100 + 1 AS f FROM customer), "
+    "s AS (SELECT n // f + 1 AS records, n % f AS files FROM n UNION ALL SELECT n // f, f - n % f FROM n) "
+    "SELECT CAST(records AS BIGINT) AS records, CAST(files AS BIGINT) AS files FROM s WHERE records > 0 AND files > 0",
+    "partitioned_rewrite": "SELECT * FROM events",
+    "id_list_round_trip": _w(CANDIDATES) + "SELECT id FROM cand",
+    "land_once": "SELECT * FROM orders",
+    "refined_round_trip": STAR + "SELECT * FROM fact",
+    "catalogue_table": "SELECT o_orderstatus, count(*) AS n_orders FROM orders GROUP BY o_orderstatus",
+    "schema_check": "SELECT difference, n_rows FROM (VALUES ('c_nationkey: int != bigint'), ('missing column c_phone'), "
+    "('unexpected column c_acctbal')) v(difference), (SELECT count(*) AS n_rows FROM customer) c",
     "sql_view": STAR + "SELECT DISTINCT id FROM joined",
     # 2.2 projections and filters
     "drop_columns": _w(RAW_CREDITS)
@@ -177,8 +198,8 @@ ORACLE_SQL: dict[str, str] = {
     "CAST(o_orderdate AS DATE) AS release_date, concat_ws(',', o_orderpriority, o_orderstatus) AS genres FROM orders",
     "reorder_columns": "SELECT l_linenumber, l_orderkey, l_shipdate, l_partkey, l_suppkey, l_quantity, "
     "l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus FROM lineitem",
-    "filter_like_any": _w(FILMS_TAGS) + f"SELECT id, genero FROM films_tags WHERE {_TAG_LIKE}",
-    "filter_tag_token": _w(FILMS_TAGS) + f"SELECT id, genero FROM films_tags WHERE {_TOKENS}",
+    "filter_like_any": _w(NEAR_TAGS) + f"SELECT id, genero FROM films_tags WHERE {_TAG_LIKE}",
+    "filter_tag_token": _w(NEAR_TAGS) + f"SELECT id, genero FROM films_tags WHERE {_TOKENS}",
     "dropna_any": "SELECT * FROM (SELECT l_orderkey, l_partkey, NULLIF(l_returnflag, 'N') AS flag, "
     "NULLIF(l_linenumber, 7) AS line FROM lineitem) t WHERE flag IS NOT NULL AND line IS NOT NULL",
     "filter_min_votes": "SELECT * FROM lineitem WHERE l_quantity >= 30",
@@ -206,8 +227,11 @@ ORACLE_SQL: dict[str, str] = {
     "count_distinct": "SELECT count(DISTINCT l_orderkey) AS n_distinct FROM lineitem",
     "count_distinct_tuple": "SELECT count(*) AS n_distinct FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) t",
     "group_count_distinct": "SELECT l_suppkey, count(DISTINCT l_orderkey) AS n_distinct FROM lineitem GROUP BY l_suppkey",
-    "describe_profile": " UNION ALL ".join(_profile(c) for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]),
-    "corr_pearson": "SELECT l_returnflag, round(corr(l_extendedprice, l_quantity), 6) AS corr FROM lineitem GROUP BY l_returnflag",
+    "describe_profile": " UNION ALL ".join(_profile(c) for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    + " UNION ALL " + _text_profile("l_returnflag", "l_returnflag")
+    + " UNION ALL " + _text_profile("l_shipdate", "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')"),
+    "corr_pearson": "SELECT l_returnflag, round(corr(CASE WHEN l_linestatus = 'F' THEN l_extendedprice END, "
+    "CASE WHEN l_linenumber <> 3 THEN l_quantity END), 6) AS corr FROM lineitem GROUP BY l_returnflag",
     "regression_line": "SELECT l_returnflag, round(regr_slope(l_extendedprice, l_quantity), 6) AS slope, "
     "round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept, "
     "round(regr_r2(l_extendedprice, l_quantity), 6) AS r2, "
@@ -235,8 +259,9 @@ ORACLE_SQL: dict[str, str] = {
     "balanced_split": "SELECT event_id, row_number() OVER (ORDER BY event_id) AS rn, "
     "ntile(101) OVER (ORDER BY event_id) AS part FROM events",
     # 2.6 sorts and limits
-    "sort_asc": "SELECT * FROM orders ORDER BY o_orderdate, o_orderkey",
-    "sort_desc_count": 'SELECT l_suppkey, count(*) AS "count" FROM lineitem GROUP BY l_suppkey ORDER BY 2 DESC, l_suppkey',
+    "sort_asc": "SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS position, * FROM orders",
+    "sort_desc_count": 'SELECT row_number() OVER (ORDER BY "count" DESC, l_suppkey) AS position, * '
+    'FROM (SELECT l_suppkey, count(*) AS "count" FROM lineitem GROUP BY l_suppkey) t',
     "top_k": "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10",
     "capped_ids": _w(CANDIDATES) + "SELECT id FROM cand ORDER BY id LIMIT 500",
     # 2.7 set operations
@@ -271,6 +296,11 @@ ORACLE_SQL: dict[str, str] = {
     # 2.9 streaming (stream result must equal the batch table)
     "stream_ingest": "SELECT event_id, ts, user_id, event_type, value, props, CAST(ts AS DATE) AS event_date FROM events",
     "stream_dedup": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+    "event_records": "WITH e AS (SELECT event_id, CASE WHEN event_id % 3 > 0 THEN 'k' || CAST(event_id AS VARCHAR) END AS k FROM events) "
+    "SELECT event_id, k AS first_key, CAST(p AS INTEGER) AS pos, k AS object_key FROM e, (VALUES (0), (1)) v(p) WHERE p < event_id % 3 "
+    "UNION ALL SELECT event_id, NULL, NULL, NULL FROM e WHERE event_id % 3 = 0",
+    "stream_trusted": _w(RAW_DETAILS, TRUSTED_DETAILS)
+    + "SELECT * REPLACE (CASE WHEN imdb_id % 2 = 0 THEN DATE '2024-03-27' ELSE DATE '2024-03-28' END AS extraction_date) FROM trusted_details",
     # 2.11 data quality
     "stage_funnel": _w(RAW_CREDITS)
     + ", r AS (SELECT id, tituloPincipal AS tituloPrincipal, tituloOriginal, anoLancamento, tempoMinutos, genero, "
@@ -288,9 +318,9 @@ ORACLE_SQL: dict[str, str] = {
     "GROUP BY id_movie, id_actor, id_date, id_genre HAVING count(*) > 1",
     "fk_violations": STAR
     + "SELECT 'id_movie' AS fk_column, count(*) AS n_missing FROM fact f WHERE NOT EXISTS "
-    "(SELECT 1 FROM dim_movie m WHERE m.id = f.id_movie) UNION ALL "
-    "SELECT 'id_actor', count(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM dim_actor a WHERE a.id = f.id_actor) UNION ALL "
-    "SELECT 'id_date', count(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.id = f.id_date) UNION ALL "
+    "(SELECT 1 FROM dim_movie m WHERE m.id = f.id_movie AND m.id % 7 <> 0) UNION ALL "
+    "SELECT 'id_actor', count(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM dim_actor a WHERE a.id = f.id_actor AND a.id % 5 <> 0) UNION ALL "
+    "SELECT 'id_date', count(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.id = f.id_date AND d.month <> 5) UNION ALL "
     "SELECT 'id_genre', count(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM dim_genre g WHERE g.id = f.id_genre)",
     "null_violations": STAR
     + " UNION ALL ".join(
@@ -309,6 +339,11 @@ ORACLE_SQL: dict[str, str] = {
     "fact_build": STAR + "SELECT * FROM fact",
     "dim_genre": STAR + "SELECT * FROM dim_genre",
     "releases_per_year": STAR + "SELECT year, count(*) AS releases FROM films GROUP BY year",
+    "snapshot_films": STAR.replace(
+        "vote_count, popularity, budget, revenue, runtime,\n         DATE",
+        "vote_count, CASE WHEN imdb_id % 2 = 0 THEN popularity + 1 ELSE popularity END AS popularity, budget, revenue, runtime,\n         DATE",
+    )
+    + "SELECT year, count(*) AS releases, round(avg(popularity), 6) AS avg_popularity FROM films GROUP BY year",
     "popularity_per_year": STAR
     + "SELECT year, count(*) AS releases, round(avg(popularity), 6) AS avg_popularity FROM films GROUP BY year",
     "budget_revenue_per_year": STAR

@@ -38,17 +38,9 @@ YEAR_RANGE = (1996, 2000)
 TEST_COLUMNS = FilmColumns(pattern_a="%,F%", pattern_b="%URGENT%")
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One test table.  The schema is read once per path and then given to the
-    reader, which skips the footer-reading job on every later scan."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        schema = _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(schema).parquet(path)
+    """One test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,3 +103,11 @@ def orders_as_films(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         F.col("o_orderkey").alias("id"), F.concat_ws(",", "o_orderpriority", "o_orderstatus").alias("genero")
     )
+
+
+def films_with_near_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders_as_films`` where every fifth status tag has a letter more: it still holds the
+    wanted tag as a substring, but is another token."""
+    o = table(spark, sf_dir, "orders")
+    near = F.when(F.col("o_orderkey") % 5 == 0, F.concat("o_orderstatus", F.lit("x"))).otherwise(F.col("o_orderstatus"))
+    return o.select(F.col("o_orderkey").alias("id"), F.concat_ws(",", "o_orderpriority", near).alias("genero"))

@@ -7,17 +7,20 @@ Differences from the reference's job, all on purpose:
   no driver round trip is needed to "freeze" them;
 * a null release date never becomes a dimension row (it could never match) and a
   null date never gets the 'Q4' label;
-* dimensions small enough to broadcast are broadcast only after a size check or
-  a proven bound;
-* the trusted inputs (and large numbered dimensions) are written once to the shared
-  checkpoint folder, cutting lineage (``prepare_star``);
-* the fact is partitioned by release year with a salted write, and can be
-  catalogued bucketed on the film id for shuffle-free re-joins
-  (``write_star_bucketed``).
+* a film fetched on several dates has its newest record in the star, so no film is
+  counted twice;
+* the numbered dimensions and the fact are written once to the shared checkpoint folder,
+  and everything later reads them;
+* a build is written to a folder of its own and becomes the current one with its last step,
+  so readers never see old and new ids mixed;
+* the fact is partitioned by release year, spread by a rebalance, and can be catalogued
+  bucketed on the film id for shuffle-free re-joins (``write_star_bucketed``).
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -26,8 +29,8 @@ from pyspark.sql import functions as F
 from cinelake.functions.dates import quarter_label
 from cinelake.functions.text import classify_tags, label_codes
 from cinelake.operators.joins import inner_join, left_lookup, lookup_key
-from cinelake.operators.windows import surrogate_key_counted
-from cinelake.session import materialize, materialize_counted, run_concurrently
+from cinelake.operators.windows import surrogate_key
+from cinelake.session import file_system, materialize, run_concurrently
 from cinelake.sources.sinks import write_fact
 
 
@@ -57,10 +60,7 @@ class FilmColumns:
     pattern_b: str = "%Sci-Fi%"
 
 
-# dimensions up to this many rows are numbered in one ordered window, broadcast into
-# the fact, and cheap to recompute; larger ones are written once and re-read
-SMALL_DIM_ROWS = 2_000_000
-
+# The fact's columns.
 FACT_COLUMNS = [
     "id_movie", "id_genre", "id_date", "id_actor", "runtime", "revenue", "budget", "actor_role",
     "popularity", "imdb_rating", "tmdb_rating", "imdb_vote_count", "tmdb_vote_count",
@@ -74,41 +74,37 @@ class Star:
     dim_movie: DataFrame
     fact: DataFrame
     dim_genre: DataFrame
-    # dimension sizes measured while numbering them, or proven upper bounds
-    actor_rows: int | None = None
-    date_rows: int | None = None
+
+
+def newest_details(details: DataFrame, c: FilmColumns = FilmColumns()) -> DataFrame:
+    """One record per film: that of the newest ``extraction_date`` (records of one date that
+    differ: the largest by the other columns, in order).  Details' own id becomes tmdb_id."""
+    df = details.withColumnRenamed(c.details_id, "tmdb_id")
+    key = c.details_key if c.details_key != c.details_id else "tmdb_id"
+    if "extraction_date" not in df.columns:
+        return df
+    rest = [x for x in df.columns if x not in (key, "extraction_date")]
+    newest = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct("extraction_date", *rest)).alias("__r"))
+    return newest.select(*[F.col(key) if x == key else F.col("__r")[x].alias(x) for x in df.columns])
 
 
 def joined_view(credits: DataFrame, details: DataFrame, c: FilmColumns = FilmColumns()) -> DataFrame:
-    """J1 + F5: credits with their genre class, inner-joined to details on the
-    external id (details' own id is kept as tmdb_id)."""
+    """J1 + F5: credits with their genre class, inner-joined on the external id to the
+    newest record of each film (details' own id is kept as tmdb_id)."""
     left = credits.withColumn("id_genre", classify_tags(c.tags, c.pattern_a, c.pattern_b))
-    right = details.withColumnRenamed(c.details_id, "tmdb_id")
     key = c.details_key if c.details_key != c.details_id else "tmdb_id"
-    return inner_join(left, right, c.credit_id, key)
+    return inner_join(left, newest_details(details, c), c.credit_id, key)
 
 
 def dim_actor(trusted_credits: DataFrame, c: FilmColumns = FilmColumns()) -> DataFrame:
     """Q5: one row per artist name with its credit-row count over all trusted
     credits (so it also holds artists the fact never references)."""
-    return dim_actor_counted(trusted_credits, c)[0]
-
-
-def dim_actor_counted(
-    trusted_credits: DataFrame, c: FilmColumns = FilmColumns(), max_rows: int | None = None
-) -> tuple[DataFrame, int]:
     counts = trusted_credits.groupBy(F.col(c.artist).alias("name")).agg(F.count(F.lit(1)).alias("num_movies"))
-    return surrogate_key_counted(counts, ["name"], "id", rows_per_bucket=SMALL_DIM_ROWS, max_rows=max_rows)
+    return surrogate_key(counts, ["name"], "id")
 
 
 def dim_date(trusted_details: DataFrame, c: FilmColumns = FilmColumns()) -> DataFrame:
     """Q6: distinct non-null release dates with parts and quarter, id by date."""
-    return dim_date_counted(trusted_details, c)[0]
-
-
-def dim_date_counted(
-    trusted_details: DataFrame, c: FilmColumns = FilmColumns(), max_rows: int | None = None
-) -> tuple[DataFrame, int]:
     dates = trusted_details.select(F.col(c.release_date).alias("date")).where(F.col("date").isNotNull()).distinct()
     dates = dates.select(
         "date",
@@ -117,18 +113,22 @@ def dim_date_counted(
         F.dayofmonth("date").alias("day"),
         quarter_label("date").alias("quarter"),
     )
-    return surrogate_key_counted(dates, ["date"], "id", rows_per_bucket=SMALL_DIM_ROWS, max_rows=max_rows)
+    return surrogate_key(dates, ["date"], "id")
 
 
-def dim_movie(joined: DataFrame, c: FilmColumns = FilmColumns()) -> DataFrame:
-    """Q7: distinct film attributes of the joined view."""
-    return joined.select(
+def dim_movie(credits: DataFrame, details: DataFrame, c: FilmColumns = FilmColumns()) -> DataFrame:
+    """Q7: distinct film attributes of the films on both sides.  The credits are reduced
+    to films before the join."""
+    films = credits.select(
         F.col(c.credit_id).alias("id"),
         F.col(c.main_title).alias("main_title"),
         F.col(c.original_title).alias("original_title"),
-        F.col(c.release_date).alias("release_date"),
         F.col(c.tags).alias("genres"),
     ).distinct()
+    key = c.details_key if c.details_key != c.details_id else "tmdb_id"
+    dates = newest_details(details, c).select(F.col(key).alias("__film"), F.col(c.release_date).alias("release_date"))
+    joined = films.join(dates, F.col("id") == F.col("__film")).distinct()
+    return joined.select("id", "main_title", "original_title", "release_date", "genres")
 
 
 def fact_rows(joined: DataFrame, c: FilmColumns = FilmColumns()) -> DataFrame:
@@ -150,21 +150,13 @@ def fact_rows(joined: DataFrame, c: FilmColumns = FilmColumns()) -> DataFrame:
     ).distinct()
 
 
-def fact_movie_actor(
-    joined: DataFrame,
-    dates: DataFrame,
-    actors: DataFrame,
-    c: FilmColumns = FilmColumns(),
-    date_rows: int | None = None,
-    actor_rows: int | None = None,
-) -> DataFrame:
+def fact_movie_actor(joined: DataFrame, dates: DataFrame, actors: DataFrame, c: FilmColumns = FilmColumns()) -> DataFrame:
     """Q8: distinct fact rows, date key (inner: null dates drop), artist key (inner on
     name), helper columns dropped, keys first.  The grain includes the role, so one
-    artist with two roles in a film gives two rows (reported by pk_violations).
-    Known dimension sizes serve as the broadcast size checks."""
+    artist with two roles in a film gives two rows (reported by pk_violations)."""
     rows = fact_rows(joined, c)
-    rows = lookup_key(rows, dates, "release_date", "date", "id", "id_date", dim_rows=date_rows)
-    rows = lookup_key(rows, actors, "artist_name", "name", "id", "id_actor", dim_rows=actor_rows)
+    rows = lookup_key(rows, dates, "release_date", "date", "id", "id_date")
+    rows = lookup_key(rows, actors, "artist_name", "name", "id", "id_actor")
     return rows.select(*FACT_COLUMNS)
 
 
@@ -176,16 +168,14 @@ def dim_genre(fact: DataFrame) -> DataFrame:
 
 @dataclass
 class StarInputs:
-    """Everything the fact and dimensions are built from: the (materialized) trusted
-    tables, their join, and the numbered artist and date dimensions with their sizes."""
+    """What the fact and dimensions are built from: the trusted tables, their join, and the
+    numbered artist and date dimensions."""
 
     credits: DataFrame
     details: DataFrame
     joined: DataFrame
     actors: DataFrame
-    actor_rows: int
     dates: DataFrame
-    date_rows: int
 
 
 def prepare_star(
@@ -194,31 +184,16 @@ def prepare_star(
     c: FilmColumns = FilmColumns(),
     materialize_inputs: bool = True,
 ) -> StarInputs:
-    """``materialize_inputs`` writes the two trusted inputs once as Parquet to the
-    shared checkpoint folder (the trusted layer is on disk in production), so
-    numbering the dimensions and building the fact read them, pruned to the columns
-    each step needs, instead of re-running the raw-to-trusted lineage per pass.  The
-    row counts are observed during those writes: a dimension grouped from a table is
-    never larger than it, which proves small dimensions small without a counting pass.
-    A numbered dimension larger than ``SMALL_DIM_ROWS`` is written once too, because
-    every lookup would otherwise re-run its aggregation over the credits.
-    Materialized steps cut lineage, so a lost executor re-reads files instead of
-    recomputing from the raw inputs."""
-    n_credits = n_details = None
+    """``materialize_inputs`` writes the two trusted inputs once as Parquet to the shared
+    checkpoint folder, so that numbering the dimensions and building the fact read them,
+    pruned to the columns each step needs, instead of re-running the raw-to-trusted lineage
+    per pass.  Where the trusted layer is on disk already, pass False."""
     if materialize_inputs:
-        (trusted_credits, n_credits), (trusted_details, n_details) = run_concurrently(
-            (materialize_counted, trusted_credits, "trusted-credits"),
-            (materialize_counted, trusted_details, "trusted-details"),
+        trusted_credits, trusted_details = run_concurrently(
+            (materialize, trusted_credits, "trusted-credits"), (materialize, trusted_details, "trusted-details")
         )
-    joined = joined_view(trusted_credits, trusted_details, c)
-    (actors, n_actors), (dates, n_dates) = run_concurrently(
-        (dim_actor_counted, trusted_credits, c, n_credits), (dim_date_counted, trusted_details, c, n_details)
-    )
-    if n_actors > SMALL_DIM_ROWS:
-        actors = materialize(actors, "dim-actor")
-    if n_dates > SMALL_DIM_ROWS:
-        dates = materialize(dates, "dim-date")
-    return StarInputs(trusted_credits, trusted_details, joined, actors, n_actors, dates, n_dates)
+    actors, dates = run_concurrently((dim_actor, trusted_credits, c), (dim_date, trusted_details, c))
+    return StarInputs(trusted_credits, trusted_details, joined_view(trusted_credits, trusted_details, c), actors, dates)
 
 
 def build_star(
@@ -226,45 +201,63 @@ def build_star(
     trusted_details: DataFrame,
     c: FilmColumns = FilmColumns(),
     materialize_inputs: bool = True,
-    materialize_fact: bool = False,
 ) -> Star:
-    """All five tables (see ``prepare_star`` for what is written once and why);
-    ``materialize_fact`` also writes the fact, which every check and analysis reads."""
+    """All five tables.  The fact is written once and read by whatever comes after it."""
     p = prepare_star(trusted_credits, trusted_details, c, materialize_inputs)
-    fact = fact_movie_actor(p.joined, p.dates, p.actors, c, p.date_rows, p.actor_rows)
-    if materialize_fact:
-        fact = materialize(fact, "fact")
-    return Star(p.actors, p.dates, dim_movie(p.joined, c), fact, dim_genre(fact), p.actor_rows, p.date_rows)
+    fact = materialize(fact_movie_actor(p.joined, p.dates, p.actors, c), "fact")
+    return Star(p.actors, p.dates, dim_movie(p.credits, p.details, c), fact, dim_genre(fact))
 
 
 def star_flatten(star: Star) -> DataFrame:
     """Q10: fact left-joined to the four dimensions (the analysis table).  Both the
-    genre and the artist dimension carry num_movies; they are named apart.  The
-    film dimension grows with the fact, so it stays a shuffle join; date, genre and
-    artist dimensions go broadcast when their measured sizes allow."""
+    genre and the artist dimension carry num_movies; they are named apart."""
     genre = star.dim_genre.withColumnRenamed("num_movies", "genre_num_movies")
     actor = star.dim_actor.withColumnRenamed("num_movies", "actor_num_movies")
-    out = left_lookup(star.fact, star.dim_movie, "id_movie", "id", broadcast=False)
-    out = left_lookup(out, star.dim_date, "id_date", "id", known_rows=star.date_rows)
-    out = left_lookup(out, genre, "id_genre", "id", known_rows=3)
-    return left_lookup(out, actor, "id_actor", "id", known_rows=star.actor_rows)
+    out = left_lookup(star.fact, star.dim_movie, "id_movie", "id")
+    out = left_lookup(out, star.dim_date, "id_date", "id")
+    out = left_lookup(out, genre, "id_genre", "id")
+    return left_lookup(out, actor, "id_actor", "id")
 
 
-def write_star(star: Star, root: str, mode: str = "overwrite") -> None:
-    """Write the dimensions, then the fact partitioned by release year."""
+def write_star(star: Star, root: str) -> str:
+    """Write the dimensions and the fact, partitioned by release year, to a build
+    folder of their own under ``root``; the last step makes that the current build.  Returns
+    the build's folder.  Older builds stay until ``drop_old_builds``."""
+    spark = star.fact.sparkSession
     root = root.rstrip("/")
+    build = f"build-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    folder = f"{root}/{build}"
     for name in ("dim_actor", "dim_date", "dim_movie", "dim_genre"):
-        getattr(star, name).write.mode(mode).parquet(f"{root}/{name}")
+        getattr(star, name).write.parquet(f"{folder}/{name}")
     years = star.dim_date.select(F.col("id").alias("__d"), F.col("year").alias("release_year"))
     fact = star.fact.join(years, F.col("id_date") == F.col("__d"), "left").drop("__d")
-    write_fact(fact, f"{root}/fact_movie_actor")
+    write_fact(fact, f"{folder}/fact_movie_actor")
+    # one appended row: readers see the build before or after it, never a part
+    spark.createDataFrame([(build,)], "build string").coalesce(1).write.mode("append").json(f"{root}/builds")
+    return folder
 
 
-def read_star(spark, root: str) -> Star:
+def current_build(spark, root: str) -> str:
+    """Folder of the newest complete build under ``root``."""
     root = root.rstrip("/")
+    return f"{root}/" + spark.read.schema("build string").json(f"{root}/builds").agg(F.max("build")).first()[0]
+
+
+def drop_old_builds(spark, root: str) -> None:
+    """Delete every build under ``root`` but the current one."""
+    fs, path = file_system(spark, root.rstrip("/"))
+    keep = current_build(spark, root).rsplit("/", 1)[1]
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith("build-") and name < keep:
+            fs.delete(status.getPath(), True)
+
+
+def read_star(spark, root: str) -> Star:
+    folder = current_build(spark, root)
     r = spark.read.parquet
-    fact = r(f"{root}/fact_movie_actor").drop("release_year")
-    return Star(r(f"{root}/dim_actor"), r(f"{root}/dim_date"), r(f"{root}/dim_movie"), fact, r(f"{root}/dim_genre"))
+    fact = r(f"{folder}/fact_movie_actor").drop("release_year")
+    return Star(r(f"{folder}/dim_actor"), r(f"{folder}/dim_date"), r(f"{folder}/dim_movie"), fact, r(f"{folder}/dim_genre"))
 
 
 def write_star_bucketed(star: Star, root: str, prefix: str = "refined_", n_buckets: int = 64) -> dict[str, str]:

@@ -63,11 +63,13 @@ def trusted_details(
     drop_cols: Sequence[str] = ("genres",),
     extraction_date: dt.date | None = None,
     path_col: str | Column | None = None,
+    stamp: bool = True,
 ) -> DataFrame:
     """Q2: de-duplicate whole records (before the genre array is dropped, so records
     that differ only in genres both survive), parse the release date (empty text gives
     null), drop zero-or-null measures, keep enough votes, stamp the extraction date:
-    a literal, or per row from the yyyy/MM/dd folder of ``path_col`` (F7)."""
+    a literal, or per row from the yyyy/MM/dd folder of ``path_col`` (F7); without
+    ``stamp`` the raw rows carry it already."""
     if path_col is not None:
         path = F.col(path_col) if isinstance(path_col, str) else path_col
         raw = raw.withColumn("extraction_date", date_from_path(path))
@@ -76,7 +78,7 @@ def trusted_details(
     df = df.withColumn(date_col, parse_date(date_col))
     df = filter_nonzero(df, nonzero_cols)
     df = filter_min(df, votes_col, min_votes)
-    if path_col is None:
+    if path_col is None and stamp:
         df = df.withColumn("extraction_date", F.lit(extraction_date).cast("date"))
     return df
 

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.operators.windows import balanced_split, surrogate_key_counted
+from cinelake.operators.windows import surrogate_key_counted
+from cinelake.session import file_system
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", partition_by: Sequence[str] = ()) -> None:
@@ -24,43 +25,48 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", partiti
     writer.parquet(path)
 
 
-def salted_partition_write(df: DataFrame, path: str, partition_col: str, salt_cols: Sequence[str], files_per_value: int = 16,
-                           mode: str = "overwrite") -> None:
-    """Partitioned Parquet write that clusters rows by the partition value (few files
-    per folder) without sending a hot value to one task: rows of one value are
-    spread over ``files_per_value`` tasks by a deterministic hash of ``salt_cols``."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(files_per_value))
-    (
-        df.repartition(F.col(partition_col), salt)
-        .write.mode(mode)
-        .partitionBy(partition_col)
-        .parquet(path)
-    )
+def rebalanced_partition_write(df: DataFrame, path: str, partition_col: str, mode: str = "errorifexists") -> None:
+    """Partitioned Parquet write that clusters rows by the partition value (few files per
+    folder); AQE splits a hot value over as many tasks as its measured size asks for, and
+    merges small ones.  'overwrite' replaces the whole table."""
+    writer = df.hint("rebalance", F.col(partition_col)).write.mode(mode).option("partitionOverwriteMode", "static")
+    writer.partitionBy(partition_col).parquet(path)
 
 
-def write_fact(df: DataFrame, path: str, partition_col: str = "release_year", salt_cols: Sequence[str] = ("id_movie", "id_actor"),
-               files_per_value: int = 16) -> None:
+def write_fact(df: DataFrame, path: str, partition_col: str = "release_year", mode: str = "errorifexists") -> None:
     """Fact sink partitioned by a low-cardinality key (release year) instead of
     one folder per film (the reference's layout makes one tiny folder per film)."""
-    salted_partition_write(df, path, partition_col, salt_cols, files_per_value)
+    rebalanced_partition_write(df, path, partition_col, mode)
+
+
+#: Files that one task of the balanced JSON sink writes.
+FILES_PER_TASK = 1000
 
 
 def write_json_balanced(df: DataFrame, path: str, order_by: Sequence[str], max_per_file: int = 100) -> int:
     """JSON lines with at most ``max_per_file`` records per file and balanced
-    sizes: n = floor(N / max) + 1 parts, sizes differ by at most one (the first
-    N mod n parts are one larger).  Non-ASCII text is written as is.  Returns n."""
+    sizes: n = floor(N / max) + 1 files, sizes differ by at most one (the first
+    N mod n are one larger), all in one folder.  Non-ASCII text is written as is.
+    Returns n.  The larger and the smaller files are two writes; a task gets whole files, in
+    order, and the writer starts a new one after each size."""
     numbered, total = surrogate_key_counted(df, order_by, "__rn")
     n_parts = total // max_per_file + 1
-    parts = balanced_split(numbered, "__rn", n_parts, "part", total=total)
-    (
-        parts.repartition("part")
-        .sortWithinPartitions("part", "__rn")
-        .drop("__rn")
-        .write.mode("overwrite")
-        .option("ignoreNullFields", False)
-        .partitionBy("part")
-        .json(path)
-    )
+    size, larger = divmod(total, n_parts)
+    mode = "overwrite"
+    for first, last, records in ((0, larger * (size + 1), size + 1), (larger * (size + 1), total, size)):
+        if last > first or (not total and mode == "overwrite"):
+            rows = numbered.filter((F.col("__rn") > first) & (F.col("__rn") <= last))
+            task = F.floor((F.col("__rn") - 1 - first) / F.lit(max(1, records) * FILES_PER_TASK))
+            (
+                rows.repartition(task)
+                .sortWithinPartitions("__rn")
+                .drop("__rn")
+                .write.mode(mode)
+                .option("ignoreNullFields", False)
+                .option("maxRecordsPerFile", max(1, records))
+                .json(path)
+            )
+            mode = "append"
     return n_parts
 
 
@@ -74,12 +80,17 @@ def write_id_list(df: DataFrame, path: str, id_col: str = "id") -> None:
     df.select(id_col).write.mode("overwrite").option("header", False).csv(path)
 
 
-def land_once(df: DataFrame, path: str, fmt: str = "csv", **options) -> None:
-    """Write to a dated landing path only if it does not exist yet."""
-    writer = df.write.mode("ignore").format(fmt)
+def land_once(df: DataFrame, path: str, fmt: str = "csv", **options) -> bool:
+    """Write to a dated landing path unless a complete landing is there (its success
+    marker); what a broken write left is replaced.  Returns whether it wrote."""
+    fs, marker = file_system(df.sparkSession, f"{path.rstrip('/')}/_SUCCESS")
+    if fs.exists(marker):
+        return False
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
     for k, v in options.items():
         writer = writer.option(k, v)
     writer.save(path)
+    return True
 
 
 def register_tables(spark: SparkSession, root: str, tables: Sequence[str], database: str | None = None) -> list[str]:
@@ -90,8 +101,3 @@ def register_tables(spark: SparkSession, root: str, tables: Sequence[str], datab
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{root.rstrip('/')}/{t}'")
         names.append(name)
     return names
-
-
-def day_folder(day_col: str = "day") -> F.Column:
-    """yyyy/MM/dd folder text of a date column (F8), for building landing targets."""
-    return F.date_format(F.col(day_col), "yyyy/MM/dd")

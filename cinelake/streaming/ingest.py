@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cinelake.functions.dates import date_from_path
 from cinelake.plans.trusted import trusted_details
+from cinelake.session import file_system
 from cinelake.sources.schemas import RAW_DETAILS_SCHEMA
 
 
@@ -65,7 +67,7 @@ def stream_dedup(
     checkpoint_dir: str,
     fmt: str = "json",
     watermark: tuple[str, str] | None = None,
-    max_files_per_trigger: int | None = 1,
+    max_files_per_trigger: int | None = None,
     **options,
 ) -> DataFrame:
     """De-duplicate by key across arriving batches.  Without a watermark the
@@ -134,17 +136,26 @@ def stream_trusted_details(
 ) -> DataFrame:
     """The event-triggered enrichment landing as a stream: every newly landed JSON
     file under ``raw_dir`` (dated folders) is cleaned with the trusted-details rules
-    and written partitioned by its folder's extraction date.  Each micro-batch
-    overwrites only the dates it holds, so a retried batch replaces its output; the
-    checkpoint's file log keeps every file from being processed twice.  Records are
-    de-duplicated within a micro-batch (the batch job's rule); use ``stream_dedup``
-    for de-duplication across batches."""
-    stream = _reader(spark, schema or RAW_DETAILS_SCHEMA, "json", None, max_files_per_trigger, {"recursiveFileLookup": True})
-    stream = stream.load(raw_dir).withColumn("__path", F.col("_metadata.file_path"))
-    writer = idempotent_partition_writer(trusted_dir, ["extraction_date"])
+    and equals what the batch job makes of all files so far.
+
+    The micro-batch is the unit of writing: its rows go to extraction_date / epoch folders,
+    and a replayed batch replaces its own folders only.  A record that an earlier batch
+    wrote for the same date is left out by its fingerprint (of the whole raw record, as the
+    batch job's rule), so duplicates are removed across files and batches without state
+    that grows in the stream."""
+    schema = schema or RAW_DETAILS_SCHEMA
+    stream = _reader(spark, schema, "json", None, max_files_per_trigger, {"recursiveFileLookup": True})
+    stream = stream.load(raw_dir).withColumn("extraction_date", date_from_path(F.col("_metadata.file_path")))
+    writer = idempotent_partition_writer(trusted_dir, ["extraction_date", "epoch"])
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        writer(trusted_details(df, path_col="__path").drop("__path"), epoch_id)
+        record = F.sha2(F.to_json(F.struct(*[F.col(f.name) for f in schema.fields]), {"ignoreNullFields": "false"}), 256)
+        clean = trusted_details(df.withColumn("record", record), stamp=False)
+        fs, path = file_system(spark, trusted_dir)
+        if fs.exists(path) and epoch_id > 0:
+            there = spark.read.parquet(trusted_dir).filter(F.col("epoch") < epoch_id).select("extraction_date", "record")
+            clean = clean.join(there, ["extraction_date", "record"], "left_anti")
+        writer(clean.withColumn("epoch", F.lit(epoch_id)), epoch_id)
 
     query = (
         stream.writeStream.foreachBatch(batch)
@@ -153,4 +164,4 @@ def stream_trusted_details(
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(trusted_dir)
+    return spark.read.parquet(trusted_dir).drop("record", "epoch")

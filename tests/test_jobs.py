@@ -8,6 +8,7 @@ import os
 
 from cinelake import jobs
 from cinelake import operators as op
+from cinelake.plans import star
 
 HEADER = (
     "id|tituloPincipal|tituloOriginal|anoLancamento|tempoMinutos|genero|notaMedia|numeroVotos|generoArtista|"
@@ -79,7 +80,7 @@ def test_cli_entry_points(spark, tmp, capsys):
     jobs.main(["enrichment", "--credits", f"{tmp}/raw", "--details", f"{tmp}/json", "--errors", f"{tmp}/err"])
     stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert (stats["n_requested"], stats["n_found"]) == (1, 1)
-    assert spark.read.parquet(f"{tmp}/ref/fact_movie_actor").count() == 1
+    assert star.read_star(spark, f"{tmp}/ref").fact.count() == 1
 
 
 def test_refined_job_bucketed(spark, tmp):

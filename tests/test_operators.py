@@ -102,16 +102,14 @@ def test_surrogate_key_matches_global_row_number(spark):
     expected = _global_numbering(df, ["k", "name"])
     for parts in (4, 7):
         spark.conf.set("spark.sql.shuffle.partitions", str(parts))
-        got = op.surrogate_key(df, ["k", "name"], "id", rows_per_bucket=600)  # bucket + offset path
+        got = op.surrogate_key(df, ["k", "name"], "id")
         assert {(r.k, r.name): r.id for r in got.collect()} == expected
-        small = op.surrogate_key(df, ["k", "name"], "id")  # single ordered window path
-        assert {(r.k, r.name): r.id for r in small.collect()} == expected
     spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
 def test_surrogate_key_strings(spark):
     names = spark.createDataFrame([(f"artist {i:05d}",) for i in range(3000)][::-1], "name string")
-    got = op.surrogate_key(names, ["name"], "id", rows_per_bucket=500)
+    got = op.surrogate_key(names, ["name"], "id")
     ids = {r.name: r.id for r in got.collect()}
     assert ids["artist 00000"] == 1 and ids["artist 02999"] == 3000 and len(set(ids.values())) == 3000
 
@@ -180,16 +178,21 @@ def test_schema_diff(spark):
     assert "id: int != bigint" in diffs and "missing column title" in diffs and "unexpected column name" in diffs
 
 
-def test_lookup_broadcast_only_when_small(spark):
-    fact = spark.range(100).select((F.col("id") % 5).alias("k"))
-    dim = spark.range(5).select(F.col("id").alias("k"), (F.col("id") + 100).alias("id"))
-    out = op.lookup_key(fact, dim, "k", "k", "id", "k_id")
-    assert "BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString()
-    assert out.count() == 100
-    assert op.fits_broadcast(dim) and not op.fits_broadcast(dim, max_bytes=64)
-    assert op.fits_broadcast(dim, max_bytes=64, known_rows=3) is False  # 32-byte rows: cap is 2
-    out2 = op.lookup_key(fact, dim, "k", "k", "id", "k_id", max_broadcast_bytes=64)  # above the cap: no hint
-    assert out2.count() == 100
+def test_wide_lookup_stays_a_shuffle_join(spark, tmp):
+    """20 kB names: few rows, but their bytes are over the threshold."""
+    fact = spark.range(2000).select((F.col("id") % 500).alias("k"))
+    noise = F.transform(F.sequence(F.lit(1), F.lit(300)), lambda i: F.sha2(F.concat_ws("-", "id", i), 256))
+    spark.range(500).select(F.col("id").alias("k"), F.concat_ws("", noise).alias("id")).write.parquet(f"{tmp}/dim")
+    out = op.lookup_key(fact, spark.read.parquet(f"{tmp}/dim"), "k", "k", "id", "k_id")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        assert "ResolvedHint" not in out._jdf.queryExecution().analyzed().toString()
+        assert len(out.collect()) == 2000
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BuildRight" not in plan  # the wide side is not the broadcast one
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_hot_key_join_is_split_by_aqe(spark):
@@ -211,7 +214,7 @@ def test_hot_key_join_is_split_by_aqe(spark):
             F.when(F.col("id") % 10 < 4, F.lit(0)).otherwise(F.col("id") % 997).alias("film"), F.col("id").alias("credit")
         )
         films = spark.range(0, 997).select(F.col("id").alias("film_id"), (F.col("id") * 2).alias("id"))
-        out = op.lookup_key(credits, films, "film", "film_id", "id", "film_key", max_broadcast_bytes=1)
+        out = op.lookup_key(credits, films, "film", "film_id", "id", "film_key")
         assert len(out.collect()) == 20000  # executes this plan, so AQE finalises it
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "isFinalPlan=true" in plan
@@ -233,8 +236,10 @@ def test_sizing_conf_for_large_inputs():
     from cinelake.session import sizing_conf
 
     conf = sizing_conf(100 * 1024**4)  # 100 TB
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
-    assert conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 * 1024**2)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 32768  # blocks grow with its square
+    assert conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(3200 * 1024**2)
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(1024**3)
+    assert sizing_conf(1024**4)["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == str(256 * 1024**2)
     assert int(sizing_conf(10)["spark.sql.shuffle.partitions"]) == 200
 
 
@@ -246,8 +251,56 @@ def test_degenerate_arguments(spark):
     assert df.select(fx.label_codes("id", {}).alias("x")).first().x is None
 
 
-def test_surrogate_key_bucket_cap_keeps_ids_exact(spark):
-    df = spark.range(0, 3000).select(((F.col("id") * 7919) % 3001).alias("k"))
+def test_numbering_has_one_path_and_no_single_task(spark):
+    df = spark.range(0, 3000).select(((F.col("id") * 7919) % 3001).alias("k"), F.repeat(F.lit("x"), 500).alias("wide"))
     expected = _global_numbering(df, ["k"])
-    got = op.surrogate_key(df, ["k"], "id", rows_per_bucket=1, max_buckets=3, checkpoint_large=False)
-    assert {(r.k,): r.id for r in got.collect()} == expected
+    got, total = op.surrogate_key_counted(df, ["k"], "id")
+    assert total == 3000 and {(r.k,): r.id for r in got.collect()} == expected
+    empty, none = op.surrogate_key_counted(df.filter("k < 0"), ["k"], "id")
+    assert none == 0 and empty.count() == 0 and empty.columns == ["id", "k", "wide"]
+
+
+def test_pearson_is_pairwise_complete(spark):
+    rows = [(float(i), 3.0 * i + (i % 3)) for i in range(50)]
+    holes = rows + [(None, 1e9), (1e9, None), (None, None)]
+    a = spark.createDataFrame(rows, "x double, y double").agg(F.round(op.pearson("x", "y"), 9)).first()[0]
+    assert spark.createDataFrame(holes, "x double, y double").agg(F.round(op.pearson("x", "y"), 9)).first()[0] == a > 0.99
+
+
+def test_event_document_without_records(spark):
+    docs = spark.createDataFrame([('{"Records":[]}',), ("{}",), ("no json",), (None,)], "doc string")
+    loc = fx.event_object_location("doc")
+    assert [tuple(r) for r in docs.select(loc["bucket_name"], loc["object_key"]).collect()] == [(None, None)] * 4
+
+
+def test_profile_covers_texts_and_dates(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame([(1.0, "b", dt.date(2024, 1, 2)), (3.0, "a", None), (None, None, None)], "x double, s string, d date")
+    got = {r.column_name: r for r in op.describe_profile(df).collect()}
+    assert (got["x"]["count"], got["x"]["mean"], got["x"].min_text) == (2, 2.0, None)
+    assert (got["s"]["count"], got["s"].min_text, got["s"].max_text, got["s"]["mean"]) == (2, "a", "b", None)
+    assert (got["d"]["count"], got["d"].min_text) == (1, "2024-01-02")
+
+
+def test_no_action_runs_while_a_check_is_planned(spark):
+    def boom(batches):
+        raise RuntimeError("ran")
+
+    fact = spark.range(5).select(F.col("id").alias("fk"))
+    dim = spark.range(3).mapInArrow(boom, "id long")
+    op.fk_violations(fact, [("fk", dim, "id")])
+    op.lookup_key(fact, dim.withColumnRenamed("id", "k"), "fk", "k", "k", "out")
+
+
+def test_sorts_come_out_in_order(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1009).alias("k"), F.col("id").alias("v")).repartition(7)
+    assert [r.k for r in op.sort_asc(df, ["k", "v"]).collect()] == sorted(r.k for r in df.collect())
+    down = [(r.k, r.v) for r in op.sort_desc(df.withColumn("k", F.col("k") % 10), "k", ["v"]).collect()]
+    assert down == sorted(down, key=lambda t: (-t[0], t[1]))
+
+
+def test_stage_counts(spark):
+    df = spark.range(10)
+    got = op.stage_counts([("all", df), ("some", df.filter("id > 6")), ("none", df.filter("id > 60"))]).collect()
+    assert [tuple(r) for r in sorted(got)] == [(1, "all", 10), (2, "some", 3), (3, "none", 0)]

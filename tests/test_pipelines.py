@@ -166,34 +166,53 @@ def test_write_and_register_star(spark, star, tmp):
     from cinelake.sources import register_tables
 
     root = f"{tmp}/refined"
-    st.write_star(star, root)
+    folder = st.write_star(star, root)
     back = st.read_star(spark, root)
     assert sorted(map(tuple, back.fact.select(*st.FACT_COLUMNS).collect())) == sorted(map(tuple, star.fact.collect()))
     assert back.dim_actor.count() == star.dim_actor.count()
-    years = {r.release_year for r in spark.read.parquet(f"{root}/fact_movie_actor").select("release_year").collect()}
+    years = {r.release_year for r in spark.read.parquet(f"{folder}/fact_movie_actor").select("release_year").collect()}
     assert years == {2005, 2010, 2012}  # one folder per release year, not per film
-    names = register_tables(spark, root, ["dim_genre", "dim_actor"])
+    names = register_tables(spark, folder, ["dim_genre", "dim_actor"])
     assert spark.sql(f"SELECT count(*) FROM {names[0]}").first()[0] == 3
     spark.sql("DROP TABLE IF EXISTS dim_genre")
     spark.sql("DROP TABLE IF EXISTS dim_actor")
 
 
-def test_star_large_dimension_path_gives_same_tables(spark, raw_credits, raw_details, monkeypatch):
-    def tables(s):
-        return (
-            sorted(map(tuple, s.fact.collect())),
-            sorted(map(tuple, s.dim_actor.collect())),
-            sorted(map(tuple, s.dim_date.collect())),
-        )
+def test_a_rebuild_replaces_the_star_whole(spark, raw_credits, raw_details, tmp):
+    """The second build has fewer films, so other ids and years: nothing of the first is left,
+    and a build that broke off before its last step is not seen."""
+    from cinelake import operators as op
 
     tc = tr.trusted_credits(raw_credits)
     td = tr.trusted_details(raw_details, extraction_date=dt.date(2024, 3, 27))
-    small = tables(st.build_star(tc, td))
-    # pretend dimensions above 2 rows are large: bucketed numbering + written copies
-    monkeypatch.setattr(st, "SMALL_DIM_ROWS", 2)
-    big_star = st.build_star(tc, td)
-    assert "InMemoryFileIndex" in big_star.dim_actor._jdf.queryExecution().executedPlan().toString()
-    assert tables(big_star) == small
+    root = f"{tmp}/refined"
+    st.write_star(st.build_star(tc, td), root)
+    first = st.read_star(spark, root)
+    newest = td.agg({"release_date": "max"}).first()[0]
+    fewer = st.build_star(tc.filter("id <> 'tt1'"), td.filter(td.release_date == newest))
+    st.write_star(fewer, root)
+    back = st.read_star(spark, root)
+    assert 0 < back.fact.count() == fewer.fact.count() < first.fact.count()
+    refs = [("id_movie", back.dim_movie, "id"), ("id_actor", back.dim_actor, "id"), ("id_date", back.dim_date, "id"), ("id_genre", back.dim_genre, "id")]
+    assert {r.n_missing for r in op.fk_violations(back.fact, refs).collect()} == {0}
+    first.dim_actor.write.parquet(f"{root}/build-99999999999999999999-broken/dim_actor")
+    assert st.read_star(spark, root).fact.count() == fewer.fact.count()
+    st.drop_old_builds(spark, root)
+    assert st.read_star(spark, root).fact.count() == fewer.fact.count()
+    with pytest.raises(Exception):
+        first.fact.count()
+
+
+def test_two_snapshots_of_a_film_count_once(spark, raw_credits, raw_details):
+    from pyspark.sql import functions as F
+
+    tc = tr.trusted_credits(raw_credits)
+    one = tr.trusted_details(raw_details, extraction_date=dt.date(2024, 3, 27))
+    two = one.withColumn("extraction_date", F.lit(dt.date(2024, 4, 1))).withColumn("popularity", F.col("popularity") + 5)
+    single, double = st.build_star(tc, two), st.build_star(tc, one.unionByName(two))
+    for fn in (an.releases_per_year, an.popularity_per_year, an.seasonal_share, an.rating_by_genre, an.top_artists_revenue):
+        assert sorted(map(tuple, fn(double).collect()), key=str) == sorted(map(tuple, fn(single).collect()), key=str)
+    assert double.dim_movie.count() == single.dim_movie.count()
 
 
 def test_bucketed_star_joins_without_shuffle(spark, star, tmp):

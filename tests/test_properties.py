@@ -11,11 +11,10 @@ SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=[Health
 
 
 @SETTINGS
-@given(keys=st.sets(st.integers(min_value=-10**12, max_value=10**12), min_size=1, max_size=400),
-       per_bucket=st.integers(min_value=1, max_value=120))
-def test_surrogate_key_is_global_rank(spark, keys, per_bucket):
+@given(keys=st.sets(st.integers(min_value=-10**12, max_value=10**12), min_size=1, max_size=400))
+def test_surrogate_key_is_global_rank(spark, keys):
     df = spark.createDataFrame([(k,) for k in keys], "k long")
-    got = {r.k: r.id for r in op.surrogate_key(df, ["k"], "id", rows_per_bucket=per_bucket, checkpoint_large=False).collect()}
+    got = {r.k: r.id for r in op.surrogate_key(df, ["k"], "id").collect()}
     assert got == {k: i for i, k in enumerate(sorted(keys), start=1)}
 
 
@@ -24,7 +23,7 @@ def test_surrogate_key_is_global_rank(spark, keys, per_bucket):
 def test_surrogate_key_strings_follow_spark_order(spark, words):
     df = spark.createDataFrame([(w,) for w in words], "w string")
     expected = {r.w: r.id for r in df.select("w", F.row_number().over(Window.orderBy("w")).alias("id")).collect()}
-    got = {r.w: r.id for r in op.surrogate_key(df, ["w"], "id", rows_per_bucket=7, checkpoint_large=False).collect()}
+    got = {r.w: r.id for r in op.surrogate_key(df, ["w"], "id").collect()}
     assert got == expected
 
 

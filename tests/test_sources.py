@@ -84,15 +84,24 @@ def test_json_balanced_sink(spark, tmp, n, sizes):
     out = os.path.join(tmp, f"json{n}")
     parts = write_json_balanced(df, out, ["id"], max_per_file=100)
     assert parts == len(sizes)
-    got = []
-    for folder in sorted(glob.glob(os.path.join(out, "part=*")), key=lambda p: int(p.split("=")[-1])):
-        files = glob.glob(os.path.join(folder, "*.json"))
-        assert len(files) == 1  # one file per part
-        with open(files[0], encoding="utf-8") as fh:
+    got, ids = [], []
+    for name in glob.glob(os.path.join(out, "*.json")):
+        with open(name, encoding="utf-8") as fh:
             lines = fh.read().splitlines()
         got.append(len(lines))
+        ids += [json.loads(x)["id"] for x in lines]
         assert "ç" in lines[0]  # not escaped
-    assert got == sizes
+    assert sorted(got, reverse=True) == sizes and sorted(ids) == list(range(n))
+
+
+def test_json_balanced_sink_over_many_tasks(spark, tmp, monkeypatch):
+    from cinelake.sources import sinks
+
+    monkeypatch.setattr(sinks, "FILES_PER_TASK", 2)
+    out = os.path.join(tmp, "many")
+    assert write_json_balanced(spark.range(1234), out, ["id"], max_per_file=10) == 124
+    sizes = sorted(sum(1 for _ in open(f)) for f in glob.glob(os.path.join(out, "*.json")))
+    assert len(sizes) == 124 and sum(sizes) == 1234 and sizes[-1] - sizes[0] <= 1
 
 
 def test_id_list_sink(spark, tmp):
@@ -120,6 +129,17 @@ def test_land_once_skips_existing_target(spark, tmp):
     assert [r.x for r in spark.read.csv(target, schema="x string").collect()] == ["a"]
 
 
+def test_land_once_redoes_a_half_written_landing(spark, tmp):
+    from cinelake.sources import land_once
+
+    target = os.path.join(tmp, "landing")
+    os.makedirs(os.path.join(target, "_temporary", "0"))
+    write_text(target, "part-00000-half.csv", "half")
+    assert land_once(spark.createDataFrame([("a",)], "x string"), target, "csv")
+    assert [r.x for r in spark.read.csv(target, schema="x string").collect()] == ["a"]
+    assert not land_once(spark.createDataFrame([("b",)], "x string"), target, "csv")
+
+
 def test_json_capped_sink(spark, tmp):
     from cinelake.sources import write_json_capped
 
@@ -142,23 +162,21 @@ def test_observed_funnel_counts(spark):
     assert op.observe_counts(df, "named", kept=F.col("votes").isNotNull()).count() == 3
 
 
-def test_salted_fact_write_spreads_a_hot_year(spark, tmp):
+def test_fact_write_spreads_a_hot_year(spark, tmp):
     from cinelake.sources import write_fact
 
-    fact = spark.range(4000).select(
-        F.col("id").alias("id_movie"), (F.col("id") % 97).alias("id_actor"),
-        F.when(F.col("id") < 3000, F.lit(2005)).otherwise(F.lit(2010)).alias("release_year"),  # 75% in one year
+    fact = spark.range(0, 60000, 1, 12).select(
+        F.col("id").alias("id_movie"), F.xxhash64("id").alias("noise"),
+        F.when(F.col("id") % 4 < 3, F.lit(2005)).otherwise(F.lit(2010)).alias("release_year"),  # 75% in one year
     )
     out = os.path.join(tmp, "fact")
-    # on 4,000 rows AQE would merge the salted partitions back into one task (at
-    # scale they are far above the advisory size); switch that off to see the salt
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "false")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "64k")
     try:
-        write_fact(fact, out, files_per_value=4)
+        write_fact(fact, out)
     finally:
-        spark.conf.set(key, old)
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
     hot = glob.glob(os.path.join(out, "release_year=2005", "*.parquet"))
-    assert 1 < len(hot) <= 4  # the hot year is written by several tasks, not one
-    assert spark.read.parquet(out).count() == 4000
+    assert len(hot) > 2  # the hot year is written by several tasks, as its size asks for
+    assert spark.read.parquet(out).count() == 60000

@@ -82,6 +82,42 @@ def test_stream_trusted_details_matches_batch_job(spark, tmp):
     ]
 
 
+def test_stream_equals_batch_with_late_files_and_duplicates(spark, tmp):
+    from cinelake import jobs
+    from cinelake.streaming import stream_trusted_details
+
+    raw = os.path.join(tmp, "Raw")
+    day, ckpt, out = os.path.join(raw, "2024", "03", "27"), os.path.join(tmp, "ckpt"), os.path.join(tmp, "trusted")
+    key = lambda r: (r.id, str(r.extraction_date))
+
+    def both(n):
+        got = stream_trusted_details(spark, raw, out, ckpt, max_files_per_trigger=1)
+        batch = jobs.trusted_details_job(spark, raw, os.path.join(tmp, f"batch{n}"))
+        assert got.columns == batch.columns
+        assert sorted(map(key, got.collect())) == sorted(map(key, batch.collect()))
+        return got.count()
+
+    land(day, "details-part-0.json", [rec(1), rec(2)])
+    land(day, "details-part-1.json", [rec(3), rec(2)])  # several files a date, a duplicate across them
+    assert both(0) == 3
+    land(day, "details-part-2.json", [rec(4), rec(1)])  # a later file of an old date
+    land(os.path.join(raw, "2024", "03", "28"), "details-part-0.json", [rec(1)])  # same record, other date
+    assert both(1) == 5
+    assert both(2) == 5  # nothing new
+
+
+def test_replayed_batch_replaces_its_own_rows(spark, tmp):
+    from cinelake.streaming import stream_trusted_details
+
+    raw, out, ckpt = (os.path.join(tmp, x) for x in ("Raw", "trusted", "ckpt"))
+    land(os.path.join(raw, "2024", "03", "27"), "a.json", [rec(1), rec(2)])
+    assert stream_trusted_details(spark, raw, out, ckpt).count() == 2
+    # the batch was written but its commit was lost: it runs again
+    for name in os.listdir(os.path.join(ckpt, "commits")):
+        os.remove(os.path.join(ckpt, "commits", name))
+    assert stream_trusted_details(spark, raw, out, ckpt).count() == 2
+
+
 def test_stream_dedup_within_watermark(spark, tmp):
     from pyspark.sql import types as T
 
