@@ -95,3 +95,37 @@ def test_refined_job_bucketed(spark, tmp):
     finally:
         for t in ("fact_movie_actor", "dim_movie", "dim_actor", "dim_date", "dim_genre"):
             spark.sql(f"DROP TABLE IF EXISTS refined_{t}")
+
+
+def test_landing_report_found_analysis_and_catalogue(spark, tmp, capsys):
+    rows = [line("tt1", "Action,Sci-Fi"), line("tt2", "Fantasy", artist="Bob"), line("tt9", "Fantasy", role='a "q" \\ , b')]
+    write(f"{tmp}/in/movies.csv", HEADER + "\n" + "\n".join(rows) + "\n")
+    write(f"{tmp}/in/skip.txt", "x")
+    args = ["land", "--input", f"{tmp}/in", "--output", f"{tmp}/lake", "--day", "2024-03-20"]
+    jobs.main(args)
+    landed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert len(landed) == 1 and "Movies/2024/03/20" in landed[0]
+    jobs.main(args)  # there already
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == []
+
+    write(f"{tmp}/json/2024/03/27/a.json", "\n".join(json.dumps(d) for d in [detail(1, "tt1", "2005-05-17"), detail(2, "tt2", "2006-01-02"), detail(3, "tt3", "2006-01-02")]) + "\n")
+    assert [r.value for r in spark.read.text(landed[0]).collect()] == [HEADER, *rows]
+    jobs.main(["trusted-credits", "--input", f"{tmp}/lake/Raw", "--output", f"{tmp}/tc", "--report", f"{tmp}/report"])
+    assert {r.stage: r.n_rows for r in spark.read.parquet(f"{tmp}/report/counts").collect()} == {"raw": 3, "trusted": 3}
+    profile = {r.column_name: r for r in spark.read.parquet(f"{tmp}/report/profile").collect()}
+    assert profile["id"].min_text == "tt1" and profile["numeroVotos"]["mean"] == 100.0
+    jobs.main(["enrichment", "--credits", f"{tmp}/lake/Raw", "--details", f"{tmp}/json", "--errors", f"{tmp}/err", "--found", f"{tmp}/found"])
+    found = spark.read.json(f"{tmp}/found")
+    assert sorted(r.imdb_id for r in found.collect()) == ["tt1", "tt2"]
+
+    jobs.main(["trusted-details", "--input", f"{tmp}/json", "--output", f"{tmp}/td"])
+    jobs.main(["refined", "--credits", f"{tmp}/tc", "--details", f"{tmp}/td", "--output", f"{tmp}/ref"])
+    jobs.main(["analysis", "--refined", f"{tmp}/ref", "--output", f"{tmp}/results"])
+    assert sum(r.releases for r in spark.read.parquet(f"{tmp}/results/releases_per_year").collect()) == 2
+    assert set(jobs.ANALYSES) == set(os.listdir(f"{tmp}/results"))
+    jobs.main(["catalogue", "--refined", f"{tmp}/ref"])
+    try:
+        assert spark.sql("SELECT count(*) FROM fact_movie_actor").first()[0] == 2
+    finally:
+        for t in ("fact_movie_actor", "dim_movie", "dim_actor", "dim_date", "dim_genre"):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
