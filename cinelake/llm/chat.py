@@ -436,3 +436,20 @@ def with_control(conversations: DataFrame) -> DataFrame:
         [(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], "conv_id long, turn long, role string, text string"
     )
     return conversations.select("conv_id", "turn", "role", "text").unionByName(extra)
+
+
+def _escaped(col: str) -> str:
+    return f"replace(replace({col}, '&', '&amp;'), '<|', '&lt;|')"
+
+
+#: Each turn adds the two markers, the role's line end and the turn's: 24 characters.
+ORACLE_SQL = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -1, 1, 'assistant', '{CONTROL_TEXT}')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(24 + length(replace({_escaped('role')}, chr(10), '&#10;')) + length({_escaped('text')})) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id"""

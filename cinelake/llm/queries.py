@@ -68,4 +68,4 @@ QUERIES = {
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_urls": urltree.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_chat": chat.ORACLE_SQL, "op8_urls": urltree.ORACLE_SQL}

@@ -1,10 +1,12 @@
 import hashlib
 
+import duckdb
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
 from cinelake.llm import chat
+from cinelake.llm.queries import ORACLE_SQL, QUERIES
 
 
 def test_compiler_folds_constants_and_renders():
@@ -70,3 +72,11 @@ def test_formatted_matches_plain_python(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert [r.conv_id for r in chat.formatted(chat.with_control(df)).collect()] == [-1]
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_matches_oracle(spark, sf):
+    got = sorted(tuple(r) for r in QUERIES["op2_chat"](spark, sf).collect())
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{sf}/conversations.parquet')")
+    assert got == sorted(con.sql(ORACLE_SQL["op2_chat"]).select(", ".join(x.split()[0] for x in chat.OUTPUT.split(", "))).fetchall())
