@@ -8,9 +8,10 @@ piece, best score first, then leftmost.  A candidate that comes up is skipped if
 of seed, variant, part, place and piece falls under the dropout rate, else merged; merging puts
 the new neighbours on the agenda.  What is no piece in the end is written as bytes.
 
-Every chunk occurrence gets one of ``variants`` keyed by seed, document and place, so a word
-is cut in different ways across the corpus, always alike on a rerun, and the result of a
-(chunk, variant) can be kept in a bounded memo.  A literal U+2581 is written as bytes, so
+Every run of ``RUN`` words gets one of ``variants`` keyed by seed, document and place, so a
+word is cut in different ways across the corpus, always alike on a rerun, and the result of a
+(chunk, variant) can be kept in a bounded memo.  What a memo lacks is merged for many
+documents at once, each round in arrays.  A literal U+2581 is written as bytes, so
 decoding is exact for every text.
 
 Defined cases: null and empty texts give no ids and decode to the empty text; texts of any
@@ -36,7 +37,17 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 _PART = regex.compile(r"▁*[\p{L}\p{M}\p{N}]+|▁+|.", regex.S)
 _M = (1 << 64) - 1
-MEMO = 300_000
+#: Entries of a memo's generation.
+MEMO = 60_000
+#: Documents encoded at once.
+SLAB = 300
+#: Words in a row that share a variant.
+RUN = 32
+#: Stands for a U+2581 of the text; no chunk looks like it.
+LITERAL = "x" + SPACE
+#: Characters of a part in the array form.
+WIDE = 48
+NONE = 1 << 40
 
 
 @dataclass(frozen=True)
@@ -49,7 +60,12 @@ class Params:
 @dataclass
 class Vocabulary:
     ids: dict[str, int]  # pieces that merges can form
-    scores: list[float]
+    pairs: dict[int, int]  # left id << 32 | right id -> place of their merge in the order of scores
+    merged: list[int]  # id of the piece at each place
+    pair_keys: np.ndarray  # the pairs sorted, and their places
+    pair_places: np.ndarray
+    merged_array: np.ndarray
+    char: np.ndarray  # id of each single character, -1 for none
     byte: list[int]  # id of each byte's piece
     surface: bytes  # what the ids decode to, one after the other
     place: np.ndarray  # where each id's surface begins
@@ -75,118 +91,283 @@ def load(path: str = MODEL) -> Vocabulary:
             surface.append(piece.replace(SPACE, " ").encode())
             joined.update(piece[k : k + 2] for k in range(len(piece) - 1))
     place = np.concatenate([[0], np.cumsum([len(s) for s in surface])])
-    return Vocabulary(ids, [sp.get_score(i) for i in range(sp.get_piece_size())], byte, b"".join(surface), place, joined)
+    merged = sorted((i for p, i in ids.items() if len(p) > 1), key=lambda i: (-sp.get_score(i), i))
+    order = {i: n for n, i in enumerate(merged)}
+    pairs = {
+        ids[p[:k]] << 32 | ids[p[k:]]: order[i]
+        for p, i in ids.items()
+        for k in range(1, len(p))
+        if p[:k] in ids and p[k:] in ids
+    }
+    keys = np.array(sorted(pairs), np.int64)
+    places = np.array([pairs[k] for k in keys.tolist()], np.int64)
+    char = np.full(0x110000, -1, np.int32)
+    for p, i in ids.items():
+        if len(p) == 1:
+            char[ord(p)] = i
+    return Vocabulary(ids, pairs, merged, keys, places, np.array(merged, np.int64), char, byte, b"".join(surface), place, joined)
+
+
+class Memo:
+    """Results of two generations: what is asked for moves to the young one, and when that is
+    full (``MEMO`` entries, at the next ``age``) the old one is forgotten."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def get(self, key: str) -> bytes | None:
+        got = self.young.get(key)
+        if got is None:
+            got = self.old.get(key)
+            if got is not None:
+                self.young[key] = got
+        return got
+
+    def put(self, key: str, value: bytes) -> None:
+        self.young[key] = value
+
+    def age(self) -> None:
+        if len(self.young) > MEMO:
+            self.old, self.young = self.young, {}
 
 
 class Encoder:
     def __init__(self, vocabulary: Vocabulary, params: Params = Params()):
         self.v, self.p = vocabulary, params
         self.limit = int(params.dropout * (1 << 32))
-        self.chunks: list[dict[str, bytes]] = [{} for _ in range(max(1, params.variants))]
-        self.parts: list[dict[str, list[int]]] = [{} for _ in range(max(1, params.variants))]
+        self.chunks = [Memo() for _ in range(max(1, params.variants))]
+        self.literal = np.array([vocabulary.byte[b] for b in SPACE.encode()], np.int32).tobytes()
+        self.parts = [Memo() for _ in range(max(1, params.variants))]
+
+    def key(self, part: str, variant: int) -> int:
+        return (zlib.crc32(part.encode()) * 0x9E3779B97F4A7C15 + (self.p.seed * 1_000_003 + variant) * 0xC2B2AE3D27D4EB4F) & _M
 
     def merge(self, part: str, variant: int) -> list[int]:
-        """Agenda processing of one part."""
-        ids, scores = self.v.ids, self.v.scores
-        sym = list(part)
+        """Agenda processing of one part; an entry is place in the order of scores << 32 |
+        place of the left symbol."""
+        ids, merged, pair = self.v.ids, self.v.merged, self.v.pairs.get
+        sym = [ids.get(c, -1) for c in part]  # -1: no piece, -2: merged into another
         n = len(sym)
-        nxt, prev = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda = []
-        for i in range(n - 1):
-            piece = sym[i] + sym[i + 1]
-            at = ids.get(piece)
+        left = sym[0]
+        for i in range(1, n):
+            right = sym[i]
+            at = pair(left << 32 | right)
             if at is not None:
-                agenda.append((-scores[at], i, at, piece))
-        heapify(agenda)
-        key = (zlib.crc32(part.encode()) * 0x9E3779B97F4A7C15 + (self.p.seed * 1_000_003 + variant) * 0xC2B2AE3D27D4EB4F) & _M
-        limit = self.limit
+                agenda.append(at << 32 | i - 1)
+            left = right
+        if agenda:
+            heapify(agenda)
+            nxt, prev = list(range(1, n + 1)), list(range(-1, n - 1))
+            key, limit = self.key(part, variant), self.limit
         while agenda:
-            _, i, at, piece = heappop(agenda)
+            entry = heappop(agenda)
+            i = entry & 0xFFFFFFFF
+            at = entry >> 32
             j = nxt[i]
-            if not sym[i] or j >= n or sym[i] + sym[j] != piece:
+            if j >= n or pair(sym[i] << 32 | sym[j]) != at:
                 continue  # one of the two is part of another merge by now
             if limit:
-                h = (key ^ (i * 0x165667B19E3779F9 + at * 0x27D4EB2F165667C5)) & _M
-                h = ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9) & _M
-                if ((h ^ (h >> 32)) & 0xFFFFFFFF) < limit:
+                h = ((key ^ entry) * 0xBF58476D1CE4E5B9) & _M
+                if (((h ^ (h >> 29)) * 0x94D049BB133111EB) & _M) >> 32 < limit:
                     continue
-            sym[i], sym[j] = piece, ""
-            k = nxt[j]
-            nxt[i] = k
-            if k < n:
-                prev[k] = i
-                p = piece + sym[k]
-                a = ids.get(p)
-                if a is not None:
-                    heappush(agenda, (-scores[a], i, a, p))
+            left = sym[i] = merged[at]
+            sym[j] = -2
+            j = nxt[i] = nxt[j]
+            if j < n:
+                prev[j] = i
+                at = pair(left << 32 | sym[j])
+                if at is not None:
+                    heappush(agenda, at << 32 | i)
             h = prev[i]
             if h >= 0:
-                p = sym[h] + piece
-                a = ids.get(p)
-                if a is not None:
-                    heappush(agenda, (-scores[a], h, a, p))
+                at = pair(sym[h] << 32 | left)
+                if at is not None:
+                    heappush(agenda, at << 32 | h)
+        if -1 not in sym:
+            return [s for s in sym if s >= 0]
         out: list[int] = []
-        for s in sym:
-            if s:
-                at = ids.get(s)
-                out += [at] if at is not None else [self.v.byte[b] for b in s.encode()]
+        for s, c in zip(sym, part):
+            if s >= 0:
+                out.append(s)
+            elif s == -1:
+                out += [self.v.byte[b] for b in c.encode()]
+        return out
+
+    def merge_many(self, parts: list[str], variant: int) -> list[bytes]:
+        """``merge`` of many parts at once, as int32 bytes: a row of arrays for each part, in
+        which every round processes the row's next agenda entry (the smallest place in the
+        order of scores, leftmost of equals)."""
+        out: list[bytes] = [b""] * len(parts)
+        order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
+        while order and len(parts[order[-1]]) > WIDE:  # long ones one by one
+            i = order.pop()
+            out[i] = np.array(self.merge(parts[i], variant), np.int32).tobytes()
+        for at in range(0, len(order), 4096):
+            rows = order[at : at + 4096]
+            size = np.array([len(parts[i]) for i in rows])
+            text = np.frombuffer("".join([parts[i] for i in rows]).encode("utf-32-le"), np.uint32)
+            ids = self.v.char[text]
+            inside = np.arange(size[-1]) < size[:, None]
+            sym = np.full(inside.shape, -2, np.int64)
+            sym[inside] = ids
+            plain = np.ones(len(rows), bool)
+            plain[np.repeat(np.arange(len(rows)), size)[ids < 0]] = False
+            for k in np.flatnonzero(~plain):  # with characters that are no piece
+                out[rows[k]] = np.array(self.merge(parts[rows[k]], variant), np.int32).tobytes()
+            keep = np.flatnonzero(plain)
+            key = np.array([self.key(parts[rows[k]], variant) for k in keep], np.uint64)
+            for k, got in zip(keep, self._rounds(sym[keep], key)):
+                out[rows[k]] = got
+        return out
+
+    def _pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Place of each pair's merge in the order of scores, or NONE."""
+        want = left << 32 | right
+        at = np.minimum(np.searchsorted(self.v.pair_keys, want), len(self.v.pair_keys) - 1)
+        return np.where(self.v.pair_keys[at] == want, self.v.pair_places[at], NONE)
+
+    def _rounds(self, sym: np.ndarray, key: np.ndarray) -> list[bytes]:
+        n, width = sym.shape
+        done: list[bytes] = [b""] * n
+        row = np.arange(n)
+        place = np.broadcast_to(np.arange(width), sym.shape).copy()
+        rank = np.full((n, width), NONE)
+        if width > 1:
+            rank[:, :-1] = self._pair(sym[:, :-1], sym[:, 1:])
+        cols = np.arange(width)
+        merged = self.v.merged_array
+        while len(row):
+            b = rank.argmin(axis=1)
+            line = np.arange(len(row))
+            at = rank[line, b]
+            over = at == NONE
+            if over.any():
+                for r, s in zip(row[over], sym[over]):
+                    done[r] = s[s >= 0].astype(np.int32).tobytes()
+                go = ~over
+                row, sym, place, rank, key, b, at = (x[go] for x in (row, sym, place, rank, key, b, at))
+                if not len(row):
+                    break
+                line = np.arange(len(row))
+            entry = at << 32 | place[line, b]
+            skip = np.zeros(len(row), bool)
+            if self.limit:
+                h = (key ^ entry.view(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+                h = ((h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)) >> np.uint64(32)
+                skip = h < np.uint64(self.limit)
+                rank[line[skip], b[skip]] = NONE
+            m = np.flatnonzero(~skip)
+            if not len(m):
+                continue
+            c = b[m]
+            # the right symbol's column goes out of the symbols, the pair's out of the ranks
+            src = np.minimum(cols + (cols > c[:, None]), width - 1)
+            s = np.take_along_axis(sym[m], src, axis=1)
+            p = np.take_along_axis(place[m], src, axis=1)
+            q = np.take_along_axis(rank[m], np.minimum(cols + (cols >= c[:, None]), width - 1), axis=1)
+            s[:, -1], q[:, -1] = -2, NONE
+            k = np.arange(len(m))
+            s[k, c] = merged[at[m]]
+            p[k, c] = place[m, c]
+            nxt = np.where(c + 1 < width, s[k, np.minimum(c + 1, width - 1)], -2)
+            q[k, c] = np.where(nxt >= 0, self._pair(s[k, c], nxt), NONE)
+            has = c > 0
+            q[k[has], c[has] - 1] = self._pair(s[k[has], c[has] - 1], s[k[has], c[has]])
+            sym[m], place[m], rank[m] = s, p, q
+        return done
+
+    @staticmethod
+    def words(text: str) -> list[str]:
+        """The chunks of a text, from one space to the next, with LITERAL for each U+2581 that
+        the text itself has."""
+        out: list[str] = []
+        for n, run in enumerate(text.split(SPACE)):
+            if n:
+                out.append(LITERAL)
+            pieces = run.split(" ")
+            words = [pieces[0] if n else SPACE + pieces[0]]
+            if "" in pieces:  # runs of spaces
+                gap = ""
+                for w in pieces[1:]:
+                    gap += SPACE
+                    if w:
+                        words.append(gap + w)
+                        gap = ""
+                words = [w for w in (*words, gap) if w]
+                if not n and words[0] == SPACE and len(words) > 1:  # spaces at the front are one run
+                    words[:2] = [SPACE + words[1]]
+            else:
+                words += [SPACE + w for w in pieces[1:]]
+            out += words
         return out
 
-    def chunk(self, chunk: str, variant: int) -> bytes:
-        """Ids of a chunk (from one space to the next) as int32 bytes."""
-        memo = self.parts[variant]
+    def variants(self, words: int, key: int) -> list[int]:
+        """The variant of each run of RUN words."""
+        n = -(-words // RUN)
+        if not self.limit or self.p.variants < 2:
+            return [0] * n
+        h = mix64(np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64((key * 0xD1B54A32D192ED03 + self.p.seed) & _M))
+        return (h % np.uint64(self.p.variants)).tolist()
+
+    def learn(self, variant: int, new: set[str]) -> None:
+        """Put what the memo of a variant lacks into it, merging all parts at once."""
+        chunks, parts = self.chunks[variant], self.parts[variant]
+        split = {w: self.split(w) for w in new}
+        found = {p: parts.get(p) for ps in split.values() for p in ps}
+        lacking = [p for p, got in found.items() if got is None]
+        for p, got in zip(lacking, self.merge_many(lacking, variant)):
+            found[p] = got
+            parts.put(p, got)
+        for w, ps in split.items():
+            chunks.put(w, found[ps[0]] if len(ps) == 1 else b"".join([found[p] for p in ps]))
+
+    def encode_many(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:
+        """Ids of each text.  What the memos lack is merged at once for all of them."""
+        for memo in self.chunks:
+            memo.age()
+            memo.put(LITERAL, self.literal)
+        for memo in self.parts:
+            memo.age()
+        docs = []
+        lack: list[set[str]] = [set() for _ in self.chunks]
+        for text, key in zip(texts, keys):
+            words = self.words(text) if text else []
+            which = self.variants(len(words), key)
+            got: list[bytes | None] = []
+            for i, v in enumerate(which):
+                got += map(self.chunks[v].young.get, words[i * RUN : (i + 1) * RUN])
+            gaps = []
+            for i in [i for i, g in enumerate(got) if g is None] if None in got else ():
+                w, v = words[i], which[i // RUN]
+                got[i] = self.chunks[v].get(w)
+                if got[i] is None:
+                    lack[v].add(w)
+                    gaps.append((i, v, w))
+            docs.append((got, gaps))
+        for v, new in enumerate(lack):
+            if new:
+                self.learn(v, new)
+        out = []
+        for got, gaps in docs:
+            for i, v, w in gaps:
+                got[i] = self.chunks[v].get(w)
+            out.append(np.frombuffer(b"".join(got), np.int32))
+        return out
+
+    def split(self, chunk: str) -> list[str]:
+        """Parts of a chunk that no piece connects."""
         parts: list[str] = []
         for part in _PART.findall(chunk):
             if parts and parts[-1][-1] + part[0] in self.v.joined:
                 parts[-1] += part
             else:
                 parts.append(part)
-        out: list[int] = []
-        for part in parts:
-            got = memo.get(part)
-            if got is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                got = memo[part] = self.merge(part, variant)
-            out += got
-        return np.array(out, np.int32).tobytes()
+        return parts
 
     def encode(self, text: str, key: int = 0) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.int32)
-        out: list[bytes] = []
-        mark = -1
-        literal = np.array([self.v.byte[b] for b in SPACE.encode()], np.int32).tobytes()
-        for run in text.split(SPACE):  # a literal U+2581 goes as bytes
-            if mark >= 0:
-                out.append(literal)
-            pieces = run.split(" ")
-            head = pieces[0] if mark >= 0 else SPACE + pieces[0]
-            words = [head] if head else []
-            gap = ""
-            for w in pieces[1:]:
-                gap += SPACE
-                if w:
-                    words.append(gap + w)
-                    gap = ""
-            if gap:
-                words.append(gap)
-            if mark < 0 and len(words) > 1 and words[0] == SPACE:  # spaces at the front are one run
-                words[:2] = [SPACE + words[1]]
-            mark += 1
-            if self.limit and self.p.variants > 1:
-                h = mix64(np.arange(len(out), len(out) + len(words), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64((key * 0xD1B54A32D192ED03 + self.p.seed) & _M))
-                which = (h % np.uint64(self.p.variants)).tolist()
-            else:
-                which = [0] * len(words)
-            for w, v in zip(words, which):
-                got = self.chunks[v].get(w)
-                if got is None:
-                    if len(self.chunks[v]) >= MEMO:
-                        self.chunks[v].clear()
-                    got = self.chunks[v][w] = self.chunk(w, v)
-                out.append(got)
-        return np.frombuffer(b"".join(out), np.int32)
+        return self.encode_many([text], [key])[0]
 
 
 def surfaces(vocabulary: Vocabulary, ids: np.ndarray) -> bytes:
@@ -207,13 +388,11 @@ def _encode_arrow(shared, params: Params, with_ids: bool):
         encoder = Encoder(vocabulary, params)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            for at in range(0, batch.num_rows, 500):
-                keys = ids.slice(at, 500)
-                rows, same = [], []
-                for key, text in zip(keys.to_pylist(), texts.slice(at, 500).to_pylist()):
-                    got = encoder.encode(text or "", key or 0)
-                    rows.append(got)
-                    same.append(decode(vocabulary, got) == (text or ""))
+            for at in range(0, batch.num_rows, SLAB):
+                keys = ids.slice(at, SLAB)
+                plain = [t or "" for t in texts.slice(at, SLAB).to_pylist()]
+                rows = encoder.encode_many(plain, [k or 0 for k in keys.to_pylist()])
+                same = [decode(vocabulary, got) == t for got, t in zip(rows, plain)]
                 n = np.array([len(r) for r in rows], np.int64)
                 cols = [keys, pa.array(n), pa.array(same)]
                 if with_ids:

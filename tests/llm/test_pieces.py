@@ -38,6 +38,25 @@ def test_dropout_varies_and_repeats():
     assert pieces.Encoder(VOCABULARY, pieces.Params(dropout=0.3, seed=5)).encode(text, 1).tolist() != a.tolist()
 
 
+def test_merging_many_is_the_agenda_one_by_one(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40).collect()]
+    parts = sorted({p for t in [*texts, *ODD] for p in DROPPED.split(pieces.SPACE + t.replace(" ", pieces.SPACE))})[:4000]
+    parts += ["a" * 300, "日本", "x日"]
+    for e in (PLAIN, DROPPED):
+        for v in (0, 2):
+            got = e.merge_many(parts, v)
+            assert [np.frombuffer(g, np.int32).tolist() for g in got] == [e.merge(p, v) for p in parts]
+
+
+def test_memos_start_anew_without_changing_ids(monkeypatch):
+    texts = [odd.prose(i, 200) for i in range(30)]
+    want = [DROPPED.encode(t, i).tolist() for i, t in enumerate(texts)]
+    monkeypatch.setattr(pieces, "MEMO", 10)
+    small = pieces.Encoder(VOCABULARY, pieces.Params(dropout=0.3))
+    assert [small.encode(t, i).tolist() for i, t in enumerate(texts)] == want
+    assert [g.tolist() for g in small.encode_many(texts, list(range(30)))] == want
+
+
 def test_everything_dropped_leaves_characters():
     assert len(pieces.Encoder(VOCABULARY, pieces.Params(dropout=1.0)).encode("abc def")) == len("▁abc▁def")
 
