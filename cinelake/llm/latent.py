@@ -28,9 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelake.llm.common import group_sums, lower_ascii, mix64, text_slices
+from cinelake.llm.common import lower_ascii, mix64, text_slices
 
 PASSAGE = 32
+_KEEP = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
 _LETTER = np.zeros(256, bool)
 _LETTER[list(range(48, 58)) + list(range(97, 123)) + list(range(128, 256))] = True
 
@@ -66,11 +68,13 @@ def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = end - start
     pad = np.concatenate([low, np.zeros(8, np.uint8)])
     eight = np.arange(8)
-    h = n.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    mask = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
-    for at in (start, np.maximum(start, start + n // 2 - 4), np.maximum(start, end - 8)):
-        h = mix64(h ^ (pad[at[:, None] + eight].view("<u8")[:, 0] & mask[np.minimum(8, end - at)]))
-    return h, np.searchsorted(start, off)
+    lead = pad[start[:, None] + eight].view("<u8")[:, 0] & _KEEP[np.minimum(8, n)]
+    h = lead * _ODD[0] ^ n.astype(np.uint64) * _ODD[1]
+    long = np.flatnonzero(n > 8)  # the other bytes: the last eight, and eight in the middle
+    s, e = start[long], end[long]
+    for k, at in ((2, e - 8), (3, s + (e - s) // 2 - 4)):
+        h[long] ^= mix64(pad[at[:, None] + eight].view("<u8")[:, 0] * _ODD[k])
+    return mix64(h), np.searchsorted(start, off)
 
 
 @dataclass
@@ -80,21 +84,24 @@ class Items:
     terms: np.ndarray  # sorted hashes
     stop: np.ndarray  # sorted hashes of the stop words
     maybe: np.ndarray = field(init=False)
+    table: np.ndarray = field(init=False)
+    code: np.ndarray = field(init=False)
 
     def __post_init__(self):
-        self.maybe = np.zeros(1 << 20, bool)
-        for x in (self.terms, self.stop):
-            self.maybe[(x >> np.uint64(44)).astype(np.int64)] = True
+        every = np.concatenate([self.terms, self.stop])
+        order = np.argsort(every)
+        self.table = every[order]
+        self.code = np.where(order < len(self.terms), order, -2)
+        self.maybe = np.zeros(1 << 22, bool)
+        self.maybe[(every >> np.uint64(42)).astype(np.int64)] = True
 
     def lookup(self, h: np.ndarray) -> np.ndarray:
         """Each word's term number; -1 for other words, -2 for stop words."""
         out = np.full(len(h), -1)
-        some = np.flatnonzero(self.maybe[(h >> np.uint64(44)).astype(np.int64)])
-        for table, base in ((self.terms, True), (self.stop, False)):
-            if len(table):
-                at = np.minimum(np.searchsorted(table, h[some]), len(table) - 1)
-                hit = table[at] == h[some]
-                out[some[hit]] = at[hit] if base else -2
+        some = np.flatnonzero(self.maybe[(h >> np.uint64(42)).astype(np.int64)])
+        if len(some):
+            at = np.minimum(np.searchsorted(self.table, h[some]), len(self.table) - 1)
+            out[some] = np.where(self.table[at] == h[some], self.code[at], -1)
         return out
 
 
@@ -118,7 +125,7 @@ def _range_arrow(shared, p: Params):
     def run(batches):
         items: Items = shared.value
         n = len(items.terms)
-        w = np.random.default_rng(p.seed).standard_normal((n, p.rank))
+        w = np.random.default_rng(p.seed).standard_normal((n, p.rank)).astype(np.float32)
         df, z, rows = np.zeros(n, np.int64), np.zeros((n, p.rank)), 0
         for batch in batches:
             rows += batch.num_rows
@@ -223,6 +230,9 @@ def common_subsequence(item: np.ndarray, text: np.ndarray) -> np.ndarray:
 class Searcher:
     def __init__(self, space: Space, p: Params):
         self.s, self.p = space, p
+        # energy by term number; -1 (other words) and -2 (stop words) index from the end
+        self.inside = np.append(space.idf**2, [0.0, 0.0])
+        self.every = np.append(space.idf**2, [0.0, space.other**2])
         self.groups = [(int(n), np.flatnonzero(space.length == n)) for n in np.unique(space.length)]
 
     def find(self, data: np.ndarray, off: np.ndarray) -> list[tuple[int, int, float, float, float]]:
@@ -233,9 +243,9 @@ class Searcher:
         if not len(h) or not len(s.items.ids):
             return []
         term = s.items.lookup(h)
-        energy = np.where(term >= 0, s.idf[np.maximum(term, 0)] ** 2, np.where(term == -1, s.other**2, 0.0))
-        inside = np.concatenate([[0], np.cumsum(np.where(term >= 0, energy, 0.0))])
-        every = np.concatenate([[0], np.cumsum(energy)])
+        inside, every = np.zeros(len(h) + 1), np.zeros(len(h) + 1)
+        np.cumsum(self.inside[term], out=inside[1:])
+        np.cumsum(self.every[term], out=every[1:])
         n = np.diff(first)
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
         for size, group in self.groups:
@@ -249,9 +259,12 @@ class Searcher:
             keep = np.flatnonzero((has > 0) & (has >= p.share * (every[b] - every[a])))
             for at in range(0, len(keep), 4096):
                 part = keep[at : at + 4096]
-                run = np.repeat(a[part] - (np.cumsum(b[part] - a[part]) - (b[part] - a[part])), b[part] - a[part]) + np.arange((b[part] - a[part]).sum())
-                vec = np.where((term[run] >= 0)[:, None], s.vectors[np.maximum(term[run], 0)], 0)
-                folded = group_sums(vec, np.concatenate([[0], np.cumsum(b[part] - a[part])]))
+                width = b[part] - a[part]
+                ends = np.cumsum(width)
+                run = term[np.repeat(a[part] - (ends - width), width) + np.arange(ends[-1])]
+                known = run >= 0  # at least one in every window, as it has energy inside
+                starts = np.concatenate([[0], np.cumsum(known)])[ends - width]
+                folded = np.add.reduceat(s.vectors[run[known]], starts)
                 folded /= np.maximum(1e-12, np.linalg.norm(folded, axis=1, keepdims=True))
                 cos = folded @ s.latent[group].T
                 for w, i in zip(*np.nonzero(cos >= p.cosine)):
