@@ -18,7 +18,8 @@ from cinelake.session import materialize
 MASK64 = (1 << 64) - 1
 _R = 0x9E3779B97F4A7C15 | 1
 _R_INV = pow(_R, -1, 1 << 64)
-_SLICE = 1 << 21
+#: Bytes of text that the array code works on at a time; its temporaries are some 50 times that.
+_SLICE = 1 << 19
 
 
 def crc_mod(key: str, m: int) -> Column:
@@ -82,7 +83,7 @@ class RollingHash:
         n = len(data)
         cls = RollingHash
         if len(cls._pow) <= n:
-            size = max(n + 1, 1 << 21)
+            size = max(n + 1, _SLICE + (1 << 16))
             cls._pow, cls._inv = _powers(_R, size), _powers(_R_INV, size)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_CODES[data] * cls._pow[:n], out=self.sums[1:])

@@ -137,7 +137,7 @@ def predict_arrow(shared):
             n = batch.num_rows
             best, score = np.full(n, len(model.languages)), np.zeros(n)
             if model.languages:
-                for i, j, data, off in text_slices(text, 1 << 19):
+                for i, j, data, off in text_slices(text, 1 << 18):
                     bits = code_lengths(model, data, off)
                     best[i:j] = bits.argmin(axis=1)
                     score[i:j] = 1 / np.exp2(np.maximum(-1000, bits.min(axis=1, keepdims=True) - bits)).sum(axis=1)
