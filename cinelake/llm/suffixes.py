@@ -16,8 +16,8 @@ shared folder: merging two is a merge join without a shuffle.
 Resolving.  Ranges whose key occurs once hold no repeated window.  Where all ranges of a key
 are equal, or this one has an equal, the whole range repeats.  Only the others, at the edges
 of repeated passages, are compared byte window by byte window, in groups of one key; keys
-with more than ``HOT`` ranges are counted window by window with a distributed aggregate
-instead, so that no group meets in one task.  Strings are compared by 64-bit fingerprints
+with more than ``HOT`` different open ranges are counted window by window with a distributed
+aggregate instead, so that no such group meets in one task.  Strings are compared by 64-bit fingerprints
 within one key's 64-bit fingerprint.
 
 Defined cases: null text is empty; documents under ``match`` bytes lose nothing; repeated
@@ -40,7 +40,8 @@ from cinelake.session import materialize, shared_dir
 
 MATCH = 200
 SEED = 40
-HOT = 4096
+#: Ranges of a key (under 400 bytes each) that one task compares at a time.
+HOT = 16384
 #: Batches that the query inserts one after the other.
 BATCHES = 4
 
@@ -320,13 +321,13 @@ def _removed(docs: DataFrame, match: int, seed: int, batches: int, with_text: bo
         family.insert(src.filter(F.pmod(F.xxhash64("k"), F.lit(batches)) == b))
     again = family.repeated()
     places = src.select("k", "h", "text").mapInArrow(_occurrences_arrow(match, seed), "k long, h long, key long, ctx int, at long")
-    places = materialize(places.join(again, "key"), "suffix-places")
+    places = materialize(places.join(again.drop("n"), "key"), "suffix-places")
     whole = places.filter("alike")
     mixed = places.filter("not alike")
     # of equal ranges one stays open, as the others' evidence, if its key has odd ones
     one = F.struct("k", "h", "at")
     equal = mixed.groupBy("key", "ctx").agg((F.count("*") > 1).alias("same"), F.min(one).alias("one"))
-    equal = equal.join(equal.groupBy("key").agg((~F.min("same")).alias("odd")), "key")
+    equal = equal.join(equal.groupBy("key").agg((~F.min("same")).alias("odd"), F.count("*").alias("n")), "key")
     mixed = mixed.join(equal, ["key", "ctx"])
     show = ~F.col("same") | (F.col("odd") & (F.col("one") == one))
     first = F.shiftright("at", 8)
