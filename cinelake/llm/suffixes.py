@@ -85,7 +85,7 @@ def sampled(data: np.ndarray, off: np.ndarray, match: int = MATCH, seed: int = S
 
 
 def _slices(column):
-    return text_slices(column, 1 << 20)
+    return text_slices(column)
 
 
 def _entries_arrow(match: int, seed: int):
@@ -319,9 +319,11 @@ def _removed(docs: DataFrame, match: int, seed: int, batches: int, with_text: bo
     family = IndexFamily(spark, match, seed)
     for b in range(batches):
         family.insert(src.filter(F.pmod(F.xxhash64("k"), F.lit(batches)) == b))
-    again = family.repeated()
+    # as a plain table: both sides of the join below shuffle, so AQE can split a hot key
+    again = materialize(family.repeated().select("key", "alike"), "suffix-keys")
     places = src.select("k", "h", "text").mapInArrow(_occurrences_arrow(match, seed), "k long, h long, key long, ctx int, at long")
-    places = materialize(places.join(again.drop("n"), "key"), "suffix-places")
+    mixed = [F.when(~F.col("alike"), F.col(c)).alias(c) for c in ("key", "ctx")]
+    places = materialize(places.join(again, "key").select("k", "h", "at", "alike", *mixed), "suffix-places")
     whole = places.filter("alike")
     mixed = places.filter("not alike")
     # of equal ranges one stays open, as the others' evidence, if its key has odd ones
