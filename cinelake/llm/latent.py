@@ -6,17 +6,19 @@
    range finder of a randomised SVD, added up per term by a distributed sum.
 2. Scaled by the idf and joined with the benchmark's own passages, an orthonormal basis of
    its range is the latent space; every term gets a vector there.
-3. A second pass slides windows of the items' lengths over every whole document.  A window
-   whose TF-IDF energy lies mostly in benchmark terms is folded into the latent space; items
-   of its length within the cosine bound are candidates.
+3. A second pass slides windows of the items' lengths (a geometric grid) over every whole
+   document and folds them into the latent space; items of its length within the cosine bound
+   are candidates.  Windows are left out only where the words around hold fewer benchmark
+   words than the test of step 4 asks for.
 4. A candidate is a leak if the longest common subsequence with the words around covers the
    item nearly (a verbatim copy), or mostly and the answer, the item's last words, as well (a
    paraphrase).
 
-The benchmark is read in blocks of ``block`` items; a block's terms and vectors are all that
-is broadcast.  Defined cases: null and empty documents and items match nothing; an item of
-fewer than ``least`` words, or of stop words only, can't be told from chance and is skipped;
-repeated items and documents give a row each; with no document the idf is flat.
+Terms, idf and latent space are the whole benchmark's; only the items are searched in blocks of
+``block``, so that results don't depend on it.  Defined cases: null and empty documents and
+items match nothing; an item of fewer than ``least`` words, or of stop words only, is matched
+exactly, word by word; repeated items and documents give a row each; with no document the idf
+is flat.
 """
 
 from __future__ import annotations
@@ -41,14 +43,12 @@ _LETTER[list(range(48, 58)) + list(range(97, 123)) + list(range(128, 256))] = Tr
 class Params:
     rank: int = 64
     block: int = 2000  # items searched at once
-    least: int = 8  # words of an item
-    share: float = 0.4  # of a window's energy in benchmark terms
+    least: int = 8  # words of an item that is searched in the latent space
     cosine: float = 0.6
     copied: float = 0.9  # common subsequence of a verbatim copy, share of the item
     alike: float = 0.6  # of a paraphrase
     answer_words: int = 6
     answer: float = 0.5  # share of the answer found in a paraphrase
-    classes: int = 4  # window lengths
     seed: int = 23
 
 
@@ -78,9 +78,7 @@ def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 @dataclass
-class Items:
-    ids: list
-    tokens: list[np.ndarray]
+class Terms:
     terms: np.ndarray  # sorted hashes
     stop: np.ndarray  # sorted hashes of the stop words
     maybe: np.ndarray = field(init=False)
@@ -89,14 +87,13 @@ class Items:
 
     def __post_init__(self):
         every = np.concatenate([self.terms, self.stop])
-        order = np.argsort(every)
-        self.table = every[order]
-        self.code = np.where(order < len(self.terms), order, -2)
+        self.code = np.argsort(every)
+        self.table = every[self.code]
         self.maybe = np.zeros(1 << 22, bool)
         self.maybe[(every >> np.uint64(42)).astype(np.int64)] = True
 
     def lookup(self, h: np.ndarray) -> np.ndarray:
-        """Each word's term number; -1 for other words, -2 for stop words."""
+        """Each word's term number, stop words after the terms; -1 for other words."""
         out = np.full(len(h), -1)
         some = np.flatnonzero(self.maybe[(h >> np.uint64(42)).astype(np.int64)])
         if len(some):
@@ -105,34 +102,53 @@ class Items:
         return out
 
 
-def read_items(rows: list[tuple], p: Params) -> Items:
-    """Words and terms of (id, text) items; those too short are left out."""
-    ids, tokens = [], []
-    for key, text in rows:
-        for _, _, data, off in text_slices(pa.array([text or ""], pa.large_string())):
-            h, _ = words(data, off)
-            if len(h) >= p.least:
-                ids.append(key)
-                tokens.append(h)
-    u, n = np.unique(np.concatenate([np.unique(t) for t in tokens]) if tokens else np.zeros(0, np.uint64), return_counts=True)
-    often = n > max(3, 0.2 * len(tokens))
-    return Items(ids, tokens, u[~often], u[often])
+def _tokens(text: str | None) -> np.ndarray:
+    found = [words(data, off)[0] for _, _, data, off in text_slices(pa.array([text or ""], pa.large_string()))]
+    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
+
+def _items(benchmark: DataFrame):
+    """(id, words) of the benchmark's items that have words, in a fixed order."""
+    for r in benchmark.select(F.col("item_id").cast("long"), "text").orderBy("item_id", "text").toLocalIterator():
+        tokens = _tokens(r[1])
+        if len(tokens):
+            yield r[0], tokens
+
+
+def read_terms(benchmark: DataFrame, p: Params) -> Terms:
+    """Terms and stop words of the whole benchmark."""
+    u, n, items = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+
+    def add(held):
+        every = np.concatenate([u, *held])
+        new, inv = np.unique(every, return_inverse=True)
+        return new, np.bincount(inv, np.append(n, np.ones(len(every) - len(u))), len(new)).astype(np.int64)
+
+    held: list[np.ndarray] = []
+    for _, tokens in _items(benchmark):
+        items += 1
+        held.append(np.unique(tokens))
+        if len(held) == p.block:
+            (u, n), held = add(held), []
+    u, n = add(held)
+    often = n > max(3, 0.2 * items)
+    return Terms(u[~often], u[often])
 
 
 def _range_arrow(shared, p: Params):
     """Partial document frequencies and T'(T W) of a partition, a row per term."""
 
     def run(batches):
-        items: Items = shared.value
-        n = len(items.terms)
+        terms: Terms = shared.value
+        n = len(terms.terms)
         w = np.random.default_rng(p.seed).standard_normal((n, p.rank)).astype(np.float32)
         df, z, rows = np.zeros(n, np.int64), np.zeros((n, p.rank)), 0
         for batch in batches:
             rows += batch.num_rows
             for _, _, data, off in text_slices(batch.column(0)):
                 h, first = words(data, off)
-                term = items.lookup(h)
-                at = np.flatnonzero(term >= 0)
+                term = terms.lookup(h)
+                at = np.flatnonzero((term >= 0) & (term < n))
                 if not len(at):
                     continue
                 t = term[at]
@@ -156,47 +172,84 @@ def _range_arrow(shared, p: Params):
 
 @dataclass
 class Space:
-    items: Items
+    terms: Terms
     idf: np.ndarray
-    other: float  # idf of words outside the benchmark
     vectors: np.ndarray  # term vectors: idf times the basis
-    latent: np.ndarray  # unit item vectors
-    length: np.ndarray  # window length of each item
 
 
-def fit(docs: DataFrame, items: Items, p: Params) -> Space:
-    """The latent space of the documents' and the items' passages."""
-    n = len(items.terms)
-    shared = docs.sparkSession.sparkContext.broadcast(items)
-    parts = docs.select("text").mapInArrow(_range_arrow(shared, p), "term long, df long, z array<float>")
-    # a row per benchmark term of the block, whatever the number of documents
-    sums = parts.groupBy("term").agg(F.sum("df").alias("df"), F.array(*[F.sum(F.col("z")[i].cast("double")) for i in range(p.rank)]).alias("z")).collect()
+def fit(docs: DataFrame, benchmark: DataFrame, p: Params) -> Space:
+    """The latent space of the documents' and the whole benchmark's passages."""
+    terms = read_terms(benchmark, p)
+    n = len(terms.terms)
     df, z, total = np.zeros(n), np.zeros((n, p.rank)), 0
-    for r in sums:
-        if r["term"] < 0:
-            total = r["df"]
-        else:
-            df[r["term"]], z[r["term"]] = r["df"], r["z"]
+    if n:
+        shared = docs.sparkSession.sparkContext.broadcast(terms)
+        parts = docs.select("text").mapInArrow(_range_arrow(shared, p), "term long, df long, z array<float>")
+        # a row per benchmark term, whatever the number of documents
+        sums = parts.groupBy("term").agg(F.sum("df").alias("df"), F.array(*[F.sum(F.col("z")[i].cast("double")) for i in range(p.rank)]).alias("z")).collect()
+        for r in sums:
+            if r["term"] < 0:
+                total = r["df"]
+            else:
+                df[r["term"]], z[r["term"]] = r["df"], r["z"]
     idf = np.log((1 + total) / (1 + df)) + 1
-    counts = np.zeros((len(items.tokens), n), np.float32)
-    for i, tokens in enumerate(items.tokens):
-        t = items.lookup(tokens)
-        np.add.at(counts[i], t[t >= 0], 1)
-    weighted = counts * idf
-    if len(counts):
-        omega = np.random.default_rng(p.seed + 1).standard_normal((len(counts), p.rank))
-        scale = np.linalg.norm(z * idf[:, None]) / max(1e-9, np.linalg.norm(weighted))
-        both = np.concatenate([z * idf[:, None], (scale or 1.0) * weighted.T @ omega], axis=1)
-        left, size, _ = np.linalg.svd(both, full_matrices=False)
+    z *= idf[:, None]
+    own, energy, rng = np.zeros((n, p.rank)), 0.0, np.random.default_rng(p.seed + 1)
+    for _, tokens in _items(benchmark):
+        t, weight = _weighted(terms, idf, tokens)
+        own[t] += weight[:, None] * rng.standard_normal(p.rank)
+        energy += float(weight @ weight)
+    if energy:
+        scale = np.linalg.norm(z) / np.sqrt(energy)
+        left, size, _ = np.linalg.svd(np.concatenate([z, (scale or 1.0) * own], axis=1), full_matrices=False)
         basis = left[:, size > 1e-9 * max(size.max(initial=0), 1e-30)]
     else:
         basis = np.zeros((n, 1))
-    latent = weighted @ basis
-    latent /= np.maximum(1e-12, np.linalg.norm(latent, axis=1, keepdims=True))
-    sizes = np.array([len(t) for t in items.tokens])
-    lengths = np.unique(np.quantile(sizes, np.linspace(0, 1, p.classes * 2 + 1)[1::2]).astype(int)) if len(sizes) else np.zeros(0, int)
-    length = lengths[np.abs(sizes[:, None] - lengths[None]).argmin(axis=1)] if len(sizes) else sizes
-    return Space(items, idf, float(np.log(1 + total) + 1), (idf[:, None] * basis).astype(np.float32), latent.astype(np.float32), length)
+    return Space(terms, idf, (idf[:, None] * basis).astype(np.float32))
+
+
+def _weighted(terms: Terms, idf: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    code = terms.lookup(tokens)
+    t, count = np.unique(code[code < len(idf)], return_counts=True)
+    return t, count * idf[t]
+
+
+def _window(length: int) -> tuple[int, int]:
+    """Step and number of steps of the windows for items of ``length`` words: the nearest of
+    a geometric grid, so that every length is within a quarter of its windows' size."""
+    size = 8 * 1.5 ** max(0, round(np.log(length / 8) / np.log(1.5)))
+    step = max(2, round(size / 8))
+    return step, round(size / step)
+
+
+@dataclass
+class Items:
+    """A block of the benchmark."""
+
+    ids: list
+    tokens: list[np.ndarray]
+    codes: list[np.ndarray]  # term numbers of the words
+    latent: np.ndarray  # unit item vectors
+    groups: dict  # of items that are searched in the latent space, by their windows
+    exact: dict  # of the others, by their number of words
+
+
+def place_items(block: list[tuple], space: Space, p: Params) -> Items:
+    ids, tokens = [k for k, _ in block], [t for _, t in block]
+    codes = [space.terms.lookup(t) for t in tokens]
+    latent = np.zeros((len(ids), space.vectors.shape[1]), np.float32)
+    groups: dict = {}
+    exact: dict = {}
+    for i, code in enumerate(codes):
+        t, count = np.unique(code[code < len(space.idf)], return_counts=True)
+        latent[i] = count @ space.vectors[t]
+        size = np.linalg.norm(latent[i])
+        if len(code) < p.least or size < 1e-12:
+            exact.setdefault(len(code), []).append(i)
+        else:
+            latent[i] /= size
+            groups.setdefault(_window(len(code)), []).append(i)
+    return Items(ids, tokens, codes, latent, groups, exact)
 
 
 def common_subsequence(item: np.ndarray, text: np.ndarray) -> np.ndarray:
@@ -227,65 +280,135 @@ def common_subsequence(item: np.ndarray, text: np.ndarray) -> np.ndarray:
     return found
 
 
+def _sequence(tokens: np.ndarray, n: int) -> np.ndarray:
+    """Hash of every run of ``n`` words."""
+    out = np.zeros(max(0, len(tokens) - n + 1), np.uint64)
+    for k in range(n):
+        out = mix64(out * _ODD[0] ^ tokens[k : len(tokens) - n + 1 + k])
+    return out
+
+
 class Searcher:
-    def __init__(self, space: Space, p: Params):
-        self.s, self.p = space, p
-        # energy by term number; -1 (other words) and -2 (stop words) index from the end
-        self.inside = np.append(space.idf**2, [0.0, 0.0])
-        self.every = np.append(space.idf**2, [0.0, space.other**2])
-        self.groups = [(int(n), np.flatnonzero(space.length == n)) for n in np.unique(space.length)]
+    def __init__(self, space: Space, items: Items, p: Params):
+        self.s, self.items, self.p = space, items, p
+        self.n = len(space.idf)
+        least = min(p.alike, p.copied)
+        self.groups = []
+        for (step, steps), group in sorted(items.groups.items()):
+            codes = [items.codes[i] for i in group]
+            need = [int(np.ceil(least * len(c) - 1e-9)) for c in codes]
+            terms = min(max(1, k - int((c >= self.n).sum())) for k, c in zip(need, codes))
+            self.groups.append((step, steps, np.array(group), max(len(c) for c in codes), min(need), terms))
+        self.exact = []
+        for n, group in sorted(items.exact.items()):
+            key = np.array([_sequence(items.tokens[i], n)[0] for i in group])
+            order = np.argsort(key, kind="stable")
+            self.exact.append((n, key[order], np.array(group)[order]))
+
+    def copies(self, h: np.ndarray, first: np.ndarray) -> list[tuple[int, int]]:
+        """(document, item) of the items that are matched word by word."""
+        found = set()
+        for n, keys, group in self.exact:
+            if n > len(h):
+                continue
+            run = _sequence(h, n)
+            at = np.flatnonzero(np.isin(run, keys))
+            doc = np.searchsorted(first, at, side="right") - 1
+            for a, d in zip(at[at + n <= first[doc + 1]].tolist(), doc[at + n <= first[doc + 1]].tolist()):
+                for i in group[np.searchsorted(keys, run[a]) : np.searchsorted(keys, run[a], side="right")].tolist():
+                    if (self.items.tokens[i] == h[a : a + n]).all():
+                        found.add((d, i))
+        return sorted(found)
+
+    def windows(self, code: np.ndarray, first: np.ndarray):
+        """Candidates of a run of documents: (document, item, cosine, start, end), an array each."""
+        s, p = self.s, self.p
+        inside = (code >= 0) & (code < self.n)
+        terms, known = np.zeros(len(code) + 1, np.int64), np.zeros(len(code) + 1, np.int64)
+        np.cumsum(inside, out=terms[1:])
+        np.cumsum(code >= 0, out=known[1:])
+        n = np.diff(first)
+        at = np.flatnonzero(inside)
+        owner = np.searchsorted(first, at, side="right") - 1
+        vectors = None
+        for step, steps, group, longest, need, need_terms in self.groups:
+            cells = np.where(n > 0, np.maximum(steps, -(-n // step)), 0)
+            base = np.cumsum(cells) - cells
+            count = np.maximum(0, cells - steps + 1)
+            doc = np.repeat(np.arange(len(n)), count)
+            k = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+            a = first[doc] + k * step
+            b = np.minimum(a + step * steps, first[doc + 1])
+            # of the words around, as many are the benchmark's as the subsequence test asks for
+            low, high = _around(a, b, first[doc], first[doc + 1], longest)
+            keep = np.flatnonzero((terms[b] > terms[a]) & (terms[high] - terms[low] >= need_terms) & (known[high] - known[low] >= need))
+            if not len(keep):
+                continue
+            if vectors is None:
+                vectors = s.vectors[code[at]]
+            cell = base[owner] + (at - first[owner]) // step
+            heads = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+            sums = np.zeros((int(cells.sum()) + steps, vectors.shape[1]), np.float32)
+            sums[cell[heads]] = np.add.reduceat(vectors, heads)
+            folded = _sliding(sums, steps)
+            where = base[doc] + k
+            for i in range(0, len(keep), 4096):
+                part = keep[i : i + 4096]
+                f = folded[where[part]]
+                f /= np.maximum(1e-12, np.linalg.norm(f, axis=1, keepdims=True))
+                cos = f @ self.items.latent[group].T
+                w, g = np.nonzero(cos >= p.cosine)
+                if len(w):
+                    yield doc[part[w]], group[g], cos[w, g], a[part[w]], b[part[w]]
 
     def find(self, data: np.ndarray, off: np.ndarray) -> list[tuple[int, int, float, float, float]]:
         """Leaks of a run of documents: (document, item, cosine, share of the item in the
         common subsequence, share of its answer)."""
-        s, p = self.s, self.p
+        p = self.p
         h, first = words(data, off)
-        if not len(h) or not len(s.items.ids):
+        if not len(h) or not len(self.items.ids):
             return []
-        term = s.items.lookup(h)
-        inside, every = np.zeros(len(h) + 1), np.zeros(len(h) + 1)
-        np.cumsum(self.inside[term], out=inside[1:])
-        np.cumsum(self.every[term], out=every[1:])
-        n = np.diff(first)
+        out = [(d, i, 1.0, 1.0, 1.0) for d, i in self.copies(h, first)]
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
-        for size, group in self.groups:
-            step = max(2, size // 8)
-            count = np.where(n > 0, np.maximum(0, -(-(n - size) // step)) + 1, 0)
-            doc = np.repeat(np.arange(len(n)), count)
-            k = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
-            a = first[doc] + np.minimum(k * step, np.maximum(0, n[doc] - size))
-            b = np.minimum(a + size, first[doc + 1])
-            has = inside[b] - inside[a]
-            keep = np.flatnonzero((has > 0) & (has >= p.share * (every[b] - every[a])))
-            for at in range(0, len(keep), 4096):
-                part = keep[at : at + 4096]
-                width = b[part] - a[part]
-                ends = np.cumsum(width)
-                run = term[np.repeat(a[part] - (ends - width), width) + np.arange(ends[-1])]
-                known = run >= 0  # at least one in every window, as it has energy inside
-                starts = np.concatenate([[0], np.cumsum(known)])[ends - width]
-                folded = np.add.reduceat(s.vectors[run[known]], starts)
-                folded /= np.maximum(1e-12, np.linalg.norm(folded, axis=1, keepdims=True))
-                cos = folded @ s.latent[group].T
-                for w, i in zip(*np.nonzero(cos >= p.cosine)):
-                    key = (int(doc[part[w]]), int(group[i]))
-                    if key not in best or cos[w, i] > best[key][0]:
-                        best[key] = (float(cos[w, i]), int(a[part[w]]), int(b[part[w]]))
-        out = []
-        for (d, i), (cos, a, b) in sorted(best.items()):
-            item = s.items.tokens[i]
-            reach = max(len(item), b - a)
-            hit = common_subsequence(item, h[max(first[d], b - 1 - reach - reach // 2) : min(first[d + 1], a + reach + reach // 2)])
+        for found in self.windows(self.s.terms.lookup(h), first):
+            for d, i, cos, a, b in zip(*(x.tolist() for x in found)):
+                if (d, i) not in best or cos > best[d, i][0]:
+                    best[d, i] = (cos, a, b)
+        for (d, i), (cos, a, b) in best.items():
+            item = self.items.tokens[i]
+            low, high = _around(a, b, first[d], first[d + 1], len(item))
+            hit = common_subsequence(item, h[low:high])
             lcs, answer = float(hit.mean()), float(hit[-p.answer_words :].mean())
             if lcs >= p.copied or (lcs >= p.alike and answer >= p.answer):
                 out.append((d, i, cos, lcs, answer))
-        return out
+        return sorted(out)
 
 
-def _leaks_arrow(shared, p: Params):
+def _around(a, b, low, high, length: int):
+    """The words that a window is compared with, within its document."""
+    reach = np.maximum(length, b - a)
+    return np.maximum(low, b - 1 - reach - reach // 2), np.minimum(high, a + reach + reach // 2)
+
+
+def _sliding(rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of ``n`` rows from each row on, by doubling."""
+    out, span, done = None, rows, 0
+    while True:
+        if n & 1:
+            part = span[done:]
+            out = part.copy() if out is None else out[: len(part)] + part
+            done += (len(rows) - len(span)) + 1
+        n >>= 1
+        if not n:
+            return out
+        half = len(rows) - len(span) + 1
+        span = span[:-half] + span[half:]
+
+
+def _leaks_arrow(space, block, p: Params):
     def run(batches):
-        searcher = Searcher(shared.value, p)
-        names = searcher.s.items.ids
+        searcher = Searcher(space.value, block.value, p)
+        names = searcher.items.ids
         for batch in batches:
             rows = []
             for i, _, data, off in text_slices(batch.column(1)):
@@ -299,9 +422,9 @@ def _leaks_arrow(shared, p: Params):
 LEAKS = ["doc_id", "item_id", "cosine", "common", "answer"]
 
 
-def _clean_arrow(shared, p: Params, text: str):
+def _clean_arrow(space, block, p: Params, text: str):
     def run(batches):
-        searcher = Searcher(shared.value, p)
+        searcher = Searcher(space.value, block.value, p)
         for batch in batches:
             keep = np.ones(batch.num_rows, bool)
             for i, _, data, off in text_slices(batch.column(batch.schema.get_field_index(text))):
@@ -311,16 +434,19 @@ def _clean_arrow(shared, p: Params, text: str):
     return run
 
 
-def _blocks(benchmark: DataFrame, p: Params):
-    """The benchmark's items, ``block`` at a time."""
-    held: list[tuple] = []
-    for r in benchmark.select(F.col("item_id").cast("long"), "text").orderBy("item_id", "text").toLocalIterator():
-        held.append((r[0], r[1]))
+def _blocks(docs: DataFrame, benchmark: DataFrame, p: Params):
+    """Broadcasts of the latent space, one for all, and of the items, ``block`` at a time."""
+    context, space, held = docs.sparkSession.sparkContext, None, []
+    for item in _items(benchmark):
+        if space is None:
+            fitted = fit(docs, benchmark, p)
+            space = context.broadcast(fitted)
+        held.append(item)
         if len(held) == p.block:
-            yield read_items(held, p)
+            yield space, context.broadcast(place_items(held, fitted, p))
             held = []
     if held:
-        yield read_items(held, p)
+        yield space, context.broadcast(place_items(held, fitted, p))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
@@ -328,17 +454,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFr
     spark, found = docs.sparkSession, None
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     schema = "doc_id long, item_id long, cosine double, common double, answer double"
-    for items in _blocks(benchmark, p):
-        if items.ids:
-            part = docs.mapInArrow(_leaks_arrow(spark.sparkContext.broadcast(fit(docs, items, p)), p), schema)
-            found = part if found is None else found.unionByName(part)
+    for space, block in _blocks(docs, benchmark, p):
+        part = docs.mapInArrow(_leaks_arrow(space, block, p), schema)
+        found = part if found is None else found.unionByName(part)
     return found if found is not None else spark.createDataFrame([], schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
     """The rows of ``docs``, whole, that no benchmark item leaked into."""
-    spark = docs.sparkSession
-    for items in _blocks(benchmark, p):
-        if items.ids:
-            docs = docs.mapInArrow(_clean_arrow(spark.sparkContext.broadcast(fit(docs, items, p)), p, "text"), docs.schema)
-    return docs
+    clean = docs
+    for space, block in _blocks(docs, benchmark, p):
+        clean = clean.mapInArrow(_clean_arrow(space, block, p, "text"), docs.schema)
+    return clean

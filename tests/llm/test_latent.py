@@ -84,3 +84,37 @@ def test_every_verbatim_passage_of_the_given_tables(spark):
     true = {(d.doc_id, i.item_id) for d in docs for i in items if i.text in d.text}
     got = {(r.doc_id, r.item_id) for r in QUERIES["op3_latent"](spark, sf).collect()}
     assert true <= got and len(got - true) <= 2
+
+
+def word_list(rnd, n):
+    return ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(4, 8))) for _ in range(n)]
+
+
+def test_paraphrases_with_words_outside_the_benchmark_and_short_items_whatever_the_block(spark):
+    rnd = random.Random(31)
+    common = word_list(rnd, 40)  # of the documents only: frequent, and in no item
+    items = [(i, " ".join(word_list(rnd, n))) for i, n in enumerate([12, 20, 30, 40, 60, 90, 150, 400] * 3)]
+    items += [(100, "quay xylem"), (101, "vex"), (102, "quay of xylem")]
+    docs, planted = [], set()
+    for i in range(24):
+        w = items[i][1].split()
+        for k in rnd.sample(range(len(w) - 6), int(0.35 * len(w))):
+            w[k] = rnd.choice(common)
+        docs.append((i, " ".join([*rnd.choices(common, k=300), *w, *rnd.choices(common, k=300)])))
+        planted.add((i, i))
+    docs += [(50 + i, " ".join(rnd.choices(common, k=200))) for i in range(40)]
+    docs += [(200, "a Quay, xylem and"), (201, "quay xylems"), (202, "xylem quay"), (203, "VEX"), (204, "quay"), (205, "xylem")]
+    planted |= {(200, 100), (203, 101)}
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    b = spark.createDataFrame(items, "item_id long, text string")
+    rows = {block: sorted(tuple(r) for r in latent.leaks(d, b, latent.Params(block=block)).collect()) for block in (2000, 5)}
+    assert {r[:2] for r in rows[2000]} == planted
+    assert [r[:2] for r in rows[5]] == [r[:2] for r in rows[2000]]
+    assert np.allclose([r[2:] for r in rows[5]], [r[2:] for r in rows[2000]], atol=1e-4)
+    assert latent.decontaminate(d, b, latent.Params(block=5)).count() == len(docs) - len(planted)
+
+
+def test_sums_of_sliding_windows():
+    rows = np.random.default_rng(1).standard_normal((40, 3))
+    for n in range(1, 12):
+        assert np.allclose(latent._sliding(rows, n), [rows[i : i + n].sum(axis=0) for i in range(41 - n)])
