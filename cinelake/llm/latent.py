@@ -8,11 +8,11 @@
    its range is the latent space; every term gets a vector there.
 3. A second pass slides windows of the items' lengths (a geometric grid) over every whole
    document and folds them into the latent space; items of its length within the cosine bound
-   are candidates.  Windows are left out only where the words around hold fewer benchmark
-   words than the test of step 4 asks for.
-4. A candidate is a leak if the longest common subsequence with the words around covers the
-   item nearly (a verbatim copy), or mostly and the answer, the item's last words, as well (a
-   paraphrase).
+   are candidates.  Windows are left out only where the words around hold fewer of the
+   item's terms than the test of step 4 asks for.
+4. Every candidate window is checked, those of higher cosine first, until one passes: it is
+   a leak if the longest common subsequence with the words around covers the item nearly (a
+   verbatim copy), or mostly and the answer, the item's last words, as well (a paraphrase).
 
 Terms, idf and latent space are the whole benchmark's; only the items are searched in blocks of
 ``block``, so that results don't depend on it.  Defined cases: null and empty documents and
@@ -252,9 +252,10 @@ def place_items(block: list[tuple], space: Space, p: Params) -> Items:
     return Items(ids, tokens, codes, latent, groups, exact)
 
 
-def common_subsequence(item: np.ndarray, text: np.ndarray) -> np.ndarray:
+def common_subsequence(item: np.ndarray, text: np.ndarray, least: float = 0.0) -> np.ndarray:
     """Flags of the item's words in one longest common subsequence with the text, by bit
-    vectors: a row of the table is one integer."""
+    vectors: a row of the table is one integer.  No flags if it holds less than the share
+    ``least`` of the item."""
     places: dict[int, int] = {}
     for i, t in enumerate(item.tolist()):
         places[t] = places.get(t, 0) | (1 << i)
@@ -269,6 +270,8 @@ def common_subsequence(item: np.ndarray, text: np.ndarray) -> np.ndarray:
     found = np.zeros(len(item), bool)
     i, j = len(item), len(text)
     size = lambda row, k: k - (rows[row] & ((1 << k) - 1)).bit_count()  # noqa: E731  words of the first k in common
+    if size(j, i) < least * i - 1e-9:
+        return found
     while i and j:
         if item[i - 1] == text[j - 1] and size(j, i) == size(j - 1, i - 1) + 1:
             found[i - 1] = True
@@ -288,17 +291,51 @@ def _sequence(tokens: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+class Group:
+    """Items that are searched by the same windows, with an inverted index of their terms."""
+
+    CELLS = 8
+
+    def __init__(self, items: np.ndarray, step: int, steps: int, block: Items, n: int, least: float):
+        self.items, self.step, self.steps, self.n = items, step, steps, n
+        codes = [block.codes[i] for i in items]
+        self.longest = max(len(c) for c in codes)
+        # words around a window, at most, in cells
+        self.width = -(-(3 * max(self.longest, step * steps) - step * steps + step) // self.CELLS)
+        # terms that a common subsequence of the share ``least`` holds, at least
+        self.need = np.array([max(1, int(np.ceil(least * len(c) - 1e-9)) - int((c >= n).sum())) for c in codes])
+        found = [np.unique(c[c < n], return_counts=True) for c in codes]
+        term, item = np.concatenate([t for t, _ in found]), np.repeat(np.arange(len(codes)), [len(t) for t, _ in found])
+        order = np.argsort(term, kind="stable")
+        self.item, self.times = item[order], np.concatenate([c for _, c in found])[order]
+        self.first = np.searchsorted(term[order], np.arange(n + 1))
+
+    def enough(self, term: np.ndarray, at: np.ndarray, owner: np.ndarray, n: np.ndarray):
+        """Each document's first cell, and for every cell and item, whether the cells from it
+        on hold as many of the item's terms as the subsequence test asks for (never too few:
+        words around a window that starts there lie in these cells)."""
+        cells = -(-n // self.width)
+        base = np.cumsum(cells) - cells
+        every, items = int(cells.sum()), len(self.items)
+        own = self.first[term + 1] > self.first[term]
+        pair = np.unique(term[own] * every + base[owner[own]] + at[own] // self.width)
+        t, cell = pair // max(1, every), pair % max(1, every)
+        # a term counts once for the cells before its cell, back to its cell before that
+        low = np.maximum(cell - self.CELLS, np.repeat(base, cells)[cell])
+        low[1:] = np.where(t[1:] == t[:-1], np.maximum(low[1:], cell[:-1] + 1), low[1:])
+        size = self.first[t + 1] - self.first[t]
+        ends = np.cumsum(size)
+        post = np.repeat(self.first[t] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+        item, times, total = self.item[post], self.times[post], (every + 1) * items
+        held = np.bincount(np.repeat(low, size) * items + item, times, total) - np.bincount(np.repeat(cell + 1, size) * items + item, times, total)
+        return base, (np.cumsum(held.reshape(-1, items), axis=0) >= self.need - 0.5)[:every]
+
+
 class Searcher:
     def __init__(self, space: Space, items: Items, p: Params):
         self.s, self.items, self.p = space, items, p
         self.n = len(space.idf)
-        least = min(p.alike, p.copied)
-        self.groups = []
-        for (step, steps), group in sorted(items.groups.items()):
-            codes = [items.codes[i] for i in group]
-            need = [int(np.ceil(least * len(c) - 1e-9)) for c in codes]
-            terms = min(max(1, k - int((c >= self.n).sum())) for k, c in zip(need, codes))
-            self.groups.append((step, steps, np.array(group), max(len(c) for c in codes), min(need), terms))
+        self.groups = [Group(np.array(group), step, steps, items, self.n, min(p.alike, p.copied)) for (step, steps), group in sorted(items.groups.items())]
         self.exact = []
         for n, group in sorted(items.exact.items()):
             key = np.array([_sequence(items.tokens[i], n)[0] for i in group])
@@ -323,43 +360,55 @@ class Searcher:
     def windows(self, code: np.ndarray, first: np.ndarray):
         """Candidates of a run of documents: (document, item, cosine, start, end), an array each."""
         s, p = self.s, self.p
-        inside = (code >= 0) & (code < self.n)
-        terms, known = np.zeros(len(code) + 1, np.int64), np.zeros(len(code) + 1, np.int64)
-        np.cumsum(inside, out=terms[1:])
-        np.cumsum(code >= 0, out=known[1:])
         n = np.diff(first)
-        at = np.flatnonzero(inside)
+        at = np.flatnonzero((code >= 0) & (code < self.n))
         owner = np.searchsorted(first, at, side="right") - 1
-        vectors = None
-        for step, steps, group, longest, need, need_terms in self.groups:
-            cells = np.where(n > 0, np.maximum(steps, -(-n // step)), 0)
-            base = np.cumsum(cells) - cells
-            count = np.maximum(0, cells - steps + 1)
+        terms = np.zeros(len(code) + 1, np.int64)
+        terms[at + 1] = 1
+        np.cumsum(terms, out=terms)
+        for g in self.groups:
+            base, enough = g.enough(code[at], at - first[owner], owner, n)
+            some = enough.any(axis=1)
+            if not some.any():
+                continue
+            count = np.where(n > 0, np.maximum(1, -(-n // g.step) - g.steps + 1), 0)
             doc = np.repeat(np.arange(len(n)), count)
             k = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
-            a = first[doc] + k * step
-            b = np.minimum(a + step * steps, first[doc + 1])
-            # of the words around, as many are the benchmark's as the subsequence test asks for
-            low, high = _around(a, b, first[doc], first[doc + 1], longest)
-            keep = np.flatnonzero((terms[b] > terms[a]) & (terms[high] - terms[low] >= need_terms) & (known[high] - known[low] >= need))
-            if not len(keep):
-                continue
-            if vectors is None:
-                vectors = s.vectors[code[at]]
-            cell = base[owner] + (at - first[owner]) // step
-            heads = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
-            sums = np.zeros((int(cells.sum()) + steps, vectors.shape[1]), np.float32)
-            sums[cell[heads]] = np.add.reduceat(vectors, heads)
-            folded = _sliding(sums, steps)
-            where = base[doc] + k
+            a = first[doc] + k * g.step
+            b = np.minimum(a + g.step * g.steps, first[doc + 1])
+            low, _ = _around(a, b, first[doc], first[doc + 1], g.longest)
+            place = base[doc] + (low - first[doc]) // g.width
+            keep = np.flatnonzero(some[place] & (terms[b] > terms[a]))
             for i in range(0, len(keep), 4096):
                 part = keep[i : i + 4096]
-                f = folded[where[part]]
-                f /= np.maximum(1e-12, np.linalg.norm(f, axis=1, keepdims=True))
-                cos = f @ self.items.latent[group].T
-                w, g = np.nonzero(cos >= p.cosine)
+                size = terms[b[part]] - terms[a[part]]
+                ends = np.cumsum(size)
+                run = at[np.repeat(terms[a[part]] - (ends - size), size) + np.arange(ends[-1])]
+                folded = np.add.reduceat(s.vectors[code[run]], ends - size)
+                folded /= np.maximum(1e-12, np.linalg.norm(folded, axis=1, keepdims=True))
+                cos = folded @ self.items.latent[g.items].T
+                w, item = np.nonzero((cos >= p.cosine) & enough[place[part]])
                 if len(w):
-                    yield doc[part[w]], group[g], cos[w, g], a[part[w]], b[part[w]]
+                    yield doc[part[w]], g.items[item], cos[w, item], a[part[w]], b[part[w]]
+
+    def possible(self, code, first, doc, item, cos, a, b):
+        """The candidates with as many of the item's words around as the subsequence test
+        asks for."""
+        least = min(self.p.alike, self.p.copied)
+        here = np.zeros(len(self.s.terms.table) + 1, bool)  # the last is for other words
+        ok = np.zeros(len(doc), bool)
+        cut = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (doc[1:] != doc[:-1])))
+        for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(doc)]):
+            longest = max(len(self.items.codes[x]) for x in item[i:j].tolist())
+            low, high = _around(a[i], b[i], first[doc[i]], first[doc[i] + 1], longest)
+            around = code[low:high]
+            here[around] = True
+            here[-1] = False
+            for k in range(i, j):
+                own = self.items.codes[item[k]]
+                ok[k] = np.count_nonzero(here[own]) >= least * len(own) - 1e-9
+            here[around] = False
+        return doc[ok], item[ok], cos[ok], a[ok], b[ok]
 
     def find(self, data: np.ndarray, off: np.ndarray) -> list[tuple[int, int, float, float, float]]:
         """Leaks of a run of documents: (document, item, cosine, share of the item in the
@@ -369,18 +418,22 @@ class Searcher:
         if not len(h) or not len(self.items.ids):
             return []
         out = [(d, i, 1.0, 1.0, 1.0) for d, i in self.copies(h, first)]
-        best: dict[tuple[int, int], tuple[float, int, int]] = {}
-        for found in self.windows(self.s.terms.lookup(h), first):
-            for d, i, cos, a, b in zip(*(x.tolist() for x in found)):
-                if (d, i) not in best or cos > best[d, i][0]:
-                    best[d, i] = (cos, a, b)
-        for (d, i), (cos, a, b) in best.items():
-            item = self.items.tokens[i]
-            low, high = _around(a, b, first[d], first[d + 1], len(item))
-            hit = common_subsequence(item, h[low:high])
-            lcs, answer = float(hit.mean()), float(hit[-p.answer_words :].mean())
-            if lcs >= p.copied or (lcs >= p.alike and answer >= p.answer):
-                out.append((d, i, cos, lcs, answer))
+        code = self.s.terms.lookup(h)
+        found = [self.possible(code, first, *x) for x in self.windows(code, first)]
+        if found:
+            doc, item, cos, a, b = (np.concatenate(x) for x in zip(*found))
+            order = np.lexsort((a, -cos, item, doc))
+            leaked = None
+            for d, i, c, a, b in zip(*(x[order].tolist() for x in (doc, item, cos, a, b))):
+                if (d, i) == leaked:
+                    continue  # by a window of higher cosine
+                tokens = self.items.tokens[i]
+                low, high = _around(a, b, first[d], first[d + 1], len(tokens))
+                hit = common_subsequence(tokens, h[low:high], min(p.alike, p.copied))
+                lcs, answer = float(hit.mean()), float(hit[-p.answer_words :].mean())
+                if lcs >= p.copied or (lcs >= p.alike and answer >= p.answer):
+                    out.append((d, i, c, lcs, answer))
+                    leaked = (d, i)
         return sorted(out)
 
 
@@ -390,21 +443,6 @@ def _around(a, b, low, high, length: int):
     return np.maximum(low, b - 1 - reach - reach // 2), np.minimum(high, a + reach + reach // 2)
 
 
-def _sliding(rows: np.ndarray, n: int) -> np.ndarray:
-    """Sums of ``n`` rows from each row on, by doubling."""
-    out, span, done = None, rows, 0
-    while True:
-        if n & 1:
-            part = span[done:]
-            out = part.copy() if out is None else out[: len(part)] + part
-            done += (len(rows) - len(span)) + 1
-        n >>= 1
-        if not n:
-            return out
-        half = len(rows) - len(span) + 1
-        span = span[:-half] + span[half:]
-
-
 def _leaks_arrow(space, block, p: Params):
     def run(batches):
         searcher = Searcher(space.value, block.value, p)

@@ -114,7 +114,18 @@ def test_paraphrases_with_words_outside_the_benchmark_and_short_items_whatever_t
     assert latent.decontaminate(d, b, latent.Params(block=5)).count() == len(docs) - len(planted)
 
 
-def test_sums_of_sliding_windows():
-    rows = np.random.default_rng(1).standard_normal((40, 3))
-    for n in range(1, 12):
-        assert np.allclose(latent._sliding(rows, n), [rows[i : i + n].sum(axis=0) for i in range(41 - n)])
+def test_a_scrambled_passage_does_not_hide_the_copy(spark):
+    rnd = random.Random(12)
+    items = [(i, " ".join(word_list(rnd, 40))) for i in range(12)]
+    docs = []
+    for i, text in items:
+        w = text.split()
+        scrambled = w[::-1]  # the same words: the highest cosine there is
+        copied = list(w)
+        for k in rnd.sample(range(34), 8):
+            copied[k] = rnd.choice(items[(i + 1) % 12][1].split())
+        docs.append((i, " ".join([*scrambled, *word_list(rnd, 400), *copied, *word_list(rnd, 50), *scrambled])))
+        docs.append((100 + i, " ".join([*scrambled, *word_list(rnd, 400), *scrambled])))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in latent.leaks(d, b).collect()) == [(i, i) for i in range(12)]
