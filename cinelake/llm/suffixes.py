@@ -53,7 +53,7 @@ def sampled(data: np.ndarray, off: np.ndarray, match: int = MATCH, seed: int = S
     document, first window start, number of windows, key and range fingerprint."""
     none = np.zeros(0, np.int64)
     if len(data) < match:
-        return none, none, none, none, none.astype(np.int32)
+        return none, none, none, none, none
     roll = RollingHash(data)
     hashes = roll.windows(seed)
     width = match - seed + 1
@@ -81,7 +81,7 @@ def sampled(data: np.ndarray, off: np.ndarray, match: int = MATCH, seed: int = S
     s = at[start]
     shape = ((s - start) * 1000 + (end - start)).astype(np.uint64)
     ctx = roll.of(start, end - 1 + match) ^ mix64(shape)
-    return doc, start, end - start, hashes[s].view(np.int64), (ctx >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return doc, start, end - start, hashes[s].view(np.int64), ctx.view(np.int64)
 
 
 def _slices(column):
@@ -129,7 +129,7 @@ class IndexFamily:
 
     def suffix_array(self, texts: DataFrame) -> DataFrame:
         """The sorted array of a batch (column ``text``): key, n, low, high."""
-        entries = texts.select("text").mapInArrow(_entries_arrow(self.match, self.seed), "key long, ctx int")
+        entries = texts.select("text").mapInArrow(_entries_arrow(self.match, self.seed), "key long, ctx long")
         array = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("ctx").alias("low"), F.max("ctx").alias("high"))
         return _bucketed(array, ["key"], "suffix-array")
 
@@ -321,7 +321,7 @@ def _removed(docs: DataFrame, match: int, seed: int, batches: int, with_text: bo
         family.insert(src.filter(F.pmod(F.xxhash64("k"), F.lit(batches)) == b))
     # as a plain table: both sides of the join below shuffle, so AQE can split a hot key
     again = materialize(family.repeated().select("key", "alike"), "suffix-keys")
-    places = src.select("k", "h", "text").mapInArrow(_occurrences_arrow(match, seed), "k long, h long, key long, ctx int, at long")
+    places = src.select("k", "h", "text").mapInArrow(_occurrences_arrow(match, seed), "k long, h long, key long, ctx long, at long")
     mixed = [F.when(~F.col("alike"), F.col(c)).alias(c) for c in ("key", "ctx")]
     places = materialize(places.join(again, "key").select("k", "h", "at", "alike", *mixed), "suffix-places")
     whole = places.filter("alike")

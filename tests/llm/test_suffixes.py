@@ -82,3 +82,11 @@ def test_texts_stay_whole_rows(spark):
     assert texts[0].text is None and texts[1].text == ""
     assert texts[9].text == odd.prose(3, 60) and texts[9].key == "clash"
     assert suffixes.without_repeats(odd.documents(spark, empty=True)).count() == 0
+
+
+def test_ranges_are_told_apart_by_whole_fingerprints(spark):
+    docs = spark.createDataFrame(corpus(11, 40), "doc_id long, text string")
+    ends = suffixes.IndexFamily(spark, 200, 40).suffix_array(docs).select("low", "high")
+    assert {t for _, t in ends.dtypes} == {"bigint"}
+    values = {abs(v) for r in ends.collect() for v in r}
+    assert sum(v >> 32 > 0 for v in values) > 0.9 * len(values) and len({v & 0xFFFFFFFF for v in values}) > 0.9 * len(values)
