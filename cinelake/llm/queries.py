@@ -1,11 +1,11 @@
-"""The ten operators bound to the driver's tables: one thin query each."""
+"""The operators bound to the driver's tables: one thin query each."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import chat, classifier, graphann, langid, latent, pieces, simhash, suffixes, toxicity, urltree
+from cinelake.llm import align, bytebpe, chat, classifier, graphann, langid, latent, pieces, simhash, suffixes, toxicity, urltree
 from cinelake.llm.common import ship
 
 
@@ -55,6 +55,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.digests(_read(spark, sf_dir, "documents"))
+
+
+def op12_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytebpe.digests(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat": op2_chat,
@@ -66,6 +74,8 @@ QUERIES = {
     "op8_urls": op8_urls,
     "op9_language": op9_language,
     "op10_simhash": op10_simhash,
+    "op11_align": op11_align,
+    "op12_bytebpe": op12_bytebpe,
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_chat": chat.ORACLE_SQL, "op8_urls": urltree.ORACLE_SQL}
