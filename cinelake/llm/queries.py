@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinelake.llm import align, bytebpe, chat, classifier, graphann, langid, latent, pieces, simhash, suffixes, toxicity, urltree
+from cinelake.llm import align, bytebpe, chat, classifier, graphann, langid, latent, phrases, pieces, simhash, suffixes, toxicity, urltree
 from cinelake.llm.common import ship
 
 
@@ -63,6 +63,10 @@ def op12_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(_read(spark, sf_dir, "documents"))
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat": op2_chat,
@@ -76,6 +80,7 @@ QUERIES = {
     "op10_simhash": op10_simhash,
     "op11_align": op11_align,
     "op12_bytebpe": op12_bytebpe,
+    "op13_phrases": op13_phrases,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_chat": chat.ORACLE_SQL, "op8_urls": urltree.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_chat": chat.ORACLE_SQL, "op8_urls": urltree.ORACLE_SQL, "op13_phrases": phrases.ORACLE_SQL}
