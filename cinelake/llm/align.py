@@ -278,13 +278,23 @@ def slab_rows(pair: Pair, data: np.ndarray, off: np.ndarray) -> dict:
 
 # --- Spark ----------------------------------------------------------------------------------------
 
-_COUNTS = "n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, n_links array<bigint>, groups_sha256 array<string>"
-_SLABS = f"slab bigint, doc_id array<%s>, {_COUNTS}, pairs array<bigint>, docs array<bigint>, end array<bigint>, entry array<int>, weight array<bigint>"
+_SLABS = "slab bigint, pairs array<bigint>, docs array<bigint>, rest binary"
+_DOCUMENT = ["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "end"]
+_ENTRY = ["entry", "weight"]
 
 
-def _list(values, kind=None) -> pa.ListArray:
-    values = values if isinstance(values, pa.Array) else pa.array(values, kind)
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+def _packed(*batches: pa.RecordBatch) -> bytes:
+    """Batches as one value, so that the JVM moves them without looking at their elements."""
+    sink = pa.BufferOutputStream()
+    for batch in batches:
+        with pa.ipc.new_stream(sink, batch.schema) as out:
+            out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(value: bytes) -> list[pa.RecordBatch]:
+    source = pa.BufferReader(value)
+    return [list(pa.ipc.open_stream(source))[0] for _ in range(2)]
 
 
 def _slabs_arrow(shared):
@@ -295,9 +305,10 @@ def _slabs_arrow(shared):
             ids = batch.column(0)
             for i, j, data, off in text_slices(batch.column(1), SLAB):
                 got = slab_rows(pair, data, off)
-                cols = [pa.array([n], pa.int64()), _list(ids.slice(i, j - i).combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids.slice(i, j - i))]
-                cols += [_list(x, pa.string() if k == "groups_sha256" else None) for k, x in got.items()]
-                yield pa.RecordBatch.from_arrays(cols, ["slab", "doc_id", *got])
+                documents = pa.RecordBatch.from_arrays([ids.slice(i, j - i), *(pa.array(got[k]) for k in _DOCUMENT)], ["doc_id", *_DOCUMENT])
+                entries = pa.RecordBatch.from_arrays([pa.array(got[k]) for k in _ENTRY], _ENTRY)
+                cols = [pa.array([n], pa.int64()), *(pa.array([got[k]], pa.list_(pa.int64())) for k in ("pairs", "docs"))]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array([_packed(documents, entries)], pa.binary())], ["slab", "pairs", "docs", "rest"])
                 n += 1
 
     return run
@@ -307,8 +318,7 @@ def slabs(docs: DataFrame, bytes_file: str = BYTES_FILE, pieces_file: str = PIEC
     """The written table of slabs: a row for a few MB of text."""
     shared = docs.sparkSession.sparkContext.broadcast(load(bytes_file, pieces_file))
     text = F.when(F.length("text") > 0, F.concat(F.lit(" "), "text")).otherwise(F.lit(""))
-    schema = _SLABS % docs.schema["doc_id"].dataType.simpleString()
-    return materialize(docs.select("doc_id", text.alias("text")).mapInArrow(_slabs_arrow(shared), schema), "alignment")
+    return materialize(docs.select("doc_id", text.alias("text")).mapInArrow(_slabs_arrow(shared), _SLABS), "alignment")
 
 
 def pair_counts(table: DataFrame) -> DataFrame:
@@ -322,23 +332,19 @@ def pair_counts(table: DataFrame) -> DataFrame:
 
 
 def _finish_arrow():
-    names = ["n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
-
-    def close(slab, found):
-        w = slab.column(0)
+    def close(rest, found):
+        documents, entries = _unpacked(rest)
         if found:
             n, best = (np.concatenate([f[i] for f in found]) for i in (0, 1))
         else:
             n, best = np.zeros(0, np.int64), np.zeros(0, bool)
-        field = {f.name: w.field(i) for i, f in enumerate(w.type)}
-        values = {k: field[k][0].values for k in field}
-        end, entry, weight = (values[k].to_numpy() for k in ("end", "entry", "weight"))
+        end, entry, weight = documents["end"].to_numpy(), entries["entry"].to_numpy(), entries["weight"].to_numpy()
         begin = np.concatenate([[0], end[:-1]])
-        cols = [values[k] for k in ("doc_id", *names)]
+        cols = [documents[k] for k in ("doc_id", *_DOCUMENT[:-1])]
         for each in (np.where(best[entry], weight, 0), weight * n[entry]):
             total = np.concatenate([[0], np.cumsum(each)])
             cols.append(pa.array(total[end] - total[begin]))
-        return pa.RecordBatch.from_arrays(cols, ["doc_id", *names, "n_best", "count_sum"])
+        return pa.RecordBatch.from_arrays(cols, ["doc_id", *_DOCUMENT[:-1], "n_best", "count_sum"])
 
     def run(batches):
         """Rows come by slab: the slab itself, then the counts of its pairs in order."""
@@ -352,7 +358,7 @@ def _finish_arrow():
                 if h < batch.num_rows:
                     if slab is not None:
                         yield close(slab, found)
-                    slab = pa.RecordBatch.from_arrays([batch.column(4).slice(h, 1)], ["w"])
+                    slab = batch.column(4)[h].as_py()
                     found = []
                 at = h + 1
         if slab is not None:
@@ -366,13 +372,11 @@ def digests(docs: DataFrame, bytes_file: str = BYTES_FILE, pieces_file: str = PI
     table = slabs(docs, bytes_file, pieces_file)
     counts = materialize(pair_counts(table), "pair-counts")
     asked = table.select("slab", F.posexplode("pairs").alias("pos", "pair")).join(counts, "pair").select("slab", "pos", "n", "best")
-    payload = F.struct("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "end", "entry", "weight")
-    heads = table.select("slab", F.lit(-1).alias("pos"), F.lit(0).cast("long").alias("n"), F.lit(False).alias("best"), payload.alias("w"))
-    none = F.lit(None).cast(heads.schema["w"].dataType)
-    both = heads.unionByName(asked.withColumn("w", none)).repartition("slab").sortWithinPartitions("slab", "pos")
+    heads = table.select("slab", F.lit(-1).alias("pos"), F.lit(0).cast("long").alias("n"), F.lit(False).alias("best"), "rest")
+    both = heads.unionByName(asked.withColumn("rest", F.lit(None).cast("binary"))).repartition("slab").sortWithinPartitions("slab", "pos")
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long"
-    done = both.select("slab", "pos", "n", "best", "w").mapInArrow(_finish_arrow(), schema)
+    done = both.select("slab", "pos", "n", "best", "rest").mapInArrow(_finish_arrow(), schema)
     return done.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
