@@ -443,7 +443,7 @@ WITH docs AS (
         regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
     FROM documents
 ), pieces AS (
-    SELECT lang, d, p, list_filter(regexp_split_to_array(pieces[p], '[\x20\x09]+'), x -> x <> '') AS w
+    SELECT lang, d, p, [x FOR x IN regexp_split_to_array(pieces[p], '[\x20\x09]+') IF x <> ''] AS w
     FROM (SELECT lang, d, pieces, unnest(range(1, len(pieces) + 1)) AS p FROM docs)
 ), words AS (
     SELECT lang, d, p, w, unnest(range(1, len(w) + 1)) AS i FROM pieces
