@@ -9,14 +9,15 @@ and a line feed at its end.  Three passes over all texts follow.
    rule, the two phrases one word shorter that it holds are candidates themselves.  Each distinct phrase
    that passes goes into the table of candidates: a superset of the frequent ones, whatever collides.
 3. Counts.  The candidates become double-array tries over bytes (one, or as many of ``TRIE`` bytes as they
-   need), each built in a task and broadcast.  The states of all word starts of a run of texts advance together,
-   byte level by byte level; where a word ends in an accepting state, it is counted (bincount).
-   The shards' counts are summed.  No count comes from a hash.
+   need, dealt by their first two words), each built in a task and broadcast.  The states of all word starts of a run
+   of texts advance together, byte level by byte level, each in the trie of its first words; where a
+   word ends in an accepting state, it is counted (bincount).  The shards' counts are summed.  No count
+   comes from a hash.
 
 Scores, covers and the ranking are DataFrame operations on the phrases that are frequent.
 
-A trie's size, the hot-bucket bit maps and what a task holds are bounded by parameters.  With more
-candidates than one trie holds, pass 3 is run once for each trie.
+The hot-bucket bit maps and what a task holds are bounded by parameters.  Tries of up to ``HOLD`` bytes in sum are
+broadcast at once; where the candidates need more, pass 3 is run once for each such group.
 
 Defined cases: null text is empty, null lang is ``und``; repeated rows count as often as they stand
 there; no word crosses a document; an empty table gives no phrases; texts of any length are read whole.
@@ -37,12 +38,12 @@ from cinelake.llm.common import RollingHash, lower_ascii, mix64, text_slices
 from cinelake.session import materialize
 
 #: Hash buckets of the bounds, for each length of phrases: a bit each in the map that is broadcast.
-BUCKETS = 1 << 25
-#: Bytes of phrases in one trie; its arrays take about 15 times that.
-TRIE = 1 << 23
+BUCKETS = 1 << 27
+#: Bytes of phrases in one trie, and bytes of tries that a task holds at a time.
+TRIE, HOLD = 1 << 23, 192 << 20
 #: Bytes of text read at a time, and bucket numbers a task holds before it hands them on.
 RUN, HELD = 1 << 20, 1 << 21
-_BLOCK = 1 << 16
+_BLOCK = 1 << 20
 
 _GAP = np.zeros(256, bool)
 _GAP[[0x20, 0x09]] = True
@@ -99,6 +100,11 @@ class Stream:
         h = roll.of(self.start[at], self.end[at + length - 1]) ^ salt[self.doc[at]]
         return (mix64(h) % np.uint64(buckets)).astype(np.int64)
 
+    def heads(self, roll: RollingHash, salt: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+        """A number of the first words (one or two) at each place, by which tries are dealt."""
+        h = roll.of(self.start[at], self.end[at + length - 1]) ^ salt[self.doc[at]]
+        return (mix64(h + np.uint64(1)) >> np.uint64(1)).astype(np.int64)
+
 
 def _streams(batches):
     """(stream, languages of its documents as bytes) for all rows (lang, text)."""
@@ -127,7 +133,7 @@ def _bounds_arrow(longest: int, least: int, buckets: int):
         bucket, which = np.unique(np.concatenate([b for b, _ in held]), return_inverse=True)
         n = np.minimum(np.bincount(which, np.concatenate([c for _, c in held])), least).astype(np.uint16)
         block, first = np.unique(bucket // _BLOCK, return_index=True)
-        place = (bucket % _BLOCK).astype(np.uint16)
+        place = (bucket % _BLOCK).astype(np.uint32)
         cut = [*first.tolist(), len(bucket)]
         packed = [(level, int(b), place[s:e].tobytes(), n[s:e].tobytes()) for b, s, e in zip(block.tolist(), cut, cut[1:])]
         cols = [pa.array(c, t) for c, t in zip(zip(*packed), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))]
@@ -178,7 +184,7 @@ def _hot_arrow(least: int):
                     if key is not None:
                         yield close(key, count)
                     key, count = (level, block), np.zeros(_BLOCK, np.int64)
-                count[np.frombuffer(place, np.uint16)] += np.frombuffer(n, np.uint16)
+                count[np.frombuffer(place, np.uint32)] += np.frombuffer(n, np.uint16)
         if key is not None:
             yield close(key, count)
 
@@ -221,13 +227,15 @@ def _candidates_arrow(shared, longest: int, buckets: int):
                 _, first, which = np.unique(mix64(h + size), return_index=True, return_inverse=True)
                 first = at[np.append(first, np.flatnonzero(s.unlike(at, at[first[which]], k)))]
                 text = [(names[s.doc[i]], raw[a:e]) for i, a, e in zip(first.tolist(), s.start[first].tolist(), s.end[first + k - 1].tolist())]
-                text = [t for t in text if t not in told]
+                head = s.heads(roll, salt, first, min(k, 2))
+                fresh = [i for i, t in enumerate(text) if t not in told]
+                text = [text[i] for i in fresh]
                 told.update(text)
                 if len(told) > HELD // 8:
                     told.clear()
                 if text:
                     cols = [pa.array([t[x].decode() for t in text], pa.string()) for x in (0, 1)]
-                    yield pa.RecordBatch.from_arrays([*cols, pa.array([k] * len(text), pa.int32())], ["lang", "phrase", "words"])
+                    yield pa.RecordBatch.from_arrays([*cols, pa.array([k] * len(text), pa.int32()), pa.array(head[fresh])], ["lang", "phrase", "words", "head"])
 
     return run
 
@@ -236,11 +244,18 @@ def _candidates_arrow(shared, longest: int, buckets: int):
 
 
 class Trie:
-    """A double array over bytes.  From state s, byte c leads to t = base[s] + c if check[t] = s;
-    key[s] is the number of the key that ends in s, or -1.  State 0 is the root."""
+    """A double array over bytes.  From state s, byte c leads to t = base[s] + c if check[t] = s.
+    State 0 is the root; ``ends`` are the accepting states, ascending, and ``keys`` the numbers of their keys."""
+
+    def __init__(self, base: np.ndarray, check: np.ndarray, ends: np.ndarray, keys: np.ndarray):
+        self.base, self.check, self.ends, self.keys = base, check, ends, keys
 
-    def __init__(self, base: np.ndarray, check: np.ndarray, key: np.ndarray):
-        self.base, self.check, self.key = base, check, key
+    def accepted(self, state: np.ndarray) -> np.ndarray:
+        """Numbers of the keys that end in these states (other states left out)."""
+        if not len(self.ends):
+            return self.ends
+        at = np.minimum(np.searchsorted(self.ends, state), len(self.ends) - 1)
+        return self.keys[at[self.ends[at] == state]]
 
     def step(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
         """Next states, -1 where there is none."""
@@ -260,23 +275,23 @@ class Trie:
 def _nodes(flat: np.ndarray, off: np.ndarray):
     """Nodes of the trie of sorted distinct keys, level by level: parent, byte, and the
     node at which each key ends.  Node 0 is the root; children stand side by side."""
-    n = np.diff(off)
-    live = np.arange(len(n))
-    node = np.zeros(len(n), np.int64)
-    last = np.zeros(len(n), np.int64)
-    parents, signs, made, depth = [np.array([-1])], [np.zeros(1, np.int64)], 1, 0
+    n = np.diff(off).astype(np.int32)
+    live = np.arange(len(n), dtype=np.int32)
+    node = np.zeros(len(n), np.int32)
+    last = np.zeros(len(n), np.int32)
+    parents, signs, made, depth = [np.array([-1], np.int32)], [np.zeros(1, np.uint8)], 1, 0
     while len(live):
         ends = n[live] == depth
         last[live[ends]] = node[ends]
         live, node = live[~ends], node[~ends]
         if not len(live):
             break
-        c = flat[off[live] + depth].astype(np.int64)
+        c = flat[off[live] + depth]
         new = np.ones(len(live), bool)
         new[1:] = (node[1:] != node[:-1]) | (c[1:] != c[:-1])
         parents.append(node[new])
         signs.append(c[new])
-        node = made + np.cumsum(new) - 1
+        node = (made - 1 + np.cumsum(new)).astype(np.int32)
         made += int(new.sum())
         depth += 1
     return np.concatenate(parents), np.concatenate(signs), last
@@ -287,86 +302,108 @@ def build(flat: np.ndarray, off: np.ndarray, seed: int = 5) -> Trie:
     many children are placed first; those with equally many propose places together, and
     whoever claims only free ones first gets them."""
     parent, sign, last = _nodes(flat, off)
-    count = np.bincount(parent[1:], minlength=len(parent))
-    first = np.zeros(len(parent), np.int64)
-    heads = np.flatnonzero(np.diff(parent, prepend=-2)[1:]) + 1
+    count = np.bincount(parent[1:], minlength=len(parent)).astype(np.int16)
+    first = np.zeros(len(parent), np.int32)
+    heads = np.flatnonzero(parent[1:] != parent[:-1]) + 1
     first[parent[heads]] = heads
     rng = np.random.default_rng(seed)
-    used = np.zeros(512 + int(1.2 * len(parent)), bool)
+    used = np.zeros(512 + int(1.1 * len(parent)), bool)
     used[:256] = True  # so that no base is negative
-    base = np.zeros(len(parent), np.int64)
+    claim = np.full(len(used), -1, np.int32)
+    base = np.zeros(len(parent), np.int32)
     for m in np.unique(count[count > 0])[::-1].tolist():
         todo = np.flatnonzero(count == m)
-        spread = sign[first[todo][:, None] + np.arange(m)]
         while len(todo):
-            free = np.flatnonzero(~used[:-256])
+            free = np.flatnonzero(~used[:-256]).astype(np.int32)
             if len(free) < len(todo):
-                used = np.append(used, np.zeros(max(512, 2 * len(todo) * m), bool))
+                more = max(512, 2 * len(todo) * m)
+                used, claim = np.append(used, np.zeros(more, bool)), np.append(claim, np.full(more, -1, np.int32))
                 continue
-            place = (free[: len(todo)] if m == 1 else rng.choice(free, len(todo))) - spread[:, 0]
-            slots = place[:, None] + spread
-            claim = np.full(len(used), -1)
-            order = np.arange(len(todo))[::-1]
-            claim[slots[order]] = order[:, None]  # the first of the list has the last word
-            won = (place >= 0) & ~used[slots].any(axis=1) & (claim[slots] == np.arange(len(todo))[:, None]).all(axis=1)
-            used[slots[won]] = True
-            base[todo[won]] = place[won]
-            if won.sum() * 20 < len(todo):
-                used = np.append(used, np.zeros(max(512, len(todo) * m), bool))
-            todo, spread = todo[~won], spread[~won]
-    state = np.zeros(len(parent), np.int64)
+            lost = []
+            tries = 0 if m == 1 else len(todo)
+            for i in range(0, len(todo), 1 << 18):  # so many nodes propose at a time
+                part = todo[i : i + (1 << 18)]
+                spread = sign[first[part][:, None] + np.arange(m)].astype(np.int32)
+                place = (free[i : i + len(part)] if m == 1 else rng.choice(free, len(part))) - spread[:, 0]
+                slots = place[:, None] + spread
+                order = np.arange(len(part), dtype=np.int32)[::-1]
+                claim[slots[order]] = order[:, None]  # the first of the list has the last word
+                won = ~used[slots].any(axis=1) & (claim[slots] == np.arange(len(part))[:, None]).all(axis=1)
+                claim[slots] = -1
+                used[slots[won]] = True
+                base[part[won]] = place[won]
+                lost.append(part[~won])
+            todo = np.concatenate(lost)
+            if len(todo) * 20 > tries * 19 > 0:  # hardly any found a place
+                more = max(512, len(todo) * m)
+                used, claim = np.append(used, np.zeros(more, bool)), np.append(claim, np.full(more, -1, np.int32))
+    del claim, first, count
+    state = np.zeros(len(parent), np.int32)
     state[1:] = base[parent[1:]] + sign[1:]
     size = len(used) + 256
-    out = Trie(np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32))
-    out.base[state] = base
-    out.check[state[1:]] = state[parent[1:]]
-    out.key[state[last]] = np.arange(len(last))
-    return out
+    double, check = np.zeros(size, np.int32), np.full(size, -1, np.int32)
+    double[state] = base
+    check[state[1:]] = state[parent[1:]]
+    order = np.argsort(state[last])
+    return Trie(double, check, state[last][order], order.astype(np.int32))
 
 
 def _build_arrow(table: pa.Table) -> pa.Table:
     """One trie of the candidates (id, lang, phrase) of a shard: its arrays, and the ids of its keys."""
-    keys = pc.binary_join_element_wise(table["lang"].cast(pa.binary()), table["phrase"].cast(pa.binary()), b"\n")
+    # a second line feed before phrases of several words: a root of their own
+    several = pc.if_else(pc.greater(table["words"], 1), b"\n", b"").cast(pa.binary())
+    phrase = pc.binary_join_element_wise(several, table["phrase"].cast(pa.binary()), b"")
+    keys = pc.binary_join_element_wise(table["lang"].cast(pa.binary()), phrase, b"\n")
     order = pc.sort_indices(keys)
     keys = keys.take(order).combine_chunks()
     ids = table["id"].take(order).combine_chunks().to_numpy()
     off = np.frombuffer(keys.buffers()[1], np.int32)[keys.offset : keys.offset + len(keys) + 1].astype(np.int64)
     trie = build(np.frombuffer(keys.buffers()[2], np.uint8), off)
-    arrays = {"base": trie.base, "check": trie.check, "key": trie.key, "ids": ids}
+    arrays = {"base": trie.base, "check": trie.check, "ends": trie.ends, "ids": ids[trie.keys]}
     return pa.table({"shard": table["shard"].slice(0, 1), **{k: pa.array([x.tobytes()], pa.binary()) for k, x in arrays.items()}})
 
 
-def count_keys(trie: Trie, s: Stream, langs: list[bytes], counts: np.ndarray) -> None:
-    """Add to ``counts`` how often each key stands in a stream: all word starts at once."""
-    roots = {x: trie.walk(x + b"\n") for x in set(langs)}
-    state = np.array([roots[x] for x in langs], np.int64)[s.doc]
-    at = np.flatnonzero(state >= 0)
-    state, at = state[at].astype(np.int32), s.start[at]
+def count_keys(trie: Trie, s: Stream, root: np.ndarray, at: np.ndarray, counts: np.ndarray) -> None:
+    """Add to ``counts`` how often each key stands in a stream, from the words ``at`` on, whose walks begin in the
+    states ``root``: all of them together."""
+    live = root >= 0
+    state, at = root[live].astype(np.int32), s.start[at[live]]
     data = s.data
     while len(at):
         c = data[at]
-        over = (c == 32) | (c == 10)
-        ends = trie.key[state[over]]
-        ends = ends[ends >= 0]
+        ends = trie.accepted(state[(c == 32) | (c == 10)])
         if len(ends):
             counts += np.bincount(ends, minlength=len(counts))
         state = trie.step(state, c)
-        go = state >= 0  # no key holds a line feed behind its language
+        go = state >= 0
         state, at = state[go], at[go] + 1
 
 
-def _count_arrow(shared):
+def _count_arrow(shared: dict, shards: int):
+    """Counts of the keys of some shards' tries (shard to broadcast arrays)."""
+
     def run(batches):
-        arrays = shared.value
-        trie = Trie(*(np.frombuffer(arrays[k], np.int32) for k in ("base", "check", "key")))
-        ids = np.frombuffer(arrays["ids"], np.int64)
-        counts = np.zeros(len(ids), np.int64)
+        tries, ids, counts = {}, {}, {}
+        for i, b in shared.items():
+            ends = np.frombuffer(b.value["ends"], np.int32)
+            tries[i] = Trie(*(np.frombuffer(b.value[k], np.int32) for k in ("base", "check")), ends, np.arange(len(ends), dtype=np.int32))
+            ids[i] = np.frombuffer(b.value["ids"], np.int64)
+            counts[i] = np.zeros(len(ends), np.int64)
         for s, langs in _streams(batches):
-            count_keys(trie, s, langs, counts)
-        hit = np.flatnonzero(counts)
-        for i in range(0, len(hit), 1 << 16):
-            part = hit[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[part]), pa.array(counts[part])], ["id", "n"])
+            roll, salt = RollingHash(s.data), _salts(langs)
+            for length, mark in ((1, b"\n"), (2, b"\n\n")):  # single words, and phrases of two or more
+                at = s.phrases(length)
+                shard = s.heads(roll, salt, at, length) % shards
+                for i, trie in tries.items():
+                    roots = {x: trie.walk(x + mark) for x in set(langs)}
+                    mine = at[shard == i]
+                    root = np.array([roots[x] for x in langs], np.int64)[s.doc[mine]]
+                    count_keys(trie, s, root, mine, counts[i])
+        for i in tries:
+            hit = np.flatnonzero(counts[i])
+            for j in range(0, len(hit), 1 << 16):
+                part = hit[j : j + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[i][part]), pa.array(counts[i][part])], ["id", "n"])
 
     return run
 
@@ -374,7 +411,7 @@ def _count_arrow(shared):
 # --- the operator -------------------------------------------------------------------------------------
 
 
-def frequent(docs: DataFrame, longest: int = 3, least: int = 10, buckets: int = BUCKETS, trie: int = TRIE):
+def frequent(docs: DataFrame, longest: int = 3, least: int = 10, buckets: int = BUCKETS, trie: int = TRIE, hold: int = HOLD):
     """((lang, phrase, words, f) of all phrases of up to ``longest`` words with f >= ``least``, (lang, n) of all
     words).  Both are written tables."""
     sc = docs.sparkSession.sparkContext
@@ -382,22 +419,26 @@ def frequent(docs: DataFrame, longest: int = 3, least: int = 10, buckets: int =
     schema = "level int, block long, place binary, count binary, lang string, n long"
     bounds = materialize(src.mapInArrow(_bounds_arrow(longest, least, buckets), schema), "phrase-bounds")
     hot = sc.broadcast(hot_buckets(bounds, longest, least, buckets))
-    found = src.mapInArrow(_candidates_arrow(hot, longest, buckets), "lang string, phrase string, words int").distinct()
+    found = src.mapInArrow(_candidates_arrow(hot, longest, buckets), "lang string, phrase string, words int, head long").distinct()
     candidates = materialize(found.withColumn("id", F.monotonically_increasing_id()), "phrase-candidates")
     hot.unpersist()
-    size = candidates.agg(F.sum(F.octet_length("phrase") + F.octet_length("lang") + 1)).first()[0] or 0
-    shards = -(-size // trie)
-    # a hash of lang and phrase: shards of one size, up to a small part
-    dealt = candidates.select("id", "lang", "phrase", F.pmod(F.xxhash64("lang", "phrase"), F.lit(max(1, shards))).alias("shard"))
-    tries = materialize(dealt.groupBy("shard").applyInArrow(_build_arrow, "shard long, base binary, check binary, key binary, ids binary"), "tries")
-    counted = [candidates.select("id", F.lit(0).cast("long").alias("n")).limit(0)]
-    for shard in range(shards):
+    size = candidates.agg(F.sum(F.octet_length("phrase") + F.octet_length("lang") + 2)).first()[0] or 0
+    shards = max(1, -(-size // trie))
+    dealt = candidates.select("id", "lang", "phrase", "words", F.pmod("head", F.lit(shards)).alias("shard"))
+    tries = dealt.groupBy("shard").applyInArrow(_build_arrow, "shard long, base binary, check binary, ends binary, ids binary")
+    tries = materialize(tries.withColumn("size", F.octet_length("base") + F.octet_length("check") + F.octet_length("ends") + F.octet_length("ids")), "tries")
+    counted, group, held = [candidates.select("id", F.lit(0).cast("long").alias("n")).limit(0)], {}, 0
+    sizes = sorted(tuple(r) for r in tries.select("shard", "size").collect())  # a row for each trie
+    for i, (shard, size) in enumerate(sizes):
         row = tries.filter(F.col("shard") == shard).first()
-        if row is None:
-            continue
-        shared = sc.broadcast({k: bytes(row[k]) for k in ("base", "check", "key", "ids")})
-        counted.append(materialize(src.mapInArrow(_count_arrow(shared), "id long, n long"), "phrase-counts"))
-        shared.unpersist()
+        group[shard] = sc.broadcast({k: bytes(row[k]) for k in ("base", "check", "ends", "ids")})
+        del row
+        held += size
+        if i + 1 == len(sizes) or held + sizes[i + 1][1] > hold:
+            counted.append(materialize(src.mapInArrow(_count_arrow(group, shards), "id long, n long"), "phrase-counts"))
+            for b in group.values():
+                b.unpersist()
+            group, held = {}, 0
     total = reduce(DataFrame.unionByName, counted).groupBy("id").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
     phrases = materialize(candidates.join(total, "id").select("lang", "phrase", "words", "f"), "phrases")
     return phrases, bounds.filter("level = 0").groupBy("lang").agg(F.sum("n").alias("n"))
