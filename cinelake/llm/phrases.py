@@ -38,11 +38,11 @@ from cinelake.llm.common import RollingHash, lower_ascii, mix64, text_slices
 from cinelake.session import materialize
 
 #: Hash buckets of the bounds, for each length of phrases: a bit each in the map that is broadcast.
-BUCKETS = 1 << 27
+BUCKETS = 1 << 25
 #: Bytes of phrases in one trie, and bytes of tries that a task holds at a time.
-TRIE, HOLD = 1 << 23, 192 << 20
+TRIE, HOLD = 1 << 22, 128 << 20
 #: Bytes of text read at a time, and bucket numbers a task holds before it hands them on.
-RUN, HELD = 1 << 20, 1 << 21
+RUN, HELD = 1 << 20, 1 << 19
 _BLOCK = 1 << 20
 
 _GAP = np.zeros(256, bool)
