@@ -2,7 +2,7 @@
 
     python -m cinelake.jobs land --input FOLDER --output RAW_ROOT --day 2024-03-27
     python -m cinelake.jobs trusted-credits --input RAW_CSV_DIR --output TRUSTED_DIR [--report REPORT_DIR]
-    python -m cinelake.jobs trusted-details --input RAW_JSON_DIR --output TRUSTED_DIR
+    python -m cinelake.jobs trusted-details --input RAW_JSON_DIR --output TRUSTED_DIR [--report REPORT_DIR]
     python -m cinelake.jobs refined --credits TRUSTED_CREDITS --details TRUSTED_DETAILS --output REFINED_DIR [--bucketed]
     python -m cinelake.jobs enrichment --credits RAW_CSV_DIR --details RAW_JSON_DIR --errors ERRORS_DIR [--found JSON_DIR]
     python -m cinelake.jobs analysis --refined REFINED_DIR --output RESULTS_DIR
@@ -48,13 +48,16 @@ def landing_job(spark: SparkSession, input_path: str, root: str, day: dt.date) -
     return done
 
 
-def write_report(trusted_table: DataFrame, raw: DataFrame, key: str, path: str) -> None:
-    """V1, V2, V6 and A6 of a trusted table: row counts of both stages, keys with several
-    attribute tuples, and the column profile, as one small table each."""
-    op.stage_counts([("raw", raw), ("trusted", trusted_table)]).write.mode("overwrite").parquet(f"{path}/counts")
-    attrs = ["tituloPrincipal", "tituloOriginal", "anoLancamento", "genero", "notaMedia", "numeroVotos"]
-    op.key_consistency(trusted_table, key, attrs).write.mode("overwrite").parquet(f"{path}/key_consistency")
-    op.describe_profile(trusted_table).write.mode("overwrite").parquet(f"{path}/profile")
+def write_report(table: DataFrame, funnel: op.Funnel, key: str, attrs: list[str], path: str) -> None:
+    """V1, V2 and A6 of a written table, as small tables: the rows of every stage, counted while it was
+    written (``funnel``; ``counts`` has the first and last), keys with several attribute
+    tuples, and the column profile."""
+    stages = funnel.rows(table.sparkSession)
+    stages.write.mode("overwrite").parquet(f"{path}/funnel")
+    ends = stages.agg(F.min_by("n_rows", "stage_no").alias("raw"), F.max_by("n_rows", "stage_no").alias("trusted"))
+    ends.unpivot([], ["raw", "trusted"], "stage", "n_rows").write.mode("overwrite").parquet(f"{path}/counts")
+    op.key_consistency(table, key, attrs).write.mode("overwrite").parquet(f"{path}/key_consistency")
+    op.describe_profile(table).write.mode("overwrite").parquet(f"{path}/profile")
 
 
 def trusted_credits_job(
@@ -63,21 +66,26 @@ def trusted_credits_job(
     """Q1 + S1 + S4: every *.csv under the raw folder to the trusted credits table, with the
     quality report on request."""
     raw = read_delimited(spark, input_path, RAW_CREDITS_DDL, glob="*.csv", recursive=True)
-    write_parquet(trusted.trusted_credits(raw), output_path, mode=mode)
+    funnel = op.Funnel()
+    write_parquet(trusted.trusted_credits(raw, **({"counted": funnel} if report else {})), output_path, mode=mode)
     out = spark.read.parquet(output_path)
     if report:
-        write_report(out, raw, "id", report)
+        write_report(out, funnel, "id", ["tituloPrincipal", "tituloOriginal", "anoLancamento", "genero", "notaMedia", "numeroVotos"], report)
     return out
 
 
-def trusted_details_job(spark: SparkSession, input_path: str, output_path: str) -> DataFrame:
+def trusted_details_job(spark: SparkSession, input_path: str, output_path: str, report: str | None = None) -> DataFrame:
     """Q2 + S2 + S5: JSON lines under dated folders to trusted details, partitioned by
     the extraction date read from each file's folder.  Dynamic partition overwrite:
-    re-running a date replaces that date only."""
+    re-running a date replaces that date only.  With the quality report on request."""
     raw = read_json_lines(spark, input_path, RAW_DETAILS_SCHEMA)
-    out = trusted.trusted_details(raw, path_col=F.col("_metadata.file_path"))
+    funnel = op.Funnel()
+    out = trusted.trusted_details(raw, path_col=F.col("_metadata.file_path"), **({"counted": funnel} if report else {}))
     write_parquet(out, output_path, mode="overwrite", partition_by=["extraction_date"])
-    return spark.read.parquet(output_path)
+    out = spark.read.parquet(output_path)
+    if report:
+        write_report(out, funnel, "imdb_id", ["id", "title", "release_date", "revenue", "budget", "extraction_date"], report)
+    return out
 
 
 def check_columns(df: DataFrame, expected: T.StructType, name: str) -> None:
@@ -93,14 +101,16 @@ def refined_job(
     spark: SparkSession, credits_path: str, details_path: str, output_root: str, bucketed: bool = False, n_buckets: int = 64
 ) -> star.Star:
     """Q5-Q9 + S6 + S7: star schema from the trusted tables, written once.  The
-    trusted inputs are checked against their expected schemas first (V6).  With
+    trusted inputs are checked against their expected schemas first (V6).  Artists and dates keep
+    their ids from build to build (``keys`` beside the builds), and a build whose audit finds a
+    missing key or a null stays unpublished.  With
     ``bucketed`` the tables are catalogued with the fact and the film dimension
     bucketed on the film id (S14, co-located joins for repeated analysis)."""
     credits, details = spark.read.parquet(credits_path), spark.read.parquet(details_path)
     check_columns(credits, TRUSTED_CREDITS_SCHEMA, "trusted credits")
     check_columns(details, TRUSTED_DETAILS_SCHEMA, "trusted details")
     with scratch(spark):
-        s = star.build_star(credits, details, materialize_inputs=False)
+        s = star.build_star(credits, details, materialize_inputs=False, keys=f"{output_root.rstrip('/')}/keys")
         if not bucketed:
             star.write_star(s, output_root)
             return star.read_star(spark, output_root)
@@ -176,6 +186,7 @@ def main(argv: list[str] | None = None) -> None:
     p = sub.add_parser("trusted-details")
     p.add_argument("--input", required=True)
     p.add_argument("--output", required=True)
+    p.add_argument("--report", default=None, help="folder for the quality report")
     p = sub.add_parser("refined")
     p.add_argument("--credits", required=True)
     p.add_argument("--details", required=True)
@@ -205,7 +216,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "trusted-credits":
         trusted_credits_job(spark, args.input, args.output, report=args.report)
     elif args.job == "trusted-details":
-        trusted_details_job(spark, args.input, args.output)
+        trusted_details_job(spark, args.input, args.output, report=args.report)
     elif args.job == "refined":
         refined_job(spark, args.credits, args.details, args.output, bucketed=args.bucketed, n_buckets=args.buckets)
     elif args.job == "stream-details":

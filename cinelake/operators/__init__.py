@@ -28,13 +28,15 @@ from cinelake.operators.joins import (
     left_lookup,
     lookup_key,
 )
+from cinelake.operators.keys import KeyRegistry
 from cinelake.operators.projection import add_literal, drop_columns, project_alias, rename_columns, reorder_columns
 from cinelake.operators.quality import (
+    Funnel,
+    audit,
     describe_profile,
     fk_violations,
     key_consistency,
     null_violations,
-    observe_counts,
     pk_violations,
     schema_diff,
     stage_counts,

@@ -1,7 +1,7 @@
 """Analyses on the star (Q11-Q21).
 
 Grain rule: the fact repeats film measures once per artist and role, so every film
-measure is reduced to distinct films (or distinct artist x film pairs) before it is
+measure is reduced to distinct films (films and genres, or artists and films) before it is
 summed or averaged.  ``fit`` functions report both grains: the fact grain (what the
 reference's notebook computed) and the film grain.
 """
@@ -20,14 +20,22 @@ FILM_MEASURES = ["runtime", "revenue", "budget", "popularity", "tmdb_rating", "t
 DIGITS = 6
 
 
+def _dated(star: Star, films: DataFrame) -> DataFrame:
+    """Films with the year and quarter of their release; dim_date is a bounded calendar."""
+    dates = star.dim_date.select(F.col("id").alias("__d"), "year", "quarter")
+    return films.join(dates, F.col("id_date") == F.col("__d"), "left").drop("__d")
+
+
 def film_grain(star: Star) -> DataFrame:
-    """Distinct films with their film-level measures, release year / quarter and
-    genre label.  dim_date is keyed by a bounded calendar and dim_genre has three
-    rows; both joins go broadcast by size."""
+    """One row per film: film-level measures, release year and quarter.  A film whose credits
+    carry several tag strings, and so several genre classes, is one film."""
+    return _dated(star, star.fact.select("id_movie", "id_date", *FILM_MEASURES).distinct())
+
+
+def film_genre_grain(star: Star) -> DataFrame:
+    """One row per film and genre class, with the class's label."""
     films = star.fact.select("id_movie", "id_genre", "id_date", *FILM_MEASURES).distinct()
-    dates = star.dim_date.select(F.col("id").alias("__d"), "year", "quarter")
-    out = films.join(dates, F.col("id_date") == F.col("__d"), "left").drop("__d")
-    return out.withColumn("genre", label_codes("id_genre"))
+    return _dated(star, films).withColumn("genre", label_codes("id_genre"))
 
 
 def releases_per_year(star: Star) -> DataFrame:
@@ -76,7 +84,7 @@ def seasonal_share(star: Star, digits: int = 2) -> DataFrame:
     """Q16: revenue per genre x quarter and its percent of the genre's revenue.
     The window runs over the aggregated rows (at most 3 x 4), never over raw rows."""
     sums = (
-        film_grain(star)
+        film_genre_grain(star)
         .filter(F.col("quarter").isNotNull())
         .groupBy("genre", "quarter")
         .agg(F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("films"))
@@ -118,7 +126,7 @@ def artist_recurrence(star: Star) -> DataFrame:
 
 def rating_by_genre(star: Star) -> DataFrame:
     """Q20: mean audience rating per genre class over distinct films."""
-    return film_grain(star).groupBy("genre").agg(
+    return film_genre_grain(star).groupBy("genre").agg(
         F.count(F.lit(1)).alias("films"),
         F.round(F.avg("tmdb_rating"), DIGITS).alias("avg_rating"),
     )
@@ -126,5 +134,5 @@ def rating_by_genre(star: Star) -> DataFrame:
 
 def top_popular_per_genre(star: Star, n: int = 10) -> DataFrame:
     """Q21: the n most popular films of each genre class (ties by film id)."""
-    films = film_grain(star).select("genre", "id_movie", "popularity")
+    films = film_genre_grain(star).select("genre", "id_movie", "popularity")
     return top_n_per_group(films, ["genre"], ["popularity", "id_movie"], n, descending=True, rank_col="rank")

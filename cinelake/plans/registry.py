@@ -32,10 +32,11 @@ from cinelake.plans.roles import (
     raw_details,
     table,
 )
-from cinelake.session import shared_dir
-from cinelake.sources.readers import landing_inventory, read_delimited, read_json_lines
+from cinelake.session import materialize, shared_dir
+from cinelake.sources.readers import landing_inventory, read_checked, read_delimited, read_json_lines
 from cinelake.sources.schemas import CREDIT_COLUMNS_DROPPED, STAR_NOT_NULL
 from cinelake.sources.sinks import land_once, register_tables, write_id_list, write_json_balanced, write_parquet
+from cinelake.streaming.enrichment import stream_enrichment
 from cinelake.streaming.ingest import stream_dedup, stream_ingest, stream_trusted_details
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +116,21 @@ def _csv_round_trip(spark, d):
     return read_delimited(spark, base, part.schema)
 
 
+@query("csv_rejects")
+def _csv_rejects(spark, d):
+    # S1 with rejects: a size that is no number, and a record with a field too many
+    part = table(spark, d, "part").select("p_partkey", "p_name", "p_size")
+    size = F.when(F.col("p_partkey") % 7 == 0, F.concat(F.lit("x"), "p_size")).when(F.col("p_partkey") % 11 == 0, F.concat("p_size", F.lit("|9")))
+    line = F.concat_ws("|", "p_partkey", "p_name", F.coalesce(size, F.col("p_size").cast("string")))
+    base = shared_dir(spark, "csv-rejects")
+    part.select(line.alias("line")).write.text(base)
+    accepted, rejected = read_checked(spark, base, part.schema, header=False)
+    none = F.lit(None).cast("string")
+    return accepted.select(*part.columns, none.alias("record")).unionByName(
+        rejected.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in part.schema.fields], "record")
+    )
+
+
 @query("json_round_trip")
 def _json_round_trip(spark, d):
     # Balanced JSON files of at most 100 records, read back with a schema
@@ -644,6 +660,50 @@ def _stream_trusted(spark, d):
     return stream_trusted_details(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", raw.schema, max_files_per_trigger=4)
 
 
+@query("stream_recheckpoint")
+def _stream_recheckpoint(spark, d):
+    # The checkpoint is lost between drains and the trigger size changes; files and records land once
+    raw = raw_details(spark, d)
+    base = shared_dir(spark, "stream-recheckpoint")
+    for parity, day in ((0, "27"), (1, "28")):
+        films = raw.filter(F.col("imdb_id") % 2 == parity)
+        films.repartition(2).write.json(f"{base}/landing/2024/03/{day}")
+        stream_trusted_details(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint{day}", raw.schema, max_files_per_trigger=1 + parity * 4)
+        films.filter(F.col("imdb_id") % 10 == parity).coalesce(1).write.mode("append").json(f"{base}/landing/2024/03/{day}")
+    return stream_trusted_details(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", raw.schema)
+
+
+@query("stream_enrich")
+def _stream_enrich(spark, d):
+    # Q4 on arrival: films and details land in turns, so that some films wait for their details and some
+    # details for their film; two drains with one checkpoint
+    base = shared_dir(spark, "stream-enrich")
+    films, details = orders_as_films(spark, d), raw_details(spark, d).select("imdb_id", "title")
+    out = None
+    for turn in (0, 1):
+        films.filter(F.col("id") % 2 == turn).coalesce(2).write.mode("append").option("header", True).option("sep", "|").csv(f"{base}/credits")
+        details.filter(F.floor(F.col("imdb_id") / 2) % 2 == turn).coalesce(2).write.mode("append").json(f"{base}/details")
+        out = stream_enrichment(spark, f"{base}/credits", f"{base}/details", f"{base}/events", f"{base}/checkpoint", films.schema, details.schema, tags=TAG_TOKENS)
+    return out.select("id", (F.col("status") == "found").alias("found"))
+
+
+@query("stream_dedup_window")
+def _stream_dedup_window(spark, d):
+    # T3 with a watermark: each event lands twice, those of the first drain's last two days once more with the second
+    base = shared_dir(spark, "stream-dedup-window")
+    ev = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    first, last = ev.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    middle = F.lit(first) + F.expr(f"make_interval(0, 0, 0, {(last - first).days // 2})")
+    out = None
+    for rows in (ev.filter(F.col("ts") < middle), ev.filter(F.col("ts") >= middle - F.expr("interval 2 days"))):
+        for _ in range(2):
+            rows.coalesce(4).write.mode("append").option("timestampFormat", TS_FORMAT).json(f"{base}/landing")
+        out = stream_dedup(spark, f"{base}/landing", ev.schema, ["event_id"], f"{base}/out", f"{base}/checkpoint", "json",
+            watermark=("ts", "4 days"), timestampFormat=TS_FORMAT,
+        )
+    return out.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props")
+
+
 # ---------------------------------------------------------------- 2.11 data quality
 
 
@@ -656,6 +716,47 @@ def _stage_funnel(spark, d):
     return op.stage_counts([("raw", raw), ("tag_filter", tagged), ("dedup_dropna", complete), ("min_votes", voted)])
 
 
+@query("stage_funnel_observed")
+def _stage_funnel_observed(spark, d):
+    # V1 in one pass: the counts of all stages, taken while the trusted credits are written
+    funnel = op.Funnel()
+    materialize(tr.trusted_credits(raw_credits(spark, d), tag_patterns=TAG_PATTERNS, sentinel=ROLE_SENTINEL, counted=funnel), "trusted-credits")
+    return funnel.rows(spark)
+
+
+@query("audit_gate")
+def _audit_gate(spark, d):
+    # V3-V5 as a gate: a build with holes in a dimension is written and audited, but the one before stays current
+    base = shared_dir(spark, "gate")
+    s = star(spark, d)
+    st.write_star(s, base)
+    holes = st.Star(s.dim_actor.filter("id % 5 <> 0"), s.dim_date, s.dim_movie, s.fact, s.dim_genre)
+    try:
+        folder = st.write_star(holes, base)
+    except st.AuditFailed as failed:
+        folder = failed.folder
+    current = st.read_star(spark, base).dim_actor.agg(F.count(F.lit(1)).alias("current_actors"))
+    return spark.read.parquet(f"{folder}/audit").withColumn("one", F.lit(1)).join(current.withColumn("one", F.lit(1)), "one").drop("one")
+
+
+@query("key_registry")
+def _key_registry(spark, d):
+    # W1 over builds: a first build holds some suppliers' names, a second all of them
+    names = table(spark, d, "supplier").select(F.col("s_name").alias("name"), "s_suppkey")
+    known = op.KeyRegistry(spark, shared_dir(spark, "keys"))
+    known.assign(names.filter("s_suppkey % 3 = 0"), ["name"])
+    return known.assign(names, ["name"])
+
+
+@query("rebuilt_artists")
+def _rebuilt_artists(spark, d):
+    # Q5 over builds: artists of the first build keep their ids when others join
+    credits, details = trusted_pair(spark, d)
+    keys = shared_dir(spark, "keys")
+    st.dim_actor(credits.filter("id % 50 = 0"), TEST_COLUMNS, op.KeyRegistry(spark, keys))
+    return st.dim_actor(credits, TEST_COLUMNS, op.KeyRegistry(spark, keys)).select("id", "name", "num_movies")
+
+
 @query("key_consistency")
 def _key_consistency(spark, d):
     credits, _ = trusted_pair(spark, d)
@@ -749,6 +850,15 @@ def _snapshot_films(spark, d):
     return an.popularity_per_year(st.build_star(credits, details.unionByName(later), TEST_COLUMNS))
 
 
+@query("mixed_genre_films")
+def _mixed_genre_films(spark, d):
+    # films some of whose credits carry another tag string, and so another genre class
+    credits, details = trusted_pair(spark, d)
+    more = (F.col("id") % 3 == 0) & (F.col("tempoMinutos") % 2 == 0)
+    credits = credits.withColumn("genero", F.when(more, F.concat("genero", F.lit(",F"))).otherwise(F.col("genero")))
+    return an.budget_revenue_per_year(st.build_star(credits, details, TEST_COLUMNS), *YEAR_RANGE)
+
+
 @query("popularity_per_year")
 def _popularity_per_year(spark, d):
     return an.popularity_per_year(star(spark, d))

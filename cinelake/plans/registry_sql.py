@@ -302,6 +302,17 @@ ORACLE_SQL: dict[str, str] = {
     "stream_trusted": _w(RAW_DETAILS, TRUSTED_DETAILS)
     + "SELECT * REPLACE (CASE WHEN imdb_id % 2 = 0 THEN DATE '2024-03-27' ELSE DATE '2024-03-28' END AS extraction_date) FROM trusted_details",
     # 2.11 data quality
+    "stream_recheckpoint": _w(RAW_DETAILS, TRUSTED_DETAILS)
+    + "SELECT * REPLACE (CASE WHEN imdb_id % 2 = 0 THEN DATE '2024-03-27' ELSE DATE '2024-03-28' END AS extraction_date) FROM trusted_details",
+    # 2.11 data quality
+    "stream_enrich": _w(RAW_DETAILS, CANDIDATES)
+    + "SELECT c.id, (k.imdb_id IS NOT NULL) AS found FROM cand c "
+    "LEFT JOIN (SELECT DISTINCT imdb_id FROM raw_details) k ON c.id = k.imdb_id",
+    "csv_rejects": "WITH t AS (SELECT p_partkey, p_name, p_size, CASE WHEN p_partkey % 7 = 0 THEN 'x' || p_size "
+    "WHEN p_partkey % 11 = 0 THEN p_size || '|9' END AS bad FROM part) "
+    "SELECT p_partkey, p_name, p_size, CAST(NULL AS VARCHAR) AS record FROM t WHERE bad IS NULL "
+    "UNION ALL SELECT NULL, NULL, NULL, p_partkey || '|' || p_name || '|' || bad FROM t WHERE bad IS NOT NULL",
+    "stream_dedup_window": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "stage_funnel": _w(RAW_CREDITS)
     + ", r AS (SELECT id, tituloPincipal AS tituloPrincipal, tituloOriginal, anoLancamento, tempoMinutos, genero, "
     "notaMedia, numeroVotos, personagem, nomeArtista FROM raw_credits), "
@@ -310,6 +321,31 @@ ORACLE_SQL: dict[str, str] = {
     "SELECT 1 AS stage_no, 'raw' AS stage, count(*) AS n_rows FROM r UNION ALL "
     "SELECT 2, 'tag_filter', count(*) FROM t UNION ALL SELECT 3, 'dedup_dropna', count(*) FROM c UNION ALL "
     "SELECT 4, 'min_votes', count(*) FROM f",
+    "stage_funnel_observed": _w(RAW_CREDITS)
+    + ", r AS (SELECT id, tituloPincipal AS tituloPrincipal, tituloOriginal, anoLancamento, tempoMinutos, genero, "
+    "notaMedia, numeroVotos, personagem, nomeArtista FROM raw_credits), "
+    f"t AS (SELECT * FROM r WHERE {_TAG_LIKE}), c AS (SELECT DISTINCT * FROM t WHERE {_NOT_NULL}), "
+    "f AS (SELECT * FROM c WHERE numeroVotos >= 30) "
+    "SELECT 1 AS stage_no, 'raw' AS stage, count(*) AS n_rows FROM r UNION ALL "
+    "SELECT 2, 'tag_filter', count(*) FROM t UNION ALL SELECT 3, 'dedup_dropna', count(*) FROM c UNION ALL "
+    "SELECT 4, 'min_votes', count(*) FROM f",
+    "audit_gate": STAR
+    + "SELECT c.*, (SELECT count(*) FROM dim_actor) AS current_actors FROM ("
+    + " UNION ALL ".join(
+        [f"SELECT 'not null' AS check_name, '{c}' AS what, (SELECT count(*) FROM fact WHERE {c} IS NULL) AS n_violations, true AS blocks"
+         for c in ("id_movie", "id_genre", "id_date", "id_actor", "runtime", "revenue", "budget")]
+        + [f"SELECT 'foreign key', '{k}', (SELECT count(*) FROM fact f WHERE NOT EXISTS (SELECT 1 FROM {t} d WHERE d.id = f.{k} {w})), true"
+           for k, t, w in (("id_movie", "dim_movie", ""), ("id_actor", "dim_actor", "AND d.id % 5 <> 0"), ("id_date", "dim_date", ""), ("id_genre", "dim_genre", ""))]
+        + ["SELECT 'primary key', 'id_movie,id_actor,id_date,id_genre,actor_role,imdb_rating,imdb_vote_count', (SELECT count(*) FROM "
+           "(SELECT 1 FROM fact GROUP BY id_movie, id_actor, id_date, id_genre, actor_role, imdb_rating, imdb_vote_count HAVING count(*) > 1) g), true",
+           "SELECT 'declared key', 'id_movie,id_actor,id_date,id_genre', (SELECT count(*) FROM "
+           "(SELECT 1 FROM fact GROUP BY id_movie, id_actor, id_date, id_genre HAVING count(*) > 1) g), false"]
+    )
+    + ") c",
+    "key_registry": "SELECT s_name AS name, row_number() OVER (ORDER BY s_suppkey % 3 <> 0, s_name) AS id FROM supplier",
+    "rebuilt_artists": STAR
+    + "SELECT row_number() OVER (ORDER BY f.name IS NULL, a.name) AS id, a.name, a.num_movies FROM dim_actor a "
+    "LEFT JOIN (SELECT DISTINCT nomeArtista AS name FROM trusted_credits WHERE id % 50 = 0) f ON f.name = a.name",
     "key_consistency": _w(RAW_CREDITS, TRUSTED_CREDITS)
     + "SELECT id, count(*) AS n_versions FROM (SELECT DISTINCT id, tituloPrincipal, tituloOriginal, anoLancamento, "
     "tempoMinutos, genero, notaMedia, numeroVotos FROM trusted_credits) t GROUP BY id HAVING count(*) > 1",
@@ -350,6 +386,11 @@ ORACLE_SQL: dict[str, str] = {
     + "SELECT year, count(*) AS releases, CAST(sum(budget) AS BIGINT) AS total_budget, "
     "CAST(sum(revenue) AS BIGINT) AS total_revenue, round(avg(budget), 6) AS avg_budget, "
     "round(avg(revenue), 6) AS avg_revenue FROM films WHERE year BETWEEN 1996 AND 2000 GROUP BY year",
+    "mixed_genre_films": STAR
+    + "SELECT year, count(*) AS releases, CAST(sum(budget) AS BIGINT) AS total_budget, "
+    "CAST(sum(revenue) AS BIGINT) AS total_revenue, round(avg(budget), 6) AS avg_budget, "
+    "round(avg(revenue), 6) AS avg_revenue FROM (SELECT DISTINCT id_movie, year, budget, revenue FROM films) "
+    "WHERE year BETWEEN 1996 AND 2000 GROUP BY year",
     "budget_revenue_fit": STAR + _fit("budget", "revenue", "fact", "fact") + " UNION ALL " + _fit("budget", "revenue", "films", "film"),
     "rating_popularity_fit": STAR
     + "SELECT x.*, b.avg_budget FROM ("

@@ -29,8 +29,10 @@ from pyspark.sql import functions as F
 from cinelake.functions.dates import quarter_label
 from cinelake.functions.text import classify_tags, label_codes
 from cinelake.operators.joins import inner_join, left_lookup, lookup_key
+from cinelake.operators.keys import KeyRegistry
+from cinelake.operators.quality import audit
 from cinelake.operators.windows import surrogate_key
-from cinelake.session import file_system, materialize, run_concurrently
+from cinelake.session import materialize, remove_path, run_concurrently
 from cinelake.sources.sinks import write_fact
 
 
@@ -96,14 +98,22 @@ def joined_view(credits: DataFrame, details: DataFrame, c: FilmColumns = FilmCol
     return inner_join(left, newest_details(details, c), c.credit_id, key)
 
 
-def dim_actor(trusted_credits: DataFrame, c: FilmColumns = FilmColumns()) -> DataFrame:
+def _numbered(df: DataFrame, natural: str, keys: KeyRegistry | None) -> DataFrame:
+    """Dimension rows with their ids: by rank of the natural key, or as a registry gave them out."""
+    if keys is None:
+        return surrogate_key(df, [natural], "id")
+    df = materialize(df, "dimension")
+    return df.join(keys.assign(df, [natural]), natural).select("id", *df.columns)
+
+
+def dim_actor(trusted_credits: DataFrame, c: FilmColumns = FilmColumns(), keys: KeyRegistry | None = None) -> DataFrame:
     """Q5: one row per artist name with its credit-row count over all trusted
     credits (so it also holds artists the fact never references)."""
     counts = trusted_credits.groupBy(F.col(c.artist).alias("name")).agg(F.count(F.lit(1)).alias("num_movies"))
-    return surrogate_key(counts, ["name"], "id")
+    return _numbered(counts, "name", keys)
 
 
-def dim_date(trusted_details: DataFrame, c: FilmColumns = FilmColumns()) -> DataFrame:
+def dim_date(trusted_details: DataFrame, c: FilmColumns = FilmColumns(), keys: KeyRegistry | None = None) -> DataFrame:
     """Q6: distinct non-null release dates with parts and quarter, id by date."""
     dates = trusted_details.select(F.col(c.release_date).alias("date")).where(F.col("date").isNotNull()).distinct()
     dates = dates.select(
@@ -113,7 +123,7 @@ def dim_date(trusted_details: DataFrame, c: FilmColumns = FilmColumns()) -> Data
         F.dayofmonth("date").alias("day"),
         quarter_label("date").alias("quarter"),
     )
-    return surrogate_key(dates, ["date"], "id")
+    return _numbered(dates, "date", keys)
 
 
 def dim_movie(credits: DataFrame, details: DataFrame, c: FilmColumns = FilmColumns()) -> DataFrame:
@@ -183,8 +193,10 @@ def prepare_star(
     trusted_details: DataFrame,
     c: FilmColumns = FilmColumns(),
     materialize_inputs: bool = True,
+    keys: str | None = None,
 ) -> StarInputs:
-    """``materialize_inputs`` writes the two trusted inputs once as Parquet to the shared
+    """``keys`` names a folder of key registries: artists and dates then keep their ids over builds.
+    ``materialize_inputs`` writes the two trusted inputs once as Parquet to the shared
     checkpoint folder, so that numbering the dimensions and building the fact read them,
     pruned to the columns each step needs, instead of re-running the raw-to-trusted lineage
     per pass.  Where the trusted layer is on disk already, pass False."""
@@ -192,7 +204,9 @@ def prepare_star(
         trusted_credits, trusted_details = run_concurrently(
             (materialize, trusted_credits, "trusted-credits"), (materialize, trusted_details, "trusted-details")
         )
-    actors, dates = run_concurrently((dim_actor, trusted_credits, c), (dim_date, trusted_details, c))
+    spark = trusted_credits.sparkSession
+    known = [KeyRegistry(spark, f"{keys.rstrip('/')}/{n}") if keys else None for n in ("actors", "dates")]
+    actors, dates = run_concurrently((dim_actor, trusted_credits, c, known[0]), (dim_date, trusted_details, c, known[1]))
     return StarInputs(trusted_credits, trusted_details, joined_view(trusted_credits, trusted_details, c), actors, dates)
 
 
@@ -201,9 +215,10 @@ def build_star(
     trusted_details: DataFrame,
     c: FilmColumns = FilmColumns(),
     materialize_inputs: bool = True,
+    keys: str | None = None,
 ) -> Star:
     """All five tables.  The fact is written once and read by whatever comes after it."""
-    p = prepare_star(trusted_credits, trusted_details, c, materialize_inputs)
+    p = prepare_star(trusted_credits, trusted_details, c, materialize_inputs, keys)
     fact = materialize(fact_movie_actor(p.joined, p.dates, p.actors, c), "fact")
     return Star(p.actors, p.dates, dim_movie(p.credits, p.details, c), fact, dim_genre(fact))
 
@@ -219,10 +234,31 @@ def star_flatten(star: Star) -> DataFrame:
     return left_lookup(out, actor, "id_actor", "id")
 
 
-def write_star(star: Star, root: str) -> str:
+class AuditFailed(ValueError):
+    """A build whose audit found violations; it is written, but not the current one."""
+
+    def __init__(self, folder: str, found: list[str]):
+        super().__init__(f"{folder} is not published: " + "; ".join(found))
+        self.folder, self.found = folder, found
+
+
+# The fact's declared key and NOT NULL columns.
+DECLARED_KEY = ["id_movie", "id_actor", "id_date", "id_genre"]
+FACT_NOT_NULL = ["id_movie", "id_genre", "id_date", "id_actor", "runtime", "revenue", "budget"]
+
+
+def audit_star(s: Star) -> DataFrame:
+    """V3-V5 of a star's fact, in one pass over it.  Its key is the declared one and the role, as one
+    artist may have several roles in a film; groups of the declared key alone are reported."""
+    refs = [("id_movie", s.dim_movie, "id"), ("id_actor", s.dim_actor, "id"), ("id_date", s.dim_date, "id"), ("id_genre", s.dim_genre, "id")]
+    return audit(s.fact, FACT_NOT_NULL, refs, [*DECLARED_KEY, "actor_role", "imdb_rating", "imdb_vote_count"], DECLARED_KEY)
+
+
+def write_star(star: Star, root: str, gate: bool = True) -> str:
     """Write the dimensions and the fact, partitioned by release year, to a build
-    folder of their own under ``root``; the last step makes that the current build.  Returns
-    the build's folder.  Older builds stay until ``drop_old_builds``."""
+    folder of their own under ``root``; audit what was written, with the findings in the folder's ``audit``; the last
+    step makes it the current build.  With ``gate`` a build with violations that block is not made
+    current (``AuditFailed``).  Returns the build's folder.  Older builds stay until ``drop_old_builds``."""
     spark = star.fact.sparkSession
     root = root.rstrip("/")
     build = f"build-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
@@ -232,6 +268,11 @@ def write_star(star: Star, root: str) -> str:
     years = star.dim_date.select(F.col("id").alias("__d"), F.col("year").alias("release_year"))
     fact = star.fact.join(years, F.col("id_date") == F.col("__d"), "left").drop("__d")
     write_fact(fact, f"{folder}/fact_movie_actor")
+    if gate:
+        audit_star(_read_build(spark, folder)).write.parquet(f"{folder}/audit")
+        bad = spark.read.parquet(f"{folder}/audit").filter("blocks and n_violations > 0").orderBy("check_name", "what").collect()
+        if bad:
+            raise AuditFailed(folder, [f"{r.check_name} {r.what}: {r.n_violations}" for r in bad])
     # one appended row: readers see the build before or after it, never a part
     spark.createDataFrame([(build,)], "build string").coalesce(1).write.mode("append").json(f"{root}/builds")
     return folder
@@ -244,17 +285,19 @@ def current_build(spark, root: str) -> str:
 
 
 def drop_old_builds(spark, root: str) -> None:
-    """Delete every build under ``root`` but the current one."""
-    fs, path = file_system(spark, root.rstrip("/"))
-    keep = current_build(spark, root).rsplit("/", 1)[1]
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        if name.startswith("build-") and name < keep:
-            fs.delete(status.getPath(), True)
+    """Delete every published build under ``root`` but the current one.  Builds that were never published
+    stay: one may still be written, another may be looked at for its audit."""
+    root = root.rstrip("/")
+    builds = [r.build for r in spark.read.schema("build string").json(f"{root}/builds").distinct().collect()]
+    for name in sorted(builds)[:-1]:
+        remove_path(spark, f"{root}/{name}")
 
 
 def read_star(spark, root: str) -> Star:
-    folder = current_build(spark, root)
+    return _read_build(spark, current_build(spark, root))
+
+
+def _read_build(spark, folder: str) -> Star:
     r = spark.read.parquet
     fact = r(f"{folder}/fact_movie_actor").drop("release_year")
     return Star(r(f"{folder}/dim_actor"), r(f"{folder}/dim_date"), r(f"{folder}/dim_movie"), fact, r(f"{folder}/dim_genre"))

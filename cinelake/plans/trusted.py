@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,20 +38,22 @@ def trusted_credits(
     sentinel: str = NULL_SENTINEL,
     votes_col: str = "numeroVotos",
     min_votes: int = MIN_VOTES,
+    counted: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
 ) -> DataFrame:
     """Q1: drop artist columns, fix the title name, keep the wanted tags (substring),
     de-duplicate whole rows, drop rows with any null, turn the role sentinel into
     null (after dropna, so those rows stay), keep rows with enough votes.
 
     Catalyst pushes the tag and vote filters below the de-duplication aggregate and
-    into the scan; the de-dup is one hash aggregate with a map-side partial step."""
-    df = drop_columns(raw, drop_cols)
+    into the scan; the de-dup is one hash aggregate with a map-side partial step.  ``counted``
+    (a ``Funnel``) sees every stage (V1)."""
+    df = drop_columns(counted("raw", raw), drop_cols)
     df = rename_columns(df, renames)
-    df = filter_like_any(df, tag_col, tag_patterns)
+    df = counted("tag_filter", filter_like_any(df, tag_col, tag_patterns))
     df = drop_duplicates(df)
-    df = dropna_any(df)
+    df = counted("dedup_dropna", dropna_any(df))
     df = replace_sentinel(df, role_col, sentinel)
-    return filter_min(df, votes_col, min_votes)
+    return counted("min_votes", filter_min(df, votes_col, min_votes))
 
 
 def trusted_details(
@@ -64,6 +66,7 @@ def trusted_details(
     extraction_date: dt.date | None = None,
     path_col: str | Column | None = None,
     stamp: bool = True,
+    counted: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
 ) -> DataFrame:
     """Q2: de-duplicate whole records (before the genre array is dropped, so records
     that differ only in genres both survive), parse the release date (empty text gives
@@ -73,11 +76,11 @@ def trusted_details(
     if path_col is not None:
         path = F.col(path_col) if isinstance(path_col, str) else path_col
         raw = raw.withColumn("extraction_date", date_from_path(path))
-    df = drop_duplicates(raw)
+    df = counted("dedup", drop_duplicates(counted("raw", raw)))
     df = drop_columns(df, drop_cols)
     df = df.withColumn(date_col, parse_date(date_col))
-    df = filter_nonzero(df, nonzero_cols)
-    df = filter_min(df, votes_col, min_votes)
+    df = counted("nonzero", filter_nonzero(df, nonzero_cols))
+    df = counted("min_votes", filter_min(df, votes_col, min_votes))
     if path_col is None and stamp:
         df = df.withColumn("extraction_date", F.lit(extraction_date).cast("date"))
     return df

@@ -1,6 +1,6 @@
 """Readers, sinks and fixed schemas."""
 
-from cinelake.sources.readers import landing_inventory, read_delimited, read_json_lines, read_parquet
+from cinelake.sources.readers import landing_inventory, read_checked, read_delimited, read_json_lines, read_parquet
 from cinelake.sources.schemas import (
     CREDIT_COLUMNS_DROPPED,
     CREDIT_RENAMES,

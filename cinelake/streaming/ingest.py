@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 
 from cinelake.functions.dates import date_from_path
 from cinelake.plans.trusted import trusted_details
-from cinelake.session import file_system
 from cinelake.sources.schemas import RAW_DETAILS_SCHEMA
+from cinelake.streaming.landing import LandingTarget, with_source_file
 
 
 def _reader(spark: SparkSession, schema: T.StructType | str, fmt: str, glob: str | None, max_files: int | None, options: dict):
@@ -138,24 +138,16 @@ def stream_trusted_details(
     file under ``raw_dir`` (dated folders) is cleaned with the trusted-details rules
     and equals what the batch job makes of all files so far.
 
-    The micro-batch is the unit of writing: its rows go to extraction_date / epoch folders,
-    and a replayed batch replaces its own folders only.  A record that an earlier batch
-    wrote for the same date is left out by its fingerprint (of the whole raw record, as the
-    batch job's rule), so duplicates are removed across files and batches without state
-    that grows in the stream."""
+    The target remembers its source files and records (``LandingTarget``), so a lost checkpoint, a
+    replayed batch or another number of files a trigger changes nothing, duplicates are removed across
+    files and batches, and a batch reads only the dates it holds."""
     schema = schema or RAW_DETAILS_SCHEMA
     stream = _reader(spark, schema, "json", None, max_files_per_trigger, {"recursiveFileLookup": True})
-    stream = stream.load(raw_dir).withColumn("extraction_date", date_from_path(F.col("_metadata.file_path")))
-    writer = idempotent_partition_writer(trusted_dir, ["extraction_date", "epoch"])
-
-    def batch(df: DataFrame, epoch_id: int) -> None:
-        record = F.sha2(F.to_json(F.struct(*[F.col(f.name) for f in schema.fields]), {"ignoreNullFields": "false"}), 256)
-        clean = trusted_details(df.withColumn("record", record), stamp=False)
-        fs, path = file_system(spark, trusted_dir)
-        if fs.exists(path) and epoch_id > 0:
-            there = spark.read.parquet(trusted_dir).filter(F.col("epoch") < epoch_id).select("extraction_date", "record")
-            clean = clean.join(there, ["extraction_date", "record"], "left_anti")
-        writer(clean.withColumn("epoch", F.lit(epoch_id)), epoch_id)
+    stream = with_source_file(stream.load(raw_dir)).withColumn("extraction_date", date_from_path(F.col("source_file")))
+    target = LandingTarget(spark, trusted_dir)
+
+    def batch(df: DataFrame, epoch_id: int) -> None:  # noqa: ARG001 - foreachBatch signature
+        target.land(df, lambda rows: trusted_details(rows, stamp=False), schema.fieldNames())
 
     query = (
         stream.writeStream.foreachBatch(batch)
@@ -164,4 +156,4 @@ def stream_trusted_details(
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(trusted_dir).drop("record", "epoch")
+    return target.rows()
