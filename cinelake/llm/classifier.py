@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cinelake.llm.common import RollingHash, crc_mod, group_sums, labelled_sample, mix64, text_slices, word_spans
+from cinelake.llm.common import RollingHash, crc_mod, group_sums, labelled_sample, mix64, text_slices, unpacked, whole_rows, word_spans
 
 BUCKETS = 1 << 16
 NGRAMS = (3, 4)
@@ -161,5 +161,5 @@ def quality(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Da
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, params: Params = Params()) -> DataFrame:
     """The rows of ``docs``, whole, whose quality score is at least ``threshold``."""
     model = fit(docs, labels, "quality", params)
-    row = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
-    return score(row, "text", model, ["row"]).filter(F.col("score") >= threshold).select("row.*")
+    row = docs.select(whole_rows(docs), F.col("text"))
+    return unpacked(score(row, "text", model, ["row"]).filter(F.col("score") >= threshold), docs.columns)

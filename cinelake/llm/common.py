@@ -130,10 +130,32 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
 
 
 def group_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Sum of values[bounds[i]:bounds[i+1]] for each i (0 for an empty range)."""
-    c = np.zeros((len(values) + 1,) + values.shape[1:], np.float64)
-    np.cumsum(values, axis=0, out=c[1:])
-    return c[bounds[1:]] - c[bounds[:-1]]
+    """Sum of values[bounds[i]:bounds[i+1]] for each i (0 for an empty range).  Each range is summed by
+    itself, so equal ranges have equal sums whatever stands before them."""
+    out = np.zeros((len(bounds) - 1,) + values.shape[1:], np.float64)
+    live = np.flatnonzero(bounds[1:] > bounds[:-1])
+    if len(live):
+        # between the starts of two non-empty ranges lies one range
+        out[live] = np.add.reduceat(values.astype(np.float64, copy=False)[: bounds[-1]], bounds[:-1][live], axis=0)
+    return out
+
+
+def whole_rows(df: DataFrame, leave: tuple[str, ...] = ()) -> Column:
+    """One struct of all columns (but ``leave``), whatever their names hold."""
+    return F.struct(F.lit(0).alias("0"), *[F.col(f"`{c}`") for c in df.columns if c not in leave]).alias("row")
+
+
+def unpacked(df: DataFrame, columns: list[str], row: str = "row") -> DataFrame:
+    """The columns of a struct that ``whole_rows`` made."""
+    return df.select(*[F.col(row).getField(c).alias(c) for c in columns])
+
+
+def row_key(df: DataFrame, column: str = "doc_id") -> Column:
+    """A long for an id of any type: itself, if it is a whole number; null stays null."""
+    kind = df.schema[column].dataType.simpleString()
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.col(f"`{column}`").cast("long")
+    return F.when(F.col(f"`{column}`").isNotNull(), F.xxhash64(F.col(f"`{column}`")))
 
 
 def bounded_sample(rows: DataFrame, by: str, key: str, per_class: int, seed: int = 11) -> DataFrame:
@@ -207,5 +229,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     counts = {r[0]: r[1] for r in train.groupBy("y").count().collect()}
     keys = F.broadcast(bounded_sample(train, "y", "k", per_class))
     texts = docs.select(F.col("doc_id").alias("k"), F.coalesce("text", F.lit("")).alias("t"))
-    rows = sorted(texts.join(keys, "k").select("k", "t", "y").collect(), key=lambda r: (r["k"], r["y"], r["t"]))
+    # a key may stand on any number of rows: one text of each
+    rows = texts.join(keys, "k").groupBy("k", "y").agg(F.min("t").alias("t"))
+    rows = sorted(rows.select("k", "t", "y").collect(), key=lambda r: (r["k"], r["y"], r["t"]))
     return rows, np.array([counts.get(0, 0), counts.get(1, 0)], np.float64)

@@ -152,7 +152,9 @@ def fit(docs: DataFrame, params: Params = Params()) -> Model:
     """Train on the rows of ``docs`` (doc_id, text, lang) with text and lang."""
     rows = docs.select("doc_id", "text", "lang").filter("lang is not null and text is not null")
     texts: dict[str, list[str]] = {}
-    for r in sorted(bounded_sample(rows, "lang", "doc_id", params.per_language).collect(), key=lambda r: (r["lang"], r["doc_id"] is None, r["doc_id"], r["text"])):
+    # a key may stand on any number of rows: one text of each
+    sample = bounded_sample(rows, "lang", "doc_id", params.per_language).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    for r in sorted(sample.collect(), key=lambda r: (r["lang"], r["doc_id"] is None, r["doc_id"], r["text"])):
         texts.setdefault(r["lang"], []).append(r["text"])
     return train(texts, params) if texts else Model([], np.zeros(256, np.int64), *[np.zeros((0, 0))] * 3)
 

@@ -23,10 +23,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinelake.llm.common import components
+from cinelake.llm.common import components, unpacked, whole_rows
 from cinelake.session import materialize
 
 #: Buckets up to this many fingerprints are compared pairwise (at most 3.5 pairs a row).
@@ -73,18 +73,24 @@ def majority(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _fingerprint_arrow(batches):
+    """The first column's lists of hashes become fingerprints, behind the other columns."""
     for batch in batches:
-        hashes = batch.column(1)
+        hashes = batch.column(0)
         off = np.frombuffer(hashes.buffers()[1], np.int32)[hashes.offset : hashes.offset + len(hashes) + 1].astype(np.int64)
         values = hashes.values.to_numpy(zero_copy_only=False).view(np.uint64)
         fp = majority(values[off[0] : off[-1]], off - off[0]) if len(hashes) else np.zeros(0, np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(fp.view(np.int64))], [*batch.schema.names[1:], "fp"])
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp): the 64-bit fingerprint of every row's whole text."""
-    src = docs.select("doc_id", shingle_hashes(F.col("text"), shingle).alias("h"))
-    return src.mapInArrow(_fingerprint_arrow, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
+    return _with_fingerprint(docs.select("doc_id", "text"), shingle).select("doc_id", "fp")
+
+
+def _with_fingerprint(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, the text's hash ``t`` and its fingerprint ``fp``."""
+    src = docs.select(shingle_hashes(F.col("text"), shingle).alias("h"), "doc_id", F.xxhash64("text").alias("t"))
+    return src.mapInArrow(_fingerprint_arrow, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, t long, fp long")
 
 
 def covering_masks(radius: int) -> list[int]:
@@ -128,24 +134,31 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
     return pairs.union(wide)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """(doc_id, fp, component_id) for every row: the smallest doc_id reachable over links."""
-    prints = materialize(fingerprints(docs, shingle), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
+def components_of(distinct: DataFrame, radius: int) -> DataFrame:
+    """(fp, component_id) of distinct fingerprints (fp, low: the smallest doc_id that has it)."""
     roots = components(links(distinct.select("fp"), radius), "a", "b")
     grouped = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = grouped.groupBy("root").agg(F.min("low").alias("component_id"))
-    found = materialize(grouped.join(lowest, "root").select("fp", "component_id"), "simhash-groups")
+    return materialize(grouped.join(lowest, "root").select("fp", "component_id"), "simhash-groups")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
+    """(doc_id, fp, component_id) for every row: the smallest doc_id reachable over links."""
+    prints = materialize(fingerprints(docs, shingle), "fingerprints")
+    found = components_of(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), radius)
     return prints.join(found, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest doc_id (of repeated rows
-    with that doc_id, one).  Rows without a doc_id can't be named by a component and stay."""
-    groups = near_duplicates(docs, shingle, radius)
-    stay = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    whole = F.struct(*docs.columns)
-    named = docs.filter("doc_id is not null").select("doc_id", whole.alias("row")).join(stay, "doc_id", "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("row.text"))
-    named = named.withColumn("n", F.row_number().over(first)).filter("n = 1").select("row.*")
-    return named.unionByName(docs.filter("doc_id is null"))
+    """``docs`` with one row of each component: the row with the smallest doc_id, of rows with that doc_id the one
+    with the smallest hash of its text.  A row belongs to its own text's component, so rows of
+    one doc_id with different texts are judged apart.  Rows without a doc_id can't be named by a component and stay."""
+    named = docs.filter("doc_id is not null")
+    prints = materialize(_with_fingerprint(named.select("doc_id", "text"), shingle), "fingerprints")
+    groups = components_of(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), radius)
+    # the smallest (doc_id, hash of the text) of each component, by aggregates with a map-side step
+    least = prints.groupBy("fp").agg(F.min(F.struct("doc_id", "t")).alias("x")).join(groups, "fp")
+    chosen = least.groupBy("component_id").agg(F.min("x").alias("x")).select("x.doc_id", "x.t")
+    rows = named.select(whole_rows(named), F.col("doc_id"), F.xxhash64("text").alias("t"))
+    one = rows.join(chosen, ["doc_id", "t"], "left_semi").dropDuplicates(["doc_id", "t"])
+    return unpacked(one, docs.columns).unionByName(docs.filter("doc_id is null"))

@@ -9,8 +9,8 @@ suffixes suffice.  Neighbouring windows with one seed form a range.
 Index family.  A batch of documents gets the sorted array of its sampled suffixes (ordered by
 the 64-bit fingerprint of the seed): key, number of occurrences, smallest and largest
 fingerprint of the surrounding range.  A new batch is merge-scanned with the levels for keys
-they share, and levels of equal size merge, so n batches leave at most log2(n) + 1 levels and
-every suffix is rewritten log2(n) times.  Levels are tables bucketed and sorted by key in the
+they share; these scans give the repeated keys.  Levels of equal size merge before the next batch, so n batches
+leave at most log2(n) + 1 levels and every suffix is rewritten log2(n) times; merged levels are dropped.  Levels are tables bucketed and sorted by key in the
 shared folder: merging two is a merge join without a shuffle.
 
 Resolving.  Ranges whose key occurs once hold no repeated window.  Where all ranges of a key
@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cinelake.llm.common import RollingHash, mix64, text_slices
-from cinelake.session import materialize, shared_dir
+from cinelake.llm.common import RollingHash, mix64, row_key, text_slices, whole_rows
+from cinelake.session import materialize, remove_path, shared_dir
 
 MATCH = 200
 SEED = 40
@@ -111,40 +111,47 @@ def _occurrences_arrow(match: int, seed: int):
     return run
 
 
-def _bucketed(df: DataFrame, keys: list[str], purpose: str) -> DataFrame:
-    """``df`` written to the shared folder as a table bucketed and sorted by ``keys``."""
+def _bucketed(df: DataFrame, keys: list[str], purpose: str) -> str:
+    """``df`` written to the shared folder as a table bucketed and sorted by ``keys``; returns its name."""
     spark = df.sparkSession
     name = f"{purpose.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df.write.bucketBy(n, *keys).sortBy(*keys).option("path", shared_dir(spark, purpose)).format("parquet").saveAsTable(name)
-    return spark.table(name)
+    return name
+
+
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Remove a table of ``_bucketed`` and its files: nothing reads it any more."""
+    folder = spark.sql(f"DESCRIBE FORMATTED {name}").filter("col_name = 'Location'").first()["data_type"]
+    spark.sql(f"DROP TABLE {name}")
+    remove_path(spark, folder)
 
 
 class IndexFamily:
-    """Levels of sorted suffix arrays, by rank: a level of rank r holds 2**r batches."""
+    """Levels of sorted suffix arrays: one of rank r holds 2**r batches.  Two levels of one rank
+    merge before the next batch comes, and the tables they were go."""
 
     def __init__(self, spark: SparkSession, match: int = MATCH, seed: int = SEED):
         self.spark, self.match, self.seed = spark, match, seed
-        self.levels: dict[int, DataFrame] = {}
+        self.levels: list[tuple[int, str]] = []  # (rank, table), highest rank first
+        self.matches: list[DataFrame] = []  # what the scans of the batches found
 
     def suffix_array(self, texts: DataFrame) -> DataFrame:
-        """The sorted array of a batch (column ``text``): key, n, low, high."""
+        """The array of a batch (column ``text``): key, n, low, high."""
         entries = texts.select("text").mapInArrow(_entries_arrow(self.match, self.seed), "key long, ctx long")
-        array = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("ctx").alias("low"), F.max("ctx").alias("high"))
-        return _bucketed(array, ["key"], "suffix-array")
+        return entries.groupBy("key").agg(F.count("*").alias("n"), F.min("ctx").alias("low"), F.max("ctx").alias("high"))
 
     def scan(self, array: DataFrame) -> DataFrame:
-        """Keys of an array that it, or it and a level, holds more than once: (key, n)."""
-        found = array.select("key", "n")
-        for rank in sorted(self.levels):
-            level = self.levels[rank].select("key", F.col("n").alias("more"))
-            found = found.join(level, "key", "left").select("key", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n"))
+        """Merge-scan: keys that an array, or it and the levels, hold more than once, over all of these: key, n, low, high."""
+        found = array
+        for _, table in self.levels:
+            found = self.merge(found, self.spark.table(table), "left")
         return found.filter("n > 1")
 
     @staticmethod
-    def merge(a: DataFrame, b: DataFrame) -> DataFrame:
+    def merge(a: DataFrame, b: DataFrame, how: str = "full") -> DataFrame:
         b = b.select("key", *(F.col(c).alias(f"{c}_b") for c in ("n", "low", "high")))
-        both = a.join(b, "key", "full")
+        both = a.join(b, "key", how)
         return both.select(
             "key",
             (F.coalesce("n", F.lit(0)) + F.coalesce("n_b", F.lit(0))).alias("n"),
@@ -152,23 +159,37 @@ class IndexFamily:
             F.greatest("high", "high_b").alias("high"),
         )
 
+    def _carry(self) -> None:
+        """Merge levels of one rank, geometrically."""
+        while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
+            (rank, a), (_, b) = self.levels[-2:]
+            table = _bucketed(self.merge(self.spark.table(a), self.spark.table(b)), ["key"], "suffix-array")
+            self.levels[-2:] = [(rank + 1, table)]
+            drop_table(self.spark, a)
+            drop_table(self.spark, b)
+
     def insert(self, texts: DataFrame) -> DataFrame:
-        """Add a batch; returns the merge-scan of its array with the levels before it."""
-        array = self.suffix_array(texts)
-        matches = self.scan(array)
-        rank = 0
-        while rank in self.levels:
-            array = _bucketed(self.merge(self.levels.pop(rank), array), ["key"], "suffix-array")
-            rank += 1
-        self.levels[rank] = array
-        return matches
+        """Add a batch; returns the merge-scan of its array with the levels before it, written."""
+        self._carry()
+        table = _bucketed(self.suffix_array(texts), ["key"], "suffix-array")
+        self.matches.append(materialize(self.scan(self.spark.table(table)), "suffix-matches"))
+        self.levels.append((0, table))
+        return self.matches[-1]
 
     def repeated(self) -> DataFrame:
-        """Keys that occur more than once in all batches: (key, n, alike)."""
-        whole = None
-        for rank in sorted(self.levels):
-            whole = self.levels[rank] if whole is None else self.merge(whole, self.levels[rank])
-        return whole.filter("n > 1").select("key", "n", (F.col("low") == F.col("high")).alias("alike"))
+        """Keys that occur more than once in all batches: (key, alike).  The scan of the last batch that holds a
+        key has seen all its occurrences, so the scans together have every repeated key and its ends."""
+        found = None
+        for m in self.matches:
+            found = m if found is None else found.unionByName(m)
+        ends = found.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        return ends.select("key", (F.col("low") == F.col("high")).alias("alike"))
+
+    def close(self) -> None:
+        """Drop all levels."""
+        for _, table in self.levels:
+            drop_table(self.spark, table)
+        self.levels = []
 
 
 # --- resolving the edges -----------------------------------------------------------------
@@ -313,14 +334,15 @@ def _removed(docs: DataFrame, match: int, seed: int, batches: int, with_text: bo
     ``kept`` if asked for (a character that a removal cut is dropped there)."""
     spark = docs.sparkSession
     src = docs.select(
-        F.struct(F.struct(*(c for c in docs.columns if c != "text")).alias("cols"), F.isnull("text").alias("none")).alias("row"), F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k"),
+        F.struct(whole_rows(docs, ("text",)).alias("cols"), F.isnull("text").alias("none")).alias("row"), F.coalesce("text", F.lit("")).alias("text"),
+        F.coalesce(row_key(docs), F.lit(-(1 << 63))).alias("k"),
     ).withColumn("h", F.xxhash64("text"))
     family = IndexFamily(spark, match, seed)
     for b in range(batches):
         family.insert(src.filter(F.pmod(F.xxhash64("k"), F.lit(batches)) == b))
     # as a plain table: both sides of the join below shuffle, so AQE can split a hot key
-    again = materialize(family.repeated().select("key", "alike"), "suffix-keys")
+    again = materialize(family.repeated(), "suffix-keys")
+    family.close()
     places = src.select("k", "h", "text").mapInArrow(_occurrences_arrow(match, seed), "k long, h long, key long, ctx long, at long")
     mixed = [F.when(~F.col("alike"), F.col(c)).alias(c) for c in ("key", "ctx")]
     places = materialize(places.join(again, "key").select("k", "h", "at", "alike", *mixed), "suffix-places")
@@ -341,7 +363,10 @@ def _removed(docs: DataFrame, match: int, seed: int, batches: int, with_text: bo
     marks = marks.groupBy("k", "h").agg(F.collect_list("span").alias("spans"), F.collect_list("open").alias("opens"))
     marked = src.join(marks, ["k", "h"], "left")
     is_open = F.coalesce(F.size("opens") > 0, F.lit(False))
-    marked = _bucketed(marked.select("row", "text", "k", "h", "spans", "opens", is_open.alias("open")), ["k", "h"], "suffix-documents")
+    marked = spark.table(_bucketed(marked.select("row", "text", "k", "h", "spans", "opens", is_open.alias("open")), ["k", "h"], "suffix-documents"))
+    for df in (again, places, *family.matches):  # read for the last time
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            remove_path(spark, folder)
     contexts = materialize(
         marked.filter("open").select("k", "h", "text", "opens").mapInArrow(_contexts_arrow(match), "k long, h long, key long, n long, start long, bytes binary"),
         "suffix-contexts",

@@ -132,3 +132,29 @@ def test_language_of_odd_rows(spark):
     nothing = docs.withColumn("lang", docs["lang"].substr(9, 1)).filter("lang is null")
     assert {r.lang_pred for r in langid.identify(nothing).collect()} == {"und"}
     assert langid.identify(odd.documents(spark, empty=True)).count() == 0
+
+
+def test_equal_ranges_have_equal_sums():
+    from cinelake.llm.common import group_sums
+
+    rng = np.random.default_rng(1)
+    one = rng.normal(size=(9, 2)) * 1e9
+    values = np.concatenate([rng.normal(size=(5, 2)), one, rng.normal(size=(3, 2)), one])
+    got = group_sums(values, np.array([0, 0, 5, 14, 14, 17, 26, 26]))
+    assert (got[2] == got[5]).all() and not got[[0, 3, 6]].any()
+    assert np.allclose(got[1], values[:5].sum(axis=0))
+
+
+def test_a_repeated_key_cannot_fill_the_sample(spark):
+    from cinelake.llm import langid
+    from cinelake.llm.common import labelled_sample
+
+    docs = spark.range(3000).selectExpr("7L AS doc_id", "concat('text ', id) AS text", "'en' AS lang")
+    found, totals = labelled_sample(docs, odd.labels(spark, [(7, 1, 1)]), "quality", 50)
+    assert len(found) <= 50 and totals.sum() <= 1
+    assert len(langid.fit(docs, langid.Params(per_language=50)).languages) <= 1
+
+
+def test_a_column_with_a_dot_survives(spark):
+    docs = spark.createDataFrame([(i, odd.prose(i, 20), "u") for i in range(6)], "doc_id long, text string, `meta.url` string")
+    assert classifier.keep_good(docs, odd.labels(spark)).columns == docs.columns

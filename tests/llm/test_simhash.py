@@ -119,3 +119,16 @@ def test_fingerprint_of_a_very_long_text(spark):
     text = odd.prose(5, 40000)
     got = simhash.fingerprints(spark.createDataFrame([(1, text)], "doc_id long, text string")).select(F.hex("fp")).first()[0]
     assert int(got, 16) == fingerprint(text)
+
+
+def test_rows_of_one_id_with_different_texts_are_judged_apart(spark):
+    a, b, c = (odd.prose(i, 60) for i in (21, 22, 23))
+    docs = spark.createDataFrame([(1, a, "u"), (5, a, "u"), (5, b, "u"), (5, b, "u"), (7, c, "u"), (None, a, "u")], "doc_id long, text string, `meta.url` string")
+    got = simhash.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in got.collect()) == sorted([("1", a), ("5", b), ("7", c), ("None", a)])
+
+
+def test_text_ids(spark):
+    docs = spark.createDataFrame([("x", odd.prose(1, 60)), ("y", odd.prose(1, 60)), ("z", odd.prose(2, 60))], "doc_id string, text string")
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == ["x", "z"]

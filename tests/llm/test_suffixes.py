@@ -57,18 +57,42 @@ def test_levels_merge_geometrically_and_scan_finds_shared_keys(spark):
     sizes, shared = [], 0
     for b in range(5):
         shared += family.insert(docs.filter(f"coalesce(doc_id, 0) % 5 = {b}")).count()
-        sizes.append(sorted(family.levels))
-    assert sizes == [[0], [1], [0, 1], [2], [0, 2]]
+        sizes.append(sorted(rank for rank, _ in family.levels))
+    assert sizes == [[0], [0, 0], [0, 1], [0, 0, 1], [0, 2]]
     alone = suffixes.IndexFamily(spark, 200, 40)
     alone.insert(docs)
     assert sorted(map(tuple, family.repeated().collect())) == sorted(map(tuple, alone.repeated().collect()))
     assert shared > 0
+    # the scans alone give what one merge of all levels gives
+    (_, table), = alone.levels
+    merged = spark.table(table).filter("n > 1").selectExpr("key", "low = high")
+    assert sorted(map(tuple, family.repeated().collect())) == sorted(map(tuple, merged.collect()))
+    held = {t.name for t in spark.catalog.listTables()}
+    assert {t for _, t in family.levels} <= held
+    family.close()
+    alone.close()
+
+
+def test_nothing_but_the_marked_texts_stays(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    suffixes.remove_repeats(spark.createDataFrame(corpus(7, 30), "doc_id long, text string")).collect()
+    left = {t.name.rsplit("_", 1)[0] for t in spark.catalog.listTables() if t.name not in before}
+    assert left == {"suffix_documents"}
+
+
+def test_text_ids_and_odd_names(spark):
+    docs = spark.createDataFrame(corpus(7, 30), "doc_id long, text string")
+    named = docs.selectExpr("concat('d', doc_id) AS doc_id", "text", "'u' AS `meta.url`")
+    got = suffixes.without_repeats(named)
+    assert got.columns == named.columns
+    plain = {f"d{r.doc_id}" if r.doc_id is not None else None: r.text for r in suffixes.without_repeats(docs).collect()}
+    assert {r.doc_id: r.text for r in got.collect()} == plain
 
 
 def test_a_merge_of_levels_needs_no_shuffle(spark):
     docs = spark.createDataFrame(corpus(7, 30), "doc_id long, text string")
     family = suffixes.IndexFamily(spark)
-    a, b = family.suffix_array(docs), family.suffix_array(docs)
+    a, b = (spark.table(suffixes._bucketed(family.suffix_array(docs), ["key"], "suffix-array")) for _ in range(2))
     assert "Exchange" not in family.merge(a, b)._jdf.queryExecution().executedPlan().toString()
 
 
