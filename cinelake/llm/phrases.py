@@ -40,7 +40,7 @@ from cinelake.session import materialize
 #: Hash buckets of the bounds, for each length of phrases: a bit each in the map that is broadcast.
 BUCKETS = 1 << 25
 #: Bytes of phrases in one trie, and bytes of tries that a task holds at a time.
-TRIE, HOLD = 1 << 22, 128 << 20
+TRIE, HOLD = 1 << 21, 96 << 20
 #: Bytes of text read at a time, and bucket numbers a task holds before it hands them on.
 RUN, HELD = 1 << 20, 1 << 19
 _BLOCK = 1 << 20
@@ -431,13 +431,13 @@ def frequent(docs: DataFrame, longest: int = 3, least: int = 10, buckets: int =
     sizes = sorted(tuple(r) for r in tries.select("shard", "size").collect())  # a row for each trie
     for i, (shard, size) in enumerate(sizes):
         row = tries.filter(F.col("shard") == shard).first()
-        group[shard] = sc.broadcast({k: bytes(row[k]) for k in ("base", "check", "ends", "ids")})
+        group[shard] = sc.broadcast(row.asDict())
         del row
         held += size
         if i + 1 == len(sizes) or held + sizes[i + 1][1] > hold:
             counted.append(materialize(src.mapInArrow(_count_arrow(group, shards), "id long, n long"), "phrase-counts"))
             for b in group.values():
-                b.unpersist()
+                b.destroy()
             group, held = {}, 0
     total = reduce(DataFrame.unionByName, counted).groupBy("id").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
     phrases = materialize(candidates.join(total, "id").select("lang", "phrase", "words", "f"), "phrases")
