@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelake.llm.common import lower_ascii, mix64, text_slices
+from cinelake.llm.common import lower_ascii, mix64, text_slices, unpacked, whole_rows
 
 PASSAGE = 32
 _KEEP = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
@@ -451,7 +451,7 @@ def _leaks_arrow(space, block, p: Params):
             rows = []
             for i, _, data, off in text_slices(batch.column(1)):
                 rows += [(batch.column(0)[i + d].as_py(), names[k], *rest) for d, k, *rest in searcher.find(data, off)]
-            kinds = [pa.int64(), pa.int64(), *[pa.float64()] * 3]
+            kinds = [batch.column(0).type, pa.int64(), *[pa.float64()] * 3]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, kinds)], LEAKS)
 
     return run
@@ -490,8 +490,8 @@ def _blocks(docs: DataFrame, benchmark: DataFrame, p: Params):
 def leaks(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
     """(doc_id, item_id, cosine, common, answer) of every leak of an item into a document."""
     spark, found = docs.sparkSession, None
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    schema = "doc_id long, item_id long, cosine double, common double, answer double"
+    docs = docs.select("doc_id", "text")
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id long, cosine double, common double, answer double"
     for space, block in _blocks(docs, benchmark, p):
         part = docs.mapInArrow(_leaks_arrow(space, block, p), schema)
         found = part if found is None else found.unionByName(part)
@@ -500,7 +500,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFr
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
     """The rows of ``docs``, whole, that no benchmark item leaked into."""
-    clean = docs
+    clean = docs.select(whole_rows(docs), F.col("text"))
+    schema = clean.schema
     for space, block in _blocks(docs, benchmark, p):
-        clean = clean.mapInArrow(_clean_arrow(space, block, p, "text"), docs.schema)
-    return clean
+        clean = clean.mapInArrow(_clean_arrow(space, block, p, "text"), schema)
+    return unpacked(clean, docs.columns)

@@ -274,7 +274,7 @@ def score_arrow(shared):
                     out.append(got)
             score, near, terms = zip(*out) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(score, pa.float64()), pa.array(near, pa.list_(pa.int64())), pa.array(terms, pa.list_(pa.string()))],
+                [batch.column(0), pa.array(score, pa.float64()), pa.array(near, pa.list_(batch.column(0).type)), pa.array(terms, pa.list_(pa.string()))],
                 ["doc_id", "score", "neighbours", "terms"],
             )
 
@@ -284,12 +284,13 @@ def score_arrow(shared):
 def toxicity(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> DataFrame:
     """doc_id, held_out, score, predicted and the evidence (``neighbours``, ``terms``) for
     every row of ``docs``; see the contract of op1."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    docs = docs.select("doc_id", "text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
     model = fit(docs, labels, "toxic", p)
     if isinstance(model, float):
-        scored = docs.select("doc_id", F.lit(model).alias("score"), F.array().cast("array<long>").alias("neighbours"), F.array().cast("array<string>").alias("terms"))
+        scored = docs.select("doc_id", F.lit(model).alias("score"), F.array().cast(f"array<{kind}>").alias("neighbours"), F.array().cast("array<string>").alias("terms"))
     else:
         shared = docs.sparkSession.sparkContext.broadcast(model)
-        scored = docs.mapInArrow(score_arrow(shared), "doc_id long, score double, neighbours array<long>, terms array<string>")
+        scored = docs.mapInArrow(score_arrow(shared), f"doc_id {kind}, score double, neighbours array<{kind}>, terms array<string>")
     predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
     return scored.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", predicted, "neighbours", "terms")

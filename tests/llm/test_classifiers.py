@@ -158,3 +158,12 @@ def test_a_repeated_key_cannot_fill_the_sample(spark):
 def test_a_column_with_a_dot_survives(spark):
     docs = spark.createDataFrame([(i, odd.prose(i, 20), "u") for i in range(6)], "doc_id long, text string, `meta.url` string")
     assert classifier.keep_good(docs, odd.labels(spark)).columns == docs.columns
+
+
+def test_text_ids_of_examples(spark):
+    words = ["vile", "rotten", "filth"]
+    rows = [(f"d{i}", odd.prose(i, 30) + (" " + " ".join(words) * 3 if i % 2 else "")) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    labels = spark.createDataFrame([(k, 1, i % 2) for i, (k, _) in enumerate(rows)], "doc_id string, quality int, toxic int")
+    got = toxicity.toxicity(docs, labels)
+    assert got.schema["doc_id"].dataType.simpleString() == "string" and got.count() == 60

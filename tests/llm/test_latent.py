@@ -129,3 +129,15 @@ def test_a_scrambled_passage_does_not_hide_the_copy(spark):
     d = spark.createDataFrame(docs, "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
     assert sorted((r.doc_id, r.item_id) for r in latent.leaks(d, b).collect()) == [(i, i) for i in range(12)]
+
+
+def test_text_ids_and_odd_names(spark):
+    from cinelake.llm import latent
+    from tests.llm import odd
+
+    item = odd.prose(31, 60)
+    docs = spark.createDataFrame([("a", odd.prose(2, 40) + " " + item, "u"), ("b", odd.prose(3, 80), "u")], "doc_id string, text string, `meta.url` string")
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {r.doc_id for r in latent.leaks(docs, benchmark).collect()} == {"a"}
+    clean = latent.decontaminate(docs, benchmark)
+    assert clean.columns == docs.columns and [r.doc_id for r in clean.collect()] == ["b"]
