@@ -6,7 +6,7 @@
     python -m cinelake.jobs refined --credits TRUSTED_CREDITS --details TRUSTED_DETAILS --output REFINED_DIR [--bucketed]
     python -m cinelake.jobs enrichment --credits RAW_CSV_DIR --details RAW_JSON_DIR --errors ERRORS_DIR [--found JSON_DIR]
     python -m cinelake.jobs analysis --refined REFINED_DIR --output RESULTS_DIR
-    python -m cinelake.jobs catalogue --refined REFINED_DIR [--database DB]
+    python -m cinelake.jobs catalogue --refined REFINED_DIR [--database DB] [--clean]
     python -m cinelake.jobs stream-details --input RAW_JSON_DIR --output TRUSTED_DIR --checkpoint CKPT_DIR
 
 Master, executors and ``spark.checkpoint.dir`` come from spark-submit / the cluster.
@@ -29,7 +29,7 @@ from cinelake.plans import analytics, enrich, star, trusted
 from cinelake.session import build_session, materialize, scratch
 from cinelake.sources.readers import landing_inventory, read_delimited, read_json_lines
 from cinelake.sources.schemas import RAW_CREDITS_DDL, RAW_DETAILS_SCHEMA, TRUSTED_CREDITS_SCHEMA, TRUSTED_DETAILS_SCHEMA
-from cinelake.sources.sinks import land_once, register_tables, write_id_list, write_json_balanced, write_parquet
+from cinelake.sources.sinks import drop_unshown, land_once, publish_views, write_id_list, write_json_balanced, write_parquet
 from cinelake.streaming.ingest import stream_trusted_details
 
 
@@ -161,14 +161,15 @@ def analysis_job(spark: SparkSession, refined_root: str, output: str) -> list[st
     return list(ANALYSES)
 
 
-def catalogue_job(spark: SparkSession, refined_root: str, database: str | None = None) -> list[str]:
-    """The current build's tables in the catalogue (replacing an older build's)."""
+def catalogue_job(spark: SparkSession, refined_root: str, database: str | None = None, clean: bool = False) -> list[str]:
+    """The current build in the catalogue, as views that are replaced without a gap, over tables
+    with column statistics.  With ``clean`` tables of other builds leave the catalogue."""
     names = ["dim_actor", "dim_date", "dim_movie", "dim_genre", "fact_movie_actor"]
-    for n in names:
-        spark.sql(f"DROP TABLE IF EXISTS {database + '.' if database else ''}{n}")
-    tables = register_tables(spark, star.current_build(spark, refined_root), names, database)
-    spark.sql(f"MSCK REPAIR TABLE {tables[-1]}")  # the fact's year folders
-    return tables
+    build = star.current_build(spark, refined_root)
+    views = publish_views(spark, build, names, ["fact_movie_actor"], database)
+    if clean:
+        drop_unshown(spark, names, build, database)
+    return views
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -204,6 +205,7 @@ def main(argv: list[str] | None = None) -> None:
     p = sub.add_parser("catalogue")
     p.add_argument("--refined", required=True)
     p.add_argument("--database", default=None)
+    p.add_argument("--clean", action="store_true", help="take other builds' tables out of the catalogue")
     p = sub.add_parser("stream-details")
     p.add_argument("--input", required=True)
     p.add_argument("--output", required=True)
@@ -224,7 +226,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "analysis":
         print(json.dumps(analysis_job(spark, args.refined, args.output)))
     elif args.job == "catalogue":
-        print(json.dumps(catalogue_job(spark, args.refined, args.database)))
+        print(json.dumps(catalogue_job(spark, args.refined, args.database, args.clean)))
     else:
         print(json.dumps(enrichment_job(spark, args.credits, args.details, args.errors, args.found)))
 

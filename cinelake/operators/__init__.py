@@ -42,6 +42,7 @@ from cinelake.operators.quality import (
     stage_counts,
 )
 from cinelake.operators.sets import distinct_rows, distinct_values, drop_duplicates
+from cinelake.operators.sketches import SketchTable
 from cinelake.operators.sorting import capped, sort_asc, sort_desc, top_k
 from cinelake.operators.windows import (
     balanced_split,

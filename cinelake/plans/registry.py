@@ -35,7 +35,7 @@ from cinelake.plans.roles import (
 from cinelake.session import materialize, shared_dir
 from cinelake.sources.readers import landing_inventory, read_checked, read_delimited, read_json_lines
 from cinelake.sources.schemas import CREDIT_COLUMNS_DROPPED, STAR_NOT_NULL
-from cinelake.sources.sinks import land_once, register_tables, write_id_list, write_json_balanced, write_parquet
+from cinelake.sources.sinks import land_once, publish_views, register_tables, write_id_list, write_json_balanced, write_parquet
 from cinelake.streaming.enrichment import stream_enrichment
 from cinelake.streaming.ingest import stream_dedup, stream_ingest, stream_trusted_details
 
@@ -377,6 +377,31 @@ def _group_count_distinct(spark, d):
     return op.group_count_distinct(lineitem(spark, d), ["l_suppkey"], "l_orderkey")
 
 
+@query("distinct_sketches")
+def _distinct_sketches(spark, d):
+    # A5 by mergeable sketches, one year at a time; the estimate of each flag is held against the exact count
+    li = lineitem(spark, d).select(F.year("l_shipdate").alias("year"), "l_returnflag", "l_partkey")
+    sketches = op.SketchTable(spark, shared_dir(spark, "sketches"), "year", ["l_returnflag"])
+    for r in li.select("year").distinct().collect():  # bounded by the calendar
+        sketches.add(li.filter(F.col("year") == r.year), "l_partkey")
+    exact = op.group_count_distinct(li, ["l_returnflag"], "l_partkey")
+    exact = exact.withColumnsRenamed({c: "exact" for c in exact.columns if c != "l_returnflag"})
+    both = exact.join(sketches.estimate(["l_returnflag"]), "l_returnflag")
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= 4 * sketches.error * F.col("exact") + 1
+    return both.select("l_returnflag", "exact", near.alias("within_bound"))
+
+
+@query("catalogue_swap")
+def _catalogue_swap(spark, d):
+    # A view that shows one build and then the next, over tables with column statistics
+    base = shared_dir(spark, "builds")
+    name = f"orders_{base.rsplit('-', 1)[1]}"
+    for n, rows in enumerate((orders(spark, d).filter("o_orderkey % 2 = 0"), orders(spark, d))):
+        write_parquet(rows, f"{base}/build-{n}/{name}")
+        publish_views(spark, f"{base}/build-{n}", [name])
+    return spark.sql(f"SELECT o_orderstatus, count(*) AS n_orders FROM {name} GROUP BY o_orderstatus")
+
+
 @query("describe_profile")
 def _describe_profile(spark, d):
     return op.describe_profile(lineitem(spark, d), ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"])

@@ -321,6 +321,8 @@ ORACLE_SQL: dict[str, str] = {
     "SELECT 1 AS stage_no, 'raw' AS stage, count(*) AS n_rows FROM r UNION ALL "
     "SELECT 2, 'tag_filter', count(*) FROM t UNION ALL SELECT 3, 'dedup_dropna', count(*) FROM c UNION ALL "
     "SELECT 4, 'min_votes', count(*) FROM f",
+    "distinct_sketches": "SELECT l_returnflag, count(DISTINCT l_partkey) AS exact, true AS within_bound FROM lineitem GROUP BY l_returnflag",
+    "catalogue_swap": "SELECT o_orderstatus, count(*) AS n_orders FROM orders GROUP BY o_orderstatus",
     "stage_funnel_observed": _w(RAW_CREDITS)
     + ", r AS (SELECT id, tituloPincipal AS tituloPrincipal, tituloOriginal, anoLancamento, tempoMinutos, genero, "
     "notaMedia, numeroVotos, personagem, nomeArtista FROM raw_credits), "

@@ -11,7 +11,9 @@ from cinelake.sources.schemas import (
     STAR_PRIMARY_KEYS,
 )
 from cinelake.sources.sinks import (
+    drop_unshown,
     land_once,
+    publish_views,
     register_tables,
     write_fact,
     write_id_list,

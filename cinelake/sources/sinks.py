@@ -52,8 +52,8 @@ def write_json_balanced(df: DataFrame, path: str, order_by: Sequence[str], max_p
     numbered, total = surrogate_key_counted(df, order_by, "__rn")
     n_parts = total // max_per_file + 1
     size, larger = divmod(total, n_parts)
-    mode = "overwrite"
-    for first, last, records in ((0, larger * (size + 1), size + 1), (larger * (size + 1), total, size)):
+    mode, cut = "overwrite", larger * (size + 1)
+    for first, last, records in ((0, cut, size + 1), (cut, total, size)):
         if last > first or (not total and mode == "overwrite"):
             rows = numbered.filter((F.col("__rn") > first) & (F.col("__rn") <= last))
             task = F.floor((F.col("__rn") - 1 - first) / F.lit(max(1, records) * FILES_PER_TASK))
@@ -63,6 +63,8 @@ def write_json_balanced(df: DataFrame, path: str, order_by: Sequence[str], max_p
                 .drop("__rn")
                 .write.mode(mode)
                 .option("ignoreNullFields", False)
+                # the folder is marked as complete by the last write only
+                .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", last == total)
                 .option("maxRecordsPerFile", max(1, records))
                 .json(path)
             )
@@ -101,3 +103,31 @@ def register_tables(spark: SparkSession, root: str, tables: Sequence[str], datab
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{root.rstrip('/')}/{t}'")
         names.append(name)
     return names
+
+
+def publish_views(spark: SparkSession, build: str, tables: Sequence[str], partitioned: Sequence[str] = (), database: str | None = None) -> list[str]:
+    """S14 for builds: each table of the folder ``build`` is catalogued under a name of its own, with column statistics for
+    the cost-based planner, and then the view of its plain name is replaced: a query sees the build before or
+    after it, and never no table.  Tables of builds that no view shows any more are left to ``drop_unshown``."""
+    prefix = f"{database}." if database else ""
+    mark = build.rstrip("/").rsplit("/", 1)[1].replace("-", "_")
+    for t in tables:
+        name = f"{prefix}{t}__{mark}"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{build.rstrip('/')}/{t}'")
+        if t in partitioned:
+            spark.sql(f"MSCK REPAIR TABLE {name}")
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
+    for t in tables:
+        spark.sql(f"CREATE OR REPLACE VIEW {prefix}{t} AS SELECT * FROM {prefix}{t}__{mark}")
+    return [f"{prefix}{t}" for t in tables]
+
+
+def drop_unshown(spark: SparkSession, tables: Sequence[str], build: str, database: str | None = None) -> list[str]:
+    """Take other builds' tables of ``publish_views`` out of the catalogue (their files stay)."""
+    prefix = f"{database}." if database else ""
+    mark = build.rstrip("/").rsplit("/", 1)[1].replace("-", "_")
+    names = [r.tableName for r in spark.sql(f"SHOW TABLES{' IN ' + database if database else ''}").collect()]
+    old = [n for n in names if any(n.startswith(f"{t}__build_") for t in tables) and not n.endswith(f"__{mark}")]
+    for n in old:
+        spark.sql(f"DROP TABLE IF EXISTS {prefix}{n}")
+    return old

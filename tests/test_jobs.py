@@ -123,9 +123,25 @@ def test_landing_report_found_analysis_and_catalogue(spark, tmp, capsys):
     jobs.main(["analysis", "--refined", f"{tmp}/ref", "--output", f"{tmp}/results"])
     assert sum(r.releases for r in spark.read.parquet(f"{tmp}/results/releases_per_year").collect()) == 2
     assert set(jobs.ANALYSES) == set(os.listdir(f"{tmp}/results"))
-    jobs.main(["catalogue", "--refined", f"{tmp}/ref"])
+    tables = ["fact_movie_actor", "dim_movie", "dim_actor", "dim_date", "dim_genre"]
     try:
-        assert spark.sql("SELECT count(*) FROM fact_movie_actor").first()[0] == 2
+        jobs.main(["catalogue", "--refined", f"{tmp}/ref"])
+        open_query = spark.sql("SELECT * FROM fact_movie_actor")
+        assert open_query.count() == 2
+        # the next build takes the view's place; who still reads the old one can finish
+        jobs.main(["refined", "--credits", f"{tmp}/tc", "--details", f"{tmp}/td", "--output", f"{tmp}/ref"])
+        jobs.main(["catalogue", "--refined", f"{tmp}/ref"])
+        assert spark.sql("SELECT count(*) FROM fact_movie_actor").first()[0] == 2 == open_query.count()
+        held = [t.name for t in spark.catalog.listTables() if t.name.startswith("fact_movie_actor__")]
+        assert len(held) == 2
+        jobs.main(["catalogue", "--refined", f"{tmp}/ref", "--clean"])
+        left = [t.name for t in spark.catalog.listTables() if t.name.startswith("fact_movie_actor__")]
+        assert len(left) == 1
+        stats = spark.sql(f"DESCRIBE EXTENDED {left[0]} id_movie").collect()
+        assert {r.info_name: r.info_value for r in stats}["distinct_count"] == "2"
     finally:
-        for t in ("fact_movie_actor", "dim_movie", "dim_actor", "dim_date", "dim_genre"):
-            spark.sql(f"DROP TABLE IF EXISTS {t}")
+        for t in tables:
+            spark.sql(f"DROP VIEW IF EXISTS {t}")
+        for t in spark.catalog.listTables():
+            if "__build_" in t.name:
+                spark.sql(f"DROP TABLE IF EXISTS {t.name}")

@@ -304,3 +304,19 @@ def test_stage_counts(spark):
     df = spark.range(10)
     got = op.stage_counts([("all", df), ("some", df.filter("id > 6")), ("none", df.filter("id > 60"))]).collect()
     assert [tuple(r) for r in sorted(got)] == [(1, "all", 10), (2, "some", 3), (3, "none", 0)]
+
+
+def test_sketches_of_partitions_add_up(spark, tmp):
+    from cinelake import operators as op
+
+    rows = spark.range(20_000).selectExpr("cast(id % 4 as int) AS year", "id % 2 AS side", "id % 5000 AS v")
+    table = op.SketchTable(spark, tmp, "year", ["side"])
+    for year in (0, 1, 2, 3):
+        table.add(rows.filter(f"year = {year}"), "v")
+        exact = rows.filter(f"year <= {year}").select("v").distinct().count()
+        assert abs(table.estimate().first().n_distinct - exact) <= 4 * table.error * exact + 1
+    before = table.estimate().first().n_distinct
+    table.add(rows.filter("year = 1"), "v")  # the same partition again
+    assert table.estimate().first().n_distinct == before
+    assert {r.year for r in table.estimate(["year"]).collect()} == {0, 1, 2, 3}
+    assert {r.side for r in table.estimate(["side"]).collect()} == {0, 1}

@@ -159,7 +159,9 @@ def test_observed_funnel_counts(spark):
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("votes") >= 30).alias("enough_votes"))
     assert out.filter(F.col("votes") >= 30).count() == 1
     assert obs.get == {"rows": 3, "enough_votes": 1}
-    assert op.observe_counts(df, "named", kept=F.col("votes").isNotNull()).count() == 3
+    funnel = op.Funnel()
+    assert funnel("kept", funnel("all", df).filter("votes is not null")).count() == 2
+    assert [(r.stage, r.n_rows) for r in funnel.rows(spark).collect()] == [("all", 3), ("kept", 2)]
 
 
 def test_fact_write_spreads_a_hot_year(spark, tmp):
