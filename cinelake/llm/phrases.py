@@ -42,7 +42,7 @@ BUCKETS = 1 << 25
 #: Bytes of phrases in one trie, and bytes of tries that a task holds at a time.
 TRIE, HOLD = 1 << 21, 96 << 20
 #: Bytes of text read at a time, and bucket numbers a task holds before it hands them on.
-RUN, HELD = 1 << 20, 1 << 19
+RUN, HELD = 1 << 19, 1 << 19
 _BLOCK = 1 << 20
 
 _GAP = np.zeros(256, bool)
