@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cinelake.llm.common import RollingHash, crc_mod, group_sums, labelled_sample, mix64, text_slices, unpacked, whole_rows, word_spans
+from cinelake.llm.common import crc_mod, group_sums, labelled_sample, mix64, RollingHash, text_slices, tidy, unpacked, whole_rows, word_spans
 
 BUCKETS = 1 << 16
 NGRAMS = (3, 4)
@@ -143,7 +143,7 @@ def score(rows: DataFrame, text: str, model, keep: list[str]) -> DataFrame:
     weights, bias = model
     src = rows.select(*dict.fromkeys([*keep, text]))
     schema = T.StructType([*(src.schema[c] for c in keep), T.StructField("score", T.DoubleType())])
-    return src.mapInArrow(score_arrow(weights, bias, keep, text), schema)
+    return src.mapInArrow(tidy(score_arrow(weights, bias, keep, text)), schema)
 
 
 def quality(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> DataFrame:

@@ -3,6 +3,7 @@ hashing over whole batches, bounded training samples and connected components.""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from pathlib import Path
@@ -202,6 +203,20 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
+def tidy(run):
+    """A mapInArrow function that, at the end of its task, hands freed memory back to the system: Python workers are
+    reused, and what their allocators hold on to would count against the executor all along."""
+
+    def task(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU allocator's
+        if trim:
+            trim(0)
+
+    return task
+
+
 _shipped: set[str] = set()
 
 

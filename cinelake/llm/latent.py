@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinelake.llm.common import lower_ascii, mix64, text_slices, unpacked, whole_rows
+from cinelake.llm.common import lower_ascii, mix64, text_slices, tidy, unpacked, whole_rows
 
 PASSAGE = 32
 _KEEP = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
@@ -184,7 +184,7 @@ def fit(docs: DataFrame, benchmark: DataFrame, p: Params) -> Space:
     df, z, total = np.zeros(n), np.zeros((n, p.rank)), 0
     if n:
         shared = docs.sparkSession.sparkContext.broadcast(terms)
-        parts = docs.select("text").mapInArrow(_range_arrow(shared, p), "term long, df long, z array<float>")
+        parts = docs.select("text").mapInArrow(tidy(_range_arrow(shared, p)), "term long, df long, z array<float>")
         # a row per benchmark term, whatever the number of documents
         sums = parts.groupBy("term").agg(F.sum("df").alias("df"), F.array(*[F.sum(F.col("z")[i].cast("double")) for i in range(p.rank)]).alias("z")).collect()
         for r in sums:
@@ -493,7 +493,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFr
     docs = docs.select("doc_id", "text")
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id long, cosine double, common double, answer double"
     for space, block in _blocks(docs, benchmark, p):
-        part = docs.mapInArrow(_leaks_arrow(space, block, p), schema)
+        part = docs.mapInArrow(tidy(_leaks_arrow(space, block, p)), schema)
         found = part if found is None else found.unionByName(part)
     return found if found is not None else spark.createDataFrame([], schema)
 
@@ -503,5 +503,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -
     clean = docs.select(whole_rows(docs), F.col("text"))
     schema = clean.schema
     for space, block in _blocks(docs, benchmark, p):
-        clean = clean.mapInArrow(_clean_arrow(space, block, p, "text"), schema)
+        clean = clean.mapInArrow(tidy(_clean_arrow(space, block, p, "text")), schema)
     return unpacked(clean, docs.columns)

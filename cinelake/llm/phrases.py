@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinelake.llm.bytebpe import runs
-from cinelake.llm.common import RollingHash, lower_ascii, mix64, text_slices
+from cinelake.llm.common import lower_ascii, mix64, RollingHash, text_slices, tidy
 from cinelake.session import materialize
 
 #: Hash buckets of the bounds, for each length of phrases: a bit each in the map that is broadcast.
@@ -194,7 +194,7 @@ def _hot_arrow(least: int):
 def hot_buckets(bounds: DataFrame, longest: int, least: int, buckets: int) -> dict[int, np.ndarray]:
     """For each length a bit map (bytes) of the hot buckets: at most ``buckets`` bits each."""
     rows = bounds.filter("level > 0").select("level", "block", "place", "count").repartition("level", "block")
-    rows = rows.sortWithinPartitions("level", "block").mapInArrow(_hot_arrow(least), "level int, block long, hot binary")
+    rows = rows.sortWithinPartitions("level", "block").mapInArrow(tidy(_hot_arrow(least)), "level int, block long, hot binary")
     maps = {k: np.zeros(-(-buckets // _BLOCK) * _BLOCK // 8, np.uint8) for k in range(1, longest + 1)}
     for level, block, hot in rows.collect():
         maps[level][block * _BLOCK // 8 : (block + 1) * _BLOCK // 8] = np.frombuffer(hot, np.uint8)
@@ -417,9 +417,9 @@ def frequent(docs: DataFrame, longest: int = 3, least: int = 10, buckets: int =
     sc = docs.sparkSession.sparkContext
     src = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     schema = "level int, block long, place binary, count binary, lang string, n long"
-    bounds = materialize(src.mapInArrow(_bounds_arrow(longest, least, buckets), schema), "phrase-bounds")
+    bounds = materialize(src.mapInArrow(tidy(_bounds_arrow(longest, least, buckets)), schema), "phrase-bounds")
     hot = sc.broadcast(hot_buckets(bounds, longest, least, buckets))
-    found = src.mapInArrow(_candidates_arrow(hot, longest, buckets), "lang string, phrase string, words int, head long").distinct()
+    found = src.mapInArrow(tidy(_candidates_arrow(hot, longest, buckets)), "lang string, phrase string, words int, head long").distinct()
     candidates = materialize(found.withColumn("id", F.monotonically_increasing_id()), "phrase-candidates")
     hot.unpersist()
     size = candidates.agg(F.sum(F.octet_length("phrase") + F.octet_length("lang") + 2)).first()[0] or 0
@@ -435,7 +435,7 @@ def frequent(docs: DataFrame, longest: int = 3, least: int = 10, buckets: int =
         del row
         held += size
         if i + 1 == len(sizes) or held + sizes[i + 1][1] > hold:
-            counted.append(materialize(src.mapInArrow(_count_arrow(group, shards), "id long, n long"), "phrase-counts"))
+            counted.append(materialize(src.mapInArrow(tidy(_count_arrow(group, shards)), "id long, n long"), "phrase-counts"))
             for b in group.values():
                 b.destroy()
             group, held = {}, 0

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinelake.llm.bytebpe import runs
-from cinelake.llm.common import RollingHash, mix64, row_key, text_slices
+from cinelake.llm.common import mix64, RollingHash, row_key, text_slices, tidy
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -444,4 +444,4 @@ def tokenize(docs: DataFrame, model: str = MODEL, params: Params = Params(), wit
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, lossless boolean" + ", ids array<int>" * with_ids
     text = F.when(F.length("text") > 0, F.concat(F.lit(" "), "text")).otherwise(F.lit(""))
     src = docs.select("doc_id", F.coalesce(row_key(docs), F.lit(0)).alias("key"), text.alias("text"))
-    return src.mapInArrow(_encode_arrow(shared, params, with_ids), schema)
+    return src.mapInArrow(tidy(_encode_arrow(shared, params, with_ids)), schema)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cinelake.llm.common import RollingHash, mix64, row_key, text_slices, whole_rows
+from cinelake.llm.common import mix64, RollingHash, row_key, text_slices, tidy, whole_rows
 from cinelake.session import materialize, remove_path, shared_dir
 
 MATCH = 200
@@ -138,7 +138,7 @@ class IndexFamily:
 
     def suffix_array(self, texts: DataFrame) -> DataFrame:
         """The array of a batch (column ``text``): key, n, low, high."""
-        entries = texts.select("text").mapInArrow(_entries_arrow(self.match, self.seed), "key long, ctx long")
+        entries = texts.select("text").mapInArrow(tidy(_entries_arrow(self.match, self.seed)), "key long, ctx long")
         return entries.groupBy("key").agg(F.count("*").alias("n"), F.min("ctx").alias("low"), F.max("ctx").alias("high"))
 
     def scan(self, array: DataFrame) -> DataFrame:
@@ -286,8 +286,8 @@ def _hot_windows_arrow(match: int):
 def _edges(contexts: DataFrame, match: int) -> DataFrame:
     """(k, h, span) of the repeated windows among the contexts."""
     few = contexts.filter(F.col("n") <= HOT).repartition("key").sortWithinPartitions("key")
-    cold = few.mapInArrow(_edges_arrow(match), "k long, h long, span long")
-    hot = contexts.filter(F.col("n") > HOT).mapInArrow(_hot_windows_arrow(match), "k long, h long, key long, w long, span long")
+    cold = few.mapInArrow(tidy(_edges_arrow(match)), "k long, h long, span long")
+    hot = contexts.filter(F.col("n") > HOT).mapInArrow(tidy(_hot_windows_arrow(match)), "k long, h long, key long, w long, span long")
     again = hot.groupBy("key", "w").count().filter("count > 1").select("key", "w")
     return cold.union(hot.join(again, ["key", "w"], "left_semi").select("k", "h", "span"))
 
@@ -343,7 +343,7 @@ def _removed(docs: DataFrame, match: int, seed: int, batches: int, with_text: bo
     # as a plain table: both sides of the join below shuffle, so AQE can split a hot key
     again = materialize(family.repeated(), "suffix-keys")
     family.close()
-    places = src.select("k", "h", "text").mapInArrow(_occurrences_arrow(match, seed), "k long, h long, key long, ctx long, at long")
+    places = src.select("k", "h", "text").mapInArrow(tidy(_occurrences_arrow(match, seed)), "k long, h long, key long, ctx long, at long")
     mixed = [F.when(~F.col("alike"), F.col(c)).alias(c) for c in ("key", "ctx")]
     places = materialize(places.join(again, "key").select("k", "h", "at", "alike", *mixed), "suffix-places")
     whole = places.filter("alike")
@@ -368,13 +368,13 @@ def _removed(docs: DataFrame, match: int, seed: int, batches: int, with_text: bo
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             remove_path(spark, folder)
     contexts = materialize(
-        marked.filter("open").select("k", "h", "text", "opens").mapInArrow(_contexts_arrow(match), "k long, h long, key long, n long, start long, bytes binary"),
+        marked.filter("open").select("k", "h", "text", "opens").mapInArrow(tidy(_contexts_arrow(match)), "k long, h long, key long, n long, start long, bytes binary"),
         "suffix-contexts",
     )
     edges = _edges(contexts, match).groupBy("k", "h").agg(F.collect_list("span").alias("edges"))
     done = marked.select("row", "text", "spans", "k", "h").join(edges, ["k", "h"], "left").select("row", "text", "spans", "edges")
     schema = T.StructType([src.schema["row"], *T._parse_datatype_string(DIGEST).fields])
-    return done.mapInArrow(_finish_arrow(with_text), schema)
+    return done.mapInArrow(tidy(_finish_arrow(with_text)), schema)
 
 
 def remove_repeats(docs: DataFrame, match: int = MATCH, seed: int = SEED, batches: int = BATCHES) -> DataFrame:
