@@ -81,11 +81,11 @@ def test_block_max_search_is_exact():
             assert len(ids) == len(want) and np.allclose(np.sort(scores)[::-1], s[want])
 
 
-def ppm_bits(texts, query, symbol, size, contexts):
-    """Code length of method C without exclusion, written out plainly."""
+def ppm_bits(texts, query):
+    """Code length of method C without exclusion, orders 3 to 0, written out plainly."""
     def stream(text):
-        s = [symbol[b] for b in text.encode()]
-        return [(tuple(s[max(0, i - k)] if i - k >= 0 else 0 for k in (3, 2, 1)), c) for i, c in enumerate(s)]
+        s = [b + 1 for b in text.encode().lower()]
+        return [(tuple(s[i - k] if i >= k else 0 for k in (3, 2, 1)), c) for i, c in enumerate(s)]
 
     counts = [defaultdict(Counter) for _ in range(4)]
     for t in texts:
@@ -94,8 +94,7 @@ def ppm_bits(texts, query, symbol, size, contexts):
                 counts[k][ctx[3 - k :]][c] += 1
     bits = 0.0
     for ctx, c in stream(query):
-        k = 3 if ctx in contexts else 2
-        while k >= 0:
+        for k in (3, 2, 1, 0):
             seen = counts[k].get(ctx[3 - k :])
             if seen:
                 n, q = sum(seen.values()), len(seen)
@@ -103,23 +102,50 @@ def ppm_bits(texts, query, symbol, size, contexts):
                     bits += math.log2(n + q) - math.log2(seen[c])
                     break
                 bits += math.log2(n + q) - math.log2(q)
-            k -= 1
         else:
-            bits += math.log2(size)
+            bits += 8
     return bits
 
 
 def test_code_lengths_are_exact():
-    texts = {"a": ["the rain in spain", "the plain", "x"], "b": ["der regen über den wäldern", "ein haus"]}
-    model = langid.train(texts, langid.Params(symbols=24, contexts=15))
-    size = 24
-    contexts = {(i // size**2, i // size % size, i % size) for i in np.flatnonzero(model.row >= 0).tolist()}
-    queries = ["the haus", "Über", "zzz", "", "spain rain", "x"]
+    texts = {"a": ["the rain in spain", "the plain", "x"], "b": ["der regen über den wäldern", "ein haus", ""], "c": ["雨が降る", "\x00\x7f"], "d": [""]}
+    model = langid.train(texts)
+    queries = ["the haus", "Über", "zzz", "", "spain rain", "x", "雨", "\x00", "DER RAIN", "\U0001f600ein"]
     for _, _, data, off in text_slices(pa.array(queries)):
         got = langid.code_lengths(model, data, off)
     for i, q in enumerate(queries):
-        for j, l in enumerate(("a", "b")):
-            assert got[i, j] == pytest.approx(ppm_bits(texts[l], q, model.symbol.tolist(), size, contexts), abs=1e-3)
+        for j, l in enumerate(texts):
+            assert got[i, j] == pytest.approx(ppm_bits(texts[l], q), abs=1e-3)
+
+
+def test_every_context_of_the_sample_is_kept():
+    rng = np.random.default_rng(3)
+    texts = {l: ["".join(map(chr, rng.integers(1, 0x3000, 4000)))] for l in "ab"}  # far more contexts than a dense table would hold
+    model = langid.train(texts)
+    probe = [texts["a"][0][:300], texts["b"][0][-200:], "".join(map(chr, rng.integers(1, 0x3000, 50)))]
+    for _, _, data, off in text_slices(pa.array(probe)):
+        got = langid.code_lengths(model, data, off)
+    for i, q in enumerate(probe):
+        for j, l in enumerate("ab"):
+            assert got[i, j] == pytest.approx(ppm_bits(texts[l], q), rel=1e-5)
+
+
+def test_places_find_every_key_and_no_other():
+    rng = np.random.default_rng(5)
+    keys = np.unique(np.concatenate([np.arange(300), rng.integers(0, 1 << 36, 5000)]).astype(np.uint64))
+    places = langid.Places(keys)
+    assert (places.find(keys) == np.arange(len(keys))).all()
+    others = np.setdiff1d(rng.integers(0, 1 << 36, 5000).astype(np.uint64), keys)
+    assert (places.find(others) == -1).all()
+    assert (langid.Places(keys[:0]).find(others) == -1).all()
+
+
+def test_equal_languages_go_to_the_smallest():
+    texts = {"b": ["abc abd"], "a": ["abc abd"]}
+    model = langid.train(texts)
+    for _, _, data, off in text_slices(pa.array(["noise", "abd abc", "", "more noise", "abd abc"])):
+        assert (langid.code_lengths(model, data, off).argmin(axis=1) == 0).all()
+    assert model.languages[0] == "a"
 
 
 def test_language_of_odd_rows(spark):
