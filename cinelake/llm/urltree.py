@@ -6,8 +6,11 @@ whose path starts the page's path decides.  The ruled pages are the labels of th
 1. Every host's paths form a tree of ``DEPTH`` segments (deeper ones share one mark).
 2. Under each node, a segment with less than ``RARE`` of the node's pages becomes the
    wildcard ``*`` when the node has more than ``BRANCHES`` different segments.
-3. A template whose labelled block share does not differ from its parent's by a
-   two-proportion test (5 % level) is merged with its siblings and takes their counts.
+3. Under each node, every branch's labelled block share is tested against its siblings'
+   pooled one (two proportions, continuity correction, 5 % level).  The branches that do not
+   differ become one branch ``+`` before the next level is built, so what lies below them is
+   counted together; branches without labels stay apart and are smoothed by their parent.
+   The mark of deeper paths is tested against its template in the same way.
 4. Purity, the labelled share of blocked pages, is smoothed down the tree: everywhere by
    ``WEIGHT`` pages of the parent's purity, and at a host by as many neutral ones.  Templates
    of at least ``REJECT`` are blocked; so a host without a ruled page is allowed.
@@ -16,7 +19,8 @@ Paths are first counted per (host, segments), so repeated paths and hot hosts sh
 map tasks; node totals are sums joined back, without a window over a host.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path and is judged
-as the host '' (allow).  Repeated rows get one verdict each.
+as the host '' (allow).  Repeated rows get one verdict each.  A literal segment ``*`` or
+``+`` counts as the mark of that name.
 """
 
 from __future__ import annotations
@@ -33,6 +37,7 @@ WEIGHT = 4.0
 REJECT = 0.8
 NEUTRAL = 0.5
 CHI2 = 3.84
+MERGED = "+"
 
 #: (rule, verdict): host up to the first slash, path from there.
 RULES = (
@@ -75,6 +80,14 @@ def _totals(counts: DataFrame, keys: list[str]) -> DataFrame:
     return counts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n", "blocked", "labelled")])
 
 
+def _like_siblings() -> Column:
+    """Whether a branch (blocked, labelled) of a node (pb, pl) has labelled siblings and does not
+    differ from them."""
+    b, l, pb, pl = (F.col(c).cast("double") for c in ("blocked", "labelled", "pb", "pl"))
+    gap = F.greatest(F.abs(b * (pl - l) - (pb - b) * l) - pl / 2, F.lit(0.0))
+    return (l < pl) & (pl * gap * gap <= CHI2 * l * (pl - l) * pb * (pl - pb))
+
+
 def templates(base: DataFrame) -> DataFrame:
     """(host, s1.., more) of every path with its template t1.. and the template's purity."""
     keys = ["host", *(f"s{k}" for k in range(1, DEPTH + 1)), "more"]
@@ -91,6 +104,10 @@ def templates(base: DataFrame) -> DataFrame:
         # only the segments that become wildcards are told apart
         wild = seg.join(node, above).filter((F.col("kinds") > BRANCHES) & (F.col("sn") < RARE * F.col("pn"))).select(*above, f"s{k}", F.lit("*").alias(f"t{k}"))
         paths = paths.join(wild, [*above, f"s{k}"], "left").withColumn(f"t{k}", F.coalesce(f"t{k}", f"s{k}"))
+        kin = _totals(paths.filter("labelled > 0"), [*above, f"t{k}"])
+        node = kin.groupBy(*above).agg(F.sum("blocked").alias("pb"), F.sum("labelled").alias("pl"))
+        alike = kin.join(node, above).filter(_like_siblings()).select(*above, f"t{k}", F.lit(MERGED).alias("mark"))
+        paths = paths.join(alike, [*above, f"t{k}"], "left").withColumn(f"t{k}", F.coalesce("mark", f"t{k}")).drop("mark")
         paths = materialize(paths, "url-paths")
         above = [*above, f"t{k}"]
     leaf_keys = [*above, "more"]
@@ -133,7 +150,12 @@ def _sql() -> str:
     for k in range(1, DEPTH + 1):
         steps.append(f"""
 w{k} AS (SELECT {above}, s{k}, sum(n) AS sn, sum(sum(n)) OVER (PARTITION BY {above}) AS pn, count(*) OVER (PARTITION BY {above}) AS kinds FROM p{k - 1} GROUP BY {above}, s{k}),
-p{k} AS (SELECT p{k - 1}.*, CASE WHEN kinds > {BRANCHES} AND sn < {RARE} * pn THEN '*' ELSE s{k} END AS t{k} FROM p{k - 1} JOIN w{k} USING ({above}, s{k}))""")
+a{k} AS (SELECT p{k - 1}.*, CASE WHEN kinds > {BRANCHES} AND sn < {RARE} * pn THEN '*' ELSE s{k} END AS t{k} FROM p{k - 1} JOIN w{k} USING ({above}, s{k})),
+q{k} AS (SELECT {above}, t{k}, sum(blocked)::DOUBLE AS b, sum(labelled)::DOUBLE AS l FROM a{k} GROUP BY {above}, t{k}),
+r{k} AS (SELECT *, sum(b) OVER (PARTITION BY {above}) AS pb, sum(l) OVER (PARTITION BY {above}) AS pl FROM q{k}),
+g{k} AS (SELECT *, greatest(abs(b * (pl - l) - (pb - b) * l) - pl / 2, 0.0) AS gap FROM r{k}),
+m{k} AS (SELECT {above}, t{k}, l > 0 AND l < pl AND pl * gap * gap <= {CHI2}::DOUBLE * l * (pl - l) * pb * (pl - pb) AS alike FROM g{k}),
+p{k} AS (SELECT a{k}.* REPLACE (CASE WHEN alike THEN '{MERGED}' ELSE a{k}.t{k} END AS t{k}) FROM a{k} JOIN m{k} USING ({above}, t{k}))""")
         above += f", t{k}"
     keys = above.split(", ")
     sums = "sum(blocked)::DOUBLE AS b, sum(labelled)::DOUBLE AS l"

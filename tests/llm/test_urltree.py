@@ -52,6 +52,25 @@ def test_judged_rows_of_odd_tables(spark):
     assert urltree.judge(df.limit(0)).count() == 0
 
 
+def test_alike_branches_are_merged_and_others_stay(spark):
+    rules = tuple((f"x.com/p/{b}/l", v) for b, v in (("b0", "allow"), ("b1", "block"), ("b2", "block"), ("c", "allow")))
+    paths = [f"b{b}/l{i}" for b in (1, 2) for i in range(10)] + ["b0/l0", *(f"c/l{i}" for i in range(4))]
+    paths += ["b0/u0", "b0/u1", "c/u0", "../q/u0"]  # without a rule; the last has no label at all
+    df = spark.createDataFrame([(i, f"http://x.com/p/{p}".replace("/p/..", "")) for i, p in enumerate(paths)], "page_id long, url string")
+    got = {paths[r.page_id]: r for r in urltree.judge(df, rules).collect()}
+    assert {got[f"b{b}/l0"].template for b in range(3)} == {"/p/+/*"}
+    # one allowed page does not tell b0 from its siblings: it is judged with them
+    assert got["b0/u0"].rule is None and got["b0/u0"].verdict == "block" and got["b0/l0"].verdict == "allow"
+    assert got["c/u0"].template.startswith("/p/c/") and got["c/u0"].verdict == "allow"
+    assert got["../q/u0"].template == "/q/u0/"
+
+
+@pytest.mark.parametrize(("branch", "node", "alike"), [((0, 1), (850, 1001), True), ((0, 30), (850, 1030), False), ((0, 0), (5, 9), True), ((5, 9), (5, 9), False), ((2, 2), (9, 9), True), ((0, 1), (200, 201), False)])
+def test_the_test_of_siblings(spark, branch, node, alike):
+    row = spark.createDataFrame([(*branch, *node)], "blocked long, labelled long, pb long, pl long")
+    assert row.select(urltree._like_siblings()).first()[0] is alike
+
+
 @pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
 def test_matches_oracle(spark, sf):
     cols = ["page_id", "host", "path", "rule", "verdict", "template", "purity"]
