@@ -706,8 +706,8 @@ def _stream_enrich(spark, d):
     films, details = orders_as_films(spark, d), raw_details(spark, d).select("imdb_id", "title")
     out = None
     for turn in (0, 1):
-        films.filter(F.col("id") % 2 == turn).coalesce(2).write.mode("append").option("header", True).option("sep", "|").csv(f"{base}/credits")
-        details.filter(F.floor(F.col("imdb_id") / 2) % 2 == turn).coalesce(2).write.mode("append").json(f"{base}/details")
+        films.filter(F.col("id") % 2 == turn).repartition(2).write.mode("append").option("header", True).option("sep", "|").csv(f"{base}/credits")
+        details.filter(F.floor(F.col("imdb_id") / 2) % 2 == turn).repartition(2).write.mode("append").json(f"{base}/details")
         out = stream_enrichment(spark, f"{base}/credits", f"{base}/details", f"{base}/events", f"{base}/checkpoint", films.schema, details.schema, tags=TAG_TOKENS)
     return out.select("id", (F.col("status") == "found").alias("found"))
 
