@@ -681,7 +681,7 @@ def _stream_trusted(spark, d):
     for parity, day in ((0, "27"), (1, "28")):
         films = raw.filter(F.col("imdb_id") % 2 == parity)
         films.repartition(3).write.json(f"{base}/landing/2024/03/{day}")
-        films.filter(F.col("imdb_id") % 10 == parity).coalesce(1).write.mode("append").json(f"{base}/landing/2024/03/{day}")
+        films.filter(F.col("imdb_id") % 10 == parity).repartition(1).write.mode("append").json(f"{base}/landing/2024/03/{day}")
     return stream_trusted_details(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", raw.schema, max_files_per_trigger=4)
 
 
@@ -694,7 +694,7 @@ def _stream_recheckpoint(spark, d):
         films = raw.filter(F.col("imdb_id") % 2 == parity)
         films.repartition(2).write.json(f"{base}/landing/2024/03/{day}")
         stream_trusted_details(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint{day}", raw.schema, max_files_per_trigger=1 + parity * 4)
-        films.filter(F.col("imdb_id") % 10 == parity).coalesce(1).write.mode("append").json(f"{base}/landing/2024/03/{day}")
+        films.filter(F.col("imdb_id") % 10 == parity).repartition(1).write.mode("append").json(f"{base}/landing/2024/03/{day}")
     return stream_trusted_details(spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", raw.schema)
 
 

@@ -4,6 +4,8 @@ once (T2); duplicates across batches are removed (T3); retried batches replace."
 import json
 import os
 
+import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from cinelake.sources import RAW_DETAILS_SCHEMA
@@ -133,3 +135,22 @@ def test_stream_dedup_within_watermark(spark, tmp):
         watermark=("ts", "1 hour"),
     )
     assert sorted(r.id for r in got.collect()) == [1, 2, 3]
+
+
+@pytest.mark.parametrize("name", ["stream_trusted", "stream_recheckpoint", "stream_enrich"])
+def test_films_are_joined_by_many_tasks_before_they_land(spark, monkeypatch, name):
+    """A coalesced write would run the join and its aggregation in the tasks of the write."""
+    from cinelake.plans.registry import QUERIES
+
+    plans = []
+    plain = DataFrameWriter.json
+
+    def spy(self, path, *args, **options):
+        plans.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(self, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "json", spy)
+    QUERIES[name](spark, "/root/testdata/sf0.001")
+    landed = [p for p in plans if "Join" in p]
+    assert landed
+    assert not [p for p in landed if "Repartition 1, false" in p or "Repartition 2, false" in p]
