@@ -209,14 +209,26 @@ def tidy(run):
 
     def task(batches):
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU allocator's
-        if trim:
-            trim(0)
+        _release()
 
     return task
 
 
+def _release() -> None:
+    """Freed memory of this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU allocator's
+    if trim:
+        trim(0)
+
+
+def hand_back(spark) -> None:
+    """What ``tidy`` does, for the driver: large values that went through it leave a grown heap, in Python and in
+    the JVM."""
+    _release()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 _shipped: set[str] = set()
 
 

@@ -17,7 +17,8 @@ and a line feed at its end.  Three passes over all texts follow.
 Scores, covers and the ranking are DataFrame operations on the phrases that are frequent.
 
 The hot-bucket bit maps and what a task holds are bounded by parameters.  Tries of up to ``HOLD`` bytes in sum are
-broadcast at once; where the candidates need more, pass 3 is run once for each such group.
+broadcast at once; where the candidates need more, pass 3 is run once for each such group.  They pass the driver one
+by one, which hands the memory back after each.
 
 Defined cases: null text is empty, null lang is ``und``; repeated rows count as often as they stand
 there; no word crosses a document; an empty table gives no phrases; texts of any length are read whole.
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinelake.llm.bytebpe import runs
-from cinelake.llm.common import lower_ascii, mix64, RollingHash, text_slices, tidy
+from cinelake.llm.common import hand_back, lower_ascii, mix64, RollingHash, text_slices, tidy
 from cinelake.session import materialize
 
 #: Hash buckets of the bounds, for each length of phrases: a bit each in the map that is broadcast.
@@ -433,11 +434,13 @@ def frequent(docs: DataFrame, longest: int = 3, least: int = 10, buckets: int =
         row = tries.filter(F.col("shard") == shard).first()
         group[shard] = sc.broadcast(row.asDict())
         del row
+        hand_back(docs.sparkSession)
         held += size
         if i + 1 == len(sizes) or held + sizes[i + 1][1] > hold:
             counted.append(materialize(src.mapInArrow(tidy(_count_arrow(group, shards)), "id long, n long"), "phrase-counts"))
             for b in group.values():
-                b.destroy()
+                b.destroy(blocking=True)
+            hand_back(docs.sparkSession)
             group, held = {}, 0
     total = reduce(DataFrame.unionByName, counted).groupBy("id").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
     phrases = materialize(candidates.join(total, "id").select("lang", "phrase", "words", "f"), "phrases")

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import Broadcast
 
 from cinelake.llm import phrases
 from tests.llm import odd
@@ -110,3 +111,16 @@ def test_many_keys_share_one_array():
 def test_odd_rows(spark, empty):
     docs = odd.documents(spark, empty=empty)
     assert found(docs) == brute([(r.lang, r.text) for r in docs.collect()])
+
+
+def test_the_driver_hands_memory_back_after_each_trie(spark, monkeypatch):
+    handed, destroyed = [], []
+    plain = phrases.hand_back
+    monkeypatch.setattr(phrases, "hand_back", lambda s: (handed.append(len(destroyed)), plain(s)))
+    gone = Broadcast.destroy
+    monkeypatch.setattr(Broadcast, "destroy", lambda b, blocking=False: (destroyed.append(blocking), gone(b, blocking)))
+    docs = spark.createDataFrame([("en", "one two three four") for _ in range(20)], "lang string, text string")
+    got = {(r.phrase, r.f) for r in phrases.frequent(docs, trie=40, hold=1)[0].collect()}
+    assert ("one two three", 20) in got and len(got) == 9
+    tries = len(destroyed)
+    assert tries > 1 and all(destroyed) and len(handed) == 2 * tries and handed[-1] == tries
