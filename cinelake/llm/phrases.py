@@ -1,24 +1,27 @@
 """Phrase collocations by broadcast double-array tries.
 
 Texts become a stream of bytes: lower-case words with one byte behind each, a space within a piece
-and a line feed at its end.  Three passes over all texts follow.
+and a line feed at its end.  Two passes over all texts and one over what they leave follow.
 
 1. Bounds.  Every phrase of 1 to ``longest`` words falls into one of ``buckets`` by a hash; tasks count
-   them in arrays, shards' counts are summed, and a bucket is hot from ``least`` on.
-2. Candidates.  A phrase can reach ``least`` only if its bucket is hot and, by the Apriori
-   rule, the two phrases one word shorter that it holds are candidates themselves.  Each distinct phrase
-   that passes goes into the table of candidates: a superset of the frequent ones, whatever collides.
-3. Counts.  The candidates become double-array tries over bytes (one, or as many of ``TRIE`` bytes as they
-   need, dealt by their first two words), each built in a task and broadcast.  The states of all word starts of a run
-   of texts advance together, byte level by byte level, each in the trie of its first words; where a
-   word ends in an accepting state, it is counted (bincount).  The shards' counts are summed.  No count
+   them by sorting, the counts are dealt by ranges of buckets and summed, and a bucket is hot from ``least`` on.
+   The hot buckets become a filter of ``BITS`` bits for each, with two probes.
+2. Windows.  A phrase can reach ``least`` only if its bucket is hot and, by the Apriori
+   rule, the two phrases one word shorter that it holds are candidates themselves.  From each word the longest
+   candidate that begins there is a window; tasks write their distinct windows and how often they hold each, dealt into
+   shards by language and first two words (single words: by the word).  The phrases with which windows begin are the
+   candidates: a superset of the frequent ones, whatever collides.
+3. Counts.  Each shard's candidates become a double-array trie over bytes, built in a task and broadcast.  The
+   states of many windows of a shard advance together, byte level by byte level; where a
+   word ends in an accepting state, the window's number is added.  The tasks' counts are summed.  No count
    comes from a hash.
 
 Scores, covers and the ranking are DataFrame operations on the phrases that are frequent.
 
-The hot-bucket bit maps and what a task holds are bounded by parameters.  Tries of up to ``HOLD`` bytes in sum are
-broadcast at once; where the candidates need more, pass 3 is run once for each such group.  They pass the driver one
-by one, which hands the memory back after each.
+What a task holds is bounded by parameters, the filter by the number of frequent phrases.  Tries of up to ``HOLD`` bytes
+in sum are broadcast at once; where the candidates need more, there are more such groups, each of which reads the windows of
+its own shards only (they are written in the order of shards).  They pass the driver one by one, which hands the
+memory back after each.
 
 Defined cases: null text is empty, null lang is ``und``; repeated rows count as often as they stand
 there; no word crosses a document; an empty table gives no phrases; texts of any length are read whole.
@@ -38,18 +41,23 @@ from cinelake.llm.bytebpe import runs
 from cinelake.llm.common import hand_back, lower_ascii, mix64, RollingHash, text_slices, tidy
 from cinelake.session import materialize
 
-#: Hash buckets of the bounds, for each length of phrases: a bit each in the map that is broadcast.
-BUCKETS = 1 << 25
+#: Hash buckets of the bounds, for each length of phrases, and how many are counted together.
+BUCKETS, _BLOCK = 1 << 42, 1 << 32
+#: Bits of the filter for each hot bucket.
+BITS = 20
 #: Bytes of phrases in one trie, and bytes of tries that a task holds at a time.
 TRIE, HOLD = 1 << 21, 96 << 20
-#: Bytes of text read at a time, and bucket numbers a task holds before it hands them on.
+#: Bytes of text read at a time, and bucket numbers or windows a task holds before it hands them on.
 RUN, HELD = 1 << 19, 1 << 19
-_BLOCK = 1 << 20
+#: Bytes of windows read at a time.
+BLOBS = 1 << 22
 
 _GAP = np.zeros(256, bool)
 _GAP[[0x20, 0x09]] = True
 _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".,;:!?"] + [0x0A, 0x0B, 0x0C, 0x0D]] = True
+_INK = ~(_GAP | _BREAK)
+_LOWER = lower_ascii(np.arange(256, dtype=np.uint8))
 
 
 class Stream:
@@ -57,8 +65,7 @@ class Stream:
     words ``start`` and ``end``, the ``doc`` of each, and whether it is the ``last`` of its piece."""
 
     def __init__(self, raw: np.ndarray, off: np.ndarray):
-        raw = lower_ascii(raw)
-        ink = ~(_GAP[raw] | _BREAK[raw])
+        ink = _INK[raw]
         head = np.zeros(len(raw) + 1, bool)
         head[off[:-1]] = True
         before = np.empty(len(raw), bool)
@@ -67,16 +74,19 @@ class Stream:
         after = np.empty(len(raw), bool)
         after[-1:], after[:-1] = False, ink[1:]
         end = np.flatnonzero(ink & (~after | head[1:])) + 1
-        self.doc = np.searchsorted(off, start, side="right") - 1
+        self.doc = np.repeat(np.arange(len(off) - 1), np.diff(np.searchsorted(start, off)))
         n = end - start
-        breaks = np.concatenate([[0], np.cumsum(_BREAK[raw])])
+        breaks = np.flatnonzero(_BREAK[raw])
         self.last = np.ones(len(start), bool)
         if len(start) > 1:
-            self.last[:-1] = (breaks[start[1:]] > breaks[end[:-1]]) | (self.doc[1:] != self.doc[:-1])
+            self.last[:-1] = (np.searchsorted(breaks, start[1:]) > np.searchsorted(breaks, end[:-1])) | (self.doc[1:] != self.doc[:-1])
         self.start = np.cumsum(n + 1) - (n + 1)
         self.end = self.start + n
-        self.data = np.empty(int(n.sum()) + len(n), np.uint8)
-        self.data[runs(self.start, n)] = raw[runs(start, n)]
+        self.inner = np.concatenate([[0], np.cumsum(self.last)])
+        word = np.ones(int(n.sum()) + len(n), bool)
+        word[self.end] = False
+        self.data = np.empty(len(word), np.uint8)
+        self.data[word] = _LOWER[raw[ink]]
         self.data[self.end] = np.where(self.last, 10, 32)
 
     def phrases(self, length: int) -> np.ndarray:
@@ -84,27 +94,10 @@ class Stream:
         n = len(self.start) - length + 1
         if n <= 0:
             return np.zeros(0, np.int64)
-        inner = np.concatenate([[0], np.cumsum(self.last)])
-        return np.flatnonzero(inner[length - 1 : length - 1 + n] == inner[:n])
-
-    def unlike(self, one: np.ndarray, other: np.ndarray, length: int) -> np.ndarray:
-        """Whether the phrases at two lists of places differ."""
-        n, m = (self.end[x + length - 1] - self.start[x] for x in (one, other))
-        out = n != m
-        same = np.flatnonzero(~out)
-        left, right = self.data[runs(self.start[one[same]], n[same])], self.data[runs(self.start[other[same]], n[same])]
-        wrong = np.flatnonzero(left != right)
-        out[same[np.searchsorted(np.cumsum(n[same]), wrong, side="right")]] = True
-        return out
+        return np.flatnonzero(self.inner[length - 1 : length - 1 + n] == self.inner[:n])
 
     def buckets(self, roll: RollingHash, salt: np.ndarray, at: np.ndarray, length: int, buckets: int) -> np.ndarray:
-        h = roll.of(self.start[at], self.end[at + length - 1]) ^ salt[self.doc[at]]
-        return (mix64(h) % np.uint64(buckets)).astype(np.int64)
-
-    def heads(self, roll: RollingHash, salt: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-        """A number of the first words (one or two) at each place, by which tries are dealt."""
-        h = roll.of(self.start[at], self.end[at + length - 1]) ^ salt[self.doc[at]]
-        return (mix64(h + np.uint64(1)) >> np.uint64(1)).astype(np.int64)
+        return (roll.of(self.start[at], self.end[at + length - 1]) ^ salt[self.doc[at]]) % np.uint64(buckets)
 
 
 def _streams(batches):
@@ -127,33 +120,37 @@ def _salts(langs: list[bytes]) -> np.ndarray:
 
 
 def _bounds_arrow(longest: int, least: int, buckets: int):
-    """Rows (length, block, places, counts) of buckets, counts up to ``least``; words of each
-    language as (0, language, none, count)."""
+    """Rows (level, block, places, counts) of buckets, counts up to ``least``; words and their bytes of each
+    language as level 0."""
+    most, kind = HELD, np.min_scalar_type(least)
 
     def rows(level: int, held: list):
-        bucket, which = np.unique(np.concatenate([b for b, _ in held]), return_inverse=True)
-        n = np.minimum(np.bincount(which, np.concatenate([c for _, c in held])), least).astype(np.uint16)
-        block, first = np.unique(bucket // _BLOCK, return_index=True)
-        place = (bucket % _BLOCK).astype(np.uint32)
-        cut = [*first.tolist(), len(bucket)]
-        packed = [(level, int(b), place[s:e].tobytes(), n[s:e].tobytes()) for b, s, e in zip(block.tolist(), cut, cut[1:])]
-        cols = [pa.array(c, t) for c, t in zip(zip(*packed), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))]
-        none = pa.nulls(len(packed), pa.string()), pa.nulls(len(packed), pa.int64())
-        return pa.RecordBatch.from_arrays([*cols, *none], ["level", "block", "place", "count", "lang", "n"])
+        bucket = np.sort(np.concatenate(held))
+        first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        n = np.minimum(np.diff(np.append(first, len(bucket))), least).astype(kind)
+        bucket = bucket[first]
+        block = bucket // np.uint64(_BLOCK)
+        cut = np.append(np.flatnonzero(np.append(True, block[1:] != block[:-1])), len(block))
+        m = len(cut) - 1
+        cols = [pa.array(np.full(m, level, np.int32)), pa.array(block[cut[:-1]].astype(np.int64))]
+        cols += [_packed((bucket % np.uint64(_BLOCK)).astype(np.uint32), cut), _packed(n, cut)]
+        return pa.RecordBatch.from_arrays([*cols, pa.nulls(m, pa.string()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())], names)
+
+    names = ["level", "block", "place", "count", "lang", "n", "size"]
 
     def run(batches):
         held: dict[int, list] = {k: [] for k in range(1, longest + 1)}
         size = dict.fromkeys(held, 0)
-        total: dict[bytes, int] = {}
+        total: dict[bytes, np.ndarray] = {}
         for s, langs in _streams(batches):
-            for lang, n in zip(langs, np.bincount(s.doc, minlength=len(langs)).tolist()):
-                total[lang] = total.get(lang, 0) + n
+            n = np.bincount(s.doc, minlength=len(langs)), np.bincount(s.doc, s.end - s.start, minlength=len(langs))
+            for lang, x in zip(langs, np.stack(n, axis=1).astype(np.int64)):
+                total[lang] = total.get(lang, 0) + x
             roll, salt = RollingHash(s.data), _salts(langs)
             for k in held:
-                found = np.unique(s.buckets(roll, salt, s.phrases(k), k, buckets), return_counts=True)
-                held[k].append(found)
-                size[k] += len(found[0])
-                if size[k] > HELD:
+                held[k].append(s.buckets(roll, salt, s.phrases(k), k, buckets))
+                size[k] += len(held[k][-1])
+                if size[k] > most:
                     yield rows(k, held[k])
                     held[k], size[k] = [], 0
         for k in held:
@@ -162,81 +159,231 @@ def _bounds_arrow(longest: int, least: int, buckets: int):
         if total:
             m = len(total)
             cols = [pa.array([0] * m, pa.int32()), pa.array([-1] * m, pa.int64()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())]
-            cols += [pa.array([k.decode() for k in total]), pa.array(list(total.values()), pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, ["level", "block", "place", "count", "lang", "n"])
+            cols += [pa.array([k.decode() for k in total]), *(pa.array([int(x[i]) for x in total.values()], pa.int64()) for i in (0, 1))]
+            yield pa.RecordBatch.from_arrays(cols, names)
 
     return run
 
 
-def _hot_arrow(least: int):
-    """Bit maps of the hot buckets; the rows of a (length, block) come one after the other."""
+def _packed(values: np.ndarray, cut: np.ndarray) -> pa.Array:
+    """The bytes of values[cut[i]:cut[i + 1]] for each i."""
+    off = (cut * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(values))])
 
-    def close(key, count):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int64()), pa.array([np.packbits(count >= least).tobytes()], pa.binary())],
-            ["level", "block", "hot"],
-        )
+
+def _hot_arrow(least: int):
+    """The hot buckets (places, and their number ``n``) of each (level, block), whose rows come one after the other; level 0 as
+    it stands."""
+    kind = np.min_scalar_type(least)
+
+    def close(key, held):
+        # a place and a count in one number each
+        both = np.sort(np.concatenate([p.astype(np.uint64) << np.uint64(32) | n for p, n in held]))
+        place = (both >> np.uint64(32)).astype(np.uint32)
+        first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+        hot = place[first[np.add.reduceat(both & np.uint64(0xFFFFFFFF), first) >= np.uint64(least)]]
+        return [*key, hot.tobytes(), None, len(hot), None]
+
+    def out(rows):
+        kinds = pa.int32(), pa.int64(), pa.binary(), pa.string(), pa.int64(), pa.int64()
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["level", "block", "hot", "lang", "n", "size"])
 
     def run(batches):
-        key, count = None, None
+        key, held = None, []
         for batch in batches:
-            for level, block, place, n in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if (level, block) != key:
-                    if key is not None:
-                        yield close(key, count)
-                    key, count = (level, block), np.zeros(_BLOCK, np.int64)
-                count[np.frombuffer(place, np.uint32)] += np.frombuffer(n, np.uint16)
-        if key is not None:
-            yield close(key, count)
+            for level, block, place, n, *total in zip(*(batch.column(i) for i in range(7))):
+                if (level.as_py(), block.as_py()) != key:
+                    if held:
+                        yield out([close(key, held)])
+                    key, held = (level.as_py(), block.as_py()), []
+                if key[0]:
+                    held.append((np.frombuffer(place.as_buffer(), np.uint32), np.frombuffer(n.as_buffer(), kind)))
+                else:
+                    yield out([[0, -1, None, *(x.as_py() for x in total)]])
+        if held:
+            yield out([close(key, held)])
 
     return run
 
 
-def hot_buckets(bounds: DataFrame, longest: int, least: int, buckets: int) -> dict[int, np.ndarray]:
-    """For each length a bit map (bytes) of the hot buckets: at most ``buckets`` bits each."""
-    rows = bounds.filter("level > 0").select("level", "block", "place", "count").repartition("level", "block")
-    rows = rows.sortWithinPartitions("level", "block").mapInArrow(tidy(_hot_arrow(least)), "level int, block long, hot binary")
-    maps = {k: np.zeros(-(-buckets // _BLOCK) * _BLOCK // 8, np.uint8) for k in range(1, longest + 1)}
-    for level, block, hot in rows.collect():
-        maps[level][block * _BLOCK // 8 : (block + 1) * _BLOCK // 8] = np.frombuffer(hot, np.uint8)
-    return maps
+def _spots(place: np.ndarray, bits: int, width: int):
+    """The two bits that stand for each place of a block of ``width`` buckets."""
+    place = place.astype(np.uint64)
+    one = place * np.uint64(bits) // np.uint64(width)
+    two = ((place * np.uint64(0x9E3779B1) + np.uint64(1)) & np.uint64(0xFFFFFFFF)) * np.uint64(bits) >> np.uint64(32)
+    return one.astype(np.int64), two.astype(np.int64)
+
+
+class Filter:
+    """Which buckets may be hot: ``bits`` bits for each block of ``width`` buckets, two of them for each hot one."""
+
+    def __init__(self, hot: int, buckets: int):
+        blocks = -(-buckets // _BLOCK)
+        self.width = min(buckets, _BLOCK)
+        self.bits = 8 * max(1, -(-BITS * hot // (8 * blocks)))
+        self.map = np.zeros(blocks * self.bits // 8, np.uint8)
+
+    def has(self, bucket: np.ndarray) -> np.ndarray:
+        one, two = _spots(bucket % np.uint64(_BLOCK), self.bits, self.width)
+        base = (bucket // np.uint64(_BLOCK)).astype(np.int64) * self.bits
+        found = self._bit(base + one)
+        at = np.flatnonzero(found)
+        found[at] = self._bit(base[at] + two[at])
+        return found
 
+    def _bit(self, at: np.ndarray) -> np.ndarray:
+        return (self.map[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
-# --- pass 2: candidates ---------------------------------------------------------------------------
 
+def _filter_arrow(sizes: dict):
+    """Each block's part of the filters (``sizes``: bits and width by level)."""
+
+    def run(batches):
+        for batch in batches:
+            for level, block, hot in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                bits, width = sizes[level]
+                on = np.zeros(bits, bool)
+                for at in _spots(np.frombuffer(hot, np.uint32), bits, width):
+                    on[at] = True
+                cols = [pa.array([level], pa.int32()), pa.array([block], pa.int64()), pa.array([np.packbits(on, bitorder="little").tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["level", "block", "bits"])
+
+    return run
+
+
+def filters(bounds: DataFrame, hot: dict[int, int], buckets: int) -> dict[int, Filter]:
+    """For each length the filter of its hot buckets, of which there are so many."""
+    found = {k: Filter(n, buckets) for k, n in hot.items()}
+    sizes = {k: (f.bits, f.width) for k, f in found.items()}
+    rows = bounds.filter("level > 0 and n > 0").select("level", "block", "hot").mapInArrow(tidy(_filter_arrow(sizes)), "level int, block long, bits binary")
+    for level, block, bits in rows.collect():
+        at = block * found[level].bits // 8
+        found[level].map[at : at + len(bits)] = np.frombuffer(bits, np.uint8)
+    return found
+
+
+# --- pass 2: windows --------------------------------------------------------------------------------
+
+
+def _windows_arrow(shared, longest: int, buckets: int, shards: int):
+    """Rows (shard, lang, windows, counts): distinct windows of a task, each with a line feed at its end."""
+    most = HELD
+
+    def dealt(table: pa.Table, names: list[bytes]):
+        table = table.combine_chunks()
+        window, lang = table["w"].combine_chunks(), table["lang"].to_numpy()
+        salt, shard = _salts(names), np.empty(len(lang), np.int64)
+        for i, j, data, off in text_slices(window, RUN):
+            ends = np.flatnonzero((data == 32) | (data == 10))
+            first = np.searchsorted(ends, off[:-1])
+            head = ends[first + (data[ends[first]] == 32)]  # behind one word or two
+            shard[i:j] = (mix64((RollingHash(data).of(off[:-1], head) ^ salt[lang[i:j]]) + np.uint64(1)) % np.uint64(shards)).astype(np.int64)
+        order = np.lexsort((lang, shard))
+        window, lang, shard = window.take(pa.array(order)), lang[order], shard[order]
+        new = (lang[1:] != lang[:-1]) | (shard[1:] != shard[:-1])
+        cut = np.append(np.flatnonzero(np.append(True, new)), len(lang))
+        off = np.frombuffer(window.buffers()[1], np.int32)[cut]
+        data = pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer(off), window.buffers()[2]])
+        cols = [pa.array(shard[cut[:-1]]), pa.array([names[i].decode() for i in lang[cut[:-1]]], pa.string()), data]
+        return pa.RecordBatch.from_arrays([*cols, _packed(table["n"].to_numpy()[order], cut)], ["shard", "lang", "data", "n"])
 
-def _candidates_arrow(shared, longest: int, buckets: int):
     def run(batches):
         hot = shared.value
-        told: set[int] = set()  # phrases that this task has handed on, by hash and length
+        codes: dict[bytes, int] = {}
+        held, size = [], 0
         for s, langs in _streams(batches):
             roll, salt = RollingHash(s.data), _salts(langs)
-            names = np.array(langs, object)
-            alive = None
-            raw = s.data.tobytes()
+            reach = np.zeros(len(s.start), np.int8)  # words of the longest candidate from each word on
             for k in range(1, longest + 1):
                 at = s.phrases(k)
-                if alive is not None:
-                    at = at[alive[at] & alive[at + 1]]
-                b = s.buckets(roll, salt, at, k, buckets)
-                at = at[(hot[k][b >> 3] >> (7 - (b & 7)).astype(np.uint8)) & 1 == 1]
-                alive = np.zeros(len(s.start) + 1, bool)
-                alive[at] = True
-                # one place of each distinct phrase, and those whose bytes differ from what their hash stands for
-                h = roll.of(s.start[at], s.end[at + k - 1]) ^ salt[s.doc[at]]
-                size = (s.end[at + k - 1] - s.start[at]).astype(np.uint64)
-                _, first, which = np.unique(mix64(h + size), return_index=True, return_inverse=True)
-                first = at[np.append(first, np.flatnonzero(s.unlike(at, at[first[which]], k)))]
-                text = [(names[s.doc[i]], raw[a:e]) for i, a, e in zip(first.tolist(), s.start[first].tolist(), s.end[first + k - 1].tolist())]
-                head = s.heads(roll, salt, first, min(k, 2))
-                fresh = [i for i, t in enumerate(text) if t not in told]
-                text = [text[i] for i in fresh]
-                told.update(text)
-                if len(told) > HELD // 8:
-                    told.clear()
-                if text:
-                    cols = [pa.array([t[x].decode() for t in text], pa.string()) for x in (0, 1)]
-                    yield pa.RecordBatch.from_arrays([*cols, pa.array([k] * len(text), pa.int32()), pa.array(head[fresh])], ["lang", "phrase", "words", "head"])
+                if k > 1:
+                    at = at[(reach[at] == k - 1) & (reach[at + 1] >= k - 1)]
+                reach[at[hot[k].has(s.buckets(roll, salt, at, k, buckets))]] = k
+            code = np.array([codes.setdefault(x, len(codes)) for x in langs], np.int32)[s.doc]
+            whole = s.data.copy()
+            whole[s.end] = 10
+            words = pa.Array.from_buffers(pa.binary(), len(s.start), [None, pa.py_buffer(np.append(s.start, len(whole)).astype(np.int32)), pa.py_buffer(whole)])
+            one, several = np.flatnonzero(reach > 0), np.flatnonzero(reach > 1)
+            stop = s.end[several + reach[several] - 1] + 1
+            for at, w in ((one, words.take(pa.array(one))), (several, _joined(s.data, s.start[several], stop))):
+                held.append(pa.table({"lang": code[at], "w": w, "n": np.ones(len(at), np.int64)}))
+                size += cost(held[-1])
+            if size > most:
+                held = [grouped(held)]
+                size = cost(held[0])
+                if size > most // 2:
+                    yield dealt(held[0], list(codes))
+                    held, size = [], 0
+        if size:
+            yield dealt(grouped(held), list(codes))
+
+    def grouped(held: list) -> pa.Table:
+        table = pa.concat_tables(held).group_by(["lang", "w"], use_threads=False).aggregate([("n", "sum")])
+        return table.rename_columns({"n_sum": "n"})
+
+    def cost(table: pa.Table) -> int:
+        return table.num_rows + table["w"].nbytes // 64
+
+    return run
+
+
+def _joined(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.Array:
+    """data[start:stop] for each, with a line feed as its last byte."""
+    n = stop - start
+    off = np.concatenate([[0], np.cumsum(n)])
+    out = data[runs(start, n)]
+    out[off[1:] - 1] = 10
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(out)])
+
+
+def _pieces(batch: pa.RecordBatch, i: int, j: int):
+    """Rows i to j in runs of some ``BLOBS`` bytes of windows: (first row, end row, bytes, each row's bytes)."""
+    size = pc.binary_length(batch.column(2)).to_numpy()
+    while i < j:
+        k = i + max(1, int(np.searchsorted(np.cumsum(size[i:j]), BLOBS, side="right")))
+        yield i, k, np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in batch.column(2).slice(i, k - i)]), size[i:k]
+        i = k
+
+
+def _changes(*columns: list) -> list[int]:
+    """Where rows begin that differ from the row before, and the end."""
+    rows = list(zip(*columns))
+    return [i for i in range(len(rows)) if not i or rows[i] != rows[i - 1]] + [len(rows)]
+
+
+def _candidates_arrow(longest: int):
+    """The phrases (shard, lang, phrase, words) with which windows begin; the rows of a (shard, lang) come one after the other."""
+
+    def close(shard: int, lang: str, window: pa.Array):
+        off = np.frombuffer(window.buffers()[1], np.int32)[: len(window) + 1].astype(np.int64)
+        data = np.frombuffer(window.buffers()[2], np.uint8)
+        ends = np.flatnonzero((data == 32) | (data == 10))
+        first = np.searchsorted(ends, off)
+        words = np.diff(first)
+        for k in range(1, longest + 1):
+            at = np.flatnonzero((words >= k) & ((words == 1) == (k == 1)))
+            phrase = _joined(data, off[at], ends[first[at] + k - 1] + 1).unique()
+            for i in range(0, len(phrase), 1 << 16):
+                part = pc.binary_slice(phrase.slice(i, 1 << 16), 0, -1).cast(pa.string())
+                cols = [pa.array(np.full(len(part), shard)), pa.array([lang] * len(part), pa.string()), part, pa.array(np.full(len(part), k, np.int32))]
+                yield pa.RecordBatch.from_arrays(cols, ["shard", "lang", "phrase", "words"])
+
+    def run(batches):
+        key, found = None, None
+        for batch in batches:
+            shard, lang = (batch.column(x).to_pylist() for x in (0, 1))
+            cut = _changes(shard, lang)
+            for i, j in zip(cut, cut[1:]):
+                if (shard[i], lang[i]) != key:
+                    if key is not None:
+                        yield from close(*key, found)
+                    key, found = (shard[i], lang[i]), pa.array([], pa.binary())
+                for _, _, data, _ in _pieces(batch, i, j):
+                    off = np.append(0, np.flatnonzero(data == 10) + 1).astype(np.int32)
+                    more = pa.Array.from_buffers(pa.binary(), len(off) - 1, [None, pa.py_buffer(off), pa.py_buffer(data)])
+                    found = pa.chunked_array([found, more.unique()]).unique()
+        if key is not None:
+            yield from close(*key, found)
 
     return run
 
@@ -255,8 +402,13 @@ class Trie:
         """Numbers of the keys that end in these states (other states left out)."""
         if not len(self.ends):
             return self.ends
+        at, found = self.endings(state)
+        return self.keys[at[found]]
+
+    def endings(self, state: np.ndarray):
+        """Place of each state in ``ends``, and whether it is there."""
         at = np.minimum(np.searchsorted(self.ends, state), len(self.ends) - 1)
-        return self.keys[at[self.ends[at] == state]]
+        return at, self.ends[at] == state
 
     def step(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
         """Next states, -1 where there is none."""
@@ -351,9 +503,9 @@ def build(flat: np.ndarray, off: np.ndarray, seed: int = 5) -> Trie:
 
 def _build_arrow(table: pa.Table) -> pa.Table:
     """One trie of the candidates (id, lang, phrase) of a shard: its arrays, and the ids of its keys."""
-    # a second line feed before phrases of several words: a root of their own
-    several = pc.if_else(pc.greater(table["words"], 1), b"\n", b"").cast(pa.binary())
-    phrase = pc.binary_join_element_wise(several, table["phrase"].cast(pa.binary()), b"")
+    # single words and phrases of several have roots of their own; no phrase holds a line feed, so no two keys are alike
+    mark = pc.if_else(pc.greater(table["words"], 1), b"2", b"1").cast(pa.binary())
+    phrase = pc.binary_join_element_wise(mark, table["phrase"].cast(pa.binary()), b"")
     keys = pc.binary_join_element_wise(table["lang"].cast(pa.binary()), phrase, b"\n")
     order = pc.sort_indices(keys)
     keys = keys.take(order).combine_chunks()
@@ -364,24 +516,24 @@ def _build_arrow(table: pa.Table) -> pa.Table:
     return pa.table({"shard": table["shard"].slice(0, 1), **{k: pa.array([x.tobytes()], pa.binary()) for k, x in arrays.items()}})
 
 
-def count_keys(trie: Trie, s: Stream, root: np.ndarray, at: np.ndarray, counts: np.ndarray) -> None:
-    """Add to ``counts`` how often each key stands in a stream, from the words ``at`` on, whose walks begin in the
-    states ``root``: all of them together."""
-    live = root >= 0
-    state, at = root[live].astype(np.int32), s.start[at[live]]
-    data = s.data
+def count_keys(trie: Trie, data: np.ndarray, at: np.ndarray, state: np.ndarray, n: np.ndarray, counts: np.ndarray) -> None:
+    """Add to ``counts``, at the place in ``trie.ends`` of each key with which windows begin, how often there are these
+    windows (``n``).  They begin ``at`` these bytes and their walks in these states: all of them together."""
+    live = np.flatnonzero(state >= 0)
+    at, state, n = at[live], state[live], n[live]
     while len(at):
         c = data[at]
-        ends = trie.accepted(state[(c == 32) | (c == 10)])
+        ends = np.flatnonzero((c == 32) | (c == 10))
         if len(ends):
-            counts += np.bincount(ends, minlength=len(counts))
+            key, found = trie.endings(state[ends])
+            np.add.at(counts, key[found], n[ends[found]])
         state = trie.step(state, c)
-        go = state >= 0
-        state, at = state[go], at[go] + 1
+        go = np.flatnonzero((state >= 0) & (c != 10))
+        state, at, n = state[go], at[go] + 1, n[go]
 
 
-def _count_arrow(shared: dict, shards: int):
-    """Counts of the keys of some shards' tries (shard to broadcast arrays)."""
+def _count_arrow(shared: dict):
+    """Counts of the keys of some shards' tries (shard to broadcast arrays) in windows, which come in the order of shards."""
 
     def run(batches):
         tries, ids, counts = {}, {}, {}
@@ -390,16 +542,19 @@ def _count_arrow(shared: dict, shards: int):
             tries[i] = Trie(*(np.frombuffer(b.value[k], np.int32) for k in ("base", "check")), ends, np.arange(len(ends), dtype=np.int32))
             ids[i] = np.frombuffer(b.value["ids"], np.int64)
             counts[i] = np.zeros(len(ends), np.int64)
-        for s, langs in _streams(batches):
-            roll, salt = RollingHash(s.data), _salts(langs)
-            for length, mark in ((1, b"\n"), (2, b"\n\n")):  # single words, and phrases of two or more
-                at = s.phrases(length)
-                shard = s.heads(roll, salt, at, length) % shards
-                for i, trie in tries.items():
-                    roots = {x: trie.walk(x + mark) for x in set(langs)}
-                    mine = at[shard == i]
-                    root = np.array([roots[x] for x in langs], np.int64)[s.doc[mine]]
-                    count_keys(trie, s, root, mine, counts[i])
+        for batch in batches:
+            shard = batch.column(0).to_pylist()
+            cut = _changes(shard)
+            for first, end in zip(cut, cut[1:]):
+                trie, sums = tries[shard[first]], counts[shard[first]]
+                for i, j, data, size in _pieces(batch, first, end):
+                    langs = batch.column(1).slice(i, j - i).to_pylist()
+                    n = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(3).slice(i, j - i)])
+                    at = np.append(0, np.flatnonzero(data == 10)[:-1] + 1)
+                    several = np.add.reduceat(data == 32, at, dtype=np.int64) > 0
+                    roots = {x: [trie.walk(x.encode() + mark) for mark in (b"\n1", b"\n2")] for x in set(langs)}
+                    row = np.repeat(np.arange(j - i), np.diff(np.searchsorted(at, np.append(0, np.cumsum(size)))))
+                    count_keys(trie, data, at, np.array([roots[x] for x in langs], np.int32)[row, several.astype(np.int64)], n, sums)
         for i in tries:
             hit = np.flatnonzero(counts[i])
             for j in range(0, len(hit), 1 << 16):
@@ -417,16 +572,23 @@ def frequent(docs: DataFrame, longest: int = 3, least: int = 10, buckets: int =
     words).  Both are written tables."""
     sc = docs.sparkSession.sparkContext
     src = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    schema = "level int, block long, place binary, count binary, lang string, n long"
-    bounds = materialize(src.mapInArrow(tidy(_bounds_arrow(longest, least, buckets)), schema), "phrase-bounds")
-    hot = sc.broadcast(hot_buckets(bounds, longest, least, buckets))
-    found = src.mapInArrow(tidy(_candidates_arrow(hot, longest, buckets)), "lang string, phrase string, words int, head long").distinct()
-    candidates = materialize(found.withColumn("id", F.monotonically_increasing_id()), "phrase-candidates")
+    schema = "level int, block long, place binary, count binary, lang string, n long, size long"
+    rows = src.mapInArrow(tidy(_bounds_arrow(longest, least, buckets)), schema).repartition("level", "block").sortWithinPartitions("level", "block")
+    schema = "level int, block long, hot binary, lang string, n long, size long"
+    bounds = materialize(rows.mapInArrow(tidy(_hot_arrow(least)), schema), "phrase-bounds")
+    sums = {r[0]: r for r in bounds.groupBy("level").agg(F.sum("n"), F.sum("size")).collect()}
+    found = {k: sums[k][1] if k in sums else 0 for k in range(1, longest + 1)}
+    # the candidates' bytes, if their words are as long as all words: what a trie holds need not be exact
+    size = sum(k * n for k, n in found.items()) * (1 + sums[0][2] / max(1, sums[0][1]) if sums else 0)
+    shards = max(1, -(-int(size) // trie))
+    hot = sc.broadcast(filters(bounds, found, buckets))
+    windows = src.mapInArrow(tidy(_windows_arrow(hot, longest, buckets, shards)), "shard long, lang string, data binary, n binary")
+    windows = materialize(windows.sortWithinPartitions("shard"), "phrase-windows")
     hot.unpersist()
-    size = candidates.agg(F.sum(F.octet_length("phrase") + F.octet_length("lang") + 2)).first()[0] or 0
-    shards = max(1, -(-size // trie))
-    dealt = candidates.select("id", "lang", "phrase", "words", F.pmod("head", F.lit(shards)).alias("shard"))
-    tries = dealt.groupBy("shard").applyInArrow(_build_arrow, "shard long, base binary, check binary, ends binary, ids binary")
+    dealt = windows.select("shard", "lang", "data").repartition("shard").sortWithinPartitions("shard", "lang")
+    dealt = dealt.mapInArrow(tidy(_candidates_arrow(longest)), "shard long, lang string, phrase string, words int")
+    candidates = materialize(dealt.withColumn("id", F.monotonically_increasing_id()), "phrase-candidates")
+    tries = candidates.groupBy("shard").applyInArrow(_build_arrow, "shard long, base binary, check binary, ends binary, ids binary")
     tries = materialize(tries.withColumn("size", F.octet_length("base") + F.octet_length("check") + F.octet_length("ends") + F.octet_length("ids")), "tries")
     counted, group, held = [candidates.select("id", F.lit(0).cast("long").alias("n")).limit(0)], {}, 0
     sizes = sorted(tuple(r) for r in tries.select("shard", "size").collect())  # a row for each trie
@@ -437,7 +599,8 @@ def frequent(docs: DataFrame, longest: int = 3, least: int = 10, buckets: int =
         hand_back(docs.sparkSession)
         held += size
         if i + 1 == len(sizes) or held + sizes[i + 1][1] > hold:
-            counted.append(materialize(src.mapInArrow(tidy(_count_arrow(group, shards)), "id long, n long"), "phrase-counts"))
+            mine = windows.filter(F.col("shard").between(min(group), max(group)))
+            counted.append(materialize(mine.mapInArrow(tidy(_count_arrow(group)), "id long, n long"), "phrase-counts"))
             for b in group.values():
                 b.destroy(blocking=True)
             hand_back(docs.sparkSession)

@@ -124,3 +124,39 @@ def test_the_driver_hands_memory_back_after_each_trie(spark, monkeypatch):
     assert ("one two three", 20) in got and len(got) == 9
     tries = len(destroyed)
     assert tries > 1 and all(destroyed) and len(handed) == 2 * tries and handed[-1] == tries
+
+
+def test_texts_are_read_twice_whatever_the_number_of_tries(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame([("en", "one two three four") for _ in range(20)], "lang string, text string")
+    docs = docs.mapInArrow(counted, "lang string, text string")
+    got = {(r.phrase, r.f) for r in phrases.frequent(docs, trie=40, hold=1)[0].collect()}
+    assert ("two three four", 20) in got and len(got) == 9
+    assert seen.value == 40
+
+
+def test_languages_that_differ_by_a_line_feed(spark):
+    rows = [("fr", "a b")] * 12 + [("fr\n", "a b a")] * 15
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string")
+    assert found(docs) == brute(rows)
+
+
+@pytest.mark.parametrize("buckets", [97, 1 << 42])
+def test_the_filter_has_all_hot_buckets_and_few_others(buckets):
+    rng = np.random.default_rng(3)
+    hot = np.unique(rng.integers(0, buckets, 20_000).astype(np.uint64))
+    f = phrases.Filter(len(hot), buckets)
+    block = hot // np.uint64(1 << 32)
+    for b in np.unique(block):
+        for at in phrases._spots(hot[block == b] % np.uint64(1 << 32), f.bits, f.width):
+            at = at + int(b) * f.bits
+            np.bitwise_or.at(f.map, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    assert f.has(hot).all()
+    if buckets > 97:
+        assert f.has(rng.integers(0, buckets, 100_000).astype(np.uint64)).mean() < 0.03
