@@ -266,61 +266,56 @@ class Encoder:
         n, width = sym.shape
         row = np.arange(n)
         last = np.full((n, width), -2, np.int32)
-        place = np.broadcast_to(np.arange(width, dtype=np.int32), sym.shape).copy()
-        rank = np.full((n, width), NONE, np.int32)
-        if width > 1:
-            rank[:, :-1] = self._pair(sym[:, :-1], sym[:, 1:])
-        cols = np.arange(width)
+        # a column of no symbol at both ends; the others know their neighbours' columns
+        wide = width + 2
+        sym = np.pad(sym, ((0, 0), (1, 1)), constant_values=-2)
+        rank = np.full((n, wide), NONE, np.int32)
+        rank[:, :-1] = self._pair(sym[:, :-1], sym[:, 1:])
+        column = np.arange(wide, dtype=np.int32)
+        nxt, prev = np.tile(column + 1, (n, 1)), np.tile(column - 1, (n, 1))
         rows_took, took = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         while len(row):
             b = rank.argmin(axis=1)
-            line = np.arange(len(row))
-            at = rank[line, b]
+            base = np.arange(len(row)) * wide
+            f = base + b
+            at = rank.ravel()[f]
             over = at == NONE
             done = np.count_nonzero(over)
             if done * 8 > len(row) or done == len(row):  # finished rows go when they are many
-                last[row[over], :width] = sym[over]
-                go = ~over
-                row, sym, place, rank, b, at = (x[go] for x in (row, sym, place, rank, b, at))
+                last[row[over]] = sym[over, 1:-1]
+                go = np.flatnonzero(~over)
+                row, sym, rank, nxt, prev, b, at = (x[go] for x in (row, sym, rank, nxt, prev, b, at))
                 if key is not None:
                     key = key[go]
                 if not len(row):
                     break
-                width = int((sym >= 0).sum(axis=1).max())
-                sym, place, rank, cols = sym[:, :width], place[:, :width], rank[:, :width], cols[:width]
-                line = np.arange(len(row))
+                base = base[: len(row)]
+                f = base + b
                 over = None
             elif not done:
                 over = None
-            entry = at.astype(np.int64) << 32 | place[line, b]
+            entry = at.astype(np.int64) << 32 | (b - 1)
             stay = over
             if key is not None:
                 skip = self._skips(key, entry)
-                rank[line[skip], b[skip]] = NONE
+                rank.ravel()[f[skip]] = NONE
                 stay = skip if over is None else skip | over
-            m = line if stay is None else np.flatnonzero(~stay)
-            if not len(m):
-                continue
+            if stay is not None:
+                m = np.flatnonzero(~stay)
+                if not len(m):
+                    continue
+                b, base, f, at, entry = b[m], base[m], f[m], at[m], entry[m]
             if key is None:
-                rows_took.append(row[m])
-                took.append(entry[m])
-            c = b[m]
-            # the right symbol's column goes out of the symbols, the pair's out of the ranks
-            keep = cols[:-1] + (cols[:-1] > c[:, None])
-            s, p, q = sym[m], place[m], rank[m]
-            s[:, :-1], p[:, :-1] = np.take_along_axis(s, keep, axis=1), np.take_along_axis(p, keep, axis=1)
-            q[:, :-1] = np.take_along_axis(q, cols[:-1] + (cols[:-1] >= c[:, None]), axis=1)
-            s[:, -1], q[:, -1] = -2, NONE
-            k = np.arange(len(m))
-            s[k, c] = self.v.merged_array[at[m]]
-            right = np.where(c + 1 < width, s[k, np.minimum(c + 1, width - 1)], -2)
-            q[k, c] = np.where(right >= 0, self._pair(s[k, c], right), NONE)
-            has = np.flatnonzero(c)
-            q[k[has], c[has] - 1] = self._pair(s[k[has], c[has] - 1], s[k[has], c[has]])
-            if len(m) == len(row):
-                sym, place, rank = s, p, q
-            else:
-                sym[m], place[m], rank[m] = s, p, q
+                rows_took.append(row if stay is None else row[m])
+                took.append(entry)
+            # the right symbol goes into the left one, whose neighbours are paired with it anew
+            s, q, ahead, back = (x.ravel() for x in (sym, rank, nxt, prev))
+            gone = base + ahead[f]
+            after = ahead[gone]
+            right, left = base + after, base + back[f]
+            made = self.v.merged_array[at]
+            s[f], s[gone], q[gone], ahead[f], back[right] = made, -2, NONE, after, b
+            q[np.concatenate([f, left])] = self._pair(np.concatenate([made, s[left]]), np.concatenate([s[right], made]))
         who = np.concatenate(rows_took)
         entries = np.concatenate(took)[np.argsort(who, kind="stable")]
         return last[last >= 0], (last >= 0).sum(axis=1), entries, np.bincount(who, minlength=n)

@@ -124,3 +124,21 @@ def test_odd_rows(spark, empty):
         assert r.lossless and r.n_tokens == len(r.ids)
         if r.doc_id is not None:
             assert pieces.decode(VOCABULARY, r.ids) == (texts[r.doc_id] or "")
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.3])
+def test_a_round_looks_pairs_up_once(monkeypatch, dropout):
+    e = pieces.Encoder(VOCABULARY, pieces.Params(dropout=dropout))
+    calls = []
+    plain = e._pair
+    monkeypatch.setattr(e, "_pair", lambda left, right: (calls.append(1), plain(left, right))[1])
+    chunks = [" internationalisation", " a", "日本語", " übergangsweise", " the", " 😀x"]
+    syms = [e.symbols(np.frombuffer(c.encode(), np.uint8))[0] for c in chunks]
+    size = np.array([len(s) for s in syms])
+    keys = np.arange(len(syms), dtype=np.uint64) if dropout else None
+    got, n, took, m = e.merge_many(np.concatenate(syms), np.cumsum(size) - size, size, keys)
+    want = [e.merge(s.tolist(), None if keys is None else i) for i, s in enumerate(syms)]
+    assert got.tolist() == [x for ids, _ in want for x in ids] and n.tolist() == [len(ids) for ids, _ in want]
+    merges = max(len(entries) for _, entries in want)
+    if not dropout:
+        assert took.tolist() == [x for _, entries in want for x in entries] and len(calls) <= 1 + merges
