@@ -18,7 +18,7 @@ and a line feed at its end.  Two passes over all texts and one over what they le
 
 Scores, covers and the ranking are DataFrame operations on the phrases that are frequent.
 
-What a task holds is bounded by parameters, the filter by the number of frequent phrases.  Tries of up to ``HOLD`` bytes
+What a task holds is bounded by parameters (batches by ``BATCH``), the filter by the number of frequent phrases.  Tries of up to ``HOLD`` bytes
 in sum are broadcast at once; where the candidates need more, there are more such groups, each of which reads the windows of
 its own shards only (they are written in the order of shards).  They pass the driver one by one, which hands the
 memory back after each.
@@ -29,6 +29,7 @@ there; no word crosses a document; an empty table gives no phrases; texts of any
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -46,11 +47,14 @@ BUCKETS, _BLOCK = 1 << 42, 1 << 32
 #: Bits of the filter for each hot bucket.
 BITS = 20
 #: Bytes of phrases in one trie, and bytes of tries that a task holds at a time.
-TRIE, HOLD = 1 << 21, 96 << 20
+TRIE, HOLD = 1 << 21, 32 << 20
 #: Bytes of text read at a time, and bucket numbers or windows a task holds before it hands them on.
 RUN, HELD = 1 << 19, 1 << 19
 #: Bytes of windows read at a time.
-BLOBS = 1 << 22
+BLOBS = 1 << 20
+#: Bytes of rows that a task gets in one batch, and of the row groups that windows are written in: rows of windows are
+#: large, and both would hold a task's whole share of them.
+BATCH = 1 << 22
 
 _GAP = np.zeros(256, bool)
 _GAP[[0x20, 0x09]] = True
@@ -567,9 +571,29 @@ def _count_arrow(shared: dict):
 # --- the operator -------------------------------------------------------------------------------------
 
 
+@contextmanager
+def _small_batches(spark):
+    """Within this block, batches for Python tasks end at ``BATCH`` bytes."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(BATCH))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def frequent(docs: DataFrame, longest: int = 3, least: int = 10, buckets: int = BUCKETS, trie: int = TRIE, hold: int = HOLD):
     """((lang, phrase, words, f) of all phrases of up to ``longest`` words with f >= ``least``, (lang, n) of all
     words).  Both are written tables."""
+    with _small_batches(docs.sparkSession):
+        return _frequent(docs, longest, least, buckets, trie, hold)
+
+
+def _frequent(docs: DataFrame, longest: int, least: int, buckets: int, trie: int, hold: int):
     sc = docs.sparkSession.sparkContext
     src = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     schema = "level int, block long, place binary, count binary, lang string, n long, size long"
@@ -583,9 +607,10 @@ def frequent(docs: DataFrame, longest: int = 3, least: int = 10, buckets: int =
     shards = max(1, -(-int(size) // trie))
     hot = sc.broadcast(filters(bounds, found, buckets))
     windows = src.mapInArrow(tidy(_windows_arrow(hot, longest, buckets, shards)), "shard long, lang string, data binary, n binary")
-    windows = materialize(windows.sortWithinPartitions("shard"), "phrase-windows")
+    groups = {"parquet.block.size": BATCH, "parquet.block.size.row.check.min": 4, "parquet.page.size.row.check.min": 4}
+    windows = materialize(windows.sortWithinPartitions("shard"), "phrase-windows", groups)
     hot.unpersist()
-    dealt = windows.select("shard", "lang", "data").repartition("shard").sortWithinPartitions("shard", "lang")
+    dealt = windows.select("shard", "lang", "data").repartition("shard", "lang").sortWithinPartitions("shard", "lang")
     dealt = dealt.mapInArrow(tidy(_candidates_arrow(longest)), "shard long, lang string, phrase string, words int")
     candidates = materialize(dealt.withColumn("id", F.monotonically_increasing_id()), "phrase-candidates")
     tries = candidates.groupBy("shard").applyInArrow(_build_arrow, "shard long, base binary, check binary, ends binary, ids binary")

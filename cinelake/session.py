@@ -173,13 +173,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return path
 
 
-def materialize(df, purpose: str):
+def materialize(df, purpose: str, options: dict | None = None):
     """Write ``df`` once as Parquet under the shared checkpoint folder and return the
     re-read table.  Cuts lineage like ``checkpoint()`` (a lost executor re-reads the
     files instead of recomputing upstream), but the copy is columnar: later scans
-    prune columns, push filters down, and give the planner real size statistics."""
+    prune columns, push filters down, and give the planner real size statistics.
+    ``options`` are the Parquet writer's."""
     path = shared_dir(df.sparkSession, purpose)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -160,3 +161,43 @@ def test_the_filter_has_all_hot_buckets_and_few_others(buckets):
     assert f.has(hot).all()
     if buckets > 97:
         assert f.has(rng.integers(0, buckets, 100_000).astype(np.uint64)).mean() < 0.03
+
+
+def test_tasks_get_small_batches(spark, monkeypatch):
+    name, most = "spark.sql.execution.arrow.maxBytesPerBatch", 50_000
+    monkeypatch.setattr(phrases, "BATCH", most)
+    rows, large, plain = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0), phrases.tidy
+
+    def watched(run):
+        def seen(batches):
+            for batch in batches:
+                rows.add(batch.num_rows)
+                large.add(batch.nbytes > most + 40_000)  # a batch ends with the row that passes the limit
+                yield batch
+
+        return plain(lambda batches: run(seen(batches)))
+
+    monkeypatch.setattr(phrases, "tidy", watched)
+    before = spark.conf.get(name)
+    text = "one two three four, " * 1000
+    docs = spark.createDataFrame([("en", text + str(i)) for i in range(60)], "lang string, text string").coalesce(1)
+    got = {(r.phrase, r.f) for r in phrases.frequent(docs)[0].collect()}
+    assert ("one two three", 60_000) in got and len(got) == 9
+    assert rows.value > 120 and large.value == 0
+    assert spark.conf.get(name) == before
+
+
+def test_windows_are_written_in_small_row_groups(spark, monkeypatch):
+    written, plain = [], phrases.materialize
+    monkeypatch.setattr(phrases, "materialize", lambda df, purpose, *options: written.append((purpose, plain(df, purpose, *options))) or written[-1][1])
+    monkeypatch.setattr(phrases, "BATCH", 200_000)
+    monkeypatch.setattr(phrases, "HELD", 4_000)
+    rnd = random.Random(5)
+    words = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(20_000)]
+    docs = spark.createDataFrame([("en", " ".join(rnd.sample(words, 500))) for _ in range(600)], "lang string, text string").coalesce(1)
+    got = phrases.frequent(docs, trie=60_000)[0].collect()
+    count = Counter(w for r in docs.collect() for w in r.text.split())
+    assert {(r.phrase, r.f) for r in got if r.words == 1} == {(w, n) for w, n in count.items() if n >= 10}
+    folder = pq.ParquetDataset(dict(written)["phrase-windows"].inputFiles()[0].removeprefix("file://"))
+    sizes = [f.row_group(i).total_byte_size for piece in folder.fragments for f in [piece.metadata] for i in range(f.num_row_groups)]
+    assert sum(sizes) > 1_000_000 and max(sizes) < 600_000
