@@ -8,7 +8,8 @@ locally: the side that lags takes its next token until both end at the same byte
 gives the new shift.  Lanes that start at common ends run in lockstep over a slab of documents.
 
 Counts.  Each slab keeps, in a written table, the distinct (A id, B id) pairs of its links, how many of
-its documents hold each, and each document's pairs and weights.  Pairs are summed over all slabs; what a
+its documents hold each, and each document's pairs and weights, in the narrowest integers that hold them.  A slab is
+worked on in parts, of which only that is kept, and goes on over the ends of Arrow batches.  Pairs are summed over all slabs; what a
 slab needs of the sums comes back to it by a join on the pair, a row for each distinct
 pair of a slab, and meets the slab in one shuffle.  Neither the pairs of the corpus nor the links of a
 document are ever collected.
@@ -32,13 +33,19 @@ from pyspark.sql import types as T
 
 from cinelake.llm import bytebpe
 from cinelake.llm.bytebpe import Memo, Vocabulary, runs
-from cinelake.llm.common import text_slices
+from cinelake.llm.common import small_batches, text_slices, tidy
 from cinelake.session import materialize
 
 BYTES_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text in a slab.
 SLAB = 1 << 21
+#: Bytes of text tokenized and aligned at a time; temporaries are some 70 times that.
+PART = 1 << 19
+#: Bytes of a batch for a Python task, and of a row group of slabs.
+BATCH = 1 << 22
+#: Documents of a slab, however short.
+ROWS = 1 << 14
 #: Tokens of a lane.
 LANE = 64
 #: Links of a group above which its distinct ids are paired instead of its tokens.
@@ -240,8 +247,13 @@ def _signs(length: int, ends: np.ndarray) -> np.ndarray:
     return out
 
 
-def slab_rows(pair: Pair, data: np.ndarray, off: np.ndarray) -> dict:
-    """All that one slab gives."""
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """The same numbers (0 or more) in the smallest unsigned type that holds them."""
+    return x.astype(np.min_scalar_type(x.max(initial=0)))
+
+
+def part_rows(pair: Pair, data: np.ndarray, off: np.ndarray) -> dict:
+    """All that one part of a slab gives."""
     (a, at, ea), (b, bt, eb) = pair.encode(data, off)
     ga, gb = align(ea, eb)
     docs = len(off) - 1
@@ -272,10 +284,21 @@ def slab_rows(pair: Pair, data: np.ndarray, off: np.ndarray) -> dict:
     groups = np.searchsorted(ga, at, side="right")
     return {
         "n_a": np.diff(at), "n_b": np.diff(bt), "n_groups": np.diff(groups), "n_links": links[end] - links[begin], "groups_sha256": sha,
-        "pairs": pairs, "docs": np.bincount(entry, minlength=len(pairs)), "end": end, "entry": entry.astype(np.int32), "weight": weight,
+        "pairs": pairs, "end": end, "entry": _narrow(entry), "weight": _narrow(weight),
     }
 
 
+def slab_rows(parts: list[dict]) -> dict:
+    """All that a slab gives: its parts one after the other, with one list of distinct pairs."""
+    pairs = np.unique(np.concatenate([p["pairs"] for p in parts]))
+    out = {k: np.concatenate([p[k] for p in parts]) for k in ("n_a", "n_b", "n_groups", "n_links", "weight")}
+    entry = np.concatenate([np.searchsorted(pairs, p["pairs"])[p["entry"]] for p in parts])
+    before = np.cumsum([0, *(len(p["entry"]) for p in parts)])
+    end = np.concatenate([p["end"] + n for p, n in zip(parts, before)])
+    sha = [x for p in parts for x in p["groups_sha256"]]
+    return {**out, "groups_sha256": sha, "pairs": pairs, "docs": np.bincount(entry, minlength=len(pairs)), "end": end, "entry": _narrow(entry)}
+
+
 # --- Spark ----------------------------------------------------------------------------------------
 
 _SLABS = "slab bigint, pairs array<bigint>, docs array<bigint>, rest binary"
@@ -297,19 +320,33 @@ def _unpacked(value: bytes) -> list[pa.RecordBatch]:
     return [list(pa.ipc.open_stream(source))[0] for _ in range(2)]
 
 
+def _slab_parts(pair: Pair, batches, size: int, part: int, most: int):
+    """(document ids, parts of up to ``part`` bytes) of each slab: as many documents, ``most`` at most, as fit
+    ``size`` bytes, from any number of batches."""
+    ids, parts, held, rows = [], [], 0, 0
+    for batch in batches:
+        for i, j, data, off in text_slices(batch.column(1), min(size, part)):
+            if parts and (held + len(data) > size or rows + j - i > most):
+                yield ids, parts
+                ids, parts, held, rows = [], [], 0, 0
+            # a copy: a slice would hold on to the whole batch
+            ids.append(batch.column(0).take(pa.array(np.arange(i, j))))
+            parts.append(part_rows(pair, data, off))
+            held, rows = held + len(data), rows + j - i
+    if parts:
+        yield ids, parts
+
+
 def _slabs_arrow(shared):
     def run(batches):
-        pair = shared.value
         n = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            ids = batch.column(0)
-            for i, j, data, off in text_slices(batch.column(1), SLAB):
-                got = slab_rows(pair, data, off)
-                documents = pa.RecordBatch.from_arrays([ids.slice(i, j - i), *(pa.array(got[k]) for k in _DOCUMENT)], ["doc_id", *_DOCUMENT])
-                entries = pa.RecordBatch.from_arrays([pa.array(got[k]) for k in _ENTRY], _ENTRY)
-                cols = [pa.array([n], pa.int64()), *(pa.array([got[k]], pa.list_(pa.int64())) for k in ("pairs", "docs"))]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array([_packed(documents, entries)], pa.binary())], ["slab", "pairs", "docs", "rest"])
-                n += 1
+        for ids, parts in _slab_parts(shared.value, batches, SLAB, PART, ROWS):
+            got = slab_rows(parts)
+            documents = pa.RecordBatch.from_arrays([pa.concat_arrays(ids), *(pa.array(got[k]) for k in _DOCUMENT)], ["doc_id", *_DOCUMENT])
+            entries = pa.RecordBatch.from_arrays([pa.array(got[k]) for k in _ENTRY], _ENTRY)
+            cols = [pa.array([n], pa.int64()), *(pa.array([got[k]], pa.list_(pa.int64())) for k in ("pairs", "docs"))]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array([_packed(documents, entries)], pa.binary())], ["slab", "pairs", "docs", "rest"])
+            n += 1
 
     return run
 
@@ -318,7 +355,10 @@ def slabs(docs: DataFrame, bytes_file: str = BYTES_FILE, pieces_file: str = PIEC
     """The written table of slabs: a row for a few MB of text."""
     shared = docs.sparkSession.sparkContext.broadcast(load(bytes_file, pieces_file))
     text = F.when(F.length("text") > 0, F.concat(F.lit(" "), "text")).otherwise(F.lit(""))
-    return materialize(docs.select("doc_id", text.alias("text")).mapInArrow(_slabs_arrow(shared), _SLABS), "alignment")
+    rows = docs.select("doc_id", text.alias("text")).mapInArrow(tidy(_slabs_arrow(shared)), _SLABS)
+    groups = {"parquet.block.size": BATCH, "parquet.block.size.row.check.min": 4, "parquet.page.size.row.check.min": 4}
+    with small_batches(docs.sparkSession, BATCH):
+        return materialize(rows, "alignment", groups)
 
 
 def pair_counts(table: DataFrame) -> DataFrame:
@@ -339,6 +379,7 @@ def _finish_arrow():
         else:
             n, best = np.zeros(0, np.int64), np.zeros(0, bool)
         end, entry, weight = documents["end"].to_numpy(), entries["entry"].to_numpy(), entries["weight"].to_numpy()
+        weight = weight.astype(np.int64)
         begin = np.concatenate([[0], end[:-1]])
         cols = [documents[k] for k in ("doc_id", *_DOCUMENT[:-1])]
         for each in (np.where(best[entry], weight, 0), weight * n[entry]):
@@ -376,7 +417,7 @@ def digests(docs: DataFrame, bytes_file: str = BYTES_FILE, pieces_file: str = PI
     both = heads.unionByName(asked.withColumn("rest", F.lit(None).cast("binary"))).repartition("slab").sortWithinPartitions("slab", "pos")
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long"
-    done = both.select("slab", "pos", "n", "best", "rest").mapInArrow(_finish_arrow(), schema)
+    done = both.select("slab", "pos", "n", "best", "rest").mapInArrow(tidy(_finish_arrow()), schema)
     return done.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
@@ -384,7 +425,7 @@ def _groups_arrow(shared):
     def run(batches):
         pair = shared.value
         for batch in batches:
-            for i, j, data, off in text_slices(batch.column(1), SLAB):
+            for i, j, data, off in text_slices(batch.column(1), min(SLAB, PART)):
                 (a, at, ea), (b, bt, eb) = pair.encode(data, off)
                 ga, gb = align(ea, eb)
                 cut = np.searchsorted(ga, at, side="right")
@@ -405,4 +446,4 @@ def aligned(docs: DataFrame, bytes_file: str = BYTES_FILE, pieces_file: str = PI
     text = F.when(F.length("text") > 0, F.concat(F.lit(" "), "text")).otherwise(F.lit(""))
     src = docs.select(F.struct(F.lit(0).alias("0"), *[F.col(f"`{c}`") for c in others]).alias("row"), text.alias("text"))
     schema = T.StructType([src.schema["row"], *[T.StructField(c, T.ArrayType(T.IntegerType())) for c in new]])
-    return src.mapInArrow(_groups_arrow(shared), schema).select(*[F.col("row").getField(c).alias(c) for c in others], *new)
+    return src.mapInArrow(tidy(_groups_arrow(shared)), schema).select(*[F.col("row").getField(c).alias(c) for c in others], *new)

@@ -6,6 +6,7 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -229,6 +230,21 @@ def hand_back(spark) -> None:
     spark.sparkContext._jvm.java.lang.System.gc()
 
 
+@contextmanager
+def small_batches(spark, size: int):
+    """Within this block, batches for Python tasks end at ``size`` bytes."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 _shipped: set[str] = set()
 
 

@@ -29,7 +29,6 @@ there; no word crosses a document; an empty table gives no phrases; texts of any
 
 from __future__ import annotations
 
-from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -39,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinelake.llm.bytebpe import runs
-from cinelake.llm.common import hand_back, lower_ascii, mix64, RollingHash, text_slices, tidy
+from cinelake.llm.common import hand_back, lower_ascii, mix64, RollingHash, small_batches, text_slices, tidy
 from cinelake.session import materialize
 
 #: Hash buckets of the bounds, for each length of phrases, and how many are counted together.
@@ -571,25 +570,10 @@ def _count_arrow(shared: dict):
 # --- the operator -------------------------------------------------------------------------------------
 
 
-@contextmanager
-def _small_batches(spark):
-    """Within this block, batches for Python tasks end at ``BATCH`` bytes."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, str(BATCH))
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
 def frequent(docs: DataFrame, longest: int = 3, least: int = 10, buckets: int = BUCKETS, trie: int = TRIE, hold: int = HOLD):
     """((lang, phrase, words, f) of all phrases of up to ``longest`` words with f >= ``least``, (lang, n) of all
     words).  Both are written tables."""
-    with _small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession, BATCH):
         return _frequent(docs, longest, least, buckets, trie, hold)
 
 

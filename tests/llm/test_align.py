@@ -128,3 +128,61 @@ def test_odd_rows(spark, empty):
 def test_text_ids(spark):
     docs = spark.createDataFrame([("a", "x y"), (None, None)], "doc_id string, text string")
     assert {r.doc_id: r.n_a for r in align.digests(docs).collect()} == {"a": 2, None: 0}
+
+
+def test_a_slab_in_parts_over_batches_is_the_slab():
+    import pyarrow as pa
+
+    texts = [f" {odd.prose(k, 40)}" for k in range(30)] + ["", " ▁ literal", " " + "…" * 90] + [f" {odd.prose(2, 60)}"] * 3
+    ids = pa.array(range(len(texts)))
+
+    def found(step, *sizes):
+        batches = (pa.RecordBatch.from_arrays([ids[k : k + step], pa.array(texts[k : k + step])], ["i", "t"]) for k in range(0, len(texts), step))
+        return [(pa.concat_arrays(i).to_pylist(), len(p), align.slab_rows(p)) for i, p in align._slab_parts(PAIR, batches, *sizes)]
+
+    ((whole, parts, want),) = found(len(texts), 1 << 20, 1 << 20, 100)
+    assert parts == 1 and whole == ids.to_pylist()
+    ((same, parts, got),) = found(7, 1 << 20, 500, 100)
+    assert parts > 15 and same == whole
+    for k in want:
+        assert np.array_equal(got[k], want[k]), k
+    # an entry is a place in the pairs and a weight, each as wide as it has to be
+    assert len(got["pairs"]) < 256 and got["entry"].itemsize == got["weight"].itemsize == 1
+    for sizes, most in (((1500, 500, 100), 100), ((1 << 20, 1 << 20, 5), 7)):
+        cut = found(7, *sizes)
+        assert [i for s, _, _ in cut for i in s] == whole and max(len(s) for s, _, _ in cut) <= most
+        assert [x for _, _, g in cut for x in g["groups_sha256"]] == want["groups_sha256"]
+        assert sum(len(g["entry"]) for _, _, g in cut) == len(want["entry"])
+
+
+def test_wide_weights_and_places_stay_whole():
+    for x in ([], [0, 255], [256], [1 << 16], [1 << 32, 3]):
+        got = align._narrow(np.array(x, np.int64))
+        assert got.tolist() == x and got.itemsize == np.min_scalar_type(max(x, default=0)).itemsize
+
+
+def test_slab_tasks_get_small_batches_and_write_small_row_groups(spark, monkeypatch):
+    import pyarrow.parquet as pq
+
+    name, most = "spark.sql.execution.arrow.maxBytesPerBatch", 50_000
+    monkeypatch.setattr(align, "BATCH", most)
+    monkeypatch.setattr(align, "SLAB", 30_000)
+    rows, large, plain = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0), align.tidy
+
+    def watched(run):
+        def seen(batches):
+            for batch in batches:
+                rows.add(batch.num_rows)
+                large.add(batch.nbytes > most + 10_000)  # a batch ends with the row that passes the limit
+                yield batch
+
+        return plain(lambda batches: run(seen(batches)))
+
+    monkeypatch.setattr(align, "tidy", watched)
+    before = spark.conf.get(name)
+    docs = spark.createDataFrame([(k, odd.prose(k, 600)) for k in range(300)], "doc_id long, text string").coalesce(1)
+    table = align.slabs(docs)
+    assert rows.value == 300 and large.value == 0
+    assert spark.conf.get(name) == before
+    groups = [m.row_group(g) for m in (pq.ParquetFile(f.removeprefix("file:")).metadata for f in table.inputFiles()) for g in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) > 30 and len(groups) > 3 and max(g.num_rows for g in groups) < 16
